@@ -6,7 +6,7 @@ import importlib
 
 from rideflow.catalog import registry
 
-MODULES = ("business",)
+MODULES = ("business", "relational", "scalar")
 
 
 def load():
