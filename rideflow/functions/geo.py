@@ -1,54 +1,41 @@
-"""Geohash cells from built-in bit operations, so the expression stays inside generated code."""
+"""Geohash cells from built-in functions."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: the public geohash alphabet.
+# The public geohash alphabet, and the digits of base 32 it stands for.
 BASE32 = "0123456789bcdefghjkmnpqrstuvwxyz"
+DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
 
-# Shift and mask pairs that put a zero bit between neighbouring bits of a 32-bit number.
-_SPREAD = (
-    (16, 0x0000FFFF0000FFFF),
-    (8, 0x00FF00FF00FF00FF),
-    (4, 0x0F0F0F0F0F0F0F0F),
-    (2, 0x3333333333333333),
-    (1, 0x5555555555555555),
-)
 
-
-def _cell_index(value: Column, low: float, span: float, bits: int) -> Column:
-    top = (1 << bits) - 1
+def _axis_index(value: Column, low: float, span: float, bits: int) -> Column:
+    """Number of the 2^bits equal intervals of the axis that holds the value."""
     index = F.floor((value.cast("double") - F.lit(low)) / F.lit(span) * F.lit(float(1 << bits)))
-    return F.least(index.cast("bigint"), F.lit(top).cast("bigint"))
+    return F.least(index.cast("bigint"), F.lit((1 << bits) - 1).cast("bigint"))
 
 
 def _spread(index: Column) -> Column:
-    for shift, mask in _SPREAD:
-        index = index.bitwiseOR(F.shiftleft(index, shift)).bitwiseAND(F.lit(mask).cast("bigint"))
-    return index
+    """Binary digits read as base-4 digits: a zero bit lands between neighbouring bits."""
+    return F.conv(F.bin(index), 4, 10).cast("bigint")
 
 
 def geo_cell(lat, lon, precision: int = 6) -> Column:
-    """Geohash of `precision` characters (1 to 12); NULL for NULL or impossible coordinates."""
+    """Geohash of `precision` characters (1 to 12); NULL for NULL or impossible coordinates.
+
+    Each coordinate enters the arithmetic once, which keeps the generated code small enough for the
+    JVM to compile.
+    """
     if not 1 <= precision <= 12:
         raise ValueError("precision must be between 1 and 12")
     lat = F.col(lat) if isinstance(lat, str) else lat
     lon = F.col(lon) if isinstance(lon, str) else lon
     bits = 5 * precision
-    lon_code = _spread(_cell_index(lon, -180.0, 360.0, (bits + 1) // 2))
-    lat_code = _spread(_cell_index(lat, -90.0, 180.0, bits // 2))
-    # Longitude owns the most significant bit.
-    if bits % 2 == 0:
-        code = F.shiftleft(lon_code, 1).bitwiseOR(lat_code)
-    else:
-        code = lon_code.bitwiseOR(F.shiftleft(lat_code, 1))
-    chars = [
-        F.substring(F.lit(BASE32),
-                    F.shiftright(code, bits - 5 * (i + 1)).bitwiseAND(F.lit(31).cast("bigint")).cast("int") + 1,
-                    F.lit(1))
-        for i in range(precision)
-    ]
+    lon_bits = _spread(_axis_index(lon, -180.0, 360.0, (bits + 1) // 2))
+    lat_bits = _spread(_axis_index(lat, -90.0, 180.0, bits // 2))
+    # Longitude owns the most significant bit, so the lower bit depends on the parity of the length.
+    code = lon_bits * 2 + lat_bits if bits % 2 == 0 else lon_bits + lat_bits * 2
+    text = F.lpad(F.conv(code.cast("string"), 10, 32), precision, "0")
     possible = lat.between(-90, 90) & lon.between(-180, 180)
-    return F.when(possible, F.concat(*chars))
+    return F.when(possible, F.translate(text, DIGITS, BASE32))
