@@ -6,7 +6,7 @@ import importlib
 
 from rideflow.catalog import registry
 
-MODULES = ("business", "relational", "scalar")
+MODULES = ("business", "relational", "scalar", "quality", "lake", "streams")
 
 
 def load():

@@ -232,8 +232,8 @@ def load_report(evaluated: DataFrame, dataset: str, rules=(), foreign=(), unique
 
     All reasons are counted in the same pass over the rows."""
     codes = sorted({r.code for r in rules} | {f.code for f in foreign} | {u.code for u in unique} | {"NULL_REQUIRED"})
-    has = [F.count_if(F.exists("failures", lambda x, c=c: x["code"] == c) | F.array_contains("warnings", c)).alias(c)
-           for c in codes]
+    found = F.array_union(F.transform("failures", lambda x: x["code"]), F.col("warnings"))
+    has = [F.count_if(F.array_contains(found, c)).alias(c) for c in codes]
     counts = evaluated.agg(F.count("*").alias("rows_staged"),
                            F.count_if(F.size("failures") == 0).alias("rows_loaded"), *has)
     pairs = F.map_from_entries(F.filter(

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Header, NULL as an empty field, the empty string quoted."""
-    df.write.mode("overwrite").option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]").csv(path)
+    """Header, NULL as an empty field, the empty string quoted, blanks kept."""
+    (df.write.mode("overwrite").option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def write_json(df: DataFrame, path: str) -> None:
