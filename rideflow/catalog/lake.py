@@ -335,7 +335,7 @@ SELECT '2026-10-08' AS ingest_date, count(*) AS rows, count(DISTINCT ride_id) AS
 def _(spark, d):
     path = work_dir(spark)
     for _run in range(2):
-        sinks.write_date(stores.silver(spark, d)["rides"], path, "2026-10-08")
+        sinks.write_date(stores.silver(spark, d)["rides"].drop("ingest_date"), path, "2026-10-08")
     back = spark.read.parquet(path)
     return (back.groupBy(F.col("ingest_date").cast("string").alias("ingest_date"), "ride_id").agg(F.count("*").alias("n"))
             .groupBy("ingest_date").agg(F.sum("n").alias("rows"), F.count("*").alias("keys")))
@@ -400,7 +400,7 @@ _FACT_RIDES = f"""fact_rides AS (
 
 @query("gd_06_fact_rides", silver("SELECT * FROM fact_rides", _FACT_RIDES))
 def _(spark, d):
-    return gold.fact_rides(stores.silver(spark, d)["rides"])
+    return gold.fact_rides(stores.silver(spark, d)["rides"]).drop(*steps.LINEAGE)
 
 
 @query("gd_07_fact_payments", silver(f"""
@@ -408,7 +408,7 @@ SELECT {key('payment_id')} AS payment_key, {key('ride_id')} AS ride_key, {key('c
   strftime(payment_time, '%Y%m%d')::INT AS date_key, amount, tip_amount, payment_method, payment_status, payment_time,
   year(payment_time)::INT AS year, month(payment_time)::INT AS month FROM silver_payments"""))
 def _(spark, d):
-    return gold.fact_payments(stores.silver(spark, d)["payments"])
+    return gold.fact_payments(stores.silver(spark, d)["payments"]).drop(*steps.LINEAGE)
 
 
 @query("gd_08_foreign_keys", """
@@ -425,7 +425,7 @@ SELECT 'driver_key' AS key_name, count(DISTINCT driver_id) AS missing_keys, coun
 WHERE driver_id NOT IN (SELECT driver_id FROM drivers_ok WHERE vehicle_type <> 'Bike')"""))
 def _(spark, d):
     fact = rides(spark, d).select(gold.surrogate_key("driver_id").alias("driver_key"))
-    known = quality.accepted(stores.evaluated(spark, d)["drivers"].filter("_ok")).filter("vehicle_type <> 'Bike'")
+    known = quality.accepted(stores.evaluated(spark, d)["drivers"]).filter("vehicle_type <> 'Bike'")
     return gold.fk_violations(fact, {"driver_key": known.select(gold.surrogate_key("driver_id").alias("driver_key"))})
 
 

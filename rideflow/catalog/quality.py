@@ -10,10 +10,11 @@ from rideflow.catalog.accepted_sql import PAYMENT_REASONS, REASONS, RIDE_REASONS
 from rideflow.catalog.mapping_sql import percent, with_tables
 from rideflow.catalog.registry import query
 from rideflow.operators import quality, reconcile
+from rideflow.operators import silver as steps
 from rideflow.operators.ranking import daily_counts
 from rideflow.operators.stats import drift, profile
 from rideflow.plans import lake, load
-from rideflow.sources.testdata import customers, drivers, payments, ride_events, rides, tables
+from rideflow.sources.testdata import as_text, customers, drivers, payments, ride_events, rides, tables
 
 
 def _union(frames):
@@ -34,7 +35,7 @@ SELECT ride_id, list_aggregate(list_sort(list_filter([
 FROM rides WHERE distance_km < 0 OR fare <= 0 OR surge_multiplier < 1 OR pickup_lat > 90 OR dropoff_time < pickup_time
   OR length(ride_id) > 10"""))
 def _(spark, d):
-    judged = quality.evaluate(rides(spark, d), quality.silver_rules("rides"))
+    judged = quality.evaluate(stores.staged(spark, d)["rides"], quality.silver_rules("rides"))
     codes = F.array_sort(F.array_distinct(F.transform("failures", lambda x: x["code"])))
     return quality.rejected(judged).select("ride_id", F.array_join(codes, ",").alias("reasons"))
 
@@ -67,7 +68,7 @@ UNION ALL SELECT 'rides', ride_id, 'accepted' FROM rides_ok
 UNION ALL SELECT 'payments', payment_id, 'accepted' FROM payments_ok"""))
 def _(spark, d):
     frames = stores.evaluated(spark, d)
-    return _union(quality.accepted(df.filter("_ok")).select(
+    return _union(quality.accepted(df).select(
         F.lit(n).alias("table_name"), F.col(schemas.PRIMARY_KEYS[n]).alias("key"), F.lit("accepted").alias("state"))
         for n, df in frames.items())
 
@@ -75,7 +76,7 @@ def _(spark, d):
 @query("dq_04_accepted_rides", accepted("""
 SELECT ride_id, customer_id, driver_id, pickup_city, request_time, distance_km, fare FROM rides_ok"""))
 def _(spark, d):
-    return (quality.accepted(stores.evaluated(spark, d)["rides"].filter("_ok"))
+    return (quality.accepted(stores.evaluated(spark, d)["rides"])
             .select("ride_id", "customer_id", "driver_id", "pickup_city", "request_time", "distance_km", "fare"))
 
 
@@ -111,7 +112,7 @@ SELECT * FROM (
   UNION ALL SELECT 'payments', 'orphan_customer', count(*) FROM payments WHERE customer_id NOT IN (SELECT customer_id FROM customers_ok)
 ) WHERE rows > 0"""))
 def _(spark, d):
-    loaded = {n: quality.accepted(df.filter("_ok")) for n, df in stores.evaluated(spark, d).items()}
+    loaded = {n: quality.accepted(df) for n, df in stores.evaluated(spark, d).items()}
     frames = tables(spark, d)
     return _union(load.legacy_reasons(frames, loaded, n) for n in frames)
 
@@ -219,14 +220,11 @@ def _(spark, d):
 @query("dq_14_contract", silver("""
 SELECT 'rides' AS dataset, 0 AS problems UNION ALL SELECT 'payments', 0 UNION ALL SELECT 'drivers', 0 UNION ALL SELECT 'customers', 0"""))
 def _(spark, d):
-    """Valid rows after the cast must have exactly the declared columns and types."""
-    from rideflow.operators import silver as steps
-    from rideflow.sources.testdata import as_text
-
+    """Rows that passed the cast and the rules must have exactly the declared columns and types."""
     found = []
-    for name, df in tables(spark, d).items():
-        typed = quality.accepted(quality.evaluate(steps.clean(as_text(df), name), quality.silver_rules(name)))
-        found.append((name, len(quality.check_contract(typed, schemas.DATASETS[name]))))
+    for name, df in stores.staged(spark, d).items():
+        valid, _bad = quality.split(steps.clean(as_text(df), name), quality.silver_rules(name))
+        found.append((name, len(quality.check_contract(valid, schemas.DATASETS[name]))))
     return spark.createDataFrame(found, "dataset string, problems int")
 
 

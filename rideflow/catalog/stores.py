@@ -2,57 +2,57 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from rideflow import schemas
 from rideflow.plans import lake, load
 from rideflow.sources import testdata
-from rideflow.sources.workdir import materialize, work_dir
+from rideflow.sources.workdir import materialize, side_by_side, work_dir
 
 SALT = "pepper-2024"
+INGEST_DATE = "2026-10-08"
 
-_built: dict[tuple[str, str, str], str] = {}
+_built: dict[tuple[str, str, str], object] = {}
 
 
-def _store(spark: SparkSession, sf_dir: str, kind: str, build) -> str:
+def _once(spark: SparkSession, sf_dir: str, kind: str, build):
     slot = (spark.sparkContext.applicationId, sf_dir, kind)
     if slot not in _built:
-        root = work_dir(spark)
-        build(root)
-        _built[slot] = root
+        _built[slot] = build(work_dir(spark))
     return _built[slot]
 
 
+def staged(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The four datasets as stored tables, before any check."""
+    def build(root):
+        frames = testdata.tables(spark, sf_dir)
+        return dict(zip(frames, side_by_side([partial(materialize, df, f"{root}/{name}") for name, df in frames.items()])))
+
+    return _once(spark, sf_dir, "staged", build)
+
+
 def evaluated(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The load profile's judged rows, all four datasets."""
+    return _once(spark, sf_dir, "evaluated", lambda root: load.evaluate_all(staged(spark, sf_dir), stage_in=root))
+
+
+def lake_root(spark: SparkSession, sf_dir: str) -> str:
+    """A lake built by the pipeline from the raw text form of the datasets."""
     def build(root):
-        load.evaluate_all(testdata.tables(spark, sf_dir), stage_in=root)
+        raw = {name: testdata.as_text(df) for name, df in staged(spark, sf_dir).items()}
+        lake.land_all(raw, root, INGEST_DATE)
+        lake.run(spark, root, "run-1", "2026-10-08 12:00:00", SALT)
+        return root
 
-    root = _store(spark, sf_dir, "evaluated", build)
-    # The flag is a directory name, which is read as text; the cast still prunes directories.
-    return {name: spark.read.parquet(f"{root}/{name}").withColumn("_ok", F.col("_ok").cast("boolean"))
-            for name in schemas.DATASETS}
+    return _once(spark, sf_dir, "lake", build)
 
 
 def silver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Silver tables, cleaned from the raw text form."""
-    def build(root):
-        raw = {name: testdata.as_text(df) for name, df in testdata.tables(spark, sf_dir).items()}
-        frames = lake.silver_frames(raw, SALT, stage_in=f"{root}/valid")
-        for name, df in frames.items():
-            materialize(df, f"{root}/silver/{name}")
-
-    root = _store(spark, sf_dir, "silver", build)
-    return {name: spark.read.parquet(f"{root}/silver/{name}") for name in schemas.DATASETS}
+    root = lake_root(spark, sf_dir)
+    return {name: lake.read_silver(spark, root, name) for name in schemas.DATASETS}
 
 
 def gold(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The star schema over the Silver tables; facts by year and month."""
-    def build(root):
-        for name, df in lake.gold_frames(silver(spark, sf_dir)).items():
-            materialize(df, f"{root}/{name}", ("year", "month") if name.startswith("fact_") else ())
-
-    root = _store(spark, sf_dir, "gold", build)
-    return {name: spark.read.parquet(f"{root}/{name}")
-            for name in ("dim_customer", "dim_driver", "dim_location", "dim_date", "fact_rides", "fact_payments")}
+    return lake.gold_tables(spark, lake_root(spark, sf_dir))

@@ -77,7 +77,7 @@ SELECT payment_id, amount >= 0 AND payment_id IN (SELECT payment_id FROM payment
 def _(spark, d):
     root = work_dir(spark)
     sinks.write_csv(as_text(payments(spark, d)), f"{root}/in")
-    parents = {n: quality.accepted(df.filter("_ok")) for n, df in stores.evaluated(spark, d).items()}
+    parents = {n: quality.accepted(df) for n, df in stores.evaluated(spark, d).items()}
     handle = jobs.split_batches(
         f"{root}/out", lambda batch: steps.clean(batch, "payments"), quality.LOAD_RULES["payments"],
         lambda: quality.foreign_keys("payments", parents), quality.unique_rules("payments"))

@@ -42,7 +42,7 @@ def mark_first(df: DataFrame, key: list[str], order: list[str], eligible: Column
     partition. Only its winners meet in the second round, at most one per key and input partition.
     Ineligible rows, NULL keys included, never meet anyone.
     """
-    ordering = [F.col(c) for c in _total_order(df, order)]
+    ordering = [F.col(c) for c in _total_order(df, order) if c not in key]
     eligible = F.lit(True) if eligible is None else eligible
     for k in key:
         eligible = eligible & F.col(k).isNotNull()

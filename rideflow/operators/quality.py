@@ -8,13 +8,17 @@ lands on exactly one side.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rideflow import schemas
-from rideflow.operators.dedupe import mark_first
+from rideflow.functions.numeric import percent
+from rideflow.operators.dedupe import duplicated_keys, mark_first
+from rideflow.operators.ranking import rolling_mean
+from rideflow.sources.workdir import materialize, side_by_side
 
 ERROR = "error"
 WARNING = "warning"
@@ -152,17 +156,26 @@ _FAILURES = "array<struct<code:string,message:string>>"
 
 
 def _failed(rules):
-    checks = [F.when(~F.coalesce(F.expr(r.predicate), F.lit(False)), _failure(r.code, r.message)) for r in rules]
-    return F.array_compact(F.array(*checks)).cast(_FAILURES) if checks else F.array().cast(_FAILURES)
+    """Failures of the given rules. The usual row passes all of them, so the array of reasons is only
+    built behind one test of all predicates."""
+    if not rules:
+        return F.array().cast(_FAILURES)
+    holds = {r: F.coalesce(F.expr(r.predicate), F.lit(False)) for r in rules}
+    reasons = F.array_compact(F.array(*[F.when(~ok, _failure(r.code, r.message)) for r, ok in holds.items()]))
+    return F.when(reduce(lambda x, y: x & y, holds.values()), F.array().cast(_FAILURES)).otherwise(reasons.cast(_FAILURES))
+
+
+def _check_rows(df: DataFrame, rules) -> DataFrame:
+    found = _failed([r for r in rules if r.severity == ERROR])
+    warnings = _failed([r for r in rules if r.severity == WARNING])
+    return df.withColumns({
+        "failures": F.array_union("failures", found) if "failures" in df.columns else found,
+        "warnings": F.transform(warnings, lambda x: x["code"]),
+    })
 
 
-def evaluate(df: DataFrame, rules=(), foreign=(), unique=()) -> DataFrame:
-    """Add `failures` and `warnings`. Existing failures (from casting) are kept."""
-    earlier = F.col("failures") if "failures" in df.columns else F.array().cast(_FAILURES)
-    out = df.withColumns({
-        "failures": F.array_union(earlier, _failed([r for r in rules if r.severity == ERROR])),
-        "warnings": F.transform(_failed([r for r in rules if r.severity == WARNING]), lambda x: x["code"]),
-    })
+def _check_parents(df: DataFrame, foreign) -> DataFrame:
+    out = df
     for fk in foreign:
         # Distinct parent keys: the join adds no rows, and a hot key's child rows can be split.
         parents = fk.parents.select(F.col(fk.parent_column).alias("_parent")).filter("_parent IS NOT NULL").distinct()
@@ -171,24 +184,72 @@ def evaluate(df: DataFrame, rules=(), foreign=(), unique=()) -> DataFrame:
         found = out.join(parents, F.col(fk.column) == F.col("_parent"), "left")
         out = found.withColumn("failures", F.when(
             F.col("_parent").isNull(), F.array_union("failures", F.array(missing))).otherwise(F.col("failures"))).drop("_parent")
+    return out
+
+
+def _check_keys_present(df: DataFrame, unique) -> DataFrame:
+    """A missing key has no duplicates; it is a missing value."""
+    out = df
+    for k in dict.fromkeys(k for u in unique for k in u.key):
+        absent = F.array(_failure("NULL_REQUIRED", f"{k} must not be null")).cast(_FAILURES)
+        out = out.withColumn("failures", F.when(
+            F.col(k).isNull() & (F.size("failures") == 0), absent).otherwise(F.col("failures")))
+    return out
+
+
+def evaluate(df: DataFrame, rules=(), foreign=(), unique=()) -> DataFrame:
+    """Add `failures` and `warnings` in one plan. Existing failures (from casting) are kept."""
+    out = _check_keys_present(_check_parents(_check_rows(df, rules), foreign), unique)
     for u in unique:
-        for k in u.key:
-            # A missing key has no duplicates; it is a missing value.
-            absent = F.array(_failure("NULL_REQUIRED", f"{k} must not be null")).cast(_FAILURES)
-            out = out.withColumn("failures", F.when(
-                F.col(k).isNull() & (F.size("failures") == 0), absent).otherwise(F.col("failures")))
         marked = mark_first(out, list(u.key), list(u.order), eligible=F.size("failures") == 0, name="_first")
-        loses = (F.size("failures") == 0) & ~F.col("_first")
         out = marked.withColumn("failures", F.when(
-            loses, F.array(_failure(u.code, u.message)).cast(_FAILURES)).otherwise(F.col("failures"))).drop("_first")
+            (F.size("failures") == 0) & ~F.col("_first"), F.array(_failure(u.code, u.message)).cast(_FAILURES))
+            .otherwise(F.col("failures"))).drop("_first")
     return out
 
 
+def judge(df: DataFrame, rules=(), foreign=(), unique=(), *, stage_in: str) -> DataFrame:
+    """`evaluate` for large tables, with `_ok` telling the sides apart.
+
+    Rows are judged once and stored. Uniqueness then reads only the key column to find repeated keys;
+    only rows with such a key are ranked. Where few keys repeat, their stored list is small enough for
+    Spark to broadcast, and no whole row is shuffled. Where many do, the joins shuffle.
+    """
+    checked = _check_keys_present(_check_parents(_check_rows(df, rules), foreign), unique)
+    # The flag is a directory level: reading one side skips the files of the other.
+    stored = materialize(checked.withColumn("_ok", F.size("failures") == 0), f"{stage_in}/rows", ("_ok",))
+    passed, failed = stored.filter("_ok"), stored.filter("NOT _ok")
+
+    def repeated_keys(i: int) -> DataFrame | None:
+        keys = materialize(duplicated_keys(passed_rows, list(unique[i].key)).select(*unique[i].key), f"{stage_in}/repeated_{i}")
+        return None if keys.isEmpty() else keys
+
+    # A key that repeats after an earlier rule also repeats before it, so all are found at once.
+    passed_rows = passed
+    for i, repeated in enumerate(side_by_side([partial(repeated_keys, i) for i in range(len(unique))])):
+        if repeated is None:
+            continue
+        u, key = unique[i], list(unique[i].key)
+        marked = mark_first(passed.join(repeated, key, "left_semi").select(*stored.columns), key, list(u.order), name="_first")
+        ranked = materialize(
+            marked.withColumn("failures", F.when(F.col("_first"), F.col("failures"))
+                              .otherwise(F.array(_failure(u.code, u.message)).cast(_FAILURES)))
+            .withColumn("_ok", F.col("_first")).drop("_first"), f"{stage_in}/ranked_{i}", ("_ok",))
+        passed = passed.join(repeated, key, "left_anti").select(*stored.columns).unionByName(ranked.filter("_ok"))
+        failed = failed.unionByName(ranked.filter("NOT _ok"))
+    return passed.unionByName(failed)
+
+
 def accepted(evaluated: DataFrame) -> DataFrame:
-    return evaluated.filter(F.size("failures") == 0).drop("failures", "warnings")
+    """Valid rows, without the verdict columns."""
+    if "_ok" in evaluated.columns:
+        evaluated = evaluated.filter("_ok")
+    return evaluated.filter(F.size("failures") == 0).drop("failures", "warnings", "_ok")
 
 
 def rejected(evaluated: DataFrame) -> DataFrame:
+    if "_ok" in evaluated.columns:
+        evaluated = evaluated.filter("NOT _ok").drop("_ok")
     return evaluated.filter(F.size("failures") > 0)
 
 
@@ -247,8 +308,6 @@ def load_report(evaluated: DataFrame, dataset: str, rules=(), foreign=(), unique
 def quality_report(evaluated: DataFrame, dataset: str, key: str, required: list[str],
                    foreign_codes: list[str]) -> DataFrame:
     """Rejection, duplicate, null and foreign-key pass rates in one pass, as percentages."""
-    from rideflow.functions.numeric import percent
-
     def with_code(codes):
         return F.count_if(F.exists("failures", lambda x: x["code"].isin(*codes)))
 
@@ -299,9 +358,6 @@ def rate_metrics(report: DataFrame) -> DataFrame:
 
 def volume_drop(daily: DataFrame, day: str = "day", measure: str = "rides") -> DataFrame:
     """Drop of each day's volume against the mean of the 7 days before, in percent (0 if it grew)."""
-    from rideflow.functions.numeric import percent
-    from rideflow.operators.ranking import rolling_mean
-
     rolled = rolling_mean(daily, day, measure, 7, "rolling_avg")
     drop = percent(F.col("rolling_avg") - F.col(measure), F.col("rolling_avg"), 2)
     return rolled.select(F.col(day).cast("string").alias("dataset"), F.lit("volume_drop_pct").alias("metric"),

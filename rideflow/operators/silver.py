@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,6 +11,9 @@ from pyspark.sql import types as T
 from rideflow import schemas
 from rideflow.functions.text import clean_city
 from rideflow.functions.times import calendar_parts, minutes_between, parse_timestamp
+from rideflow.operators.privacy import mask, obfuscate_geo
+
+_FAILURES = "array<struct<code:string,message:string>>"
 
 LINEAGE = ("_source_file_uri", "_pipeline_run_id", "_processed_timestamp")
 
@@ -29,15 +34,21 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Cast text columns to the declared types. Values that do not parse become NULL and are
     reported in `failures` as MALFORMED_VALUE. Other columns (partitions, lineage) pass through."""
     extra = [c for c in df.columns if c not in schema.names]
-    typed = {f.name: cast_text(f.name, f.dataType) for f in schema}
-    malformed = [
-        F.when(F.col(f.name).isNotNull() & typed[f.name].isNull(),
-               F.struct(F.lit("MALFORMED_VALUE").alias("code"),
-                        F.concat(F.lit(f"{f.name} is not a {f.dataType.simpleString()}: "), F.col(f.name)).alias("message")))
-        for f in schema if not isinstance(f.dataType, (T.StringType, T.BooleanType))]
-    failures = F.array_compact(F.array(*malformed)) if malformed else F.array()
-    return df.select(*[typed[f.name].alias(f.name, metadata=f.metadata) for f in schema], *extra,
-                     failures.cast("array<struct<code:string,message:string>>").alias("failures"))
+    checked = [f for f in schema if not isinstance(f.dataType, (T.StringType, T.BooleanType))]
+    # Text and value side by side, so that each value is parsed once and tested where it is used.
+    both = df.select(*[cast_text(f.name, f.dataType).alias(f.name) for f in schema], *extra,
+                     *[F.col(f.name).alias(f"_text_{f.name}") for f in checked])
+    failures = F.array()
+    if checked:
+        broken = {f: F.col(f"_text_{f.name}").isNotNull() & F.col(f.name).isNull() for f in checked}
+        reasons = F.array_compact(F.array(*[
+            F.when(is_broken, F.struct(
+                F.lit("MALFORMED_VALUE").alias("code"),
+                F.concat(F.lit(f"{f.name} is not a {f.dataType.simpleString()}: "), f"_text_{f.name}").alias("message")))
+            for f, is_broken in broken.items()]))
+        failures = F.when(reduce(lambda x, y: x | y, broken.values()), reasons).otherwise(F.array().cast(_FAILURES))
+    return both.select(*[F.col(f.name).alias(f.name, metadata=f.metadata) for f in schema], *extra,
+                       failures.cast(_FAILURES).alias("failures"))
 
 
 def align_schema(df: DataFrame, schema: T.StructType, renames: dict[str, str] | None = None) -> DataFrame:
@@ -123,8 +134,6 @@ def clean(bronze_text: DataFrame, dataset: str) -> DataFrame:
 
 def protect(valid: DataFrame, dataset: str, salt: str, precision: int = 6) -> DataFrame:
     """Derived time fields, masking and coarse locations for rows that passed the rules."""
-    from rideflow.operators.privacy import mask, obfuscate_geo
-
     out = valid
     if dataset == "rides":
         out = obfuscate_geo(derive_durations(derive_time(out)), precision=precision)

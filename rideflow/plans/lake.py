@@ -6,7 +6,7 @@ reads only the dates it is given, so daily work follows the daily volume and not
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +18,7 @@ from rideflow.operators.dedupe import latest_per_key
 from rideflow.sources.maintenance import pending_partitions
 from rideflow.sources.readers import read_bronze
 from rideflow.sources.sinks import land_bronze, write_date
-from rideflow.sources.workdir import materialize, work_dir
+from rideflow.sources.workdir import materialize, side_by_side, work_dir
 
 SNAPSHOTS = ("customers", "drivers")  # every landing holds the whole dataset
 INCREMENTS = ("rides", "payments")    # every landing holds new rows only
@@ -60,26 +60,27 @@ def bronze_to_silver(spark: SparkSession, root: str, date: str, run_id: str, pro
     Returns the evaluated rows per dataset (stored), for reports and reconciliation."""
     scratch = work_dir(spark)
     evaluated: dict[str, DataFrame] = {}
-    for dataset, schema in schemas.DATASETS.items():
-        key = schemas.PRIMARY_KEYS[dataset]
+
+    def one(dataset: str) -> DataFrame:
+        schema, key = schemas.DATASETS[dataset], schemas.PRIMARY_KEYS[dataset]
         raw = read_bronze(spark, root, dataset, schema, (date, date))
-        tagged = raw.select(*schema.names, F.col("_metadata.file_path").alias("_file"))
-        cleaned = silver.clean(tagged, dataset)
+        cleaned = silver.clean(raw.select(*schema.names, F.col("_metadata.file_path").alias("_file")), dataset)
         if dataset in INCREMENTS:
             earlier = _earlier_keys(spark, root, dataset, date, key)
             if earlier is not None:
                 cleaned = _flag_already_loaded(cleaned, key, earlier)
         parents = {name: read_silver(spark, root, name) for name in evaluated}
-        judged = quality.evaluate(cleaned, quality.silver_rules(dataset),
-                                  quality.foreign_keys(dataset, parents), quality.unique_rules(dataset))
-        stored = materialize(judged.withColumn("_ok", F.size("failures") == 0), f"{scratch}/{dataset}", ("_ok",))
-        valid = quality.accepted(stored.filter("_ok")).drop("_ok")
-        protected = silver.protect(valid, dataset, salt, precision)
+        judged = quality.judge(cleaned, quality.silver_rules(dataset), quality.foreign_keys(dataset, parents),
+                               quality.unique_rules(dataset), stage_in=f"{scratch}/{dataset}")
+        protected = silver.protect(quality.accepted(judged), dataset, salt, precision)
         traced = silver.with_lineage(protected, run_id, processed_at, F.col("_file")).drop("_file")
-        write_date(traced, f"{root}/silver/{dataset}", date)
-        bad = quality.quarantine(stored.filter("NOT _ok"), F.col("_file"), run_id, processed_at).drop("dt")
-        bad.write.mode("overwrite").parquet(f"{root}/quarantine/{dataset}/dt={date}")
-        evaluated[dataset] = stored
+        bad = quality.quarantine(judged, F.col("_file"), run_id, processed_at).drop("dt")
+        side_by_side([partial(write_date, traced, f"{root}/silver/{dataset}", date),
+                      partial(bad.write.mode("overwrite").parquet, f"{root}/quarantine/{dataset}/dt={date}")])
+        return judged
+
+    for level in schemas.LEVELS:
+        evaluated.update(zip(level, side_by_side([partial(one, dataset) for dataset in level])))
     return evaluated
 
 
@@ -87,16 +88,19 @@ def silver_to_gold(spark: SparkSession, root: str, dates: tuple[str, str]) -> No
     """Rebuild the dimensions, and the facts of the given ingest dates."""
     current = {name: latest_per_key(read_silver(spark, root, name), [schemas.PRIMARY_KEYS[name]], ["ingest_date"])
                for name in SNAPSHOTS}
-    gold.dim_customer(current["customers"]).write.mode("overwrite").parquet(f"{root}/gold/dim_customer")
-    gold.dim_driver(current["drivers"]).write.mode("overwrite").parquet(f"{root}/gold/dim_driver")
     rides, payments = read_silver(spark, root, "rides"), read_silver(spark, root, "payments")
-    gold.dim_location(rides).write.mode("overwrite").parquet(f"{root}/gold/dim_location")
-    (gold.dim_date_of((rides, "request_time"), (payments, "payment_time"))
-     .write.mode("overwrite").parquet(f"{root}/gold/dim_date"))
+    dims = {
+        "dim_customer": gold.dim_customer(current["customers"]),
+        "dim_driver": gold.dim_driver(current["drivers"]),
+        "dim_location": gold.dim_location(rides),
+        "dim_date": gold.dim_date_of((rides, "request_time"), (payments, "payment_time")),
+    }
+    jobs = [partial(df.write.mode("overwrite").parquet, f"{root}/gold/{name}") for name, df in dims.items()]
     for name, build in (("rides", gold.fact_rides), ("payments", gold.fact_payments)):
         source = read_silver(spark, root, name, dates)
-        for date in ingest_dates(source):
-            write_date(build(source.filter(F.col("ingest_date") == date)), f"{root}/gold/fact_{name}", date, ("year", "month"))
+        jobs += [partial(write_date, build(source.filter(F.col("ingest_date") == date)), f"{root}/gold/fact_{name}", date,
+                         ("year", "month")) for date in ingest_dates(source)]
+    side_by_side(jobs)
 
 
 def ingest_dates(df: DataFrame) -> list[str]:
@@ -158,33 +162,6 @@ def reprocess(spark: SparkSession, root: str, dataset: str, fixed: DataFrame, da
     return bronze_to_silver(spark, root, date, run_id, processed_at, salt)
 
 
-def silver_frames(raw_text: dict[str, DataFrame], salt: str, precision: int = 6,
-                  stage_in: str | None = None) -> dict[str, DataFrame]:
-    """Silver frames straight from text frames, without a lake: for queries on given tables."""
-    out, parents = {}, {}
-    for dataset in schemas.DATASETS:
-        judged = quality.evaluate(silver.clean(raw_text[dataset], dataset), quality.silver_rules(dataset),
-                                  quality.foreign_keys(dataset, parents), quality.unique_rules(dataset))
-        valid = quality.accepted(judged)
-        if stage_in:
-            valid = materialize(valid, f"{stage_in}/{dataset}")
-        parents[dataset] = valid
-        out[dataset] = silver.protect(valid, dataset, salt, precision)
-    return out
-
-
-def gold_frames(silver_tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """The six Gold tables from Silver frames."""
-    return {
-        "dim_customer": gold.dim_customer(silver_tables["customers"]),
-        "dim_driver": gold.dim_driver(silver_tables["drivers"]),
-        "dim_location": gold.dim_location(silver_tables["rides"]),
-        "dim_date": gold.dim_date_of((silver_tables["rides"], "request_time"), (silver_tables["payments"], "payment_time")),
-        "fact_rides": gold.fact_rides(silver_tables["rides"]),
-        "fact_payments": gold.fact_payments(silver_tables["payments"]),
-    }
-
-
 def row_totals(evaluated: dict[str, DataFrame]) -> DataFrame:
     """Per dataset: input = valid + rejected."""
     parts = []

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rideflow import schemas
 from rideflow.operators import quality
-from rideflow.sources.sinks import truncate_and_load
-from rideflow.sources.workdir import materialize, work_dir
+from rideflow.sources.workdir import side_by_side, work_dir
 
 
 def rules_for(dataset: str, profile: str):
@@ -28,22 +29,20 @@ def typed(df: DataFrame) -> DataFrame:
 
 def evaluate_all(frames: dict[str, DataFrame], profile: str = "load", primary_keys: bool = True,
                  stage_in: str | None = None) -> dict[str, DataFrame]:
-    """Evaluated frames per dataset. With `stage_in`, each one is written there and read back, so
-    children check against a stored table and nothing is evaluated twice."""
+    """Evaluated frames per dataset, parents first. With `stage_in` the verdicts are stored there, so
+    children check against stored tables and nothing is judged twice."""
     evaluated: dict[str, DataFrame] = {}
     parents: dict[str, DataFrame] = {}
-    for dataset in schemas.DATASETS:
+
+    def one(dataset: str) -> DataFrame:
         unique = [u for u in quality.unique_rules(dataset) if primary_keys or u.code != "DUPLICATE_PK"]
-        frame = quality.evaluate(typed(frames[dataset]), rules_for(dataset, profile),
-                                 quality.foreign_keys(dataset, parents), unique)
-        if stage_in:
-            # The flag is a directory level: reading the accepted rows skips the rejected files.
-            frame = materialize(frame.withColumn("_ok", F.size("failures") == 0), f"{stage_in}/{dataset}", ("_ok",))
-            parents[dataset] = quality.accepted(frame.filter("_ok"))
+        args = (typed(frames[dataset]), rules_for(dataset, profile), quality.foreign_keys(dataset, parents), unique)
+        return quality.judge(*args, stage_in=f"{stage_in}/{dataset}") if stage_in else quality.evaluate(*args)
+
+    for level in schemas.LEVELS:
+        for dataset, frame in zip(level, side_by_side([partial(one, dataset) for dataset in level])):
             evaluated[dataset] = frame
-        else:
             parents[dataset] = quality.accepted(frame)
-            evaluated[dataset] = frame
     return evaluated
 
 
@@ -65,11 +64,16 @@ def load_all(frames: dict[str, DataFrame], root: str, run_id: str = "load", load
     leaves the old tables in place."""
     spark = next(iter(frames.values())).sparkSession
     staged = evaluate_all(frames, profile, stage_in=work_dir(spark))
-    truncate_and_load({name: quality.accepted(df.filter("_ok")).drop("_ok") for name, df in staged.items()}, root)
-    for name, df in staged.items():
-        bad = quality.quarantine(df.filter("NOT _ok"), f"{root}/{name}", run_id, loaded_at)
+
+    def publish(name: str) -> None:
+        quality.accepted(staged[name]).write.mode("overwrite").parquet(f"{root}/{name}")
+
+    def keep_rejected(name: str) -> None:
+        bad = quality.quarantine(staged[name], f"{root}/{name}", run_id, loaded_at)
         (bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dt")
          .parquet(f"{root}/quarantine/{name}"))
+
+    side_by_side([partial(write, name) for write in (publish, keep_rejected) for name in staged])
     return reports(staged, profile)
 
 

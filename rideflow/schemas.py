@@ -103,6 +103,9 @@ DATASETS = {
     "payments": PAYMENTS,
 }
 
+# Datasets of one level depend on earlier levels only.
+LEVELS = (("customers", "drivers"), ("rides",), ("payments",))
+
 PRIMARY_KEYS = {
     "customers": "customer_id",
     "drivers": "driver_id",

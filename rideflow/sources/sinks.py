@@ -75,12 +75,6 @@ def save_clustered(df: DataFrame, path: str, key: str, sort: str, files: int | N
     ranged.sortWithinPartitions(key, sort).write.mode("overwrite").parquet(path)
 
 
-def truncate_and_load(tables: dict[str, DataFrame], root: str) -> None:
-    """Replace each table, parents before children. The frames must not read from `root`."""
-    for name, df in tables.items():
-        df.write.mode("overwrite").parquet(f"{root}/{name}")
-
-
 def audit_log(spark: SparkSession, root: str, run_id: str, logged_at: str,
               events: list[tuple[str, str, int, int]]) -> None:
     """Record (event, dataset, rows, bytes) of one run under `dt=/run_id=`; a rerun replaces its own

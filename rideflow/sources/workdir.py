@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,3 +31,12 @@ def materialize(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) ->
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def side_by_side(jobs: Sequence[Callable[[], object]], at_once: int = 8) -> list:
+    """Run independent Spark actions at the same time and return their results in order.
+    Small jobs then fill the cluster together instead of one after the other."""
+    if len(jobs) <= 1:
+        return [job() for job in jobs]
+    with ThreadPoolExecutor(max_workers=min(at_once, len(jobs))) as pool:
+        return [future.result() for future in [pool.submit(job) for job in jobs]]
