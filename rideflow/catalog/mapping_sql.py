@@ -77,19 +77,16 @@ def with_tables(names: str, body: str, *ctes: str) -> str:
     return "WITH " + ",\n".join(parts) + "\n" + body
 
 
-def mean(expr: str, scale: int = 2, weight: str | None = None) -> str:
-    """Exact average rounded half up, for sums that are not negative."""
-    count = weight or f"count({expr})"
-    return quotient(f"sum({expr})", count, scale)
+def mean(expr: str, scale: int = 2) -> str:
+    """Exact average rounded half away from zero."""
+    return quotient(f"sum({expr})", f"count({expr})", scale)
 
 
-def quotient(total: str, count: str, scale: int = 2, total_scale: int = 2) -> str:
+def quotient(total: str, count: str, scale: int = 2) -> str:
+    """total / count in whole numbers: total has at most `scale` decimals."""
     unit = 10 ** scale
-    scaled = 10 ** max(scale, total_scale)
-    # Work in integers: total * scaled is whole, then divide by count * (scaled / unit) half up.
-    return (f"(CAST((2 * CAST(({total}) * {scaled} AS HUGEINT) + ({count}) * {scaled // unit}) "
-            f"// nullif(2 * ({count}) * {scaled // unit}, 0) AS DECIMAL(18,0)) "
-            f"* {1 / unit:.{scale}f})::DECIMAL(18,{scale})")
+    return (f"(sign({total}) * CAST((2 * CAST(abs({total}) * {unit} AS HUGEINT) + ({count})) "
+            f"// nullif(2 * ({count}), 0) AS DECIMAL(18,0)) * {1 / unit:.{scale}f})::DECIMAL(18,{scale})")
 
 
 def percent(part: str, whole: str, scale: int = 1) -> str:

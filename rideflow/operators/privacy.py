@@ -79,6 +79,8 @@ PII_PATTERNS = {
 def pii_scan(df: DataFrame) -> DataFrame:
     """Rows matching each pattern, per string column, in one pass over the data."""
     text = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
+    if not text:
+        return df.sparkSession.createDataFrame([], "column_name string, pattern string, hits long")
     hits = df.agg(*[F.count_if(F.col(c).rlike(p)).alias(f"{c}|{kind}") for c in text for kind, p in PII_PATTERNS.items()])
     tall = hits.unpivot([], hits.columns, "key", "hits")
     return tall.select(F.split_part("key", F.lit("|"), F.lit(1)).alias("column_name"),

@@ -10,6 +10,10 @@ from rideflow.schemas import as_text
 
 DATE_PARTS = ("year", "month", "day")
 
+# An empty field is NULL only when it is not quoted. The null text is one that files cannot hold, so
+# that a quoted empty string stays an empty string.
+CSV_OPTIONS = {"header": True, "nullValue": "\u0000", "emptyValue": ""}
+
 
 def staging_schema(schema: T.StructType) -> T.StructType:
     """Declared types without constraints; booleans stay text, as in the source files."""
@@ -23,11 +27,12 @@ def read_raw(spark: SparkSession, path: str, schema: T.StructType, lenient: bool
 
     Strict: one bad value fails the read, also in a column the query does not use.
     Lenient: every column is text, so malformed rows can be cast, judged and quarantined."""
-    reader = spark.read.option("header", True).option("nullValue", "").option("emptyValue", "")
+    reader = spark.read.options(**CSV_OPTIONS)
     if lenient:
         return reader.schema(as_text(schema)).csv(path)
-    return (reader.schema(staging_schema(schema)).option("mode", "FAILFAST").option("columnPruning", False)
-            .csv(path))
+    rows = reader.schema(staging_schema(schema)).option("mode", "FAILFAST").csv(path)
+    # Always true, but it makes the scan parse every column whatever is selected later.
+    return rows.filter(F.xxhash64(*rows.columns) % 1 == 0)
 
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType, array: bool = True) -> DataFrame:
@@ -52,7 +57,7 @@ def read_layer(spark: SparkSession, root: str, layer: str, dataset: str, schema:
     full = T.StructType(list(schema) + [T.StructField(p, T.StringType()) for p in DATE_PARTS])
     reader = spark.read.schema(full)
     if fmt == "csv":
-        reader = reader.option("header", True).option("nullValue", "").option("emptyValue", "")
+        reader = reader.options(**CSV_OPTIONS)
     df = reader.format(fmt).load(f"{root}/{layer}/{dataset}")
     return df.filter(in_date_range(*date_range)) if date_range else df
 

@@ -13,13 +13,14 @@ from pyspark.sql import types as T
 
 from rideflow.operators import quality
 from rideflow.operators.dedupe import latest_per_key
+from rideflow.sources.readers import CSV_OPTIONS
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
     """Files that appear under `path` (a folder or glob)."""
     reader = spark.readStream.schema(schema)
     if fmt == "csv":
-        reader = reader.option("header", True).option("nullValue", "").option("emptyValue", "")
+        reader = reader.options(**CSV_OPTIONS)
     return reader.format(fmt).load(path)
 
 
