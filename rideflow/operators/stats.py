@@ -15,19 +15,32 @@ def value_counts(df: DataFrame, group: list[str], value: str, count: str = "n")
     return df.groupBy(*group, value).agg(F.count("*").alias(count))
 
 
-def weighted_median(value: str, count: str, scale: int = 2) -> Column:
-    """Exact interpolated median over value counts, rounded half up.
+def mark_middle(counts: DataFrame, group: list[str], value: str, count: str = "n", name: str = "is_middle") -> DataFrame:
+    """Flag the value or the two values in the middle of each group's rows, given value counts.
 
-    The state is one entry per distinct value; distances have two decimals, so it stays small
-    however many rows there are. Four digits keep the midpoint of two such values exact.
+    The window streams over sorted distinct values and can spill, so memory does not grow with them.
     """
-    middle = F.percentile(F.col(value), 0.5, F.col(count)).cast("decimal(18,4)")
-    return F.round(middle, scale).cast(f"decimal(18,{scale})")
+    in_order = W.partitionBy(*group).orderBy(value)
+    upto = F.sum(count).over(in_order.rowsBetween(W.unboundedPreceding, W.currentRow))
+    whole = F.sum(count).over(W.partitionBy(*group))
+    known = counts.filter(F.col(value).isNotNull()).withColumns({"_upto": upto, "_rows": whole})
+
+    def holds(rank):
+        return (F.col("_upto") >= rank) & (F.col("_upto") - F.col(count) < rank)
+
+    lower, upper = F.floor((F.col("_rows") + 1) / 2), F.floor(F.col("_rows") / 2) + 1
+    return known.withColumn(name, holds(lower) | holds(upper)).drop("_upto", "_rows")
+
+
+def median_of(value: str, middle: str = "is_middle", scale: int = 2) -> Column:
+    """Aggregate for rows flagged by `mark_middle`: the exact median, rounded half up."""
+    return ratio(F.sum(F.when(F.col(middle), F.col(value))), F.count_if(F.col(middle)), scale)
 
 
 def median_by(df: DataFrame, group: list[str], value: str, name: str = "median") -> DataFrame:
-    """Exact median of `value` per group."""
-    return value_counts(df, group, value).groupBy(*group).agg(weighted_median(value, "n").alias(name))
+    """Exact interpolated median of `value` per group; groups without a value are left out."""
+    counts = value_counts(df, group, value)
+    return mark_middle(counts, group, value).groupBy(*group).agg(median_of(value).alias(name))
 
 
 def profile(df: DataFrame, categories: list[str], measures: list[str]) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from rideflow.functions.numeric import highest, lowest, mean, percent, ratio, total
 from rideflow.functions.text import full_name
 from rideflow.operators.ranking import share_of_total
-from rideflow.operators.stats import value_counts, weighted_median
+from rideflow.operators.stats import mark_middle, median_of, value_counts
 
 Tables = dict[str, DataFrame]
 
@@ -95,13 +95,13 @@ def q07(t: Tables) -> DataFrame:
 def q08(t: Tables) -> DataFrame:
     """Distance statistics with the exact median, completed rides with a positive distance."""
     rides = t["rides"].filter((F.col("ride_status") == "completed") & (F.col("distance_km") > 0))
-    counts = value_counts(rides, ["pickup_city"], "distance_km")
+    counts = mark_middle(value_counts(rides, ["pickup_city"], "distance_km"), ["pickup_city"], "distance_km")
     return (counts.groupBy("pickup_city")
             .agg(F.sum("n").alias("completed_rides"),
                  ratio(F.sum(F.col("distance_km") * F.col("n")), F.sum("n")).alias("avg_distance_km"),
                  lowest("distance_km").alias("min_distance_km"),
                  highest("distance_km").alias("max_distance_km"),
-                 weighted_median("distance_km", "n").alias("median_distance_km"))
+                 median_of("distance_km").alias("median_distance_km"))
             .orderBy(F.desc("avg_distance_km"), "pickup_city"))
 
 

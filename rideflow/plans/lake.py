@@ -8,15 +8,16 @@ from __future__ import annotations
 
 from functools import partial, reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from rideflow import schemas
 from rideflow.operators import gold, quality, silver
 from rideflow.operators.dedupe import latest_per_key
-from rideflow.sources.maintenance import pending_partitions
-from rideflow.sources.readers import read_bronze
+from rideflow.operators.privacy import erase
+from rideflow.sources.maintenance import partition_values, pending_partitions
+from rideflow.sources.readers import DATE_PARTS, partition_date, read_bronze
 from rideflow.sources.sinks import land_bronze, write_date
 from rideflow.sources.workdir import materialize, side_by_side, work_dir
 
@@ -35,16 +36,30 @@ def read_silver(spark: SparkSession, root: str, dataset: str, dates: tuple[str,
     return df.filter(F.col("ingest_date").between(*dates)) if dates else df
 
 
-def _earlier_keys(spark: SparkSession, root: str, dataset: str, date: str, key: str) -> DataFrame | None:
-    """Keys loaded on earlier dates. Reads one column of the table."""
+def _missing(error: Exception) -> bool:
+    return "PATH_NOT_FOUND" in str(error) or "UNABLE_TO_INFER_SCHEMA" in str(error)
+
+
+def _if_present(read):
+    """The result of `read()`, or None where the table does not exist yet."""
     try:
-        return read_silver(spark, root, dataset).filter(F.col("ingest_date") < date).select(key)
-    except Exception as error:  # the table does not exist before the first run
-        if "PATH_NOT_FOUND" in str(error) or "UNABLE_TO_INFER_SCHEMA" in str(error):
+        return read()
+    except AnalysisException as error:
+        if _missing(error):
             return None
         raise
 
 
+def _earlier_keys(spark: SparkSession, root: str, dataset: str, date: str, today: DataFrame) -> DataFrame | None:
+    """Today's keys that were loaded on an earlier date. History gives one column and is reduced to
+    today's keys by a semi join, which needs no shuffle of it while a day's keys can be broadcast."""
+    key = today.columns[0]
+    history = _if_present(lambda: read_silver(spark, root, dataset))
+    if history is None:
+        return None
+    return history.filter(F.col("ingest_date") < date).select(key).join(today, key, "left_semi")
+
+
 def _flag_already_loaded(df: DataFrame, key: str, earlier: DataFrame) -> DataFrame:
     ids = earlier.select(F.col(key).alias("_seen")).distinct()
     failure = F.array(F.struct(F.lit("DUPLICATE_PK").alias("code"), F.lit(f"{key} was loaded on an earlier date").alias("message")))
@@ -66,7 +81,7 @@ def bronze_to_silver(spark: SparkSession, root: str, date: str, run_id: str, pro
         raw = read_bronze(spark, root, dataset, schema, (date, date))
         cleaned = silver.clean(raw.select(*schema.names, F.col("_metadata.file_path").alias("_file")), dataset)
         if dataset in INCREMENTS:
-            earlier = _earlier_keys(spark, root, dataset, date, key)
+            earlier = _earlier_keys(spark, root, dataset, date, raw.select(key).filter(F.col(key).isNotNull()).distinct())
             if earlier is not None:
                 cleaned = _flag_already_loaded(cleaned, key, earlier)
         parents = {name: read_silver(spark, root, name) for name in evaluated}
@@ -88,24 +103,45 @@ def silver_to_gold(spark: SparkSession, root: str, dates: tuple[str, str]) -> No
     """Rebuild the dimensions, and the facts of the given ingest dates."""
     current = {name: latest_per_key(read_silver(spark, root, name), [schemas.PRIMARY_KEYS[name]], ["ingest_date"])
                for name in SNAPSHOTS}
-    rides, payments = read_silver(spark, root, "rides"), read_silver(spark, root, "payments")
+    rides, payments = (read_silver(spark, root, name, dates) for name in INCREMENTS)
     dims = {
         "dim_customer": gold.dim_customer(current["customers"]),
         "dim_driver": gold.dim_driver(current["drivers"]),
-        "dim_location": gold.dim_location(rides),
-        "dim_date": gold.dim_date_of((rides, "request_time"), (payments, "payment_time")),
+        "dim_location": _with_known(spark, root, "dim_location", gold.dim_location(rides)).distinct(),
+        "dim_date": _calendar(spark, root, rides, payments),
     }
-    jobs = [partial(df.write.mode("overwrite").parquet, f"{root}/gold/{name}") for name, df in dims.items()]
-    for name, build in (("rides", gold.fact_rides), ("payments", gold.fact_payments)):
-        source = read_silver(spark, root, name, dates)
+    scratch = work_dir(spark)
+
+    def replace(name: str, df: DataFrame) -> None:
+        # Stored aside first: a growing dimension reads the table it replaces.
+        materialize(df, f"{scratch}/{name}").write.mode("overwrite").parquet(f"{root}/gold/{name}")
+
+    jobs = [partial(replace, name, df) for name, df in dims.items()]
+    for name, source, build in (("rides", rides, gold.fact_rides), ("payments", payments, gold.fact_payments)):
         jobs += [partial(write_date, build(source.filter(F.col("ingest_date") == date)), f"{root}/gold/fact_{name}", date,
-                         ("year", "month")) for date in ingest_dates(source)]
+                         ("year", "month")) for date in ingest_dates(spark, root, name, dates)]
     side_by_side(jobs)
 
 
-def ingest_dates(df: DataFrame) -> list[str]:
-    """The distinct ingest dates of a frame: one short value per daily run."""
-    return sorted(r[0] for r in df.select("ingest_date").distinct().collect())
+def _with_known(spark: SparkSession, root: str, table: str, new: DataFrame) -> DataFrame:
+    """`new` and what the Gold table holds already."""
+    known = _if_present(lambda: read_gold(spark, root, table))
+    return new if known is None else new.unionByName(known.select(*new.columns))
+
+
+def _calendar(spark: SparkSession, root: str, rides: DataFrame, payments: DataFrame) -> DataFrame:
+    spans = [(rides, "request_time"), (payments, "payment_time")]
+    known = _if_present(lambda: read_gold(spark, root, "dim_date"))
+    if known is not None:
+        spans.append((known, "full_date"))
+    return gold.dim_date_of(*spans)
+
+
+def ingest_dates(spark: SparkSession, root: str, dataset: str, dates: tuple[str, str] | None = None) -> list[str]:
+    """Ingest dates of a Silver table, from its directory names: one short value per daily run."""
+    found = _if_present(lambda: partition_values(spark, f"{root}/silver/{dataset}", ["ingest_date"]))
+    every = sorted(r[0] for r in found.collect()) if found is not None else []
+    return [d for d in every if dates is None or dates[0] <= d <= dates[1]]
 
 
 def read_gold(spark: SparkSession, root: str, table: str) -> DataFrame:
@@ -119,21 +155,18 @@ def gold_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 
 
 def landed_dates(spark: SparkSession, root: str, dataset: str) -> DataFrame:
-    """Distinct Bronze partition dates, from the partition columns alone."""
-    parts = read_bronze(spark, root, dataset, schemas.DATASETS[dataset]).select(
-        F.concat_ws("-", "year", "month", "day").alias("ingest_date"))
-    return parts.distinct()
+    """Bronze partition dates, from directory names."""
+    parts = partition_values(spark, f"{root}/bronze/{dataset}", list(DATE_PARTS))
+    return parts.select(F.concat_ws("-", *DATE_PARTS).alias("ingest_date"))
 
 
 def pending_dates(spark: SparkSession, root: str, dataset: str = "rides") -> list[str]:
     """Landed dates that Silver does not hold yet, oldest first."""
-    try:
-        processed = read_silver(spark, root, dataset).select("ingest_date").distinct()
-    except Exception as error:
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        processed = spark.createDataFrame([], T.StructType([T.StructField("ingest_date", T.StringType())]))
-    return ingest_dates(pending_partitions(landed_dates(spark, root, dataset), processed, ["ingest_date"]))
+    landed = landed_dates(spark, root, dataset)
+    processed = _if_present(lambda: partition_values(spark, f"{root}/silver/{dataset}", ["ingest_date"]))
+    if processed is not None:
+        landed = pending_partitions(landed, processed, ["ingest_date"])
+    return sorted(r[0] for r in landed.collect())
 
 
 def run(spark: SparkSession, root: str, run_id: str, processed_at: str, salt: str) -> list[str]:
@@ -162,6 +195,36 @@ def reprocess(spark: SparkSession, root: str, dataset: str, fixed: DataFrame, da
     return bronze_to_silver(spark, root, date, run_id, processed_at, salt)
 
 
+def erase_subjects(spark: SparkSession, root: str, subjects: DataFrame) -> dict[str, list[str]]:
+    """Remove the given customers (`customer_id`) from Bronze, Silver, quarantine and Gold.
+
+    Only dates that hold rows of a subject are rewritten. Returns these dates per dataset."""
+    ids = subjects.select("customer_id").filter("customer_id IS NOT NULL").distinct()
+    scratch, touched = work_dir(spark), {}
+    for dataset in ("customers", "rides", "payments"):
+        schema = schemas.DATASETS[dataset]
+        landed = read_bronze(spark, root, dataset, schema)
+        dates = landed.join(ids, "customer_id", "left_semi").select(partition_date().alias("d")).distinct()
+        touched[dataset] = sorted(r.d for r in dates.collect())
+        for date in touched[dataset]:
+            kept = erase(read_bronze(spark, root, dataset, schema, (date, date)), ids, "customer_id").select(*schema.names)
+            land_bronze(materialize(kept, f"{scratch}/bronze/{dataset}/{date}"), root, dataset, date)
+            day = f"{root}/silver/{dataset}/ingest_date={date}"
+            kept = _if_present(lambda: erase(spark.read.parquet(day), ids, "customer_id"))
+            if kept is not None:
+                write_date(materialize(kept, f"{scratch}/silver/{dataset}/{date}"), f"{root}/silver/{dataset}", date)
+            bad = f"{root}/quarantine/{dataset}/dt={date}"
+            records = _if_present(lambda: spark.read.parquet(bad))
+            if records is not None:
+                named = records.withColumn("customer_id", F.get_json_object("raw_record", "$.customer_id"))
+                kept = named.join(ids, "customer_id", "left_anti").select(*records.columns)
+                materialize(kept, f"{scratch}/quarantine/{dataset}/{date}").write.mode("overwrite").parquet(bad)
+    every = sorted({d for dates in touched.values() for d in dates})
+    if every:
+        silver_to_gold(spark, root, (every[0], every[-1]))
+    return touched
+
+
 def row_totals(evaluated: dict[str, DataFrame]) -> DataFrame:
     """Per dataset: input = valid + rejected."""
     parts = []

@@ -74,6 +74,12 @@ def pending_partitions(landed: DataFrame, processed: DataFrame, keys: list[str])
     return landed.select(*keys).distinct().join(processed.select(*keys).distinct(), keys, "left_anti")
 
 
+def partition_values(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
+    """Distinct partition values under `path`, as text. Only file names are listed; no file is read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path")
+    return files.select(*[F.regexp_extract("path", f"/{n}=([^/]+)/", 1).alias(n) for n in names]).distinct()
+
+
 def retention_candidates(partitions: DataFrame, run_date: str, rules: dict = RETENTION_RULES) -> DataFrame:
     """(layer, dataset, partition_date) rows older than their layer's limit, with the action that
     is due. Nothing is deleted."""

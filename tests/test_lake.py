@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rideflow import schemas
-from rideflow.operators import privacy, quality
+from rideflow.operators import gold, privacy, quality
 from rideflow.plans import lake, load, views
 from rideflow.sources import maintenance, readers, sinks
 from rideflow.sources.testdata import as_text, tables
@@ -88,6 +88,24 @@ def test_reprocess_replaces_corrected_rows(spark, raw):
     assert lake.read_silver(spark, path, "rides").count() == kept + n
 
 
+def test_erased_subjects_are_gone_everywhere(spark, raw):
+    path = work_dir(spark)
+    lake.land_all(raw, path, "2026-10-08")
+    lake.run(spark, path, "run-1", AT, SALT)
+    who = raw["customers"].orderBy("customer_id").limit(3).select("customer_id")
+    touched = lake.erase_subjects(spark, path, who)
+    assert touched["customers"] == touched["rides"] == ["2026-10-08"]
+    for dataset in ("customers", "rides", "payments"):
+        left = [readers.read_bronze(spark, path, dataset, schemas.DATASETS[dataset]), lake.read_silver(spark, path, dataset),
+                spark.read.parquet(f"{path}/quarantine/{dataset}").select(F.get_json_object("raw_record", "$.customer_id").alias("customer_id"))]
+        for df in left:
+            assert df.join(who, "customer_id", "left_semi").count() == 0
+    lake.check_gold(spark, path)
+    ids = {r[0] for r in who.select(gold.surrogate_key("customer_id")).collect()}
+    assert lake.read_gold(spark, path, "dim_customer").filter(F.col("customer_key").isin(*ids)).count() == 0
+    assert lake.read_gold(spark, path, "fact_rides").filter(F.col("customer_key").isin(*ids)).count() == 0
+
+
 def test_bronze_scan_prunes_directories(spark, raw):
     path = work_dir(spark)
     for date in ("2026-10-07", "2026-10-08", "2026-11-01"):
@@ -216,6 +234,7 @@ def test_empty_landing(spark, raw):
     lake.land_all({n: df.limit(0) for n, df in raw.items()}, path, "2026-10-08")
     judged = lake.bronze_to_silver(spark, path, "2026-10-08", "run-1", AT, SALT)
     assert all(df.count() == 0 for df in judged.values())
+    assert lake.pending_dates(spark, path) == []
 
 
 def test_unknown_profile():
