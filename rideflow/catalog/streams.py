@@ -9,6 +9,7 @@ from rideflow.catalog import stores
 from rideflow.catalog.accepted_sql import accepted
 from rideflow.catalog.mapping_sql import with_tables
 from rideflow.catalog.registry import query
+from rideflow.functions.times import utc_wall_clock
 from rideflow.operators import quality
 from rideflow.operators import silver as steps
 from rideflow.sources import sinks
@@ -56,7 +57,7 @@ def _(spark, d):
 def _(spark, d):
     root = work_dir(spark)
     twice = _event_stream(spark, d).select("*", F.explode(F.array(F.lit(1), F.lit(2))).alias("delivery")).drop("delivery")
-    once = jobs.dedupe_events(twice).select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "user_id", "event_type")
+    once = jobs.dedupe_events(twice).select("event_id", utc_wall_clock("ts").alias("ts"), "user_id", "event_type")
     jobs.run_available_now(once, f"{root}/out", f"{root}/checkpoint")
     return spark.read.parquet(f"{root}/out")
 

@@ -30,9 +30,31 @@ def is_weekend(col) -> Column:
     return F.dayofweek(_col(col)).isin(1, 7)
 
 
+def _whole(unit: str, start, end) -> Column:
+    # Times without a zone are subtracted as they are: no session time zone, no daylight saving.
+    span = _col(end) - _col(start)
+    hours = F.extract(F.lit("DAY"), span) * 24 + F.extract(F.lit("HOUR"), span)
+    return (hours if unit == "HOUR" else hours * 60 + F.extract(F.lit("MINUTE"), span)).cast("bigint")
+
+
 def minutes_between(start, end) -> Column:
     """Whole minutes; NULL when either side is NULL."""
-    return F.timestamp_diff("MINUTE", _col(start), _col(end)).cast("bigint")
+    return _whole("MINUTE", start, end)
+
+
+def hours_between(start, end) -> Column:
+    return _whole("HOUR", start, end)
+
+
+def utc_instant(col) -> Column:
+    """A time without a zone, read as UTC."""
+    return F.concat(_col(col).cast("string"), F.lit("Z")).cast("timestamp")
+
+
+def utc_wall_clock(col) -> Column:
+    """The inverse of `utc_instant`, whatever the session time zone."""
+    seconds = (F.unix_micros(_col(col)).cast("decimal(24,0)") / F.lit(1000000)).cast("decimal(18,6)")
+    return F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
 
 
 def month_start(col) -> Column:

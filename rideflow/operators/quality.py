@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from rideflow import schemas
 from rideflow.functions.numeric import percent
+from rideflow.functions.times import hours_between
 from rideflow.operators.dedupe import duplicated_keys, mark_first
 from rideflow.operators.ranking import rolling_mean
 from rideflow.sources.workdir import materialize, side_by_side
@@ -410,8 +411,7 @@ def freshness(df: DataFrame, ts: str, now: str, dataset: str) -> DataFrame:
     """Newest timestamp and its age in whole hours at `now`."""
     newest = df.agg(F.max(ts).alias("newest"))
     return newest.select(F.lit(dataset).alias("dataset"), "newest",
-                         F.timestamp_diff("HOUR", F.col("newest"), F.lit(now).cast("timestamp_ntz"))
-                         .cast("bigint").alias("age_hours"))
+                         hours_between("newest", F.lit(now).cast("timestamp_ntz")).alias("age_hours"))
 
 
 def check_contract(df: DataFrame, schema: T.StructType) -> list[str]:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rideflow import schemas
 from rideflow.operators import quality
-from rideflow.sources.workdir import side_by_side, work_dir
+from rideflow.sources.workdir import materialize, side_by_side, work_dir
 
 
 def rules_for(dataset: str, profile: str):
@@ -63,7 +63,8 @@ def load_all(frames: dict[str, DataFrame], root: str, run_id: str = "load", load
     All tables are staged and judged first; only then is anything replaced, so a failure on the way
     leaves the old tables in place."""
     spark = next(iter(frames.values())).sparkSession
-    staged = evaluate_all(frames, profile, stage_in=work_dir(spark))
+    scratch = work_dir(spark)
+    staged = evaluate_all(frames, profile, stage_in=scratch)
 
     def publish(name: str) -> None:
         quality.accepted(staged[name]).write.mode("overwrite").parquet(f"{root}/{name}")
@@ -73,8 +74,11 @@ def load_all(frames: dict[str, DataFrame], root: str, run_id: str = "load", load
         (bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dt")
          .parquet(f"{root}/quarantine/{name}"))
 
-    side_by_side([partial(write, name) for write in (publish, keep_rejected) for name in staged])
-    return reports(staged, profile)
+    def report() -> DataFrame:
+        return materialize(reports(staged, profile), f"{scratch}/report")
+
+    writes = [partial(write, name) for write in (publish, keep_rejected) for name in staged]
+    return side_by_side([report, *writes], at_once=9)[0]
 
 
 # The reason names the loader prints, as row predicates over a dataset and its loaded parents.

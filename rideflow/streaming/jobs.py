@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rideflow.functions.times import utc_instant, utc_wall_clock
 from rideflow.operators import quality
 from rideflow.operators.dedupe import latest_per_key
 from rideflow.sources.readers import CSV_OPTIONS
@@ -25,8 +26,8 @@ def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
 
 
 def event_time(df: DataFrame, column: str = "ts") -> DataFrame:
-    """Watermarks need TIMESTAMP; files carry times without a zone."""
-    return df.withColumn(column, F.col(column).cast("timestamp"))
+    """Watermarks need TIMESTAMP; files carry times without a zone, which count as UTC."""
+    return df if dict(df.dtypes)[column] == "timestamp" else df.withColumn(column, utc_instant(column))
 
 
 def run_available_now(df: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:
@@ -51,8 +52,7 @@ def hourly_demand(stream: DataFrame, group: str = "event_type", ts: str = "ts",
     windows = (event_time(stream, ts).withWatermark(ts, delay)
                .groupBy(F.window(ts, "1 hour").alias("w"), group)
                .agg(F.count("*").alias("events"), F.sum(F.col("value").cast("decimal(12,2)")).alias("value")))
-    return windows.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-                          F.col("w.end").cast("timestamp_ntz").alias("window_end"), group, "events",
+    return windows.select(utc_wall_clock("w.start").alias("window_start"), utc_wall_clock("w.end").alias("window_end"), group, "events",
                           F.col("value").cast("decimal(18,2)").alias("value"))
 
 
@@ -82,7 +82,7 @@ def route_late(out: str, ts: str = "ts", delay_seconds: int = 600) -> Callable[[
         newest = None
         if batch_id > 0:
             newest = _read_batches(spark, f"{out}/progress", progress_schema, batch_id).agg(F.max("newest")).first()[0]
-        limit = F.lit(newest).cast("timestamp_ntz") - F.make_dt_interval(secs=F.lit(delay_seconds))
+        limit = F.lit(None if newest is None else str(newest)).cast("timestamp_ntz") - F.make_dt_interval(secs=F.lit(delay_seconds))
         late = F.coalesce(F.col(ts) < limit, F.lit(False))
         (batch.withColumn("late", late).write.mode("overwrite").partitionBy("late")
          .parquet(_batch_path(f"{out}/events", batch_id)))
