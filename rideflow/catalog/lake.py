@@ -210,15 +210,16 @@ def _(spark, d):
 
 
 @query("snk_12_table_info", with_tables("payments", """
-SELECT 'rf_payments' AS table_name, column_name, ordinal FROM (
-  SELECT unnest(['payment_id','ride_id','customer_id','amount','payment_method','payment_status','payment_time','tip_amount']) AS column_name,
-  unnest([1,2,3,4,5,6,7,8]) AS ordinal)"""))
+SELECT 'rf_payments' AS table_name, column_name, filled FROM (SELECT count(payment_id) AS payment_id, count(ride_id) AS ride_id,
+  count(customer_id) AS customer_id, count(amount) AS amount, count(payment_method) AS payment_method,
+  count(payment_status) AS payment_status, count(payment_time) AS payment_time, count(tip_amount) AS tip_amount FROM payments)
+UNPIVOT (filled FOR column_name IN (payment_id, ride_id, customer_id, amount, payment_method, payment_status, payment_time, tip_amount))"""))
 def _(spark, d):
     payments(spark, d).createOrReplaceTempView("rf_payments")
-    order = {c: i + 1 for i, c in enumerate(schemas.PAYMENTS.names)}
     info = maintenance.table_info(spark, ["rf_payments"])
-    ordinal = F.create_map(*[F.lit(x) for pair in order.items() for x in pair])[F.col("column_name")]
-    return info.select("table_name", "column_name", ordinal.alias("ordinal"))
+    names = schemas.PAYMENTS.names
+    filled = spark.table("rf_payments").agg(*[F.count(c).alias(c) for c in names]).unpivot([], names, "column_name", "filled")
+    return info.join(filled, "column_name").select("table_name", "column_name", "filled")
 
 
 @query("dq_13_audit_log", with_tables("payments customers", """

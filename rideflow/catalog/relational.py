@@ -17,6 +17,7 @@ from rideflow.operators.ranking import daily_counts, growth, ranked, rolling_mea
 from rideflow.operators.stats import median_by
 from rideflow.plans import kpis
 from rideflow.sources.testdata import customers, drivers, load, payments, rides, tables
+from rideflow.sources.workdir import work_dir
 
 # --- projections ---------------------------------------------------------------------------------
 
@@ -132,7 +133,7 @@ def _(spark, d):
 SELECT customer_id, email FROM customers
 WHERE email IN (SELECT email FROM customers GROUP BY email HAVING count(*) > 1)"""))
 def _(spark, d):
-    return rows_with_duplicated_key(customers(spark, d), "email").select("customer_id", "email")
+    return rows_with_duplicated_key(customers(spark, d), "email", work_dir(spark)).select("customer_id", "email")
 
 
 # --- joins ---------------------------------------------------------------------------------------

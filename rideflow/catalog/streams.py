@@ -81,7 +81,7 @@ def _(spark, d):
     parents = {n: quality.accepted(df) for n, df in stores.evaluated(spark, d).items()}
     handle = jobs.split_batches(
         f"{root}/out", lambda batch: steps.clean(batch, "payments"), quality.LOAD_RULES["payments"],
-        lambda: quality.foreign_keys("payments", parents), quality.unique_rules("payments"))
+        lambda: quality.foreign_keys("payments", parents, unique=True), quality.unique_rules("payments"))
     stream = jobs.file_stream(spark, f"{root}/in", schemas.as_text(schemas.PAYMENTS), "csv")
     jobs.run_batches(stream, handle, f"{root}/checkpoint")
     stored = spark.read.option("basePath", f"{root}/out").parquet(f"{root}/out/batch_id=*")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from rideflow.sources.workdir import materialize
 
 def _total_order(df: DataFrame, order: list[str]) -> list[str]:
     """`order` followed by every other column, so only identical rows can tie."""
@@ -60,6 +61,8 @@ def duplicated_keys(df: DataFrame, key: list[str]) -> DataFrame:
     return df.groupBy(*key).agg(F.count("*").alias("copies")).filter("copies > 1")
 
 
-def rows_with_duplicated_key(df: DataFrame, key: str) -> DataFrame:
-    """All rows whose key occurs more than once (the loader's legacy duplicate count)."""
-    return df.join(duplicated_keys(df, [key]).select(key), key, "left_semi")
+def rows_with_duplicated_key(df: DataFrame, key: str, stage_in: str | None = None) -> DataFrame:
+    """All rows whose key occurs more than once. With `stage_in` the list of such keys is stored
+    first, so that Spark can broadcast it by its size, or split a hot key in the join."""
+    keys = duplicated_keys(df, [key]).select(key)
+    return df.join(materialize(keys, stage_in) if stage_in else keys, key, "left_semi")

@@ -89,10 +89,10 @@ def pii_scan(df: DataFrame) -> DataFrame:
 
 def erase(df: DataFrame, subjects: DataFrame, key: str) -> DataFrame:
     """The table without the rows of the given subjects."""
-    return df.join(subjects.select(key).filter(F.col(key).isNotNull()).distinct(), key, "left_anti")
+    return df.join(subjects.select(key).filter(F.col(key).isNotNull()), key, "left_anti")
 
 
 def subject_access(tables: dict[str, DataFrame], subjects: DataFrame, key: str) -> dict[str, DataFrame]:
     """All rows about the given subjects, per table that has the key."""
-    ids = subjects.select(key).distinct()
+    ids = subjects.select(key)
     return {name: df.join(ids, key, "left_semi") for name, df in tables.items() if key in df.columns}

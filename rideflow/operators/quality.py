@@ -35,12 +35,14 @@ class Rule:
 
 @dataclass(frozen=True)
 class ForeignKey:
-    """`column` must occur among the accepted `parents`."""
+    """`column` must occur among the accepted `parents`. Say `unique` where each parent key occurs
+    once: the keys then go into the join as they are."""
 
     code: str
     column: str
     parents: DataFrame
     parent_column: str
+    unique: bool = False
 
 
 @dataclass(frozen=True)
@@ -139,13 +141,13 @@ def unique_rules(dataset: str) -> tuple[Unique, ...]:
     return natural.get(dataset, ()) + (Unique("DUPLICATE_PK", (key,), (key,), f"{key} occurs more than once"),)
 
 
-def foreign_keys(dataset: str, accepted: dict[str, DataFrame]) -> tuple[ForeignKey, ...]:
+def foreign_keys(dataset: str, accepted: dict[str, DataFrame], unique: bool = False) -> tuple[ForeignKey, ...]:
     if dataset == "rides":
-        return (ForeignKey("ORPHAN_CUSTOMER", "customer_id", accepted["customers"], "customer_id"),
-                ForeignKey("ORPHAN_DRIVER", "driver_id", accepted["drivers"], "driver_id"))
+        return (ForeignKey("ORPHAN_CUSTOMER", "customer_id", accepted["customers"], "customer_id", unique),
+                ForeignKey("ORPHAN_DRIVER", "driver_id", accepted["drivers"], "driver_id", unique))
     if dataset == "payments":
-        return (ForeignKey("ORPHAN_RIDE", "ride_id", accepted["rides"], "ride_id"),
-                ForeignKey("ORPHAN_PAYMENT_CUSTOMER", "customer_id", accepted["customers"], "customer_id"))
+        return (ForeignKey("ORPHAN_RIDE", "ride_id", accepted["rides"], "ride_id", unique),
+                ForeignKey("ORPHAN_PAYMENT_CUSTOMER", "customer_id", accepted["customers"], "customer_id", unique))
     return ()
 
 
@@ -175,14 +177,24 @@ def _check_rows(df: DataFrame, rules) -> DataFrame:
     })
 
 
-def _check_parents(df: DataFrame, foreign) -> DataFrame:
+def _parent_keys(fk: ForeignKey, stage_in: str | None) -> DataFrame:
+    """Each parent key once, so that the join adds no rows.
+
+    Spark splits a hot key of a join only if both sides come straight from a shuffle, and an
+    aggregation is none. Keys that have to be made distinct are therefore stored first, if possible.
+    """
+    keys = fk.parents.select(F.col(fk.parent_column).alias("_parent")).filter("_parent IS NOT NULL")
+    if fk.unique:
+        return keys
+    return materialize(keys.distinct(), f"{stage_in}/parents_{fk.column}") if stage_in else keys.distinct()
+
+
+def _check_parents(df: DataFrame, foreign, stage_in: str | None = None) -> DataFrame:
     out = df
     for fk in foreign:
-        # Distinct parent keys: the join adds no rows, and a hot key's child rows can be split.
-        parents = fk.parents.select(F.col(fk.parent_column).alias("_parent")).filter("_parent IS NOT NULL").distinct()
         missing = F.when(F.col(fk.column).isNull(), _failure("NULL_REQUIRED", f"{fk.column} must not be null")).otherwise(
             _failure(fk.code, f"{fk.column} has no accepted parent row"))
-        found = out.join(parents, F.col(fk.column) == F.col("_parent"), "left")
+        found = out.join(_parent_keys(fk, stage_in), F.col(fk.column) == F.col("_parent"), "left")
         out = found.withColumn("failures", F.when(
             F.col("_parent").isNull(), F.array_union("failures", F.array(missing))).otherwise(F.col("failures"))).drop("_parent")
     return out
@@ -216,7 +228,7 @@ def judge(df: DataFrame, rules=(), foreign=(), unique=(), *, stage_in: str) -> D
     only rows with such a key are ranked. Where few keys repeat, their stored list is small enough for
     Spark to broadcast, and no whole row is shuffled. Where many do, the joins shuffle.
     """
-    checked = _check_keys_present(_check_parents(_check_rows(df, rules), foreign), unique)
+    checked = _check_keys_present(_check_parents(_check_rows(df, rules), foreign, stage_in), unique)
     # The flag is a directory level: reading one side skips the files of the other.
     stored = materialize(checked.withColumn("_ok", F.size("failures") == 0), f"{stage_in}/rows", ("_ok",))
     passed, failed = stored.filter("_ok"), stored.filter("NOT _ok")

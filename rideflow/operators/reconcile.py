@@ -28,7 +28,7 @@ def reconcile_payments(rides: DataFrame, payments: DataFrame, key: str = "ride_i
 
 def orphans(children: DataFrame, column: str, parents: DataFrame, parent_column: str) -> DataFrame:
     """Child rows whose non-null key has no parent row."""
-    ids = parents.select(F.col(parent_column).alias("_parent")).distinct()
+    ids = parents.select(F.col(parent_column).alias("_parent"))
     return (children.filter(F.col(column).isNotNull())
             .join(ids, F.col(column) == F.col("_parent"), "left_anti"))
 
@@ -37,5 +37,5 @@ def orphan_keys(children: DataFrame, column: str, parents: DataFrame, parent_col
     """Distinct orphan keys with their row counts. Children are combined by key before the join, so
     the join moves one row per key and cannot be skewed by a busy one."""
     keys = children.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("rows"))
-    ids = parents.select(F.col(parent_column).alias("_parent")).distinct()
+    ids = parents.select(F.col(parent_column).alias("_parent"))
     return keys.join(ids, F.col(column) == F.col("_parent"), "left_anti")

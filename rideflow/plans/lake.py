@@ -60,10 +60,9 @@ def _earlier_keys(spark: SparkSession, root: str, dataset: str, date: str, today
     return history.filter(F.col("ingest_date") < date).select(key).join(today, key, "left_semi")
 
 
-def _flag_already_loaded(df: DataFrame, key: str, earlier: DataFrame) -> DataFrame:
-    ids = earlier.select(F.col(key).alias("_seen")).distinct()
+def _flag_already_loaded(df: DataFrame, key: str, seen: DataFrame) -> DataFrame:
     failure = F.array(F.struct(F.lit("DUPLICATE_PK").alias("code"), F.lit(f"{key} was loaded on an earlier date").alias("message")))
-    return (df.join(ids, F.col(key) == F.col("_seen"), "left")
+    return (df.join(seen.select(F.col(key).alias("_seen")), F.col(key) == F.col("_seen"), "left")
             .withColumn("failures", F.when(F.col("_seen").isNotNull(), F.array_union("failures", failure)).otherwise(F.col("failures")))
             .drop("_seen"))
 
@@ -83,7 +82,8 @@ def bronze_to_silver(spark: SparkSession, root: str, date: str, run_id: str, pro
         if dataset in INCREMENTS:
             earlier = _earlier_keys(spark, root, dataset, date, raw.select(key).filter(F.col(key).isNotNull()).distinct())
             if earlier is not None:
-                cleaned = _flag_already_loaded(cleaned, key, earlier)
+                # Stored: usually empty or small, and then broadcast.
+                cleaned = _flag_already_loaded(cleaned, key, materialize(earlier.distinct(), f"{scratch}/{dataset}/seen"))
         parents = {name: read_silver(spark, root, name) for name in evaluated}
         judged = quality.judge(cleaned, quality.silver_rules(dataset), quality.foreign_keys(dataset, parents),
                                quality.unique_rules(dataset), stage_in=f"{scratch}/{dataset}")

@@ -36,7 +36,7 @@ def evaluate_all(frames: dict[str, DataFrame], profile: str = "load", primary_ke
 
     def one(dataset: str) -> DataFrame:
         unique = [u for u in quality.unique_rules(dataset) if primary_keys or u.code != "DUPLICATE_PK"]
-        args = (typed(frames[dataset]), rules_for(dataset, profile), quality.foreign_keys(dataset, parents), unique)
+        args = (typed(frames[dataset]), rules_for(dataset, profile), quality.foreign_keys(dataset, parents, unique=primary_keys), unique)
         return quality.judge(*args, stage_in=f"{stage_in}/{dataset}") if stage_in else quality.evaluate(*args)
 
     for level in schemas.LEVELS:
