@@ -13,9 +13,9 @@ from rideflow.catalog.scalar import _geohash_sql
 from rideflow.operators import gold, history, privacy, quality
 from rideflow.operators import silver as steps
 from rideflow.operators.dedupe import first_per_key, mark_first
-from rideflow.plans import kpis, lake, load
+from rideflow.plans import kpis, load
 from rideflow.sources import maintenance, readers, sinks
-from rideflow.sources.testdata import as_text, customers, drivers, payments, ride_events, rides, tables
+from rideflow.sources.testdata import as_text, customers, drivers, payments, rides, tables
 from rideflow.sources.workdir import work_dir
 
 SALT = stores.SALT

@@ -13,7 +13,7 @@ from rideflow.functions.text import full_name
 from rideflow.operators import reconcile
 from rideflow.operators.dedupe import duplicated_keys, first_per_key, rows_with_duplicated_key
 from rideflow.operators.quality import uniqueness
-from rideflow.operators.ranking import daily_counts, growth, ranked, rolling_mean, share_of_total
+from rideflow.operators.ranking import daily_counts, ranked, rolling_mean, share_of_total
 from rideflow.operators.stats import median_by
 from rideflow.plans import kpis
 from rideflow.sources.testdata import customers, drivers, load, payments, rides, tables
