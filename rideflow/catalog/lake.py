@@ -13,7 +13,7 @@ from rideflow.catalog.scalar import _geohash_sql
 from rideflow.operators import gold, history, privacy, quality
 from rideflow.operators import silver as steps
 from rideflow.operators.dedupe import first_per_key, mark_first
-from rideflow.plans import kpis, load
+from rideflow.plans import kpis, lake, load
 from rideflow.sources import maintenance, readers, sinks
 from rideflow.sources.testdata import as_text, customers, drivers, payments, rides, tables
 from rideflow.sources.workdir import work_dir
@@ -349,6 +349,18 @@ def _(spark, d):
     return steps.align_schema(old, schemas.PAYMENTS, {"method": "payment_method"})
 
 
+@query("dq_09_reprocess", silver("""
+SELECT payment_id, ride_id, amount::DECIMAL(10,2) AS amount FROM silver_payments""").replace("% 101 = 0 THEN -1 ", "% 101 = 0 THEN 1 "))
+def _(spark, d):
+    root, date, now = work_dir(spark), stores.INGEST_DATE, "2026-10-08 12:00:00"
+    raw = {name: as_text(df) for name, df in stores.staged(spark, d).items()}
+    lake.land_all(raw, root, date)
+    lake.bronze_to_silver(spark, root, date, "run-1", now, SALT)
+    fixed = raw["payments"].filter("amount = '-1.00'").withColumn("amount", F.lit("1.00"))
+    lake.reprocess(spark, root, "payments", fixed, date, "run-2", now, SALT)
+    return lake.read_silver(spark, root, "payments").select("payment_id", "ride_id", "amount")
+
+
 # --- star schema ---------------------------------------------------------------------------------
 
 
