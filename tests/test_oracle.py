@@ -3,14 +3,16 @@
 import pytest
 
 import __spark_entry__ as entry
+from rideflow import catalog
 from tests.compare import compare
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+QUERIES = catalog.load().QUERIES
+ORACLE = catalog.load().ORACLE
 
 
 def test_every_query_has_an_oracle():
     assert set(ORACLE) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
