@@ -20,6 +20,8 @@ from rideflow.sources.workdir import materialize, work_dir
 WORD = r"[^\x20\x09-\x0D]+"
 LEVEL_BITS = 16
 LEVELS = 3
+RANK_BITS = LEVEL_BITS * LEVELS
+RUNS = "array<struct<low:bigint,high:bigint,most:bigint>>"
 NEAR = 0.001
 PASSES = 3
 
@@ -50,42 +52,58 @@ def _uniform(seed: int, *columns: str) -> Column:
     return (F.shiftrightunsigned(F.xxhash64(F.lit(seed), *columns), 12) + 0.5) / float(1 << 52)
 
 
-def pareto_mix(docs: DataFrame, targets: DataFrame, max_copies: int = 2, weight: str | None = None, seed: int = 1) -> DataFrame:
-    """doc_id, source, size, copies of every row of `docs` (doc_id, source, size: not null), for `targets` (source, source_size, target).
+def with_copies(docs: DataFrame, cuts: DataFrame, max_copies: int = 2, weight: str | None = None, seed: int = 1) -> DataFrame:
+    """`docs` (doc_id, source, size and any other columns) with `copies` under `cuts` (source, rate, runs). The join is on the source
+    alone, whose cuts are one row, so a source with very many rows can be split."""
+    found = _ranked(docs, cuts.select(F.col("source").alias("_source"), "rate", "runs"), max_copies, weight, seed)
+    fits = lambda r: (F.col("_rank") >= r.low) & (F.col("_rank") < r.high) & (F.col("size") <= F.coalesce(r.most, F.col("size")))
+    chosen = (F.col("size") > 0) & F.exists("runs", fits)
+    copies = F.col("_whole") + F.coalesce(chosen.cast("int"), F.lit(0))
+    return found.withColumn("copies", copies).select(*[docs[c] for c in docs.columns], "copies")
 
-    A source's copies have about `target` words, at most; nulls in source match the null source, a source without a target gets no
-    copies. Within a source expected copies are equal, or follow the column `weight` (not negative, null counts as 0) up to
-    `max_copies`, the excess going to the others. Documents without words get the certain copies only. Rows with equal doc_id and size are
-    taken or left together. The result does not depend on the order of rows or on partitions.
-    """
-    spark = docs.sparkSession
-    goals = materialize(targets.select("source", "source_size", "target"), work_dir(spark))
-    rows = docs.select("doc_id", "source", "size", (F.coalesce(F.col(weight), F.lit(0.0)) if weight else F.lit(1.0)).cast("double").alias("w"))
-    rates = _rates(rows, goals, max_copies) if weight else goals.select("source", F.try_divide("target", "source_size").alias("rate"))
-    rows = rows.alias("d").join(rates.alias("g"), _same("d", "g"), "left").select("d.*", "rate")
-    expected = F.least(F.lit(float(max_copies)), F.coalesce("rate", F.lit(0.0)) * F.col("w"))
-    rows = rows.withColumn("expected", expected).withColumn("whole", F.floor("expected"))
-    part = F.col("expected") - F.col("whole")
+
+def _ranked(docs: DataFrame, rates: DataFrame, max_copies: int, weight: str | None, seed: int) -> DataFrame:
+    """`docs` joined with `rates` (_source, rate, ...), with the certain copies `_whole` and the rank for one more, `_rank`."""
+    w = F.coalesce(F.col(weight).cast("double"), F.lit(0.0)) if weight else F.lit(1.0)
+    expected = F.least(F.lit(float(max_copies)), F.coalesce("rate", F.lit(0.0)) * w)
     u = _uniform(seed, "doc_id", "size")
+    part = F.col("_expected") - F.col("_whole")
     odds = (u / (1 - u)) / (part / (1 - part))
-    bits = LEVEL_BITS * LEVELS
     # odds / (1 + odds) has the order of the odds and lies between 0 and 1
-    rank = F.when(part > 0, F.least(F.lit((1 << bits) - 1), F.floor(odds / (1 + odds) * float(1 << bits))))
-    rows = materialize(rows.select("doc_id", "source", "size", "whole", rank.alias("rank")), work_dir(spark))
+    rank = F.when(part > 0, F.least(F.lit((1 << RANK_BITS) - 1), F.floor(odds / (1 + odds) * float(1 << RANK_BITS))))
+    return (docs.join(rates, docs["source"].eqNullSafe(rates["_source"]), "left").withColumn("_expected", expected)
+            .withColumn("_whole", F.floor("_expected")).withColumn("_rank", rank))
+
 
+def pareto_cuts(docs: DataFrame, targets: DataFrame, max_copies: int = 2, weight: str | None = None, seed: int = 1) -> DataFrame:
+    """source, rate, runs: expected copies of a document of weight 1, and the ranges of ranks that get one more copy."""
+    spark = docs.sparkSession
+    goals = materialize(targets.select("source", "source_size", "target"), work_dir(spark))
+    slim = docs.select("doc_id", "source", "size", *([F.coalesce(F.col(weight).cast("double"), F.lit(0.0)).alias("w")] if weight else []))
+    rates = _rates(slim, goals, max_copies) if weight else goals.select("source", F.try_divide("target", "source_size").alias("rate"))
+    ranked = _ranked(slim, rates.select(F.col("source").alias("_source"), "rate"), max_copies, "w" if weight else None, seed)
+    rows = materialize(ranked.select(slim["source"], "size", F.col("_whole").alias("whole"), F.col("_rank").alias("rank")), work_dir(spark))
     certain = rows.groupBy("source").agg(F.sum(F.col("whole") * F.col("size")).alias("sure"))
     rest = (goals.alias("g").join(certain.alias("c"), _same("g", "c"))
-            .select("g.source", "target", F.greatest(F.lit(0.0), F.col("target") - F.col("sure")).alias("gap"),
-                    F.lit(0).cast("long").alias("low"), F.lit(None).cast("long").alias("most"),
-                    F.lit(None).cast("array<struct<low:bigint,high:bigint,most:bigint>>").alias("runs")))
-    rest = materialize(rest.withColumn("runs", F.coalesce("runs", F.array().cast("array<struct<low:bigint,high:bigint,most:bigint>>"))), work_dir(spark))
-    for turn in range(PASSES):
+            .select("g.source", "target", F.greatest(F.lit(0.0), F.col("target") - F.col("sure")).alias("gap"), F.lit(0).cast("long").alias("low"),
+                    F.lit(None).cast("long").alias("most"), F.array().cast(RUNS).alias("runs")))
+    rest = materialize(rest, work_dir(spark))
+    for _ in range(PASSES):
         rest = materialize(_one_pass(rows, rest), work_dir(spark))
-        if not rest.where(F.col("gap") > F.col("target") * NEAR).where("more").limit(1).count():
+        if rest.where((F.col("gap") > F.col("target") * NEAR) & F.col("more")).isEmpty():
             break
-    chosen = (F.col("size") > 0) & F.exists("runs", lambda r: (F.col("rank") >= r.low) & (F.col("rank") < r.high) & (F.col("size") <= F.coalesce(r.most, F.col("size"))))
-    return (rows.alias("d").join(rest.select("source", "runs").alias("t"), _same("d", "t"), "left")
-            .select("doc_id", "d.source", "size", (F.col("whole") + F.coalesce(chosen.cast("int"), F.lit(0))).alias("copies")))
+    return materialize(rest.alias("r").join(rates.alias("g"), _same("r", "g")).select("r.source", "rate", "runs"), work_dir(spark))
+
+
+def pareto_mix(docs: DataFrame, targets: DataFrame, max_copies: int = 2, weight: str | None = None, seed: int = 1) -> DataFrame:
+    """`docs` (doc_id, source, size: not null, and any other columns) with `copies`, for `targets` (source, source_size, target).
+
+    A source's copies have about `target` words, never more unless equal ranks meet; nulls in source match the null source, a source without
+    a target gets no copies. Within a source expected copies are equal, or follow the column `weight` (not negative, null counts as 0) up
+    to `max_copies`, the excess going to the others. Documents without words get the certain copies only. Rows with equal doc_id, source and
+    size are taken or left together. The result does not depend on the order of rows or on partitions. An empty table gives no rows.
+    """
+    return with_copies(docs, pareto_cuts(docs, targets, max_copies, weight, seed), max_copies, weight, seed)
 
 
 def _one_pass(rows: DataFrame, rest: DataFrame) -> DataFrame:
@@ -94,7 +112,7 @@ def _one_pass(rows: DataFrame, rest: DataFrame) -> DataFrame:
     rest: source, target, gap (words to take), low (ranks from here on), most (largest size that fits), runs (ranks taken so far).
     """
     spark = rows.sparkSession
-    bits = LEVEL_BITS * LEVELS
+    bits = RANK_BITS
     state = rest.select("source", "low", "most", "gap", F.lit(0).cast("long").alias("prefix"), F.col("gap").alias("left"), F.lit(True).alias("more"))
     for level in range(LEVELS):
         shift = bits - LEVEL_BITS * (level + 1)
