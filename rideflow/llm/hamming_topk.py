@@ -11,6 +11,7 @@ them, and equal query codes search once.
 
 from __future__ import annotations
 
+from itertools import combinations
 from math import comb, log2
 
 from pyspark.sql import Column, DataFrame, Window
@@ -40,8 +41,9 @@ def segment_plan(n_codes: int, bits: int = BITS) -> list[tuple[int, int]]:
 
 
 def _masks(width: int, radius: int) -> Column:
-    """All segment values with `radius` bits set; Spark folds it into one literal."""
-    return F.filter(F.sequence(F.lit(0), F.lit((1 << width) - 1)), lambda x: F.bit_count(x) == radius)
+    """All segment values with `radius` bits set, as one constant."""
+    found = ",".join(str(sum(1 << i for i in bits)) for bits in combinations(range(width), radius))
+    return F.split(F.lit(found), ",").cast("array<int>")
 
 
 def _steps(plan: list[tuple[int, int]]) -> list[tuple[int, list[int]]]:
@@ -85,7 +87,9 @@ def hamming_topk(codes: DataFrame, queries: DataFrame, k: int = 10, bits: int =
     answers = spark.createDataFrame([], "q long, distance int, id long, hit long")
     for radius, segments in _steps(plan):
         widest = max(plan[s][1] for s in segments)
-        probes = (active.select("q", "bound", values(F.col("q"), segments))
+        # a few queries make very many probes: deal them out first
+        dealt = active.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "q")
+        probes = (dealt.select("q", "bound", values(F.col("q"), segments))
                   .select("q", "bound", "at", F.explode(_masks(widest, radius)).alias("mask")).where("mask < at.room")
                   .select("q", "bound", "at.segment", F.col("at.value").bitwiseXOR(F.col("mask")).alias("value")))
         hits = (probes.join(held.where(F.col("segment").isin(segments)).hint("shuffle_hash"), ["segment", "value"])
