@@ -17,6 +17,10 @@ rounds, each shared shingle's documents are verified against one of them, drawn
 within one component found so far are left out. When the remaining pairs are few against the size of the prefixes, or after
 `ROUNDS` rounds, every remaining pair across components that shares enough prefix shingles is verified. So the components are
 exact whatever the rounds have found.
+
+Pairs that cannot be similar are told where they meet: by their sizes, and by a parity bitmap of each set. Two sets differ in
+at least as many shingles as their bitmaps differ in bits, so a pair with more different bits than the threshold leaves room
+for is out, and no similar pair is.
 """
 
 from __future__ import annotations
@@ -33,7 +37,8 @@ from rideflow.llm.words import mix, shingles, text_slices, words
 from rideflow.sources.workdir import materialize, work_dir
 
 LEVELS = 8
-ROUNDS = 6
+ROUNDS = 2
+PARITY_BITS = 256
 _TOP = 1 << 64
 
 
@@ -58,31 +63,38 @@ def _node(hashes: np.ndarray) -> int | None:
     return int(mix(folded).view(np.int64)[0])
 
 
+def _parity(hashes: np.ndarray) -> np.ndarray:
+    """One bit for each value of the lowest bits of the hashes: whether an odd number of them has it; as longs."""
+    odd = np.bincount((hashes & np.uint64(PARITY_BITS - 1)).astype(np.int64), minlength=PARITY_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _sets(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int) -> DataFrame:
-    """doc_id, node (a hash of the whole set), n, leading, chosen shingles. Equal sets have equal nodes."""
+    """doc_id, node (a hash of the whole set), n, parity bits, leading, chosen shingles. Equal sets have equal nodes."""
 
     def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0)
             for first, end, data, offsets in text_slices(batch.column(1)):
                 found = words(data, offsets)
-                nodes, counts, leads, chosen = [], [], [], []
+                nodes, counts, leads, chosen, bits = [], [], [], [], []
                 for lo, hi in zip(found.bounds[:-1], found.bounds[1:], strict=True):
                     hashes = shingles(found.hash[lo:hi], size)
                     part, leading = _chosen(hashes, percent)
                     nodes.append(_node(hashes))
                     counts.append(len(hashes))
                     leads.append(leading)
+                    bits.append(_parity(hashes).tolist())
                     chosen.append(part.view(np.int64))
                 values = np.concatenate(chosen) if chosen else np.zeros(0, np.int64)
                 bounds = np.cumsum([0] + [len(c) for c in chosen], dtype=np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(first, end - first), pa.array(nodes, pa.int64()), pa.array(counts, pa.int64()),
-                     pa.array(leads, pa.int64()), pa.ListArray.from_arrays(pa.array(bounds), pa.array(values))],
-                    names=["doc_id", "node", "n", "leading", "chosen"])
+                     pa.array(bits, pa.list_(pa.int64())), pa.array(leads, pa.int64()), pa.ListArray.from_arrays(pa.array(bounds), pa.array(values))],
+                    names=["doc_id", "node", "n", "bits", "leading", "chosen"])
 
     return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-            .mapInArrow(convert, "doc_id long, node long, n long, leading long, chosen array<long>"))
+            .mapInArrow(convert, "doc_id long, node long, n long, bits array<long>, leading long, chosen array<long>"))
 
 
 def _full_sets(docs: DataFrame, size: int) -> DataFrame:
@@ -137,8 +149,12 @@ def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
     return placed.where(F.col("place") <= F.col("short") + F.col("level")).select("token", "node", "n", "level")
 
 
-def _long_enough(n1: Column, n2: Column, percent: int) -> Column:
-    return F.least(n1, n2) * 100 >= F.greatest(n1, n2) * percent
+def _may_be_similar(x: dict[str, Column], y: dict[str, Column], percent: int) -> Column:
+    """False only for pairs below the threshold, by sizes (n) and parity bits."""
+    total = x["n"] + y["n"]
+    common = F.floor((total * percent + (99 + percent)) / F.lit(100 + percent))  # at least, rounded up
+    apart = sum((F.bit_count(x["bits"][i].bitwiseXOR(y["bits"][i])) for i in range(PARITY_BITS // 64)), F.lit(0))
+    return (F.least(x["n"], y["n"]) * 100 >= F.greatest(x["n"], y["n"]) * percent) & (apart <= total - 2 * common)
 
 
 def _verified(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
@@ -152,9 +168,9 @@ def _verified(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
 
 
 def _relabel(members: DataFrame, links: DataFrame) -> DataFrame:
-    """`members` (node, part) after joining the parts that `links` (a, b: parts) connect."""
+    """`members` (node, part, bits) after joining the parts that `links` (a, b: parts) connect."""
     merged = components(links).withColumnsRenamed({"node": "part", "label": "joined"})
-    return members.join(merged, "part", "left").select("node", F.coalesce("joined", "part").alias("part"))
+    return members.join(merged, "part", "left").select("node", "bits", F.coalesce("joined", "part").alias("part"))
 
 
 def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5,
@@ -171,7 +187,9 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     linkable = sets.where("doc_id IS NOT NULL AND n > 0")
     prefixes = materialize(_prefixes(linkable, percent), work_dir(spark))
     whom = linkable.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    parts = materialize(prefixes.select("node").distinct().withColumn("part", F.col("node")), work_dir(spark))
+    met = prefixes.select("node").distinct()
+    bits = linkable.groupBy("node").agg(F.first("bits").alias("bits"))
+    parts = materialize(met.join(bits, "node").withColumn("part", F.col("node")), work_dir(spark))
 
     # whole sets of the documents that have a prefix shingle in common with another one
     one = whom.join(parts, "node", "left_semi")
@@ -191,21 +209,22 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         last = turn == ROUNDS or totals[0] <= 8 * totals[1] + 100_000
         open_entries = entries.join(per_token, "token")
         if last:
-            some = open_entries.where("part <> largest.part").select("token", "node", "n", "level", "part")
-            other = open_entries.select("token", *[F.col(c).alias(f"{c}2") for c in ("node", "n", "level", "part")],
+            some = open_entries.where("part <> largest.part").select("token", "node", "n", "level", "part", "bits")
+            other = open_entries.select("token", *[F.col(c).alias(f"{c}2") for c in ("node", "n", "level", "part", "bits")],
                                         (F.col("part") == F.col("largest.part")).alias("is_largest"))
-            met = (some.join(other, "token")
+            crossed = (some.join(other, "token")
                    .where((F.col("part") != F.col("part2")) & (F.col("is_largest") | (F.col("node") < F.col("node2")))
-                          & _long_enough(F.col("n"), F.col("n2"), percent)))
-            pairs = (met.groupBy(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b"))
+                          & _may_be_similar({c: F.col(c) for c in ("n", "bits")}, {c: F.col(f"{c}2") for c in ("n", "bits")}, percent)))
+            pairs = (crossed.groupBy(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b"))
                      .agg(F.count("*").alias("common"), F.min(F.least("level", "level2")).alias("level"))
                      .where("common >= level").select("a", "b"))
         else:
             drawn = (open_entries.groupBy("token")
-                     .agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("rank"), "node", "n", "part")).alias("hub"))
+                     .agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("rank"), "node", "n", "part", "bits")).alias("hub"))
                      .select("token", "hub"))
             pairs = (open_entries.join(drawn, "token")
-                     .where((F.col("part") != F.col("hub.part")) & _long_enough(F.col("n"), F.col("hub.n"), percent))
+                     .where((F.col("part") != F.col("hub.part"))
+                          & _may_be_similar({c: F.col(c) for c in ("n", "bits")}, {c: F.col(f"hub.{c}") for c in ("n", "bits")}, percent))
                      .select(F.col("node").alias("a"), F.col("hub.node").alias("b")).distinct())
         links = materialize(_verified(pairs, full, percent), work_dir(spark))
         by_part = (links.join(parts.select(F.col("node").alias("a"), F.col("part").alias("pa")), "a")
@@ -215,7 +234,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         if last:
             break
 
-    grouped = whom.join(parts, "node", "left").withColumn("part", F.coalesce("part", "node"))
+    grouped = whom.join(parts.select("node", "part"), "node", "left").withColumn("part", F.coalesce("part", "node"))
     # rows of one doc_id with several texts join the parts of those texts
     labels = materialize(grouped.groupBy("part").agg(F.min("doc_id").alias("component_id")), work_dir(spark))
     known = F.when(F.col("doc_id").isNotNull(), F.col("node")).alias("node")
