@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import gc
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rideflow.sources.workdir import materialize, work_dir
@@ -41,3 +43,10 @@ def components(links: DataFrame) -> DataFrame:
 def _sums(edges: DataFrame) -> tuple:
     """Count and an order-free hash: equal for equal sets of links."""
     return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.hash("u", "v").cast("long"))).first())
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished steps now. It does so once the driver's JVM has found them unreferenced, which on a
+    large heap can be long after the last job that read them."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

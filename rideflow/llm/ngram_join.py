@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rideflow.llm.graph import components
+from rideflow.llm.graph import components, release
 from rideflow.llm.words import mix, shingles, text_slices, words
 from rideflow.sources.workdir import materialize, work_dir
 
@@ -43,8 +43,8 @@ _TOP = 1 << 64
 
 
 def _leading_share(percent: int) -> float:
-    """Share of the hash range that comes first: half as much again as a prefix needs."""
-    return min(1.0, 1.5 * (100 - percent) / 100 + 0.02)
+    """Share of the hash range that comes first: somewhat more than a prefix needs."""
+    return min(1.0, 1.3 * (100 - percent) / 100 + 0.02)
 
 
 def _chosen(hashes: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
@@ -122,12 +122,11 @@ def _full_sets(docs: DataFrame, size: int) -> DataFrame:
 def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
     """token, node, n, level: the prefixes at the chosen levels, of shingles that more than one set has."""
     cut = int(_leading_share(percent) * _TOP) - 1
-    nodes = sets.groupBy("node").agg(F.first("n").alias("n"), F.first("leading").alias("leading"),
-                                                    F.first("chosen").alias("chosen"))
-    # explode needs the array at each row; the aggregate above combines copies before its shuffle
-    tokens = nodes.select("node", "n", "leading", F.explode("chosen").alias("token"))
+    # copies are combined before the shuffle; sizes join later, so that the rows of the large shuffles are two numbers
+    tokens = sets.groupBy("node").agg(F.first("chosen").alias("chosen")).select("node", F.explode("chosen").alias("token"))
     counts = tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
-    shared = tokens.join(counts, "token")
+    sizes = sets.groupBy("node").agg(F.first("n").alias("n"), F.first("leading").alias("leading"))
+    shared = tokens.join(counts, "token").join(sizes, "node")
     # hashes ascend as unsigned numbers: negative longs are the upper half
     in_front = (F.col("token").between(0, min(cut, (1 << 63) - 1)) if cut < 1 << 63
                 else (F.col("token") >= 0) | (F.col("token") <= cut - _TOP))
@@ -186,6 +185,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sets = materialize(_sets(docs, id_col, text_col, size, percent), work_dir(spark))
     linkable = sets.where("doc_id IS NOT NULL AND n > 0")
     prefixes = materialize(_prefixes(linkable, percent), work_dir(spark))
+    release(spark)
     whom = linkable.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     met = prefixes.select("node").distinct()
     bits = linkable.groupBy("node").agg(F.first("bits").alias("bits"))
@@ -197,6 +197,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     full = _full_sets(one.join(texts, "doc_id").select("node", "text"), size)
     full = materialize(full.groupBy("node").agg(F.first("hashes").alias("hashes")), work_dir(spark))
 
+    release(spark)
     for turn in range(ROUNDS + 1):
         entries = prefixes.join(parts, "node")
         per_part = entries.groupBy("token", "part").agg(F.count("*").alias("n_part"))
@@ -231,6 +232,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    .join(parts.select(F.col("node").alias("b"), F.col("part").alias("pb")), "b")
                    .select(F.col("pa").alias("a"), F.col("pb").alias("b")))
         parts = materialize(_relabel(parts, by_part), work_dir(spark))
+        release(spark)
         if last:
             break
 
