@@ -44,7 +44,7 @@ _TOP = 1 << 64
 
 def _leading_share(percent: int) -> float:
     """Share of the hash range that comes first: somewhat more than a prefix needs."""
-    return min(1.0, 1.3 * (100 - percent) / 100 + 0.02)
+    return min(1.0, 1.1 * (100 - percent) / 100 + 0.02)
 
 
 def _chosen(hashes: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
