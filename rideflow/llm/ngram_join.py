@@ -191,11 +191,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     bits = linkable.groupBy("node").agg(F.first("bits").alias("bits"))
     parts = materialize(met.join(bits, "node").withColumn("part", F.col("node")), work_dir(spark))
 
-    # whole sets of the documents that have a prefix shingle in common with another one
-    one = whom.join(parts, "node", "left_semi")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    full = _full_sets(one.join(texts, "doc_id").select("node", "text"), size)
-    full = materialize(full.groupBy("node").agg(F.first("hashes").alias("hashes")), work_dir(spark))
 
     release(spark)
     for turn in range(ROUNDS + 1):
@@ -227,6 +223,12 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      .where((F.col("part") != F.col("hub.part"))
                           & _may_be_similar({c: F.col(c) for c in ("n", "bits")}, {c: F.col(f"hub.{c}") for c in ("n", "bits")}, percent))
                      .select(F.col("node").alias("a"), F.col("hub.node").alias("b")).distinct())
+        pairs = materialize(pairs, work_dir(spark))
+        # whole sets are larger than texts, so only documents of a pair get theirs
+        asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        full = _full_sets(whom.join(asked, "node").join(texts, "doc_id").select("node", "text"), size)
+        full = materialize(full.groupBy("node").agg(F.first("hashes").alias("hashes")), work_dir(spark))
+        release(spark)
         links = materialize(_verified(pairs, full, percent), work_dir(spark))
         by_part = (links.join(parts.select(F.col("node").alias("a"), F.col("part").alias("pa")), "a")
                    .join(parts.select(F.col("node").alias("b"), F.col("part").alias("pb")), "b")
