@@ -6,13 +6,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+_TIMESTAMP = r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}:\d{2}(\.\d{1,6})?Z?$"
+
+
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
 def parse_timestamp(col) -> Column:
-    """Accepts '2026-08-25 10:30:00', '2026-08-25T10:30:00' and a trailing Z; NULL if malformed."""
-    return F.regexp_replace(F.trim(_col(col)), "Z$", "").try_cast("timestamp_ntz")
+    """Accepts '2026-08-25 10:30:00', '2026-08-25T10:30:00', a fraction and a trailing Z. Anything else is NULL, also a
+    bare date or year and a zone offset, which a time without a zone cannot hold."""
+    raw = F.trim(_col(col))
+    return F.when(raw.rlike(_TIMESTAMP), F.regexp_replace(raw, "Z$", "").try_cast("timestamp_ntz"))
 
 
 def calendar_parts(col) -> dict[str, Column]:

@@ -16,7 +16,7 @@ from rideflow import schemas
 from rideflow.operators import gold, quality, silver
 from rideflow.operators.dedupe import latest_per_key
 from rideflow.operators.privacy import erase
-from rideflow.sources.maintenance import partition_values, pending_partitions
+from rideflow.sources.maintenance import partition_times, partition_values
 from rideflow.sources.readers import DATE_PARTS, partition_date, read_bronze
 from rideflow.sources.sinks import land_bronze, write_date
 from rideflow.sources.workdir import materialize, side_by_side, work_dir
@@ -60,6 +60,14 @@ def _earlier_keys(spark: SparkSession, root: str, dataset: str, date: str, today
     return history.filter(F.col("ingest_date") < date).select(key).join(today, key, "left_semi")
 
 
+def _landed(spark: SparkSession, root: str, dataset: str, date: str) -> DataFrame:
+    """Raw rows of one date with the `_file` they are from; none where the dataset was never landed."""
+    schema = schemas.DATASETS[dataset]
+    rows = _if_present(lambda: read_bronze(spark, root, dataset, schema, (date, date))
+                       .select(*schema.names, F.col("_metadata.file_path").alias("_file")))
+    return spark.createDataFrame([], schemas.as_text(schema).add("_file", "string")) if rows is None else rows
+
+
 def _flag_already_loaded(df: DataFrame, key: str, seen: DataFrame) -> DataFrame:
     failure = F.array(F.struct(F.lit("DUPLICATE_PK").alias("code"), F.lit(f"{key} was loaded on an earlier date").alias("message")))
     return (df.join(seen.select(F.col(key).alias("_seen")), F.col(key) == F.col("_seen"), "left")
@@ -69,22 +77,23 @@ def _flag_already_loaded(df: DataFrame, key: str, seen: DataFrame) -> DataFrame:
 
 def bronze_to_silver(spark: SparkSession, root: str, date: str, run_id: str, processed_at: str, salt: str,
                      precision: int = 6) -> dict[str, DataFrame]:
-    """Process one landed date: accepted rows to Silver, the rest to the quarantine.
+    """Process one landed date: accepted rows to Silver, the rest to the quarantine. A dataset without files of that date counts
+    as empty. Dates after it depend on it; `run` and `reprocess` bring them up to date.
 
     Returns the evaluated rows per dataset (stored), for reports and reconciliation."""
     scratch = work_dir(spark)
     evaluated: dict[str, DataFrame] = {}
 
     def one(dataset: str) -> DataFrame:
-        schema, key = schemas.DATASETS[dataset], schemas.PRIMARY_KEYS[dataset]
-        raw = read_bronze(spark, root, dataset, schema, (date, date))
-        cleaned = silver.clean(raw.select(*schema.names, F.col("_metadata.file_path").alias("_file")), dataset)
+        key = schemas.PRIMARY_KEYS[dataset]
+        raw = _landed(spark, root, dataset, date)
+        cleaned = silver.clean(raw, dataset)
         if dataset in INCREMENTS:
             earlier = _earlier_keys(spark, root, dataset, date, raw.select(key).filter(F.col(key).isNotNull()).distinct())
             if earlier is not None:
                 # Stored: usually empty or small, and then broadcast.
                 cleaned = _flag_already_loaded(cleaned, key, materialize(earlier.distinct(), f"{scratch}/{dataset}/seen"))
-        parents = {name: read_silver(spark, root, name) for name in evaluated}
+        parents = {name: read_silver(spark, root, name, ("", date)) for name in evaluated}
         judged = quality.judge(cleaned, quality.silver_rules(dataset), quality.foreign_keys(dataset, parents),
                                quality.unique_rules(dataset), stage_in=f"{scratch}/{dataset}")
         protected = silver.protect(quality.accepted(judged), dataset, salt, precision)
@@ -155,35 +164,53 @@ def gold_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 
 
 def landed_dates(spark: SparkSession, root: str, dataset: str) -> DataFrame:
-    """Bronze partition dates, from directory names."""
-    parts = partition_values(spark, f"{root}/bronze/{dataset}", list(DATE_PARTS))
-    return parts.select(F.concat_ws("-", *DATE_PARTS).alias("ingest_date"))
-
-
-def pending_dates(spark: SparkSession, root: str, dataset: str = "rides") -> list[str]:
-    """Landed dates that Silver does not hold yet, oldest first."""
-    landed = landed_dates(spark, root, dataset)
-    processed = _if_present(lambda: partition_values(spark, f"{root}/silver/{dataset}", ["ingest_date"]))
-    if processed is not None:
-        landed = pending_partitions(landed, processed, ["ingest_date"])
-    return sorted(r[0] for r in landed.collect())
+    """Bronze partition dates and their newest file's time."""
+    parts = partition_times(spark, f"{root}/bronze/{dataset}", list(DATE_PARTS))
+    return parts.select(F.concat_ws("-", *DATE_PARTS).alias("ingest_date"), "newest")
+
+
+def pending_dates(spark: SparkSession, root: str) -> list[str]:
+    """Dates with a landed dataset that Silver does not hold yet, or that was landed again after Silver was written;
+    oldest first. Both are told from directory names and file times; no file is opened."""
+    found = set()
+    for dataset in schemas.DATASETS:
+        landed = _if_present(lambda: landed_dates(spark, root, dataset))
+        if landed is None:
+            continue
+        processed = _if_present(lambda: partition_times(spark, f"{root}/silver/{dataset}", ["ingest_date"]))
+        if processed is not None:
+            done = processed.select("ingest_date", F.col("oldest").alias("processed"))
+            # equal times count as landed later: a needless rebuild is harmless
+            landed = landed.join(done, "ingest_date", "left").filter("processed IS NULL OR newest >= processed")
+        found |= {r[0] for r in landed.select("ingest_date").collect()}
+    return sorted(found)
 
 
 def run(spark: SparkSession, root: str, run_id: str, processed_at: str, salt: str) -> list[str]:
-    """Process every pending date, then build Gold for them. Returns the dates."""
-    dates = pending_dates(spark, root)
-    for date in dates:
-        bronze_to_silver(spark, root, date, run_id, processed_at, salt)
-    if dates:
-        silver_to_gold(spark, root, (dates[0], dates[-1]))
-    return dates
+    """Process every pending date and the landed dates after it, then build Gold for them. Returns the dates."""
+    pending = pending_dates(spark, root)
+    return list(_rebuild(spark, root, pending, run_id, processed_at, salt)) if pending else []
+
+
+def _rebuild(spark: SparkSession, root: str, dates: list[str], run_id: str, processed_at: str, salt: str) -> dict[str, dict[str, DataFrame]]:
+    """Process `dates` (ascending) and every landed date after the first of them in order, then refresh Gold.
+
+    A date's rows depend on the dates before it: on keys loaded there and on parents accepted there. So the result is that of
+    processing in order, however late a date comes; a backfill costs the dates after it. Dates whose Bronze
+    files are gone stay as they are. Returns the evaluated rows by date."""
+    landed = [_if_present(lambda: landed_dates(spark, root, dataset)) for dataset in schemas.DATASETS]
+    later = {r.ingest_date for some in landed if some is not None for r in some.filter(F.col("ingest_date") > dates[0]).collect()}
+    every = sorted({*dates, *later})
+    evaluated = {date: bronze_to_silver(spark, root, date, run_id, processed_at, salt) for date in every}
+    silver_to_gold(spark, root, (every[0], every[-1]))
+    return evaluated
 
 
 def reprocess(spark: SparkSession, root: str, dataset: str, fixed: DataFrame, date: str, run_id: str,
               processed_at: str, salt: str) -> dict[str, DataFrame]:
-    """Put corrected rows back into the Bronze partition of `date` and rebuild that date.
+    """Put corrected rows back into the Bronze partition of `date`, rebuild that date and the dates after it, and refresh Gold.
 
-    Corrected rows replace landed rows with the same key. The new partition content is stored aside
+    Returns the evaluated rows of `date`. Corrected rows replace landed rows with the same key. The new partition content is stored aside
     first, because a plan must not overwrite the files it reads."""
     schema = schemas.DATASETS[dataset]
     key = schemas.PRIMARY_KEYS[dataset]
@@ -192,7 +219,7 @@ def reprocess(spark: SparkSession, root: str, dataset: str, fixed: DataFrame, da
     kept = landed.join(fixed.select(key).distinct(), key, "left_anti").select(*schema.names)
     content = materialize(kept.unionByName(fixed), f"{work_dir(spark)}/{dataset}")
     land_bronze(content, root, dataset, date)
-    return bronze_to_silver(spark, root, date, run_id, processed_at, salt)
+    return _rebuild(spark, root, [date], run_id, processed_at, salt)[date]
 
 
 def erase_subjects(spark: SparkSession, root: str, subjects: DataFrame) -> dict[str, list[str]]:

@@ -2,57 +2,76 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rideflow.functions.keys import row_fingerprint
 
-# Files up to this size are compared by MD5 of the whole file; it is the single-part upload limit.
-MD5_LIMIT = 8 * 1024 * 1024
-
 # Days until a partition is due, and what is due.
 RETENTION_RULES = {"quarantine": (30, "expire"), "bronze": (90, "archive")}
 
 
-def _file_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Per file: size, number of lines and a sum of line hashes. Files are read in splits and the
-    sums are combined per split, so a file of any size is spread over tasks."""
-    lines = (spark.read.option("recursiveFileLookup", True).text(path)
-             .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size"),
-                     F.xxhash64("value").cast("decimal(38,0)").alias("h")))
-    return lines.groupBy("file").agg(F.max("size").alias("size"), F.count("*").alias("lines"), F.sum("h").alias("content"))
-
-
-def _file_md5(spark: SparkSession, path: str) -> DataFrame:
-    """MD5 of files up to MD5_LIMIT; the size filter is pushed down, so larger files are not opened."""
-    return (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-            .filter(F.col("length") <= MD5_LIMIT)
-            .select(F.col("path").alias("file"), F.col("length").alias("size"), F.md5("content").alias("md5")))
+def _file() -> Column:
+    """The path as an encoded URI, with one slash after `file:`."""
+    return F.regexp_replace("_metadata.file_path", "^file:/+", "file:/")
+
+
+def _root_uri(spark: SparkSession, root: str) -> str:
+    """`root` in the form of `_file`, with a slash at the end."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    full = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path)
+    return re.sub("^file:/+", "file:/", full.toUri().toString()).rstrip("/") + "/"
+
+
+def _file_sums(spark: SparkSession, roots: list[str]) -> DataFrame:
+    """file, size, content of all files under `roots`; content covers bytes and order, and is NULL for an empty file.
+
+    One scan reads all roots, so that files of equal size are split at equal places and a file of any size is spread over tasks.
+    Of each split the line hashes are summed, plain and times the line's place, before anything is shuffled. Lines end
+    at \\n alone, so a \\r is content. A single line is held whole in one task."""
+    tree = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(roots)
+    # a scan skips empty files; the listing, which the driver holds for the scan, names them as well
+    names = spark.createDataFrame([(name,) for name in tree.inputFiles()], "name string")
+    names = names.select(F.regexp_replace("name", "^file:/+", "file:/").alias("file"))
+    sizes = tree.select(_file().alias("file"), F.col("_metadata.file_size").alias("size"))
+    listed = names.join(sizes, "file", "left").select("file", F.coalesce("size", F.lit(0)).alias("size"))
+    # the lower bits number the rows of a task one by one, and a split lies in one task
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    lines = (spark.read.option("recursiveFileLookup", True).option("lineSep", "\n").text(roots)
+             .select(_file().alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                     place.cast("decimal(10,0)").alias("place"), F.xxhash64("value").alias("h")))
+    short = F.col("h").bitwiseAND(F.lit((1 << 48) - 1)).cast("decimal(15,0)")
+    blocks = lines.groupBy("file", "block").agg(
+        F.count("*").alias("n"), F.sum(F.col("h").cast("decimal(20,0)")).alias("plain"), F.sum(short).alias("short"),
+        F.sum(short * F.col("place")).alias("placed"), F.min("place").alias("least"))
+    ordered = F.col("placed") - F.col("least") * F.col("short").cast("decimal(25,0)")
+    block_sum = F.xxhash64("block", "n", F.col("plain").cast("string"), ordered.cast("string"))
+    content = blocks.groupBy("file").agg(F.sum(block_sum.cast("decimal(20,0)")).alias("content"))
+    return listed.join(content, "file", "left")
 
 
-def _relative(column: str, root: str):
-    return F.regexp_replace(column, "^(file:)?/*" + root.removeprefix("file:").strip("/") + "/", "")
+def verify_landing(spark: SparkSession, source: str, landed: str) -> DataFrame:
+    """Compare two file trees, neither inside the other, by relative path: one row per file with `status` ok, missing,
+    extra, size_mismatch or checksum_mismatch. The rule is the same for files of every size."""
+    uris = {root: _root_uri(spark, root) for root in (source, landed)}
+    files = _file_sums(spark, sorted({uri: root for root, uri in uris.items()}.values()))
 
+    def side(root: str) -> DataFrame:
+        # a plus sign in a path stands for itself
+        rel = F.url_decode(F.replace(F.substring("file", len(uris[root]) + 1, 1 << 20), F.lit("+"), F.lit("%2B")))
+        return files.filter(F.startswith("file", F.lit(uris[root]))).select(rel.alias("rel"), "size", "content")
 
-def verify_landing(spark: SparkSession, source: str, landed: str) -> DataFrame:
-    """Compare two file trees by relative path: one row per file with `status` ok, missing, extra,
-    size_mismatch or checksum_mismatch."""
-    sides = []
-    for root in (source, landed):
-        small = _file_md5(spark, root).select(_relative("file", root).alias("rel"), "md5")
-        lines = _file_lines(spark, root).select(_relative("file", root).alias("rel"), "size", "lines", "content")
-        sides.append(lines.join(small, "rel", "left"))
-    s, d = sides[0].alias("s"), sides[1].alias("d")
+    s, d = side(source).alias("s"), side(landed).alias("d")
     status = (F.when(F.col("d.size").isNull(), "missing")
               .when(F.col("s.size").isNull(), "extra")
               .when(F.col("s.size") != F.col("d.size"), "size_mismatch")
-              .when(~F.col("s.md5").eqNullSafe(F.col("d.md5"))
-                    | (F.col("s.lines") != F.col("d.lines")) | (F.col("s.content") != F.col("d.content")),
-                    "checksum_mismatch")
+              .when(~F.col("s.content").eqNullSafe(F.col("d.content")), "checksum_mismatch")
               .otherwise("ok"))
     return s.join(d, F.col("s.rel") == F.col("d.rel"), "full_outer").select(
         F.coalesce("s.rel", "d.rel").alias("file"), F.col("s.size").alias("source_bytes"),
-        F.col("d.size").alias("landed_bytes"), F.col("s.md5").alias("md5"), status.alias("status"))
+        F.col("d.size").alias("landed_bytes"), status.alias("status"))
 
 
 def table_fingerprint(df: DataFrame) -> DataFrame:
@@ -80,6 +99,13 @@ def partition_values(spark: SparkSession, path: str, names: list[str]) -> DataFr
     return files.select(*[F.regexp_extract("path", f"/{n}=([^/]+)/", 1).alias(n) for n in names]).distinct()
 
 
+def partition_times(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
+    """Partition values under `path`, as text, with the times of their oldest and newest file. No file is read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    parts = [F.regexp_extract("path", f"/{n}=([^/]+)/", 1).alias(n) for n in names]
+    return files.groupBy(*parts).agg(F.min("modificationTime").alias("oldest"), F.max("modificationTime").alias("newest"))
+
+
 def retention_candidates(partitions: DataFrame, run_date: str, rules: dict = RETENTION_RULES) -> DataFrame:
     """(layer, dataset, partition_date) rows older than their layer's limit, with the action that
     is due. Nothing is deleted."""

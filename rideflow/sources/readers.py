@@ -11,8 +11,9 @@ from rideflow.schemas import as_text
 DATE_PARTS = ("year", "month", "day")
 
 # An empty field is NULL only when it is not quoted. The null text is one that files cannot hold, so
-# that a quoted empty string stays an empty string.
-CSV_OPTIONS = {"header": True, "nullValue": "\u0000", "emptyValue": ""}
+# that a quoted empty string stays an empty string. A quote inside quotes is doubled; a backslash is
+# a character like others.
+CSV_OPTIONS = {"header": True, "nullValue": "\u0000", "emptyValue": "", "escape": '"'}
 
 
 def staging_schema(schema: T.StructType) -> T.StructType:
@@ -22,12 +23,13 @@ def staging_schema(schema: T.StructType) -> T.StructType:
         for f in schema])
 
 
-def read_raw(spark: SparkSession, path: str, schema: T.StructType, lenient: bool = False) -> DataFrame:
+def read_raw(spark: SparkSession, path: str, schema: T.StructType, lenient: bool = False, line_breaks: bool = False) -> DataFrame:
     """CSV with a header, columns by position, empty unquoted fields as NULL.
 
     Strict: one bad value fails the read, also in a column the query does not use.
-    Lenient: every column is text, so malformed rows can be cast, judged and quarantined."""
-    reader = spark.read.options(**CSV_OPTIONS)
+    Lenient: every column is text, so malformed rows can be cast, judged and quarantined.
+    `line_breaks`: quoted values may hold line breaks. Such a file cannot be split, so each is one task."""
+    reader = spark.read.options(**CSV_OPTIONS, multiLine=line_breaks)
     if lenient:
         return reader.schema(as_text(schema)).csv(path)
     rows = reader.schema(staging_schema(schema)).option("mode", "FAILFAST").csv(path)

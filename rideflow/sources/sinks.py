@@ -4,14 +4,26 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """Header, NULL as an empty field, the empty string quoted, blanks kept."""
+def write_csv(df: DataFrame, path: str, line_breaks: bool = False) -> None:
+    """Header, NULL as an empty field, the empty string quoted, quotes doubled, blanks kept.
+
+    A value with a line break fails the write, because readers that split files would tear its row; with
+    `line_breaks` it is written, for readers that do not."""
+    if not line_breaks:
+        df = df.select([_one_line(f.name) if f.dataType == T.StringType() else F.col(f"`{f.name}`") for f in df.schema])
     (df.write.mode("overwrite").option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
-     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+     .option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+
+
+def _one_line(name: str) -> Column:
+    value = F.col(f"`{name}`")
+    torn = F.raise_error(F.lit(f"a value of {name} holds a line break")).cast("string")
+    return F.when(value.rlike("[\r\n]"), torn).otherwise(value).alias(name)
 
 
 def write_json(df: DataFrame, path: str) -> None:

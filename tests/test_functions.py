@@ -54,8 +54,9 @@ def test_parse_timestamp_accepts_all_forms(spark, raw):
     assert one(spark, times.parse_timestamp("t"), t=raw).isoformat() == "2026-08-25T10:30:00"
 
 
-def test_parse_timestamp_rejects(spark):
-    assert one(spark, times.parse_timestamp("t"), t="soon") is None
+@pytest.mark.parametrize("raw", ["soon", "2026", "2026-08-25", "2026-08-25T10:30:00+05:30", "2026-13-01 10:30:00"])
+def test_parse_timestamp_rejects(spark, raw):
+    assert one(spark, times.parse_timestamp("t"), t=raw) is None
 
 
 def test_masks(spark):

@@ -1,7 +1,9 @@
+import csv
 import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rideflow import schemas
 from rideflow.operators import gold, privacy, quality
@@ -157,6 +159,65 @@ def test_verify_landing_statuses(spark, tmp_path):
     assert got == {"sub/a.csv": "size_mismatch", "sub/b.csv": "missing", "sub/c.csv": "ok", "sub/d.csv": "checksum_mismatch", "sub/e.csv": "extra"}
 
 
+def test_verify_landing_sees_order_line_ends_empty_files_and_blanks_in_names(spark, tmp_path):
+    long = [f"line {i}" for i in range(400_000)]
+    for side, files in (("src", {"cr.csv": "1\n2\n", "cut.csv": "x\n", "none.csv": "", "both.csv": "", "back.csv": "\n".join(long)}),
+                        ("dst", {"cr.csv": "1\r2\r", "cut.csv": "", "both.csv": "", "back.csv": "\n".join(reversed(long))})):
+        folder = tmp_path / side / "city=New Delhi+a%b"
+        folder.mkdir(parents=True)
+        (folder / "same.csv").write_text("\n".join(long))
+        for name, body in files.items():
+            (folder / name).write_bytes(body.encode())
+    found = maintenance.verify_landing(spark, str(tmp_path / "src"), str(tmp_path / "dst"))
+    got = {r.file.removeprefix("city=New Delhi+a%b/"): r.status for r in found.collect()}
+    assert got == {"cr.csv": "checksum_mismatch", "cut.csv": "size_mismatch", "none.csv": "missing", "both.csv": "ok",
+                   "back.csv": "checksum_mismatch", "same.csv": "ok"}
+
+
+def test_csv_of_other_writers(spark, tmp_path):
+    values = ['say "hi", you', 'the "big" one', "back\\slash", "a,b", " blank ", ""]
+    with open(tmp_path / "x.csv", "w", newline="") as file:
+        writer = csv.writer(file)
+        writer.writerow(["k", "v"])
+        writer.writerows((i, v) for i, v in enumerate(values))
+    schema = T.StructType().add("k", T.IntegerType()).add("v", T.StringType())
+    for lenient in (True, False):
+        got = readers.read_raw(spark, str(tmp_path / "x.csv"), schema, lenient).collect()
+        assert [r.v or "" for r in got] == values
+    sinks.write_csv(spark.createDataFrame(list(enumerate(values)), schema), str(tmp_path / "own"))
+    assert sorted((r.k, r.v) for r in readers.read_raw(spark, str(tmp_path / "own"), schema).collect()) == list(enumerate(values))
+
+
+def test_line_breaks_are_refused_or_kept(spark, tmp_path):
+    schema = T.StructType().add("k", T.IntegerType()).add("v", T.StringType())
+    df = spark.createDataFrame([(1, "a\nb")], schema)
+    with pytest.raises(Exception, match="line break"):
+        sinks.write_csv(df, str(tmp_path / "torn"))
+    sinks.write_csv(df, str(tmp_path / "whole"), line_breaks=True)
+    assert [tuple(r) for r in readers.read_raw(spark, str(tmp_path / "whole"), schema, line_breaks=True).collect()] == [(1, "a\nb")]
+
+
+def test_order_of_processing_does_not_matter(spark, raw):
+    days = ["2026-10-07", "2026-10-08"]
+    some = {"customers": raw["customers"].filter("pmod(hash(customer_id), 2) = 0"), "drivers": raw["drivers"],
+            "rides": raw["rides"].filter("pmod(hash(ride_id), 3) = 0")}  # no payments on the first day
+    landings = {days[0]: some, days[1]: raw}
+    results = []
+    for order in (days, days[::-1]):
+        path = work_dir(spark)
+        for day in order:
+            lake.land_all(landings[day], path, day)
+            assert day in lake.run(spark, path, "run", AT, SALT)
+        assert lake.pending_dates(spark, path) == []
+        silver = {n: lake.read_silver(spark, path, n) for n in ("rides", "payments")}
+        assert silver["rides"].groupBy("ride_id").count().filter("count > 1").isEmpty()
+        facts = lake.gold_tables(spark, path)
+        assert facts["fact_rides"].count() == silver["rides"].count()
+        results.append([content(df.select(*[c for c in df.columns if not c.startswith("_")])) for df in silver.values()]
+                       + [content(facts[n].select(*[c for c in facts[n].columns if not c.startswith("_")])) for n in ("fact_rides", "fact_payments")])
+    assert results[0] == results[1]
+
+
 def test_dynamic_overwrite_keeps_other_partitions(spark, tmp_path):
     path = str(tmp_path / "t")
     schema = "v int, year int, month int"
