@@ -45,6 +45,12 @@ def _sums(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.hash("u", "v").cast("long"))).first())
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete the scratch tables under `path`. Nothing that is still to run may read them: later steps start from tables of their own."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of finished steps now. It does so once the driver's JVM has found them unreferenced, which on a
     large heap can be long after the last job that read them."""

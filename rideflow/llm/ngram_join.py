@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rideflow.llm.graph import components, release
+from rideflow.llm.graph import components, discard, release
 from rideflow.llm.words import mix, shingles, text_slices, words
 from rideflow.sources.workdir import materialize, work_dir
 
@@ -182,24 +182,30 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     are one document: they share a component. Rows without a doc_id link with nothing; their component is null. Sets and shingles are compared by 64-bit hashes. Other columns are ignored.
     """
     spark = docs.sparkSession
-    sets = materialize(_sets(docs, id_col, text_col, size, percent), work_dir(spark))
+    first, entry_dir, part_dir = work_dir(spark), work_dir(spark), work_dir(spark)
+    sets = materialize(_sets(docs, id_col, text_col, size, percent), first)
     linkable = sets.where("doc_id IS NOT NULL AND n > 0")
-    prefixes = materialize(_prefixes(linkable, percent), work_dir(spark))
+    prefixes = materialize(_prefixes(linkable, percent), entry_dir)
     release(spark)
-    whom = linkable.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     met = prefixes.select("node").distinct()
     bits = linkable.groupBy("node").agg(F.first("bits").alias("bits"))
-    parts = materialize(met.join(bits, "node").withColumn("part", F.col("node")), work_dir(spark))
+    parts = materialize(met.join(bits, "node").withColumn("part", F.col("node")), part_dir)
+    # the shingles are not read again
+    sets = materialize(sets.select("doc_id", "node", "n"), work_dir(spark))
+    discard(spark, first)
+    linkable = sets.where("doc_id IS NOT NULL AND n > 0")
+    whom = linkable.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
 
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
     release(spark)
     for turn in range(ROUNDS + 1):
+        scratch = work_dir(spark)
         entries = prefixes.join(parts, "node")
         per_part = entries.groupBy("token", "part").agg(F.count("*").alias("n_part"))
         per_token = per_part.groupBy("token").agg(F.sum("n_part").alias("n_all"), F.count("*").alias("n_parts"),
                                                   F.max(F.struct("n_part", "part")).alias("largest")).where("n_parts > 1")
-        per_token = materialize(per_token, work_dir(spark))
+        per_token = materialize(per_token, f"{scratch}/per_token")
         totals = per_token.agg(F.sum(F.expr("(n_all - largest.n_part) * n_all")), F.sum("n_all")).first()
         if not totals[0]:
             break
@@ -223,20 +229,24 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      .where((F.col("part") != F.col("hub.part"))
                           & _may_be_similar({c: F.col(c) for c in ("n", "bits")}, {c: F.col(f"hub.{c}") for c in ("n", "bits")}, percent))
                      .select(F.col("node").alias("a"), F.col("hub.node").alias("b")).distinct())
-        pairs = materialize(pairs, work_dir(spark))
+        pairs = materialize(pairs, f"{scratch}/pairs")
         # whole sets are larger than texts, so only documents of a pair get theirs
         asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         full = _full_sets(whom.join(asked, "node").join(texts, "doc_id").select("node", "text"), size)
-        full = materialize(full.groupBy("node").agg(F.first("hashes").alias("hashes")), work_dir(spark))
+        full = materialize(full.groupBy("node").agg(F.first("hashes").alias("hashes")), f"{scratch}/full")
         release(spark)
-        links = materialize(_verified(pairs, full, percent), work_dir(spark))
+        links = materialize(_verified(pairs, full, percent), f"{scratch}/links")
         by_part = (links.join(parts.select(F.col("node").alias("a"), F.col("part").alias("pa")), "a")
                    .join(parts.select(F.col("node").alias("b"), F.col("part").alias("pb")), "b")
                    .select(F.col("pa").alias("a"), F.col("pb").alias("b")))
-        parts = materialize(_relabel(parts, by_part), work_dir(spark))
+        old, part_dir = part_dir, work_dir(spark)
+        parts = materialize(_relabel(parts, by_part), part_dir)
+        discard(spark, scratch)
+        discard(spark, old)
         release(spark)
         if last:
             break
+    discard(spark, entry_dir)
 
     grouped = whom.join(parts.select("node", "part"), "node", "left").withColumn("part", F.coalesce("part", "node"))
     # rows of one doc_id with several texts join the parts of those texts
