@@ -101,5 +101,7 @@ def silver(body: str, *ctes: str) -> str:
 
 
 def key(*parts: str) -> str:
+    if len(parts) > 1:
+        parts = tuple(f"replace(replace({p}, '\\', '\\\\'), '|', '\\|')" for p in parts)
     joined = " || '|' || ".join(parts)
     return f"('0x' || substr(md5({joined}), 1, 15))::BIGINT"

@@ -261,10 +261,10 @@ def _(spark, d):
 
 @query("gd_01_surrogate_key", with_tables("customers", """
 SELECT customer_id, ('0x' || substr(md5(customer_id), 1, 15))::BIGINT AS customer_key,
-  ('0x' || substr(md5(city || '|' || first_name), 1, 15))::BIGINT AS group_key FROM customers"""))
+  ('0x' || substr(md5(city || '\\|' || '|' || first_name), 1, 15))::BIGINT AS group_key FROM customers"""))
 def _(spark, d):
     return customers(spark, d).select("customer_id", surrogate_key("customer_id").alias("customer_key"),
-                                      surrogate_key("city", "first_name").alias("group_key"))
+                                      surrogate_key(F.concat("city", F.lit("|")), "first_name").alias("group_key"))
 
 
 @query("gd_01_key_collisions", with_tables("rides", """

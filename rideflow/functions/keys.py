@@ -9,13 +9,15 @@ from pyspark.sql import functions as F
 def surrogate_key(*cols) -> Column:
     """60 bits of MD5 over the natural key: the same key in every run, so facts need no lookup join.
 
-    NULL if any part of the natural key is NULL.
+    NULL if any part of the natural key is NULL. Separators inside a part are escaped, so ("a|b", "c") and ("a", "b|c") differ.
     """
     parts = []
     for i, c in enumerate(cols):
         if i:
             parts.append(F.lit("|"))
-        parts.append((F.col(c) if isinstance(c, str) else c).cast("string"))
+        part = (F.col(c) if isinstance(c, str) else c).cast("string")
+        escaped = F.replace(F.replace(part, F.lit("\\"), F.lit("\\\\")), F.lit("|"), F.lit("\\|"))
+        parts.append(escaped if len(cols) > 1 else part)
     return F.conv(F.substring(F.md5(F.concat(*parts)), 1, 15), 16, 10).cast("bigint")
 
 

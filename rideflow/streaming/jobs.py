@@ -122,5 +122,6 @@ def current_state(spark: SparkSession, out: str, schema: T.StructType, key: str,
 
 
 def compact_state(spark: SparkSession, out: str, schema: T.StructType, key: str, order: str, target: str) -> None:
-    """Store the current state as one table; a later log can start from it as batch 0."""
-    current_state(spark, out, schema, key, order).write.mode("overwrite").parquet(_batch_path(target, 0))
+    """Store the current state as the base of a new log at `target`. The base is numbered before batch 0, so no
+    batch of a later stream overwrites it."""
+    current_state(spark, out, schema, key, order).write.mode("overwrite").parquet(_batch_path(target, -1))

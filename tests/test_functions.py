@@ -72,6 +72,11 @@ def test_surrogate_key_is_null_with_a_null_part(spark):
     assert got[0] is None and got[1] > 0
 
 
+def test_surrogate_key_tells_separators_from_parts(spark):
+    df = spark.createDataFrame([("a|b", "c"), ("a", "b|c"), ("a\\", "|b"), ("a\\|", "b"), ("a", "b")], "x string, y string")
+    assert df.select(keys.surrogate_key("x", "y")).distinct().count() == 5
+
+
 def test_calendar_parts_sunday_is_one(spark):
     parts = times.calendar_parts("t")
     df = spark.sql("SELECT TIMESTAMP_NTZ'2024-01-07 23:59:59' AS t").select(*[c.alias(n) for n, c in parts.items()])

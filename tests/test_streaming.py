@@ -75,3 +75,8 @@ def test_upsert_state_and_compaction(spark):
     jobs.compact_state(spark, f"{root}/out", schemas.EVENTS, "user_id", "ts", f"{root}/compact")
     again = jobs.current_state(spark, f"{root}/compact", schemas.EVENTS, "user_id", "ts")
     assert {r.user_id: r.event_id for r in again.collect()} == {1: 2, 2: 5}
+    # a new stream continues the compacted log without replacing its base
+    arrive(spark, f"{root}/in2", event(6, 9, 30, user=3))
+    jobs.run_batches(jobs.file_stream(spark, f"{root}/in2", schemas.EVENTS), jobs.upsert_log(f"{root}/compact", "user_id", "ts"), f"{root}/cp2")
+    grown = jobs.current_state(spark, f"{root}/compact", schemas.EVENTS, "user_id", "ts")
+    assert {r.user_id: r.event_id for r in grown.collect()} == {1: 2, 2: 5, 3: 6}
