@@ -13,6 +13,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -34,8 +35,8 @@ _HIDDEN, _FURNITURE, _BLOCK, _VOID, _NAMES = map(frozenset, (HIDDEN, FURNITURE,
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*)>""", re.S)
 _SIMPLE_TAG = re.compile(r"</?[a-zA-Z][^>]*>")
-_LABEL = re.compile(r"""\b(?:class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_HIDES = re.compile(r"""\bhidden\b(?!\s*=\s*["']?false)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
 
 # Zones: "core" is inside article or main, "furniture" as above, "plain" the rest; forms of a piece within a zone.
 PRIOR = {("core", "text"): 2.0, ("core", "link"): 0.5, ("core", "list"): 1.0, ("plain", "text"): 1.0, ("plain", "link"): -1.0, ("plain", "list"): -0.3,
@@ -43,42 +44,79 @@ PRIOR = {("core", "text"): 2.0, ("core", "link"): 0.5, ("core", "list"): 1.0, ("
 TAG_PRIOR, TAG_LEAST, LIMIT, PRIOR_COUNT = -0.5, -0.1, 3.0, 20.0
 
 
-def items(page: str) -> Iterator[tuple[str, str, tuple[str, str] | str]]:
+@dataclass(slots=True)
+class Element:
+    """An element of a page and what it inherits: elements are told by their places in the list of all of them, -1 is none."""
+
+    name: str
+    parent: int
+    firm: bool  # furniture by its tag or hidden, or inside of such
+    named: int  # the innermost element around, itself included, that has a name of furniture
+    core: bool  # inside article or main
+
+
+def _marks(attributes: str) -> tuple[bool, bool, bool]:
+    """Whether an element with these attributes is hidden, has a name of furniture, and is called header.
+
+    A name is a whole class, id, role or label, or one put together of such names only ("cookie-banner", but not "has-comments").
+    """
+    hidden, names = False, set()
+    for found in _ATTRIBUTE.finditer(attributes):
+        attribute, value = found[1].lower(), (found[2] or found[3] or found[4] or "").strip().lower()
+        if attribute == "hidden":
+            hidden |= value != "false"
+        elif attribute == "aria-hidden":
+            hidden |= value == "true"
+        elif attribute == "style":
+            hidden |= bool(_NO_DISPLAY.search(value))
+        elif attribute in ("class", "id", "role"):
+            names.update(value.split())
+        elif attribute == "aria-label":
+            names.add(value)
+    return hidden, any(n in _NAMES or _NAMES.issuperset(re.split(r"[^a-z0-9]+", n)) for n in names), "header" in names
+
+
+def _holder(parts: list) -> str | None:
+    """The name that labels a page's content: article if there is exactly one, else main if there is exactly one."""
+    return next((n for n in ("article", "main") if sum(p[0] == "tag" and p[1] == n and p[2] == "open" for p in parts) == 1), None)
+
+
+def items(page: str) -> list[tuple[str, str, tuple[str, str] | str]]:
     """("text", piece, (zone, form)) and ("tag", name, "open" or "close") in page order; hidden elements and comments are left out.
 
     An end tag closes the innermost open element of its name, and with it whatever was left open inside; one without a
-    start is only a tag. List items and paragraphs also end where the next one begins.
+    start is only a tag. List items and paragraphs also end where the next one begins. An article, a main element, and the
+    element with most of the page's words of positive weight (of those in its article or main, if that is one) are no furniture by a name alone.
     """
-    stack: list[tuple[str, str]] = []
+    parts: list = []
+    owners: list[int] = []
+    elements: list[Element] = []
+    stack: list[int] = []
     counts: Counter[str] = Counter()
     skip = ""
     at = 0
 
-    def push(name: str, zone: str) -> None:
-        stack.append((name, zone))
-        counts[name] += 1
-        counts["zone " + zone] += 1
-
     def pop(name: str) -> None:
         while stack:
-            top, zone = stack.pop()
+            top = elements[stack.pop()].name
             counts[top] -= 1
-            counts["zone " + zone] -= 1
             if top == name:
                 return
 
-    def place() -> tuple[str, str]:
-        zone = "furniture" if counts["zone furniture"] else "core" if counts["zone core"] else "plain"
-        return zone, "link" if counts["a"] else "list" if counts["li"] or counts["dd"] or counts["dt"] else "text"
+    def add(kind: str, value: str, more: str = "") -> None:
+        if kind == "text":
+            more = "link" if counts["a"] else "list" if counts["li"] or counts["dd"] or counts["dt"] else "text"
+        parts.append((kind, value, more))
+        owners.append(stack[-1] if stack else -1)
 
     for found in _TAG.finditer(page):
         if not skip and found.start() > at:
-            yield "text", page[at:found.start()], place()
+            add("text", page[at:found.start()])
         at = found.end()
         name = (found[2] or "").lower()
         if not name:
             if not skip and found[0].startswith("<![CDATA["):
-                yield "text", found[0][9:-3], place()
+                add("text", found[0][9:-3])
             continue
         if skip:
             if found[1] and name == skip or skip == "head" and name == "body":
@@ -86,7 +124,7 @@ def items(page: str) -> Iterator[tuple[str, str, tuple[str, str] | str]]:
             if skip or found[1]:
                 continue
         if found[1]:
-            yield "tag", name, "close"
+            add("tag", name, "close")
             if counts[name]:
                 pop(name)
             continue
@@ -97,17 +135,54 @@ def items(page: str) -> Iterator[tuple[str, str, tuple[str, str] | str]]:
                     # raw text: what looks like a tag inside ends nothing, only the element's own end tag does
                     continue
             continue
-        yield "tag", name, "open"
+        add("tag", name, "open")
         if name in _VOID or found[3].rstrip().endswith("/") and name not in _BLOCK:
             continue
-        if name in ("li", "dd", "dt", "p") and counts[name] and stack[-1][0] in (name, "b", "i", "em", "strong", "span", "p"):
+        if name in ("li", "dd", "dt", "p") and counts[name] and elements[stack[-1]].name in (name, "b", "i", "em", "strong", "span", "p"):
             pop(name)
-        labels = {w for group in _LABEL.findall(found[3]) for w in re.split(r"[^a-z0-9]+", "".join(group).lower())} if "=" in found[3] else set()
-        furniture = (name in _FURNITURE or bool(labels & _NAMES) or bool(found[3] and _HIDES.search(found[3]))
-                     or (name == "header" or "header" in labels) and not counts["zone core"])
-        push(name, "furniture" if furniture and name not in ("body", "html") else "core" if name in ("article", "main") else "plain")
+        hidden, named, header = _marks(found[3]) if found[3] else (False, False, False)
+        up = elements[stack[-1]] if stack else Element("", -1, False, -1, False)
+        firm = name not in ("body", "html") and (name in _FURNITURE or hidden or name == "header" and not up.core)
+        named = name not in ("body", "html", "article", "main") and (named or header and not up.core)
+        elements.append(Element(name, stack[-1] if stack else -1, up.firm or firm, len(elements) if named else up.named,
+                                up.core or name in ("article", "main") and not firm))
+        stack.append(len(elements) - 1)
+        counts[name] += 1
     if not skip and at < len(page):
-        yield "text", page[at:], place()
+        add("text", page[at:])
+    return _with_zones(parts, owners, elements)
+
+
+def _with_zones(parts: list, owners: list[int], elements: list[Element]) -> list:
+    """`parts` with the zone of every text beside its form."""
+    nowhere = Element("", -1, False, -1, False)
+    around = [elements[o] if o >= 0 else nowhere for o in owners]
+    zones = ["core" if e.core else "plain" for e in around]
+    loose: Counter[int] = Counter()
+    if any(e.named >= 0 for e in around):
+        words = [len(v.split()) * max(0.0, PRIOR[zone, more]) if kind == "text" and not e.firm else 0.0
+                 for (kind, v, more), e, zone in zip(parts, around, zones, strict=True)]
+        inside = [w if zone == "core" else 0.0 for w, zone in zip(words, zones, strict=True)]
+        if _holder(parts) and any(inside):
+            words = inside
+        for e, n in zip(around, words, strict=True):
+            while n and e.named >= 0:
+                loose[e.named] += n
+                up = elements[e.named].parent
+                e = elements[up] if up >= 0 else nowhere
+        half = sum(words) / 2
+        loose = Counter({i: n for i, n in loose.items() if n > half})
+
+    def furniture(e: Element) -> bool:
+        while e.named >= 0:
+            if e.named not in loose:
+                return True
+            up = elements[e.named].parent
+            e = elements[up] if up >= 0 else nowhere
+        return False
+
+    return [(kind, v, ("furniture" if e.firm or e.named >= 0 and furniture(e) else zone, more) if kind == "text" else more)
+            for (kind, v, more), e, zone in zip(parts, around, zones, strict=True)]
 
 
 def learn_weights(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", max_train: int = MAX_TRAIN) -> dict:
@@ -124,8 +199,8 @@ def learn_weights(pages: DataFrame, id_col: str = "page_id", html_col: str = "ht
             inside: Counter[str] = Counter()
             outside: Counter[str] = Counter()
             for page in batch.column(0).to_pylist():
-                parts = list(items(page or ""))
-                holder = next((n for n in ("article", "main") if sum(p == ("tag", n, "open") for p in parts) == 1), None)
+                parts = items(page or "")
+                holder = _holder(parts)
                 within = False
                 for kind, value, more in parts if holder else ():
                     if (kind, value) == ("tag", holder):
@@ -171,7 +246,7 @@ def best_run(scores: list[float]) -> tuple[int, int]:
 
 def main_text(page: str | None, weights: dict) -> str:
     """The content's blocks, one a line."""
-    parts = list(items(page or ""))
+    parts = items(page or "")
     texts, tags = weights["text"], weights["tag"]
     scores = [len(value.split()) * texts[more] if kind == "text" else tags.get(value, TAG_PRIOR) for kind, value, more in parts]
     start, end = best_run(scores)

@@ -120,6 +120,26 @@ def test_main_text_cases(spark):
     assert extract_main_text(pages.limit(0), learn_weights(pages.limit(0))).count() == 0
 
 
+@pytest.mark.parametrize("mark", ['style="overflow:hidden"', 'class="overflow-hidden"', 'class="with-sidebar"', 'class="post has-comments"',
+                                  'class="elementor-widget"', 'id="no-sidebar"', 'class="ad-free"', 'class="widget"', 'data-x="hidden"'])
+@pytest.mark.parametrize("tag", ["article", "main", "div", "section"])
+def test_no_content_goes_by_a_loose_mark(tag, mark):
+    weights = {"text": dict(PRIOR), "tag": {}}
+    rest = "<div class='cookie-banner'>we use them all</div><div class='comments'><p>bad words here</p></div>"
+    for page in (f"<{tag} {mark}><p>one two three four five six seven eight</p></{tag}>{rest}",
+                 f"<div {mark}><{tag}><p>one two three four five six seven eight</p></{tag}></div>{rest}"):
+        assert main_text(page, weights) == "one two three four five six seven eight"
+    for hides in ("hidden", "hidden=''", "aria-hidden=true", "style='color:red; display: none'"):
+        assert main_text(f"<{tag} {hides}><p>one two three</p></{tag}>", weights) == ""
+
+
+def test_a_name_outside_the_article_stays_furniture():
+    weights = {"text": dict(PRIOR), "tag": {}}
+    assert main_text("<article><p>one</p></article><div class=ad>a b c d e f g h i j</div>", weights) == "one"
+    assert main_text("<article class=teaser>one</article><article class=teaser>two</article><div id=search><p>a b c d e f g h i j</p></div>",
+                     weights).endswith("a b c d e f g h i j")
+
+
 def test_url_rules_cases(spark):
     urls = spark.createDataFrame([(1, None), (2, "no host"), (3, "http://EXAMPLE.com/en/a?x"), (4, "http://www.example.com/en/"), (5, "http://xcom/"),
                                   (6, "http://a.net"), (7, "http://a.b.net/fr/x#y"), (7, "http://a.b.net/fr/x#y")], "page_id long, url string")
