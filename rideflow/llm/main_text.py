@@ -1,9 +1,10 @@
 """Main text of web pages as a maximum-scoring run of words and tags.
 
 A page is a row of items: pieces of text and tags. Each word of a piece adds a weight that is positive where articles have their words, each
-tag adds a negative one, and the run of items with the largest sum is the content; one pass over the items finds it. The weights are
-log odds, counted over labelled pages, of lying inside the content or outside; what those pages do not show keeps a prior. Inside the
-run, pieces whose surroundings are never content (menus, adverts, comments, forms and the like) are left out.
+tag adds a negative one, and the run of items with the largest sum is the core of the content; one pass over the items finds it. The weights are
+log odds, counted over labelled pages, of lying inside the content or outside; what those pages do not show keeps a prior. The element
+that holds the run is the content, so that lists and short blocks at its edges stay; pieces in it whose surroundings are never content (menus,
+adverts, comments, forms and the like) are left out.
 """
 
 from __future__ import annotations
@@ -26,12 +27,13 @@ HIDDEN = "script style noscript template title textarea select option svg math i
 FURNITURE = "nav aside footer form menu dialog fieldset".split()
 BLOCK = ("address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset "
          "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul").split()
+CONTAINER = "article body center html main section div td".split()
 VOID = "area base br col embed hr img input link meta param source track wbr".split()
 NAMES = ("ad ads adsbox advert advertisement advertising adverts alert banner breadcrumb breadcrumbs byline-share comment comments consent cookie "
          "cookies copyright dialog disqus footer form gdpr login masthead menu modal nav navbar navigation newsletter notice notification overlay "
          "pager pagination paywall popup promo promoted promotion recommended related replies reply respond search share sharing sidebar signup "
          "skip social sponsor sponsored sponsors subscribe subscription teaser toc toolbar widget").split()
-_HIDDEN, _FURNITURE, _BLOCK, _VOID, _NAMES = map(frozenset, (HIDDEN, FURNITURE, BLOCK, VOID, NAMES))
+_HIDDEN, _FURNITURE, _BLOCK, _CONTAINER, _VOID, _NAMES = map(frozenset, (HIDDEN, FURNITURE, BLOCK, CONTAINER, VOID, NAMES))
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*)>""", re.S)
 _SIMPLE_TAG = re.compile(r"</?[a-zA-Z][^>]*>")
@@ -52,7 +54,12 @@ class Element:
     parent: int
     firm: bool  # furniture by its tag or hidden, or inside of such
     named: int  # the innermost element around, itself included, that has a name of furniture
-    core: bool  # inside article or main
+    core: int  # the outermost article around, itself included; if none, the outermost main element
+    start: int = 0  # its items, from its start tag on
+    end: int = 0
+
+
+_NOWHERE = Element("", -1, False, -1, -1)
 
 
 def _marks(attributes: str) -> tuple[bool, bool, bool]:
@@ -88,6 +95,11 @@ def items(page: str) -> list[tuple[str, str, tuple[str, str] | str]]:
     start is only a tag. List items and paragraphs also end where the next one begins. An article, a main element, and the
     element with most of the page's words of positive weight (of those in its article or main, if that is one) are no furniture by a name alone.
     """
+    return _parse(page)[0]
+
+
+def _parse(page: str) -> tuple[list, list[int], list[Element]]:
+    """The items, the element each of them is in (-1: none), and the elements."""
     parts: list = []
     owners: list[int] = []
     elements: list[Element] = []
@@ -96,11 +108,12 @@ def items(page: str) -> list[tuple[str, str, tuple[str, str] | str]]:
     skip = ""
     at = 0
 
-    def pop(name: str) -> None:
+    def pop(name: str, end: int) -> None:
         while stack:
-            top = elements[stack.pop()].name
-            counts[top] -= 1
-            if top == name:
+            top = elements[stack.pop()]
+            top.end = end
+            counts[top.name] -= 1
+            if top.name == name:
                 return
 
     def add(kind: str, value: str, more: str = "") -> None:
@@ -126,7 +139,7 @@ def items(page: str) -> list[tuple[str, str, tuple[str, str] | str]]:
         if found[1]:
             add("tag", name, "close")
             if counts[name]:
-                pop(name)
+                pop(name, len(parts))
             continue
         if name in _HIDDEN:
             if not found[3].rstrip().endswith("/"):
@@ -139,25 +152,27 @@ def items(page: str) -> list[tuple[str, str, tuple[str, str] | str]]:
         if name in _VOID or found[3].rstrip().endswith("/") and name not in _BLOCK:
             continue
         if name in ("li", "dd", "dt", "p") and counts[name] and elements[stack[-1]].name in (name, "b", "i", "em", "strong", "span", "p"):
-            pop(name)
+            pop(name, len(parts) - 1)
         hidden, named, header = _marks(found[3]) if found[3] else (False, False, False)
-        up = elements[stack[-1]] if stack else Element("", -1, False, -1, False)
-        firm = name not in ("body", "html") and (name in _FURNITURE or hidden or name == "header" and not up.core)
-        named = name not in ("body", "html", "article", "main") and (named or header and not up.core)
+        up = elements[stack[-1]] if stack else _NOWHERE
+        firm = name not in ("body", "html") and (name in _FURNITURE or hidden or name == "header" and up.core < 0)
+        named = name not in ("body", "html", "article", "main") and (named or header and up.core < 0)
+        core = not firm and (name == "article" and (up.core < 0 or elements[up.core].name == "main") or name == "main" and up.core < 0)
         elements.append(Element(name, stack[-1] if stack else -1, up.firm or firm, len(elements) if named else up.named,
-                                up.core or name in ("article", "main") and not firm))
+                                len(elements) if core else up.core, len(parts) - 1))
         stack.append(len(elements) - 1)
         counts[name] += 1
     if not skip and at < len(page):
         add("text", page[at:])
-    return _with_zones(parts, owners, elements)
+    for i in stack:
+        elements[i].end = len(parts)
+    return _with_zones(parts, owners, elements), owners, elements
 
 
 def _with_zones(parts: list, owners: list[int], elements: list[Element]) -> list:
     """`parts` with the zone of every text beside its form."""
-    nowhere = Element("", -1, False, -1, False)
-    around = [elements[o] if o >= 0 else nowhere for o in owners]
-    zones = ["core" if e.core else "plain" for e in around]
+    around = [elements[o] if o >= 0 else _NOWHERE for o in owners]
+    zones = ["core" if e.core >= 0 else "plain" for e in around]
     loose: Counter[int] = Counter()
     if any(e.named >= 0 for e in around):
         words = [len(v.split()) * max(0.0, PRIOR[zone, more]) if kind == "text" and not e.firm else 0.0
@@ -169,7 +184,7 @@ def _with_zones(parts: list, owners: list[int], elements: list[Element]) -> list
             while n and e.named >= 0:
                 loose[e.named] += n
                 up = elements[e.named].parent
-                e = elements[up] if up >= 0 else nowhere
+                e = elements[up] if up >= 0 else _NOWHERE
         half = sum(words) / 2
         loose = Counter({i: n for i, n in loose.items() if n > half})
 
@@ -178,7 +193,7 @@ def _with_zones(parts: list, owners: list[int], elements: list[Element]) -> list
             if e.named not in loose:
                 return True
             up = elements[e.named].parent
-            e = elements[up] if up >= 0 else nowhere
+            e = elements[up] if up >= 0 else _NOWHERE
         return False
 
     return [(kind, v, ("furniture" if e.firm or e.named >= 0 and furniture(e) else zone, more) if kind == "text" else more)
@@ -244,9 +259,33 @@ def best_run(scores: list[float]) -> tuple[int, int]:
     return found
 
 
+def _enclosing(parts: list, owners: list[int], elements: list[Element], start: int, end: int) -> tuple[int, int]:
+    """The items of the element that holds the run: the article, or else main element, of its text; where it has several or
+    none, the smallest container of all its text, the page if there is none."""
+    texts = [i for i in range(start, end) if parts[i][0] == "text" and parts[i][2][0] != "furniture" and parts[i][1].strip()]
+    texts = [i for i in texts if parts[i][2][0] == "core"] or texts
+    inside = {owners[i] for i in texts}
+    holders = {elements[o].core if o >= 0 else -1 for o in inside}
+    common = holders.pop() if len(holders) == 1 else -1
+    if common < 0:
+        paths = []
+        for o in inside:
+            path = []
+            while o >= 0:
+                path.append(o)
+                o = elements[o].parent
+            paths.append(path[::-1])
+        for level in zip(*paths):
+            if len(set(level)) > 1:
+                break
+            if elements[level[0]].name in _CONTAINER:
+                common = level[0]
+    return (elements[common].start, elements[common].end) if common >= 0 else (0, len(parts))
+
+
 def main_text(page: str | None, weights: dict) -> str:
-    """The content's blocks, one a line."""
-    parts = items(page or "")
+    """The content's blocks, one a line. Around the run, blocks outside of article and main with most of their words in links are left out."""
+    parts, owners, elements = _parse(page or "")
     texts, tags = weights["text"], weights["tag"]
     scores = [len(value.split()) * texts[more] if kind == "text" else tags.get(value, TAG_PRIOR) for kind, value, more in parts]
     start, end = best_run(scores)
@@ -257,15 +296,20 @@ def main_text(page: str | None, weights: dict) -> str:
         start -= 1
     while end < len(parts) and not edge[end]:
         end += 1
-    blocks, block = [], []
-    for (kind, value, more), cut in zip(parts[start:end], edge[start:end], strict=True):
-        if cut:
-            blocks.append(block)
-            block = []
-        elif kind == "text" and more[0] != "furniture":
-            block.append(html.unescape(value))
-    lines = [" ".join("".join(b).split()) for b in [*blocks, block]]
-    return "\n".join(line for line in lines if line)
+    low, high = _enclosing(parts, owners, elements, start, end)
+    lines, block, linked = [], [], 0
+    for i in range(min(low, start), max(high, end) + 1):
+        if i == max(high, end) or edge[i]:
+            line = " ".join("".join(block).split())
+            # a block lies in the run or outside as a whole
+            if line and (start <= i - 1 < end or linked <= 0):
+                lines.append(line)
+            block, linked = [], 0
+        elif parts[i][0] == "text" and parts[i][2][0] != "furniture":
+            zone, form = parts[i][2]
+            block.append(html.unescape(parts[i][1]))
+            linked += 0 if zone == "core" else len(parts[i][1].split()) * (1 if form == "link" else -1)
+    return "\n".join(lines)
 
 
 def extract_main_text(pages: DataFrame, weights: dict, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -140,6 +140,24 @@ def test_a_name_outside_the_article_stays_furniture():
                      weights).endswith("a b c d e f g h i j")
 
 
+def test_edges_of_the_content_stay(spark):
+    head = "<nav><ul><li><a>Home</a></li><li><a>News</a></li></ul></nav><div class=ad>buy this now</div>"
+    usual = [(i, "u", f"{head}<article><h1>A title of it</h1><p>{'some words of it ' * 9}</p></article><footer>f</footer>") for i in range(40)]
+    learned = learn_weights(spark.createDataFrame(usual, "page_id long, url string, html string"))
+    assert learned["tag"]["li"] == -3.0
+    listed = "<h2>Parts</h2><ul><li>two eggs</li><li><a href=x>brown sugar</a></li></ul>"
+    for weights in (learned, {"text": dict(PRIOR), "tag": {}}):
+        for holder in ("article", "main"):
+            page = f"{head}<{holder}>{listed}<p>{'word ' * 30}</p><div>short</div>{listed}</{holder}><footer>f</footer>"
+            assert main_text(page, weights).split("\n") == ["Parts", "two eggs", "brown sugar", ("word " * 30).strip(), "short", "Parts", "two eggs", "brown sugar"]
+        plain = f"<div><ul><li><a>Home page</a></li></ul></div><div><ul><li>two eggs</li></ul><p>{'word ' * 30}</p><ul><li>salt</li></ul></div><div><a>More</a></div>"
+        assert main_text(plain, weights).split("\n") == ["two eggs", ("word " * 30).strip(), "salt"]
+        # a run over several articles is widened to what holds them, without its links
+        long = ("word " * 30).strip()
+        several = f"<body><div><a>Home</a></div><div><article>{long}</article><article>{long}</article><p><a>More</a></p><article>c</article></div><div>end</div>"
+        assert main_text(several, weights).split("\n") == [long, long, "c"]
+
+
 def test_url_rules_cases(spark):
     urls = spark.createDataFrame([(1, None), (2, "no host"), (3, "http://EXAMPLE.com/en/a?x"), (4, "http://www.example.com/en/"), (5, "http://xcom/"),
                                   (6, "http://a.net"), (7, "http://a.b.net/fr/x#y"), (7, "http://a.b.net/fr/x#y")], "page_id long, url string")
