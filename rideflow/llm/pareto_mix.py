@@ -23,7 +23,6 @@ LEVELS = 3
 RANK_BITS = LEVEL_BITS * LEVELS
 RUNS = "array<struct<low:bigint,high:bigint,most:bigint>>"
 NEAR = 0.001
-PASSES = 3
 
 
 def n_words(text: Column) -> Column:
@@ -87,18 +86,19 @@ def pareto_cuts(docs: DataFrame, targets: DataFrame, max_copies: int = 2, weight
     rest = (goals.alias("g").join(certain.alias("c"), _same("g", "c"))
             .select("g.source", "target", F.greatest(F.lit(0.0), F.col("target") - F.col("sure")).alias("gap"), F.lit(0).cast("long").alias("low"),
                     F.lit(None).cast("long").alias("most"), F.array().cast(RUNS).alias("runs")))
-    rest = materialize(rest, work_dir(spark))
-    for _ in range(PASSES):
-        rest = materialize(_one_pass(rows, rest), work_dir(spark))
-        if rest.where((F.col("gap") > F.col("target") * NEAR) & F.col("more")).isEmpty():
-            break
+    rest = materialize(_one_pass(rows, materialize(rest, work_dir(spark))), work_dir(spark))
+    # a pass takes what fits and ends at a document larger than what is left, so that the gap shrinks with every pass
+    still = F.coalesce((F.col("gap") > F.col("target") * NEAR) & (F.col("gap") >= 1) & F.col("more"), F.lit(False))
+    while not rest.where(still).isEmpty():
+        again = _one_pass(rows, materialize(rest.where(still), work_dir(spark)))
+        rest = materialize(again.unionByName(rest.where(~still)), work_dir(spark))
     return materialize(rest.alias("r").join(rates.alias("g"), _same("r", "g")).select("r.source", "rate", "runs"), work_dir(spark))
 
 
 def pareto_mix(docs: DataFrame, targets: DataFrame, max_copies: int = 2, weight: str | None = None, seed: int = 1) -> DataFrame:
     """`docs` (doc_id, source, size: not null, and any other columns) with `copies`, for `targets` (source, source_size, target).
 
-    A source's copies have about `target` words, never more unless equal ranks meet; nulls in source match the null source, a source without
+    A source's copies have `target` words up to a share of NEAR, or fewer where no further document fits, never more unless equal ranks meet; nulls in source match the null source, a source without
     a target gets no copies. Within a source expected copies are equal, or follow the column `weight` (not negative, null counts as 0) up
     to `max_copies`, the excess going to the others. Documents without words get the certain copies only. Rows with equal doc_id, source and
     size are taken or left together. The result does not depend on the order of rows or on partitions. An empty table gives no rows.

@@ -14,6 +14,7 @@ from rideflow.llm.hamming_topk import hamming_topk
 from rideflow.llm.hilbert import hilbert_shards, with_hilbert_index
 from rideflow.llm.main_text import PRIOR, best_run, extract_main_text, learn_weights, main_text
 from rideflow.llm.ngram_join import ngram_join
+from rideflow.llm.pareto_mix import pareto_mix
 from rideflow.llm.quality_mil import fit_quality, score_quality
 from rideflow.llm.rank_profiles import identify_language, learn_profiles
 from rideflow.llm.url_rules import apply_url_rules
@@ -199,6 +200,19 @@ def test_query_matches_sql(name, spark):
     assert compare(spark, duck(SF), name, queries.QUERIES[name], queries.ORACLE[name], SF)[2] == []
 
 
+def test_mix_goes_on_until_nothing_fits(spark):
+    r = random.Random(4)
+    sizes = {s: [int(1.5 ** r.uniform(0, 30)) + 1 for _ in range(400)] for s in "abcdefgh"}
+    docs = spark.createDataFrame([(i, s, n) for s, own in sizes.items() for i, n in enumerate(own)], "doc_id long, source string, size long")
+    targets = spark.createDataFrame([(s, sum(own), share * sum(own)) for (s, own), share in zip(sizes.items(), [0.03, 0.1, 0.2, 0.4, 0.5, 0.8, 1.3, 1.6])],
+                                    "source string, source_size long, target double")
+    rows = pareto_mix(docs, targets).collect()
+    for t in targets.collect():
+        own = [x for x in rows if x.source == t.source]
+        gap, least = t.target - sum(x.copies * x.size for x in own), min(x.copies for x in own)
+        assert gap >= -1e-6 and (gap <= 0.001 * t.target or all(x.size > gap for x in own if x.copies == least))
+
+
 def test_mix_meets_its_targets(spark):
     rows = queries.op1_pareto_mix(spark, SF).toPandas()
     by = rows.groupby("source").agg(size=("size", "sum"), own=("source_size", "first"), target=("target", "first"), taken=("taken", "sum"))
