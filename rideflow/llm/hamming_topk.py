@@ -81,10 +81,10 @@ def hamming_topk(codes: DataFrame, queries: DataFrame, k: int = 10, bits: int =
     held = index.select("code", "ids", values(F.col("code"), list(range(m)))).select("code", "ids", "at.segment", "at.value")
     held = materialize(held, work_dir(spark))
 
-    # answers: up to k + 1 nearest (distance, id) met so far; the own id may be one of them
+    # answers: up to k + 1 nearest ids met so far; the own id may be one of them
     active = asked.select("code").distinct().withColumnRenamed("code", "q").withColumn("bound", F.lit(bits + 1))
     active = materialize(active, work_dir(spark))
-    answers = spark.createDataFrame([], "q long, distance int, id long, hit long")
+    answers = spark.createDataFrame([], "q long, id long, distance int")
     for radius, segments in _steps(plan):
         widest = max(plan[s][1] for s in segments)
         # a few queries make very many probes: deal them out first
@@ -95,9 +95,11 @@ def hamming_topk(codes: DataFrame, queries: DataFrame, k: int = 10, bits: int =
         hits = (probes.join(held.where(F.col("segment").isin(segments)).hint("shuffle_hash"), ["segment", "value"])
                 .withColumn("distance", F.bit_count(F.col("q").bitwiseXOR(F.col("code"))))
                 .where("distance <= bound").select("q", "distance", "code", "ids"))
-        hits = hits.dropDuplicates(["q", "code"]).select("q", "distance", F.explode("ids").alias("id"), F.col("code").alias("hit"))
+        hits = hits.dropDuplicates(["q", "code"]).select("q", "distance", F.explode("ids").alias("id"))
         best = Window.partitionBy("q").orderBy("distance", "id")
-        both = hits.unionByName(answers).distinct().withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= _room(k))
+        # an id with several codes takes one place, with its nearest
+        both = hits.unionByName(answers).groupBy("q", "id").agg(F.min("distance").alias("distance"))
+        both = both.withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= _room(k))
         answers = materialize(both.drop("nth"), work_dir(spark))
         covered = m * radius + max(segments)
         state = answers.groupBy("q").agg(F.count("*").alias("n"), F.max("distance").alias("kth"))

@@ -195,6 +195,15 @@ def test_topk_small(spark):
     assert got == [(1, 1, 2, 0), (1, 2, 3, 1), (1, 3, 4, 64)]
 
 
+def test_topk_counts_an_id_once(spark):
+    rows = [(1, 0), (1, 3), (2, 1), (2, 2), (2, 4), (2, 8), (2, 16), (3, 255), (4, -1), (5, 7)]
+    codes = spark.createDataFrame(rows, "id long, code long")
+    got = [(r.query_id, r.rank, r.id, r.distance) for r in hamming_topk(codes, codes.where("id IN (1, 5)"), 3).orderBy("query_id", "rank").collect()]
+    apart = lambda q, i: min((x ^ y).bit_count() if x >= 0 <= y else 64 - (~(x ^ y)).bit_count() for j, x in rows if j == q for n, y in rows if n == i)
+    want = [(q, n, i, d) for q in (1, 5) for n, (d, i) in enumerate(sorted((apart(q, i), i) for i in range(1, 6) if i != q)[:3], 1)]
+    assert got == want
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_query_matches_sql(name, spark):
     assert compare(spark, duck(SF), name, queries.QUERIES[name], queries.ORACLE[name], SF)[2] == []
