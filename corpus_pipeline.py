@@ -28,14 +28,19 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by a similarity of 0.8 on five-word shingles the one with the smallest id; of rows with equal ids the
-    smallest by text and the other columns. Rows without an id stay."""
-    groups = ngram_join(docs, size=5, percent=80)
-    copies = groups.where("component_id <> doc_id").select("doc_id").distinct()
-    named = docs.where("doc_id IS NOT NULL").join(copies, "doc_id", "left_anti")
-    others = [c for c in docs.columns if c != "doc_id"]
-    single = named.groupBy("doc_id").agg(F.min(F.struct(*sorted(others, key=lambda c: c != "text"))).alias("row"))
-    return single.select(*["doc_id" if c == "doc_id" else f"row.{c}" for c in docs.columns]).unionByName(docs.where("doc_id IS NULL"))
+    """Of rows linked by a similarity of 0.8 on five-word shingles the one with the smallest id (null last), text and other columns; of rows
+    without words one of each id and text. Rows are told by a number of their own, so repeated and null ids neither link nor part them."""
+    numbered = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), work_dir(spark))
+    groups = materialize(ngram_join(numbered, id_col="_row", size=5, percent=80).withColumnsRenamed({"doc_id": "_row", "component_id": "_group"}), work_dir(spark))
+    shared = groups.groupBy("_group").agg(F.count("*").alias("_n")).where("_n > 1").select("_group")
+    members = groups.where("n_shingles > 0").join(shared, "_group").unionByName(groups.where("n_shingles = 0").withColumn("_group", F.lit(None).cast("long")))
+    others = sorted((c for c in docs.columns if c != "doc_id"), key=lambda c: c != "text")
+    rows = members.select("_row", "_group").join(numbered, "_row")
+    wordless = F.when(F.col("_group").isNull(), F.struct("doc_id", "text"))
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", *others, "_row"))["_row"]
+    kept = rows.groupBy("_group", wordless.alias("_same")).agg(first.alias("_row")).select("_row")
+    gone = members.select("_row").join(kept, "_row", "left_anti")
+    return numbered.join(gone, "_row", "left_anti").select(*docs.columns)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

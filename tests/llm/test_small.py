@@ -7,6 +7,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from rideflow.llm import queries
 from rideflow.llm.cap_filters import cap_filter_links, code_side, decode
 from rideflow.llm.conflict_packing import conflict_packing, pack
@@ -55,6 +56,15 @@ def test_ngram_join_small(docs, spark):
     assert ngram_join(spark.createDataFrame([], SCHEMA)).collect() == []
 
 
+def test_near_duplicates_by_rows(spark):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcd")
+    rows = [(1, a, "en", "s"), (2, a + " tail", "en", "s"), (2, b, "en", "s"), (3, b + " tail", "en", "s"), (4, c, "en", "s"), (4, d, "en", "s"),
+            (None, c, "en", "s"), (None, "x y z", "en", "s"), (None, "x y z", "en", "s"), (5, "", "en", "s"), (5, "", "en", "s"), (6, None, "en", "s")]
+    got = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, SCHEMA), SF).collect()
+    want = [(1, a), (2, b), (4, c), (4, d), (None, "x y z"), (5, ""), (6, None)]
+    assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted(want, key=str)
+
+
 def test_scores_and_languages_small(docs, spark):
     labels = spark.createDataFrame([(1, 1), (8, 0), (9, None), (None, 1)], "doc_id long, label int")
     scored = score_quality(docs, fit_quality(docs, labels)).collect()
