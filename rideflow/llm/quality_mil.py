@@ -5,7 +5,8 @@ bytes, shapes and repetitions of words. A tanh layer encodes it, gated attention
 layers) weighs the passages against each other, and the weighted sum of the codes gives the document's probability. Only
 documents have labels; which passages matter is learned.
 
-Fitting takes a bounded number of labelled documents, whose passage vectors come to the driver; scoring runs in the tasks over all texts.
+Fitting takes a bounded number of labelled documents and of their passages, whose vectors come to the driver; scoring runs in the tasks over
+all passages of all texts.
 """
 
 from __future__ import annotations
@@ -18,11 +19,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rideflow.llm.pareto_mix import n_words
 from rideflow.llm.words import mix, text_slices, words
+from rideflow.sources.workdir import materialize, work_dir
 
 PASSAGE = 64
 HIDDEN, GATE = 16, 8
 MAX_TRAIN = 6000
+MAX_PASSAGES = 250_000
 
 # kinds of bytes: each ASCII character that is no letter or digit by itself, then digits, A-Z, a-z, the rest of UTF-8
 _kind = np.arange(256)
@@ -131,26 +135,55 @@ class AttentionModel:
         return self._forward(x, np.concatenate(([0], np.cumsum(many))))["y"]
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> AttentionModel | float:
-    """A model of `labels` (doc_id, label 0 or 1; nulls and ids with two labels are left out) over `docs` (doc_id, text).
+def passage_share(many: dict[int, int], most: int) -> int:
+    """The largest number of passages a document may give so that all give `most` together, one at least; `many` tells how many documents
+    have so many passages."""
+    low, high = 1, max(many, default=1)
+    while low < high:
+        middle = (low + high + 1) // 2
+        low, high = (middle, high) if sum(min(n, middle) * k for n, k in many.items()) <= most else (low, middle - 1)
+    return low
 
-    At most `max_train` labelled documents are used, by a hash of their ids. With one class only, or none, the share of label 1 (0.5 without
-    labels) stands for a model.
+
+def training_vectors(docs: DataFrame, chosen: DataFrame, max_passages: int = MAX_PASSAGES) -> DataFrame:
+    """doc_id, label, x: passage vectors of the documents `chosen` (doc_id, label), one row each; of rows with equal doc_id the smallest text.
+
+    All passages, if there are at most `max_passages`. Else long documents give a sample by a hash of doc_id and place, all the same number, and
+    shorter ones all they have, so that there are `max_passages` at most (or one of each document).
     """
-    clean = (labels.where("doc_id IS NOT NULL AND label IN (0, 1)").groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("hi"))
-             .where("label = hi").select("doc_id", "label"))
-    chosen = F.broadcast(clean.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train))
+    spark = docs.sparkSession
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy(F.col("doc_id").cast("long").alias("doc_id"), F.col("label").cast("int").alias("label"))
+    rows = materialize(rows.agg(F.min("text").alias("text")), work_dir(spark))
+    passages = F.greatest(F.lit(1), F.ceil(n_words(F.col("text")) / PASSAGE)).cast("long")
+    share = passage_share({r.n: r["count"] for r in rows.select(passages.alias("n")).groupBy("n").count().collect()}, max_passages)
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, end, data, offsets in text_slices(batch.column(2), 1 << 20):
                 x, many = passage_features(data, offsets)
-                rows = [x[a:b].astype(np.float32).tobytes() for a, b in zip(np.cumsum(many) - many, np.cumsum(many), strict=True)]
+                found = []
+                for doc_id, a, n in zip(batch.column(0).slice(first, end - first).to_pylist(), np.cumsum(many) - many, many, strict=True):
+                    at = np.arange(n)
+                    if n > share:
+                        order = mix(mix(np.full(1, doc_id, np.int64).view(np.uint64)) + at.astype(np.uint64))
+                        at = np.sort(np.argsort(order, kind="stable")[:share])
+                    found.append(x[a + at].astype(np.float32).tobytes())
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, end - first), batch.column(1).slice(first, end - first),
-                                                  pa.array(rows, pa.binary())], names=["doc_id", "label", "x"])
+                                                  pa.array(found, pa.binary())], names=["doc_id", "label", "x"])
+
+    return rows.select("doc_id", "label", "text").mapInArrow(vectors, "doc_id long, label int, x binary")
 
-    rows = docs.select("doc_id", "text").join(chosen, "doc_id").select("doc_id", F.col("label").cast("int").alias("label"), "text")
-    got = rows.mapInArrow(vectors, "doc_id long, label int, x binary").toPandas().sort_values(["doc_id", "x"])
+
+def fit_quality(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, max_passages: int = MAX_PASSAGES) -> AttentionModel | float:
+    """A model of `labels` (doc_id, label 0 or 1; nulls and ids with two labels are left out) over `docs` (doc_id, text).
+
+    At most `max_train` labelled documents are used, by a hash of their ids, and `max_passages` of their passages. With one class only, or none, the share of label 1 (0.5 without
+    labels) stands for a model.
+    """
+    clean = (labels.where("doc_id IS NOT NULL AND label IN (0, 1)").groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("hi"))
+             .where("label = hi").select("doc_id", "label"))
+    chosen = clean.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train)
+    got = training_vectors(docs, chosen, max_passages).toPandas().sort_values(["doc_id", "x"])
     label = got["label"].to_numpy(float)
     if len(set(label)) < 2:
         return float(label.mean()) if len(label) else 0.5

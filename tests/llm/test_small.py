@@ -16,7 +16,7 @@ from rideflow.llm.hilbert import hilbert_shards, with_hilbert_index
 from rideflow.llm.main_text import PRIOR, best_run, extract_main_text, learn_weights, main_text
 from rideflow.llm.ngram_join import ngram_join
 from rideflow.llm.pareto_mix import pareto_mix
-from rideflow.llm.quality_mil import fit_quality, score_quality
+from rideflow.llm.quality_mil import FEATURES, fit_quality, passage_share, score_quality, training_vectors
 from rideflow.llm.rank_profiles import identify_language, learn_profiles
 from rideflow.llm.url_rules import apply_url_rules
 from rideflow.llm.words import text_slices, words
@@ -75,6 +75,14 @@ def test_scores_and_languages_small(docs, spark):
     assert learn_profiles(spark.createDataFrame([], SCHEMA)) == {}
 
 
+def test_training_passages_are_bounded(docs, spark):
+    assert passage_share({1: 3, 10: 2, 100: 1}, 1000) == 100 and passage_share({1: 3, 10: 2, 100: 1}, 50) == 27 and passage_share({5: 4}, 2) == 1
+    chosen = spark.createDataFrame([(1, 1), (2, 1), (8, 0), (9, 1)], "doc_id long, label int")
+    sizes = lambda most: {r.doc_id: len(r.x) // 4 // FEATURES for r in training_vectors(docs, chosen, most).collect()}
+    assert sizes(10_000) == {1: 1, 2: 1, 8: 469, 9: 469} and sizes(100) == {1: 1, 2: 1, 8: 49, 9: 49}
+    assert all(0 <= r.score <= 1 for r in score_quality(docs, fit_quality(docs, chosen, max_passages=100)).collect())
+
+
 def test_pack_is_best_fit():
     r = random.Random(1)
     sizes = sorted((r.randint(1, 50) for _ in range(300)), reverse=True)
