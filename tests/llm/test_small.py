@@ -1,6 +1,9 @@
 """Small cases of the operators: nulls, empty and long texts, ties, repeated rows, empty tables, clashing columns."""
 
 import random
+import re
+import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -227,6 +230,28 @@ def test_query_matches_sql(name, spark):
     assert compare(spark, duck(SF), name, queries.QUERIES[name], queries.ORACLE[name], SF)[2] == []
 
 
+def test_queries_without_sql_cover_all_rows(spark):
+    docs, pages = (spark.read.parquet(f"{SF}/{name}.parquet") for name in ("documents", "pages"))
+    weights = learn_weights(pages)
+    want = Counter((p.page_id, p.url, main_text(p.html, weights)) for p in pages.collect())
+    assert Counter((r.page_id, r.url, r.text) for r in queries.op2_main_text(spark, SF).collect()) == want
+    by = {d.doc_id: d for d in docs.collect()}
+    assert len(by) == docs.count()
+    placed = queries.op4_hilbert_shards(spark, SF).collect()
+    raw = {i: (d.text or "").encode() for i, d in by.items()}
+    assert Counter((r.doc_id, r.size, r.text_crc32) for r in placed) == Counter((i, len(t) + 1, zlib.crc32(t)) for i, t in raw.items())
+    assert sorted(placed, key=lambda r: (r.shard, r.slot)) == sorted(placed, key=lambda r: (r.curve, r.text_crc32, r.doc_id))
+    pieces, own, bins = queries.op6_conflict_packing(spark, SF).collect(), Counter(), {}
+    for r in pieces:
+        own[r.doc_id] += r.length
+        if r.bin is not None:
+            bins.setdefault(r.bin, []).append(r)
+    assert own == Counter({i: len(re.findall(rb"[^ \t-\r]+", t)) for i, t in raw.items()}) and {r.doc_id for r in pieces} == set(by)
+    for held in bins.values():
+        assert sum(r.length for r in held) <= queries.CAPACITY
+        assert len({by[r.doc_id].source for r in held}) == len({raw[r.doc_id] for r in held}) == len(held)
+
+
 def test_mix_goes_on_until_nothing_fits(spark):
     r = random.Random(4)
     sizes = {s: [int(1.5 ** r.uniform(0, 30)) + 1 for _ in range(400)] for s in "abcdefgh"}
