@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rideflow.llm import near_sql
+from rideflow.llm import audit_sql, near_sql
 from rideflow.llm.cap_filters import cap_filter_links
 from rideflow.llm.hamming_topk import hamming_topk, sign_code
 from rideflow.llm.conflict_packing import conflict_packing
+from rideflow.llm.filter_audit import audit_filters, count_repeats
 from rideflow.llm.hilbert import hilbert_shards
 from rideflow.llm.main_text import extract_main_text, learn_weights
 from rideflow.llm.ngram_join import ngram_join
@@ -135,7 +136,23 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_url_rules(_table(spark, sf_dir, "pages"), rules)
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove of the documents of every language, in all 120 orders. A null id repeats no other document."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    text = F.coalesce("text", F.lit(""))
+    words = F.array_remove(F.split("t", r"[\x20\x09-\x0D]+"), "")
+    capitals = F.length(F.regexp_replace("t", "[^A-Z]+", ""))
+    judged = (docs.select("doc_id", F.coalesce("lang", F.lit("")).alias("part"), text.alias("t")).withColumn("words", words)
+              .select("doc_id", "part", F.sha2(F.encode("t", "UTF-8"), 256).alias("digest"), (F.size("words") < 200).alias("a"),
+                      (100 * F.size(F.array_distinct("words")) < 50 * F.size("words")).alias("b"),
+                      (100 * capitals > 3 * F.length("t")).alias("c"), F.col("t").rlike("[#$%&*|]").alias("d")))
+    marked = labels.groupBy("doc_id").agg(F.max(F.col("quality") == 1).alias("good"), F.max(F.col("toxic") == 1).alias("toxic"))
+    counted = count_repeats(judged.join(marked, "doc_id", "left"), "doc_id", "digest", ["part", "a", "b", "c", "d", "good", "toxic"])
+    return audit_filters(counted, {"A": F.col("a"), "B": F.col("b"), "C": F.col("c"), "D": F.col("d"), "E": F.col("repeat")}, F.col("part"),
+                         {"good": F.col("good"), "toxic": F.col("toxic")}, F.col("n"))
+
+
 QUERIES = {f.__name__: f for f in (op1_pareto_mix, op2_main_text, op3_hamming_topk, op4_hilbert_shards, op5_ngram_join, op6_conflict_packing,
-                                   op7_cap_filters, op8_quality_mil, op9_rank_profiles, op10_url_rules)}
+                                   op7_cap_filters, op8_quality_mil, op9_rank_profiles, op10_url_rules, op11_filter_audit)}
 ORACLE = {"op3_hamming_topk": near_sql.HAMMING_TOPK, "op5_ngram_join": near_sql.NGRAM_JOIN, "op7_cap_filters": near_sql.CAP_LINKS,
-          "op10_url_rules": near_sql.URL_RULES}
+          "op10_url_rules": near_sql.URL_RULES, "op11_filter_audit": audit_sql.FILTER_AUDIT}
