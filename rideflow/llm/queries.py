@@ -17,6 +17,7 @@ from rideflow.llm.pareto_mix import fill_shares, n_words, pareto_cuts, pareto_mi
 from rideflow.llm.positions import with_position
 from rideflow.llm.quality_mil import fit_quality, score_quality
 from rideflow.llm.rank_profiles import identify_language, learn_profiles
+from rideflow.llm.token_files import token_digests, write_token_files
 from rideflow.llm.url_rules import apply_url_rules
 from rideflow.sources.workdir import materialize, work_dir
 
@@ -152,7 +153,19 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
                          {"good": F.col("good"), "toxic": F.col("toxic")}, F.col("n"))
 
 
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token ids in seekable files, read back: where each lies and a checksum of its ids."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        model = file.read()
+    path = work_dir(spark)
+    write_token_files(_table(spark, sf_dir, "documents"), path, model)
+    return token_digests(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 QUERIES = {f.__name__: f for f in (op1_pareto_mix, op2_main_text, op3_hamming_topk, op4_hilbert_shards, op5_ngram_join, op6_conflict_packing,
-                                   op7_cap_filters, op8_quality_mil, op9_rank_profiles, op10_url_rules, op11_filter_audit)}
+                                   op7_cap_filters, op8_quality_mil, op9_rank_profiles, op10_url_rules, op11_filter_audit,
+                                   op12_token_files)}
 ORACLE = {"op3_hamming_topk": near_sql.HAMMING_TOPK, "op5_ngram_join": near_sql.NGRAM_JOIN, "op7_cap_filters": near_sql.CAP_LINKS,
           "op10_url_rules": near_sql.URL_RULES, "op11_filter_audit": audit_sql.FILTER_AUDIT}
