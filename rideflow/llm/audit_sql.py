@@ -32,3 +32,33 @@ rows AS (
 SELECT part, filter_order, step, filter, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
   CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
   CAST(sum(removed) OVER (PARTITION BY part, filter) AS BIGINT) AS shapley FROM rows"""
+
+SOURCE_DIVERGENCE = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+tokens AS (SELECT d, lang, source, unnest(ts) AS term FROM docs),
+counts AS (SELECT lang, source, term, count(*) AS n, count(DISTINCT d) AS k FROM tokens GROUP BY ALL),
+kept AS (SELECT lang, term, sum(n) AS total FROM counts GROUP BY ALL HAVING sum(k) >= 30),
+langs AS (SELECT lang, count(*) AS v, sum(total) AS size FROM kept GROUP BY lang),
+all_groups AS (SELECT DISTINCT lang, source FROM docs),
+matrix AS (
+  SELECT g.lang, g.source, k.term, k.total, coalesce(c.n, 0) AS n FROM all_groups g JOIN kept k ON k.lang = g.lang
+  LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+likely AS (
+  SELECT m.lang, m.source, m.term, m.n,
+    1 + (1000000000::HUGEINT * (m.n + 5)) // (sum(m.n) OVER (PARTITION BY m.lang, m.source) + 5 * l.v)::HUGEINT AS p,
+    1 + (1000000000::HUGEINT * (m.total + 5)) // (l.size + 5 * l.v)::HUGEINT AS q
+  FROM matrix m JOIN langs l ON l.lang = m.lang),
+apart AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM likely a JOIN likely b
+  ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(x.value, 0) AS value
+  FROM all_groups a JOIN all_groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN apart x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, p - q FROM likely WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+  CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM found
+QUALIFY part = 'pair' OR rank <= 50"""

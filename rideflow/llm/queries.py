@@ -9,6 +9,7 @@ from rideflow.llm import audit_sql, near_sql
 from rideflow.llm.cap_filters import cap_filter_links
 from rideflow.llm.hamming_topk import hamming_topk, sign_code
 from rideflow.llm.conflict_packing import conflict_packing
+from rideflow.llm.divergence import source_divergence
 from rideflow.llm.filter_audit import audit_filters, count_repeats
 from rideflow.llm.hilbert import hilbert_shards
 from rideflow.llm.main_text import extract_main_text, learn_weights
@@ -164,8 +165,14 @@ def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far apart the sources of every language are, and the terms that set each of them off."""
+    return source_divergence(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_pareto_mix, op2_main_text, op3_hamming_topk, op4_hilbert_shards, op5_ngram_join, op6_conflict_packing,
                                    op7_cap_filters, op8_quality_mil, op9_rank_profiles, op10_url_rules, op11_filter_audit,
-                                   op12_token_files)}
+                                   op12_token_files, op13_source_divergence)}
 ORACLE = {"op3_hamming_topk": near_sql.HAMMING_TOPK, "op5_ngram_join": near_sql.NGRAM_JOIN, "op7_cap_filters": near_sql.CAP_LINKS,
-          "op10_url_rules": near_sql.URL_RULES, "op11_filter_audit": audit_sql.FILTER_AUDIT}
+          "op10_url_rules": near_sql.URL_RULES, "op11_filter_audit": audit_sql.FILTER_AUDIT,
+          "op13_source_divergence": audit_sql.SOURCE_DIVERGENCE}
