@@ -19,12 +19,18 @@ from pyspark.sql import functions as F
 MOST_FILTERS = 8
 
 
-def count_paths(n: int, before: Iterable[tuple[int, int]] = ()) -> tuple[list[int], list[int]]:
-    """For each of the 2**n states: the paths from the empty state to it, and from it to the full state. A pair (a, b) in `before` forbids the
-    orders that apply filter b ahead of filter a; states that no allowed order passes get 0."""
+def _needs(n: int, before: Iterable[tuple[int, int]]) -> list[int]:
+    """For each filter the state that must have been passed before it."""
     needs = [0] * n
     for a, b in before:
         needs[b] |= 1 << a
+    return needs
+
+
+def count_paths(n: int, before: Iterable[tuple[int, int]] = ()) -> tuple[list[int], list[int]]:
+    """For each of the 2**n states: the paths from the empty state to it, and from it to the full state. A pair (a, b) in `before` forbids the
+    orders that apply filter b ahead of filter a; states that no allowed order passes get 0."""
+    needs = _needs(n, before)
     reach, leave = [0] * (1 << n), [0] * (1 << n)
     reach[0] = leave[-1] = 1
     steps = [(s, s | 1 << f) for s in range(1 << n) for f in range(n) if not s >> f & 1 and s & needs[f] == needs[f]]
@@ -93,7 +99,8 @@ def audit_filters(rows: DataFrame, filters: dict[str, Column], part: Column, mar
     edges = (counts.withColumn("state", F.explode(F.sequence(F.lit(0), F.lit((1 << n) - 1))))
              .withColumn("place", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
              .withColumn("bit", F.element_at(F.lit([1 << i for i in range(n)]), F.col("place") + 1))
-             .where(F.col("state").bitwiseAND(F.col("bit")) == 0))
+             .withColumn("needs", F.element_at(F.lit(_needs(n, before)), F.col("place") + 1))
+             .where((F.col("state").bitwiseAND(F.col("bit")) == 0) & (F.col("state").bitwiseAND(F.col("needs")) == F.col("needs"))))
     fails = F.col("failed").bitwiseAND(F.col("bit")) != 0
     met = F.col("failed").bitwiseAND(F.col("state")) == 0
     total = lambda condition: F.sum(F.when(condition, F.col("n")).otherwise(0))
