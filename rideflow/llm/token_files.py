@@ -17,8 +17,10 @@ a frame it is the content of a skippable frame of one byte.
 from __future__ import annotations
 
 import io
+import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -29,6 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from rideflow.llm.words import text_slices
 from rideflow.sources.workdir import materialize, work_dir
 
 # Fixed values of the public format.
@@ -39,7 +42,9 @@ _PAD = struct.pack("<II", SKIPPABLE, len(_END))
 FRAME_BYTES = 1 << 18
 FRAMES_PER_FILE = 256
 BATCH_CHARS = 1 << 20
-PIECE_CHARS = 1 << 17
+SLICE_BYTES = 8 << 20
+MOST_KEPT = 1 << 19
+LONG = 256
 FILE_ORDER = ("part", "chunk")
 
 
@@ -50,48 +55,89 @@ def _tokenizer(model: str):
     return Tokenizer.from_str(model)
 
 
-def pieces(text: str, most: int) -> list[str]:
-    """The text in pieces of about `most` characters, cut only between a character that is no white space and a blank or line feed.
-
-    A pre-tokenizer that starts no word before white space and ends every word there, as that of byte-level BPE, gives the same words."""
-    cuts, at = [0], most
-    while at < len(text):
-        if text[at] in " \n" and not text[at - 1].isspace():
-            cuts.append(at)
-            at += most
-        else:
-            at += 1
-    return [text[a:b] for a, b in zip(cuts, [*cuts[1:], len(text)], strict=True)]
-
-
-def encode(texts: Iterable[str], model: str, piece_chars: int | None = PIECE_CHARS) -> Iterator[np.ndarray]:
-    """The ids of each text. Texts go to the tokenizer in batches of a bounded number of characters, long ones in pieces."""
-    tokenizer = _tokenizer(model)
-
-    def flush(parts: list[str], owner: list[int]) -> Iterator[np.ndarray]:
-        found = tokenizer.encode_batch_fast(parts, add_special_tokens=False)
-        ids: list[list[np.ndarray]] = [[] for _ in range(owner[-1] + 1)]
-        for i, one in zip(owner, found, strict=True):
-            ids[i].append(np.array(one.ids, np.uint32))
-        yield from (np.concatenate(x) for x in ids)
-
-    parts, owner, size = [], [], 0
-    for text in texts:
-        if parts and size + len(text) > BATCH_CHARS:
-            yield from flush(parts, owner)
-            parts, owner, size = [], [], 0
-        if len(text) > BATCH_CHARS and piece_chars:
-            run = pieces(text, piece_chars)
-            step = max(1, BATCH_CHARS // piece_chars)
-            yield np.concatenate([x for k in range(0, len(run), step) for x in flush(run[k:k + step], list(range(len(run[k:k + step]))))])
-            continue
-        own = pieces(text, piece_chars) if piece_chars else [text]
-        number = owner[-1] + 1 if owner else 0
-        parts += own
-        owner += [number] * len(own)
-        size += len(text)
-    if parts:
-        yield from flush(parts, owner)
+_letter_or_digit = np.zeros(256, bool)
+_letter_or_digit[0x30:0x3A] = _letter_or_digit[0x41:0x5B] = _letter_or_digit[0x61:0x7B] = True
+_mark = np.zeros(256, bool)
+_mark[0x21:0x7F] = ~_letter_or_digit[0x21:0x7F]
+_mark[0x27] = False  # an apostrophe can go with the letters behind it
+
+
+def word_cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Byte positions that cut some texts into pieces which tokens do not reach over, the starts of the texts included.
+
+    A cut is in front of a blank or line feed that follows a character which is surely no white space (a visible ASCII one, or one of two bytes whose
+    first is not C2), and between an ASCII letter or digit and a punctuation mark. The words of byte-level BPE end there whatever follows."""
+    cut = np.zeros(len(data) + 1, bool)
+    if len(data) > 1:
+        before = data[:-1]
+        solid = (before > 0x20) & (before < 0x7F)
+        solid[1:] |= (before[1:] >= 0x80) & (data[:-2] > 0xC2) & (data[:-2] < 0xE0)
+        cut[1:-1] = solid & ((data[1:] == 0x20) | (data[1:] == 0x0A)) | _letter_or_digit[before] & _mark[data[1:]]
+    cut[offsets] = True
+    cut[-1] = False
+    return np.flatnonzero(cut)
+
+
+@lru_cache(maxsize=1)
+def _encoder(model: str, words: bool) -> Encoder:
+    """The encoder of this worker, with what it has learned from earlier tasks."""
+    return Encoder(model, words)
+
+
+class Encoder:
+    """Ids of texts by a tokenizer. With `words`, texts are cut by `word_cuts` and a distinct piece is encoded once as long as it is
+    kept: about MOST_KEPT pieces are, and those before them until as many others came up without it. Pieces over LONG characters are not kept."""
+
+    def __init__(self, model: str, words: bool = True):
+        self.tokenizer, self.words = _tokenizer(model), words
+        self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
+        self.kept: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def _bounds(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """The cuts that lie in no added token; the tokenizer looks for those first."""
+        bounds, raw = word_cuts(data, offsets), data.tobytes()
+        inside = np.zeros(len(data) + 1, bool)
+        for token in self.added:
+            starts = np.fromiter((m.start() for m in re.finditer(b"(?=" + re.escape(token) + b")", raw)), np.int64)
+            for k in range(1, len(token) if len(starts) else 0):
+                inside[starts + k] = True
+        inside[offsets] = False
+        return bounds[~inside[bounds]]
+
+    def _plain(self, texts: list[str]) -> Iterator[bytes]:
+        low = 0
+        while low < len(texts):
+            high, size = low, 0
+            while high < len(texts) and (high == low or size + len(texts[high]) <= BATCH_CHARS):
+                size += len(texts[high])
+                high += 1
+            for one in self.tokenizer.encode_batch_fast(texts[low:high], add_special_tokens=False):
+                yield array("I", one.ids).tobytes()
+            low = high
+
+    def __call__(self, column: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each text of a string column; null counts as empty."""
+        for _, _, data, offsets in text_slices(column, SLICE_BYTES):
+            bounds = self._bounds(data, offsets) if self.words else np.unique(offsets[:-1][offsets[:-1] < offsets[-1]])
+            ends = np.append(bounds[1:], offsets[-1:]) if len(bounds) else bounds
+            cut = pa.LargeStringArray.from_buffers(len(bounds), pa.py_buffer(np.append(bounds, ends[-1:]).astype(np.int64)), pa.py_buffer(data))
+            distinct = cut.dictionary_encode()
+            texts = distinct.dictionary.to_pylist()
+            known = [self.kept.get(t) or self.older.get(t) for t in texts]
+            encoded = self._plain([t for t, ids in zip(texts, known, strict=True) if ids is None])
+            known = [next(encoded) if ids is None else ids for ids in known]
+            if len(self.kept) > MOST_KEPT:
+                self.kept, self.older = {}, self.kept
+            self.kept.update((t, ids) for t, ids in zip(texts, known, strict=True) if len(t) <= LONG)
+            flat = np.frombuffer(b"".join(known), np.uint32)
+            length = np.fromiter(map(len, known), np.int64, len(known)) // 4
+            first = np.cumsum(length) - length
+            code = distinct.indices.to_numpy()
+            upto = np.concatenate(([0], np.cumsum(length[code])))
+            out = flat[np.arange(upto[-1]) + np.repeat(first[code] - upto[:-1], length[code])]
+            at = upto[np.searchsorted(bounds, offsets)]
+            yield from (out[x:y] for x, y in zip(at[:-1], at[1:], strict=True))
 
 
 class _File:
@@ -163,13 +209,13 @@ def token_records(docs: Iterable[tuple[int | None, np.ndarray]], width: int, fra
 
 
 def write_token_files(docs: DataFrame, path: str, model: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text",
-                      frame_bytes: int = FRAME_BYTES, frames: int = FRAMES_PER_FILE, piece_chars: int | None = PIECE_CHARS) -> None:
+                      frame_bytes: int = FRAME_BYTES, frames: int = FRAMES_PER_FILE, words: bool = True) -> None:
     """Encode every text (null counts as empty), append `end_id`, and write the files in ascending order of the ids, null ids last.
 
     `model` is the JSON text of a tokenizer, which travels to the tasks. Rows are dealt by ranges and sorted, so task k writes what comes
     before task k + 1. Rows with the same id are ordered by a hash of their texts and then by their place in the input, so that many of them spread
     over tasks as well. Every row is written, repeated or not; other columns are ignored. No rows give a folder without documents.
-    `piece_chars` must be None for a tokenizer whose words reach over white space."""
+    `words` must be False for a tokenizer whose tokens reach over white space that follows a word."""
     width = 2 if _tokenizer(model).get_vocab_size() <= 1 << 16 and end_id < 1 << 16 else 4
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
@@ -184,10 +230,10 @@ def write_token_files(docs: DataFrame, path: str, model: str, end_id: int = 0, i
         ended = np.array([end_id], np.uint32)
 
         def documents() -> Iterator[tuple[int | None, np.ndarray]]:
+            encoder = _encoder(model, words)
             for batch in batches:
-                texts = (t.as_py() for t in batch.column(1))
-                for doc_id, ids in zip(batch.column(0), encode(texts, model, piece_chars), strict=True):
-                    yield doc_id.as_py(), np.concatenate((ids, ended))
+                for doc_id, ids in zip(batch.column(0).to_pylist(), encoder(batch.column(1)), strict=True):
+                    yield doc_id, np.concatenate((ids, ended))
 
         for record in token_records(documents(), width, frame_bytes, frames):
             yield pa.record_batch({"record": pa.array([record], pa.binary())})

@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import zstandard
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from tokenizers import Tokenizer
 from rideflow.llm import audit_sql, queries
 from rideflow.llm.divergence import SIDE, pyramid, source_divergence, terms_of, walk
 from rideflow.llm.filter_audit import audit_filters, count_paths, count_repeats, orders
-from rideflow.llm.token_files import TokenFile, encode, pieces, read_token_ids, token_digests, token_records, write_token_files
+from rideflow.llm.token_files import Encoder, TokenFile, read_token_ids, token_digests, token_records, word_cuts, write_token_files
 from tests.compare import compare, duck
 
 SF = "/root/testdata/sf0.001"
@@ -104,16 +105,26 @@ def model():
         return file.read()
 
 
-def test_encoding_in_pieces_changes_nothing(model):
+def test_encoding_by_words_changes_nothing(model):
     rng = random.Random(3)
-    atoms = [" ", "  ", "\n", "\t ", " ", "　", "it's", "we'll", "word", "42", "?!", "é", "漢字", "🙂", "\x1f", "a" * 50, " x"]
-    texts = ["", " ", "one", *["".join(rng.choice(atoms) for _ in range(rng.randrange(1, 200))) for _ in range(200)], " ".join(rng.choice(atoms) for _ in range(300_000))]
-    whole = Tokenizer.from_str(model).encode_batch(texts, add_special_tokens=False)
-    for most in (1, 7, 1 << 17):
-        some = texts if most > 7 else texts[:-1]
-        assert all("".join(pieces(t, most)) == t for t in some)
-        got = list(encode(some, model, most))
-        assert len(got) == len(some) and all(g.tolist() == w.ids for g, w in zip(got, whole))
+    atoms = [" ", "  ", "\n", "\t ", "\u00a0", "\u3000", "\u2003", "\u0085", "it's", "we'll", "word", "42", "?!", "\u00e9", "\u6f22\u5b57", "\U0001f642",
+             "\x1f", "\x7f", "a" * 50, " x", "<|endoftext|>", ",", "'", "...", "_", "a,", "I'm.", "-"]
+    texts = ["", " ", "one", None, *["".join(rng.choice(atoms) for _ in range(rng.randrange(1, 200))) for _ in range(2000)],
+             " ".join(rng.choice(atoms) for _ in range(600_000)), "", "x" * 300_000, ""]
+    whole = [w.ids for w in Tokenizer.from_str(model).encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    for words in (True, False):
+        got = list(Encoder(model, words)(pa.array(texts)))
+        assert len(got) == len(texts) and all(g.tolist() == w for g, w in zip(got, whole))
+    assert list(Encoder(model)(pa.array([], pa.string()))) == [] and [g.tolist() for g in Encoder(model)(pa.array(["", None]))] == [[], []]
+
+
+def test_cuts_are_behind_what_is_no_white_space():
+    data = "a b\u00e9 c\u00a0 d\u3000 e\t f\n\ng h".encode()
+    cuts = word_cuts(np.frombuffer(data, np.uint8), np.array([0, 2, len(data)]))
+    assert [data[a:b].decode() for a, b in zip(cuts, [*cuts[1:], None])] == ["a", " ", "b\u00e9", " c\u00a0 d\u3000 e\t f", "\n\ng", " h"]
+    data = "it's 3.5, \u00d7, \u00e9, a_b".encode()
+    cuts = word_cuts(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
+    assert [data[a:b].decode() for a, b in zip(cuts, [*cuts[1:], None])] == ["it's", " 3", ".5", ",", " \u00d7,", " \u00e9,", " a", "_b"]
 
 
 def _docs(n, seed, longest=400):
