@@ -424,13 +424,32 @@ def _(spark, d):
     return gold.fact_payments(stores.silver(spark, d)["payments"]).drop(*steps.LINEAGE)
 
 
-@query("gd_08_foreign_keys", """
-SELECT unnest(['customer_key', 'driver_key', 'location_key', 'date_key']) AS key_name, 0 AS missing_keys, 0 AS fact_rows""")
+def _missing(fact: str, key_name: str, value: str, lost: str) -> str:
+    rows = f"silver_{fact.removeprefix('fact_')}"
+    return (f"SELECT '{fact}' AS fact, '{key_name}' AS key_name, count(DISTINCT {value}) AS missing_keys, count(*) AS fact_rows "
+            f"FROM {rows} r WHERE {lost}")
+
+
+_LOST_CUSTOMER = "r.customer_id IN (SELECT customer_id FROM silver_customers WHERE city = 'Pune')"
+_LOST_DRIVER = "r.driver_id IN (SELECT driver_id FROM silver_drivers WHERE vehicle_type = 'Bike')"
+_PLACE = "{0}_city || '/' || {0}_area || '/' || " + _geohash_sql("{0}_lat", "{0}_lon")
+
+
+# Rows are taken out of every table that a key points to; the facts keep theirs.
+@query("gd_08_foreign_keys", silver(" UNION ALL ".join([
+    _missing("fact_rides", "customer_key", "customer_id", _LOST_CUSTOMER), _missing("fact_rides", "customer_version", "customer_id", _LOST_CUSTOMER),
+    _missing("fact_rides", "driver_key", "driver_id", _LOST_DRIVER), _missing("fact_rides", "driver_version", "driver_id", _LOST_DRIVER),
+    _missing("fact_rides", "location_key", _PLACE.format("pickup"), "pickup_area = 'Area 3'"),
+    _missing("fact_rides", "dropoff_location_key", _PLACE.format("dropoff"), "dropoff_area = 'Area 3'"),
+    _missing("fact_rides", "date_key", "request_time::DATE", "month(request_time) = 6"),
+    _missing("fact_payments", "customer_key", "customer_id", _LOST_CUSTOMER),
+    _missing("fact_payments", "ride_key", "ride_id", "r.ride_id IN (SELECT ride_id FROM silver_rides WHERE ride_status = 'completed')"),
+    _missing("fact_payments", "date_key", "payment_time::DATE", "month(payment_time) = 6")])))
 def _(spark, d):
     g = stores.gold(spark, d)
-    return gold.fk_violations(g["fact_rides"], {
-        "customer_key": g["dim_customer"], "driver_key": g["dim_driver"],
-        "location_key": g["dim_location"], "date_key": g["dim_date"]})
+    lost = {"dim_customer": "city = 'Pune'", "dim_customer_history": "city = 'Pune'", "dim_driver": "vehicle_type = 'Bike'",
+            "dim_driver_history": "vehicle_type = 'Bike'", "dim_location": "area = 'Area 3'", "dim_date": "month = 6", "fact_rides": "ride_status = 'completed'"}
+    return lake.foreign_keys(g, {name: df.where(f"NOT ({lost[name]})") for name, df in g.items() if name in lost})
 
 
 @query("jn_10_unknown_keys", accepted(f"""
@@ -483,6 +502,42 @@ def _(spark, d):
     return versions.select(gold.surrogate_key("driver_id").alias("driver_key"), "base", "valid_from", "valid_to", "is_current")
 
 
+# What the three deliveries of the history lake say, and the versions they give.
+_DELIVERED = """delivered AS (
+  SELECT DATE '1996-01-01' AS day, customer_id AS id, CASE WHEN substr(customer_id, 2)::BIGINT % 3 = 0 THEN 'Delhi' ELSE city END AS value
+  FROM silver_customers WHERE substr(customer_id, 2)::BIGINT % 5 <> 0
+  UNION ALL SELECT DATE '1997-07-01', customer_id, CASE WHEN substr(customer_id, 2)::BIGINT % 3 = 1 THEN 'Pune' ELSE city END FROM silver_customers
+  UNION ALL SELECT DATE '2026-10-08', customer_id, city FROM silver_customers
+  UNION ALL SELECT DATE '1996-01-01', driver_id, CASE WHEN substr(driver_id, 2)::BIGINT % 2 = 0 THEN 'SUV' ELSE vehicle_type END FROM silver_drivers
+  UNION ALL SELECT DATE '1997-07-01', driver_id, vehicle_type FROM silver_drivers
+  UNION ALL SELECT DATE '2026-10-08', driver_id, vehicle_type FROM silver_drivers)"""
+_VERSIONS = f"""versions AS (
+  SELECT id, value, day AS valid_from, lead(day) OVER w AS valid_to, {key(key('id') + '::VARCHAR', 'day::VARCHAR')} AS version,
+    CASE WHEN row_number() OVER w = 1 THEN DATE '0001-01-01' ELSE day END AS holds_from
+  FROM (SELECT *, lag(value) OVER (PARTITION BY id ORDER BY day) AS previous FROM delivered)
+  WHERE previous IS DISTINCT FROM value WINDOW w AS (PARTITION BY id ORDER BY day))"""
+
+
+@query("gd_09_dim_histories", silver(f"""
+SELECT CASE substr(id, 1, 1) WHEN 'C' THEN 'customer' ELSE 'driver' END AS entity, {key('id')} AS key, version, value, valid_from, valid_to,
+  valid_to IS NULL AS is_current FROM versions""", _DELIVERED, _VERSIONS))
+def _(spark, d):
+    root = stores.history_root(spark, d)
+    return _union(lake.read_gold(spark, root, f"dim_{entity}_history").select(
+        F.lit(entity).alias("entity"), F.col(f"{entity}_key").alias("key"), F.col(f"{entity}_version").alias("version"), F.col(value).alias("value"),
+        "valid_from", "valid_to", "is_current") for entity, value in (("customer", "city"), ("driver", "vehicle_type")))
+
+
+@query("gd_06_fact_versions", silver(f"""
+SELECT {key('r.ride_id')} AS ride_key, c.version AS customer_version, d.version AS driver_version, c.value AS customer_city, d.value AS vehicle_type
+FROM silver_rides r ASOF JOIN versions c ON c.id = r.customer_id AND r.request_time >= c.holds_from
+ASOF JOIN versions d ON d.id = r.driver_id AND r.request_time >= d.holds_from""", _DELIVERED, _VERSIONS))
+def _(spark, d):
+    g = lake.gold_tables(spark, stores.history_root(spark, d))
+    return (g["fact_rides"].join(g["dim_customer_history"].withColumnRenamed("city", "customer_city"), "customer_version")
+            .join(g["dim_driver_history"], "driver_version").select("ride_key", "customer_version", "driver_version", "customer_city", "vehicle_type"))
+
+
 @query("gd_10_upsert", with_tables("customers", """
 SELECT customer_id, CASE WHEN is_active = 'False' THEN 'Delhi' ELSE city END AS city,
   CASE WHEN is_active = 'False' THEN 2 ELSE 1 END AS version FROM customers"""))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rideflow import schemas
 from rideflow.plans import lake, load
@@ -49,6 +50,36 @@ def lake_root(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, sf_dir, "lake", build)
 
 
+HISTORY_DATES = ("1996-01-01", "1997-07-01", INGEST_DATE)
+
+
+def snapshots(spark: SparkSession, sf_dir: str) -> dict[str, dict[str, DataFrame]]:
+    """Customers and drivers as they were delivered on three days: cities and vehicles change, and some customers come later."""
+    frames = staged(spark, sf_dir)
+    customers, drivers = frames["customers"], frames["drivers"]
+    customer, driver = (F.substring(c, 2, 20).cast("bigint") for c in ("customer_id", "driver_id"))
+
+    def moved(rest: int, city: str) -> DataFrame:
+        return customers.withColumn("city", F.when(customer % 3 == rest, city).otherwise(F.col("city")))
+
+    was = drivers.withColumn("vehicle_type", F.when(driver % 2 == 0, "SUV").otherwise(F.col("vehicle_type")))
+    return dict(zip(HISTORY_DATES, ({"customers": moved(0, "Delhi").where(customer % 5 != 0), "drivers": was},
+                                    {"customers": moved(1, "Pune"), "drivers": drivers}, {"customers": customers, "drivers": drivers}), strict=True))
+
+
+def history_root(spark: SparkSession, sf_dir: str) -> str:
+    """A lake with the snapshots of three days; rides and payments come on the last."""
+    def build(root):
+        frames = staged(spark, sf_dir)
+        for date, some in snapshots(spark, sf_dir).items():
+            rest = {name: frames[name] for name in ("rides", "payments")} if date == INGEST_DATE else {}
+            lake.land_all({name: testdata.as_text(df) for name, df in (some | rest).items()}, root, date)
+        lake.run(spark, root, "run-1", "2026-10-08 12:00:00", SALT)
+        return root
+
+    return _once(spark, sf_dir, "history", build)
+
+
 def silver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     root = lake_root(spark, sf_dir)
     return {name: lake.read_silver(spark, root, name) for name in schemas.DATASETS}

@@ -109,3 +109,20 @@ def _(spark, d):
     rows = jobs.enrich(_event_stream(spark, d), dim, "user_id").select("event_id", "user_id", "city", "segment")
     jobs.run_available_now(rows, f"{root}/out", f"{root}/checkpoint")
     return spark.read.parquet(f"{root}/out")
+
+
+# Two versions of a customer: a second city holds from a day that depends on the customer.
+@query("st_07_as_of", with_tables("customers", """
+SELECT e.event_id, e.user_id, v.city FROM events e ASOF LEFT JOIN (
+  SELECT substr(customer_id, 2)::BIGINT AS user_id, DATE '2024-01-05' AS valid_from, city FROM customers
+  UNION ALL SELECT substr(customer_id, 2)::BIGINT, DATE '2024-01-10' + (substr(customer_id, 2)::BIGINT % 10)::INT, 'Pune' FROM customers) v
+ON e.user_id = v.user_id AND e.ts >= v.valid_from"""))
+def _(spark, d):
+    from rideflow.sources.testdata import customers
+
+    root = work_dir(spark)
+    user = F.substring("customer_id", 2, 20).cast("bigint")
+    known = customers(spark, d).select(user.alias("user_id"), F.lit("2024-01-05").cast("date").alias("valid_from"), "city")
+    later = known.select("user_id", F.date_add(F.lit("2024-01-10").cast("date"), (F.col("user_id") % 10).cast("int")).alias("valid_from"), F.lit("Pune").alias("city"))
+    _arrivals(spark, d, jobs.enrich_as_of(f"{root}/out", lambda: known.unionByName(later), "user_id", "ts", "valid_from", ["city"]), root)
+    return spark.read.parquet(f"{root}/out/batch_id=*").select("event_id", "user_id", "city")

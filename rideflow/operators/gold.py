@@ -8,16 +8,31 @@ from pyspark.sql import functions as F
 from rideflow.functions.keys import date_key, surrogate_key
 from rideflow.functions.text import full_name
 from rideflow.functions.times import is_weekend
+from rideflow.operators.history import as_of, scd2
 
 
-def dim_customer(customers: DataFrame) -> DataFrame:
+def dim_customer(customers: DataFrame, *keep: str) -> DataFrame:
     return customers.select(surrogate_key("customer_id").alias("customer_key"),
-                            full_name().alias("customer_name"), "city", "signup_date")
+                            full_name().alias("customer_name"), "city", "signup_date", *keep)
 
 
-def dim_driver(drivers: DataFrame) -> DataFrame:
+def dim_driver(drivers: DataFrame, *keep: str) -> DataFrame:
     return drivers.select(surrogate_key("driver_id").alias("driver_key"), full_name().alias("driver_name"),
-                          "city", "vehicle_type", "rating", "join_date")
+                          "city", "vehicle_type", "rating", "join_date", *keep)
+
+
+def dim_history(snapshots: DataFrame, entity: str, taken_on: str) -> DataFrame:
+    """Versions of a dimension from its rows of several days (`taken_on`): the dimension's columns, `<entity>_version` (a key of its own, fixed by the
+    dimension key and the first day), valid_from, valid_to (NULL while current), is_current."""
+    key = f"{entity}_key"
+    attrs = [c for c in snapshots.columns if c not in (key, taken_on)]
+    versions = scd2(snapshots, key, attrs, taken_on)
+    return versions.select(surrogate_key(key, "valid_from").alias(f"{entity}_version"), *versions.columns)
+
+
+def with_version(fact: DataFrame, versions: DataFrame, entity: str, at: str) -> DataFrame:
+    """`fact` with `<entity>_version`, the version that was valid at the time `at`. What lies before the first known day counts as its version."""
+    return as_of(fact, versions, f"{entity}_key", at, "valid_from", [f"{entity}_version"], open_start=True)
 
 
 def dim_location(rides: DataFrame) -> DataFrame:

@@ -14,15 +14,14 @@ from pyspark.sql import functions as F
 
 from rideflow import schemas
 from rideflow.operators import gold, quality, silver
-from rideflow.operators.dedupe import latest_per_key
 from rideflow.operators.privacy import erase
 from rideflow.sources.maintenance import partition_times, partition_values
 from rideflow.sources.readers import DATE_PARTS, partition_date, read_bronze
 from rideflow.sources.sinks import land_bronze, write_date
 from rideflow.sources.workdir import materialize, side_by_side, work_dir
 
-SNAPSHOTS = ("customers", "drivers")  # every landing holds the whole dataset
-INCREMENTS = ("rides", "payments")    # every landing holds new rows only
+ENTITIES = {"customers": "customer", "drivers": "driver"}  # every landing holds the whole dataset
+INCREMENTS = ("rides", "payments")                         # every landing holds new rows only
 
 
 def land_all(raw: dict[str, DataFrame], root: str, run_date: str) -> dict[str, str]:
@@ -109,29 +108,52 @@ def bronze_to_silver(spark: SparkSession, root: str, date: str, run_id: str, pro
 
 
 def silver_to_gold(spark: SparkSession, root: str, dates: tuple[str, str]) -> None:
-    """Rebuild the dimensions, and the facts of the given ingest dates."""
-    current = {name: latest_per_key(read_silver(spark, root, name), [schemas.PRIMARY_KEYS[name]], ["ingest_date"])
-               for name in SNAPSHOTS}
+    """Bring the dimensions and their histories up to date, and rebuild the facts of the given ingest dates. Silver before the first of them
+    must be what Gold was built from."""
     rides, payments = (read_silver(spark, root, name, dates) for name in INCREMENTS)
+    scratch = work_dir(spark)
+
+    def replace(name: str, df: DataFrame) -> DataFrame:
+        # Stored aside first: a growing dimension reads the table it replaces.
+        stored = materialize(df, f"{scratch}/{name}")
+        stored.write.mode("overwrite").parquet(f"{root}/gold/{name}")
+        return stored
+
+    histories = {entity: f"dim_{entity}_history" for entity in ENTITIES.values()}
+    versions = dict(zip(histories, side_by_side([partial(replace, table, _history(spark, root, entity, dates[0])) for entity, table in histories.items()])))
+    current = {entity: df.where("is_current").drop(f"{entity}_version", "valid_from", "valid_to", "is_current") for entity, df in versions.items()}
     dims = {
-        "dim_customer": gold.dim_customer(current["customers"]),
-        "dim_driver": gold.dim_driver(current["drivers"]),
+        "dim_customer": current["customer"],
+        "dim_driver": current["driver"],
         "dim_location": _with_known(spark, root, "dim_location", gold.dim_location(rides)).distinct(),
         "dim_date": _calendar(spark, root, rides, payments),
     }
-    scratch = work_dir(spark)
 
-    def replace(name: str, df: DataFrame) -> None:
-        # Stored aside first: a growing dimension reads the table it replaces.
-        materialize(df, f"{scratch}/{name}").write.mode("overwrite").parquet(f"{root}/gold/{name}")
+    def fact_rides(rows: DataFrame) -> DataFrame:
+        fact = gold.fact_rides(rows)
+        for entity in ("driver", "customer"):
+            fact = gold.with_version(fact, versions[entity], entity, "request_time")
+        return fact
 
     jobs = [partial(replace, name, df) for name, df in dims.items()]
-    for name, source, build in (("rides", rides, gold.fact_rides), ("payments", payments, gold.fact_payments)):
+    for name, source, build in (("rides", rides, fact_rides), ("payments", payments, gold.fact_payments)):
         jobs += [partial(write_date, build(source.filter(F.col("ingest_date") == date)), f"{root}/gold/fact_{name}", date,
                          ("year", "month")) for date in ingest_dates(spark, root, name, dates)]
     side_by_side(jobs)
 
 
+def _history(spark: SparkSession, root: str, entity: str, first: str) -> DataFrame:
+    """Versions of a dimension. Those that begin before `first` are read from Gold and stand for the snapshots they came from; only
+    snapshots from `first` on are read, or all of them where Gold has no history yet."""
+    dataset, build = {"customer": ("customers", gold.dim_customer), "driver": ("drivers", gold.dim_driver)}[entity]
+    known = _if_present(lambda: read_gold(spark, root, f"dim_{entity}_history"))
+    snapshots = build(read_silver(spark, root, dataset, None if known is None else (first, "9999-12-31")), "ingest_date")
+    if known is not None:
+        earlier = known.where(F.col("valid_from") < F.lit(first).cast("date")).withColumn("ingest_date", F.col("valid_from").cast("string"))
+        snapshots = snapshots.unionByName(earlier.select(*snapshots.columns))
+    return gold.dim_history(snapshots, entity, "ingest_date")
+
+
 def _with_known(spark: SparkSession, root: str, table: str, new: DataFrame) -> DataFrame:
     """`new` and what the Gold table holds already."""
     known = _if_present(lambda: read_gold(spark, root, table))
@@ -159,7 +181,7 @@ def read_gold(spark: SparkSession, root: str, table: str) -> DataFrame:
 
 
 def gold_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    names = ("dim_customer", "dim_driver", "dim_location", "dim_date", "fact_rides", "fact_payments")
+    names = ("dim_customer", "dim_driver", "dim_customer_history", "dim_driver_history", "dim_location", "dim_date", "fact_rides", "fact_payments")
     return {n: read_gold(spark, root, n) for n in names}
 
 
@@ -272,7 +294,8 @@ POST_SILVER_CHECKS = {
 
 POST_GOLD_CHECKS = {
     "fact_rides": {"customer_key": "customer_key IS NOT NULL", "driver_key": "driver_key IS NOT NULL",
-                   "location_key": "location_key IS NOT NULL", "date_key": "date_key IS NOT NULL"},
+                   "location_key": "location_key IS NOT NULL", "date_key": "date_key IS NOT NULL",
+                   "driver_version": "driver_version IS NOT NULL", "customer_version": "customer_version IS NOT NULL"},
     "dim_customer": {"no_raw_email": "customer_name NOT LIKE '%@%'"},
 }
 
@@ -286,9 +309,23 @@ def check_gold(spark: SparkSession, root: str) -> None:
     tables = gold_tables(spark, root)
     for name, checks in POST_GOLD_CHECKS.items():
         quality.assert_all(tables[name], checks)
-    missing = gold.fk_violations(tables["fact_rides"], {
-        "customer_key": tables["dim_customer"], "driver_key": tables["dim_driver"],
-        "location_key": tables["dim_location"], "date_key": tables["dim_date"]})
-    bad = missing.filter("missing_keys > 0").collect()
+    bad = foreign_keys(tables, tables).filter("missing_keys > 0").collect()
     if bad:
         raise quality.AssertionsFailed(f"fact keys without a dimension row: {bad}")
+
+
+# Every key of every fact: the table it points to, and that table's key.
+FOREIGN_KEYS = {
+    "fact_rides": {"customer_key": ("dim_customer", "customer_key"), "driver_key": ("dim_driver", "driver_key"),
+                   "location_key": ("dim_location", "location_key"), "dropoff_location_key": ("dim_location", "location_key"),
+                   "date_key": ("dim_date", "date_key"), "customer_version": ("dim_customer_history", "customer_version"),
+                   "driver_version": ("dim_driver_history", "driver_version")},
+    "fact_payments": {"customer_key": ("dim_customer", "customer_key"), "ride_key": ("fact_rides", "ride_key"), "date_key": ("dim_date", "date_key")},
+}
+
+
+def foreign_keys(facts: dict[str, DataFrame], tables: dict[str, DataFrame]) -> DataFrame:
+    """fact, key_name, missing_keys, fact_rows: what every fact key lacks in the table it points to."""
+    parts = [gold.fk_violations(facts[fact], {key: tables[table].select(F.col(target).alias(key)) for key, (table, target) in keys.items()})
+             .select(F.lit(fact).alias("fact"), "*") for fact, keys in FOREIGN_KEYS.items()]
+    return reduce(DataFrame.unionByName, parts)

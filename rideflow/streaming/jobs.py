@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from rideflow.functions.times import utc_instant, utc_wall_clock
 from rideflow.operators import quality
 from rideflow.operators.dedupe import latest_per_key
+from rideflow.operators.history import as_of
 from rideflow.sources.readers import CSV_OPTIONS
 
 
@@ -61,6 +62,17 @@ def enrich(stream: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
     return stream.join(dimension, key, "left")
 
 
+def enrich_as_of(out: str, versions: Callable[[], DataFrame], key: str, ts: str, valid_from: str, carry: list[str],
+                 open_start: bool = False) -> Callable[[DataFrame, int], None]:
+    """Batch handler that gives every event the version that was valid at its time, however late it arrives. `versions()` is called per batch, so
+    it sees the history as of then; replaying a batch replaces its own output."""
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        as_of(batch, versions(), key, ts, valid_from, carry, open_start).write.mode("overwrite").parquet(_batch_path(out, batch_id))
+
+    return handle
+
+
 def _batch_path(root: str, batch_id: int) -> str:
     return f"{root}/batch_id={batch_id}"
 
