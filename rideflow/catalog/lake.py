@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from rideflow import schemas
@@ -14,7 +16,7 @@ from rideflow.operators import gold, history, privacy, quality
 from rideflow.operators import silver as steps
 from rideflow.operators.dedupe import first_per_key, mark_first
 from rideflow.plans import kpis, lake, load
-from rideflow.sources import maintenance, readers, sinks
+from rideflow.sources import bucketed, maintenance, merge, readers, sinks
 from rideflow.sources.testdata import as_text, customers, drivers, payments, rides, tables
 from rideflow.sources.workdir import work_dir
 
@@ -171,6 +173,21 @@ def _(spark, d):
             .agg(F.sum("n").alias("rides"), F.min("t").alias("first_request"), F.sum("fare").cast("decimal(18,2)").alias("fare")))
 
 
+# Rides by customer, whose hottest ones are dealt to several buckets, against payments: an exchange-free join of two facts.
+@query("snk_08_bucketed_join", silver("""
+SELECT r.ride_status, p.payment_status, count(*) AS pairs, sum(p.amount)::DECIMAL(18,2) AS amount
+FROM silver_rides r JOIN silver_payments p USING (customer_id) GROUP BY 1, 2"""))
+def _(spark, d):
+    g = stores.gold(spark, d)
+    names = tuple(f"rf_{n}_{uuid.uuid4().hex}" for n in ("rides", "payments"))
+    bucketed.save_for_join(g["fact_rides"].select("customer_key", "request_time", "ride_key", "ride_status"),
+                           g["fact_payments"].select("customer_key", "payment_time", "payment_status", "amount"),
+                           names, work_dir(spark), "customer_key", ("request_time", "payment_time"), buckets=8, share=0.01)
+    joined = bucketed.join_stored(spark, names, "customer_key")
+    return (joined.groupBy("ride_status", "payment_status")
+            .agg(F.count("*").alias("pairs"), F.sum("amount").cast("decimal(18,2)").alias("amount")))
+
+
 @query("snk_09_pending_partitions", with_tables("rides payments", """
 SELECT strftime(month, '%Y') AS year, strftime(month, '%m') AS month FROM (
   SELECT DISTINCT date_trunc('month', payment_time) AS month FROM payments
@@ -548,6 +565,23 @@ def _(spark, d):
     return history.upsert(current, changes, "customer_id", "version")
 
 
+# A tenth of the customers moves, and some new ones come; two merges, of which the second brings an older row as well.
+@query("gd_10_merge", with_tables("customers", """
+SELECT customer_id, CASE WHEN n % 10 = 3 AND n < 700 THEN 'Delhi' ELSE city END AS city, CASE WHEN n % 10 = 3 AND n < 700 THEN 2 ELSE 1 END AS version
+FROM (SELECT *, substr(customer_id, 2)::BIGINT AS n FROM customers)
+UNION ALL SELECT 'N' || customer_id, city, 5 FROM customers WHERE substr(customer_id, 2)::BIGINT % 50 = 0"""))
+def _(spark, d):
+    root = work_dir(spark)
+    number = F.substring("customer_id", 2, 20).cast("bigint")
+    current = customers(spark, d).select("customer_id", "city", F.lit(1).alias("version"))
+    merge.create_table(current, root, "customer_id", rows_per_file=100)
+    moved = current.where((number % 10 == 3) & (number < 700)).withColumns({"city": F.lit("Delhi"), "version": F.lit(2)})
+    new = current.where(number % 50 == 0).withColumns({"customer_id": F.concat(F.lit("N"), "customer_id"), "version": F.lit(5)})
+    merge.merge_into(moved, root, "customer_id", "version", rows_per_file=100)
+    merge.merge_into(new.unionByName(current.withColumns({"version": F.lit(0), "city": F.lit("old")})), root, "customer_id", "version", rows_per_file=100)
+    return merge.read_table(spark, root)
+
+
 @query("pv_09_pii_scan_gold", """
 SELECT unnest(['customer_name', 'customer_name', 'customer_name', 'city', 'city', 'city']) AS column_name,
   unnest(['email', 'phone', 'card', 'email', 'phone', 'card']) AS pattern, 0 AS hits""")
