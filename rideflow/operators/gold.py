@@ -69,7 +69,7 @@ def _date_columns(days: DataFrame) -> DataFrame:
         F.dayofweek("full_date").alias("day_of_week"), is_weekend("full_date").alias("is_weekend"))
 
 
-def fact_rides(rides: DataFrame) -> DataFrame:
+def fact_rides(rides: DataFrame, *keep: str) -> DataFrame:
     """Keys, times and measures; no raw id, name or coordinate."""
     return rides.select(
         surrogate_key("ride_id").alias("ride_key"),
@@ -81,10 +81,10 @@ def fact_rides(rides: DataFrame) -> DataFrame:
         "request_time", "pickup_time", "dropoff_time", F.hour("request_time").alias("ride_hour"),
         "distance_km", "fare", "surge_multiplier", "ride_status",
         F.year("request_time").alias("year"), F.month("request_time").alias("month"),
-        *_lineage(rides))
+        *_lineage(rides), *keep)
 
 
-def fact_payments(payments: DataFrame) -> DataFrame:
+def fact_payments(payments: DataFrame, *keep: str) -> DataFrame:
     return payments.select(
         surrogate_key("payment_id").alias("payment_key"),
         surrogate_key("ride_id").alias("ride_key"),
@@ -92,7 +92,7 @@ def fact_payments(payments: DataFrame) -> DataFrame:
         date_key(F.col("payment_time")).alias("date_key"),
         "amount", "tip_amount", "payment_method", "payment_status", "payment_time",
         F.year("payment_time").alias("year"), F.month("payment_time").alias("month"),
-        *_lineage(payments))
+        *_lineage(payments), *keep)
 
 
 def _lineage(df: DataFrame) -> list[str]:

@@ -36,13 +36,15 @@ class Rule:
 @dataclass(frozen=True)
 class ForeignKey:
     """`column` must occur among the accepted `parents`. Say `unique` where each parent key occurs
-    once: the keys then go into the join as they are."""
+    once: the keys then go into the join as they are. With `since`, a column of the parents, a parent counts for rows whose
+    `_date` is not before it."""
 
     code: str
     column: str
     parents: DataFrame
     parent_column: str
     unique: bool = False
+    since: str | None = None
 
 
 @dataclass(frozen=True)
@@ -183,6 +185,10 @@ def _parent_keys(fk: ForeignKey, stage_in: str | None) -> DataFrame:
     Spark splits a hot key of a join only if both sides come straight from a shuffle, and an
     aggregation is none. Keys that have to be made distinct are therefore stored first, if possible.
     """
+    if fk.since:
+        known = fk.parents.filter(F.col(fk.parent_column).isNotNull()).groupBy(F.col(fk.parent_column).alias("_parent"))
+        first = known.agg(F.min(fk.since).alias("_since"))
+        return materialize(first, f"{stage_in}/parents_{fk.column}") if stage_in else first
     keys = fk.parents.select(F.col(fk.parent_column).alias("_parent")).filter("_parent IS NOT NULL")
     if fk.unique:
         return keys
@@ -194,7 +200,8 @@ def _check_parents(df: DataFrame, foreign, stage_in: str | None = None) -> DataF
     for fk in foreign:
         missing = F.when(F.col(fk.column).isNull(), _failure("NULL_REQUIRED", f"{fk.column} must not be null")).otherwise(
             _failure(fk.code, f"{fk.column} has no accepted parent row"))
-        found = out.join(_parent_keys(fk, stage_in), F.col(fk.column) == F.col("_parent"), "left")
+        same = F.col(fk.column) == F.col("_parent")
+        found = out.join(_parent_keys(fk, stage_in), same & (F.col("_since") <= F.col("_date")) if fk.since else same, "left").drop("_since")
         out = found.withColumn("failures", F.when(
             F.col("_parent").isNull(), F.array_union("failures", F.array(missing))).otherwise(F.col("failures"))).drop("_parent")
     return out
@@ -221,6 +228,29 @@ def evaluate(df: DataFrame, rules=(), foreign=(), unique=()) -> DataFrame:
     return out
 
 
+def flag_loaded(df: DataFrame, key: str, loaded) -> DataFrame:
+    """Add the failure of rows for which `loaded`, a condition, says that their key was loaded on an earlier date."""
+    failure = F.array(_failure("DUPLICATE_PK", f"{key} was loaded on an earlier date")).cast(_FAILURES)
+    return df.withColumn("failures", F.when(loaded, F.array_union("failures", failure)).otherwise(F.col("failures")))
+
+
+def evaluate_over_dates(df: DataFrame, rules, foreign, unique: Unique, loaded: DataFrame, stage_in: str) -> DataFrame:
+    """`evaluate` for rows of several dates (`_date`) at once, as if each date were judged after the ones before it: of the rows
+    of a key, those of the first date on which one passes compete, and all later ones were loaded before. `loaded` has the key and the `_date` of
+    rows accepted on other dates. `df` must hold all rows of its keys on the dates it is about."""
+    key = unique.key[0]
+    checked = _check_keys_present(_check_parents(_check_rows(df, rules), foreign, stage_in), (unique,))
+    checked = materialize(checked, f"{stage_in}/checked")
+    passed = checked.filter(F.size("failures") == 0).select(key, "_date").unionByName(loaded.select(key, "_date"))
+    first = materialize(passed.groupBy(F.col(key).alias("_key")).agg(F.min("_date").alias("_first_date")), f"{stage_in}/first")
+    known = checked.join(first, F.col(key) == F.col("_key"), "left")
+    flagged = flag_loaded(known, key, F.col("_first_date") < F.col("_date")).drop("_key", "_first_date")
+    marked = mark_first(flagged, [key, "_date"], list(unique.order), eligible=F.size("failures") == 0, name="_first")
+    lost = (F.size("failures") == 0) & ~F.col("_first")
+    return marked.withColumn("failures", F.when(lost, F.array(_failure(unique.code, unique.message)).cast(_FAILURES))
+                             .otherwise(F.col("failures"))).drop("_first")
+
+
 def judge(df: DataFrame, rules=(), foreign=(), unique=(), *, stage_in: str) -> DataFrame:
     """`evaluate` for large tables, with `_ok` telling the sides apart.
 

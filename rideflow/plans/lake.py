@@ -6,6 +6,7 @@ reads only the dates it is given, so daily work follows the daily volume and not
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import partial, reduce
 
 from pyspark.errors import AnalysisException
@@ -17,7 +18,7 @@ from rideflow.operators import gold, quality, silver
 from rideflow.operators.privacy import erase
 from rideflow.sources.maintenance import partition_times, partition_values
 from rideflow.sources.readers import DATE_PARTS, partition_date, read_bronze
-from rideflow.sources.sinks import land_bronze, write_date
+from rideflow.sources.sinks import land_bronze, write_date, write_dates
 from rideflow.sources.workdir import materialize, side_by_side, work_dir
 
 ENTITIES = {"customers": "customer", "drivers": "driver"}  # every landing holds the whole dataset
@@ -67,13 +68,6 @@ def _landed(spark: SparkSession, root: str, dataset: str, date: str) -> DataFram
     return spark.createDataFrame([], schemas.as_text(schema).add("_file", "string")) if rows is None else rows
 
 
-def _flag_already_loaded(df: DataFrame, key: str, seen: DataFrame) -> DataFrame:
-    failure = F.array(F.struct(F.lit("DUPLICATE_PK").alias("code"), F.lit(f"{key} was loaded on an earlier date").alias("message")))
-    return (df.join(seen.select(F.col(key).alias("_seen")), F.col(key) == F.col("_seen"), "left")
-            .withColumn("failures", F.when(F.col("_seen").isNotNull(), F.array_union("failures", failure)).otherwise(F.col("failures")))
-            .drop("_seen"))
-
-
 def bronze_to_silver(spark: SparkSession, root: str, date: str, run_id: str, processed_at: str, salt: str,
                      precision: int = 6) -> dict[str, DataFrame]:
     """Process one landed date: accepted rows to Silver, the rest to the quarantine. A dataset without files of that date counts
@@ -91,7 +85,8 @@ def bronze_to_silver(spark: SparkSession, root: str, date: str, run_id: str, pro
             earlier = _earlier_keys(spark, root, dataset, date, raw.select(key).filter(F.col(key).isNotNull()).distinct())
             if earlier is not None:
                 # Stored: usually empty or small, and then broadcast.
-                cleaned = _flag_already_loaded(cleaned, key, materialize(earlier.distinct(), f"{scratch}/{dataset}/seen"))
+                seen = materialize(earlier.distinct(), f"{scratch}/{dataset}/seen").select(F.col(key).alias("_seen"))
+                cleaned = quality.flag_loaded(cleaned.join(seen, F.col(key) == F.col("_seen"), "left"), key, F.col("_seen").isNotNull()).drop("_seen")
         parents = {name: read_silver(spark, root, name, ("", date)) for name in evaluated}
         judged = quality.judge(cleaned, quality.silver_rules(dataset), quality.foreign_keys(dataset, parents),
                                quality.unique_rules(dataset), stage_in=f"{scratch}/{dataset}")
@@ -107,20 +102,21 @@ def bronze_to_silver(spark: SparkSession, root: str, date: str, run_id: str, pro
     return evaluated
 
 
-def silver_to_gold(spark: SparkSession, root: str, dates: tuple[str, str]) -> None:
-    """Bring the dimensions and their histories up to date, and rebuild the facts of the given ingest dates. Silver before the first of them
-    must be what Gold was built from."""
-    rides, payments = (read_silver(spark, root, name, dates) for name in INCREMENTS)
+def silver_to_gold(spark: SparkSession, root: str, dates: tuple[str, str], facts: list[str] | None = None) -> None:
+    """Bring the dimensions and their histories up to date, and rebuild the facts of `facts`, or of all ingest dates in the range. Silver before the
+    first date must be what Gold was built from."""
+    due = {name: [d for d in ingest_dates(spark, root, name, None if facts else dates) if facts is None or d in facts] for name in INCREMENTS}
+    rides, payments = (read_silver(spark, root, name).filter(F.col("ingest_date").isin(due[name])) for name in INCREMENTS)
     scratch = work_dir(spark)
 
-    def replace(name: str, df: DataFrame) -> DataFrame:
+    def replace_table(name: str, df: DataFrame) -> DataFrame:
         # Stored aside first: a growing dimension reads the table it replaces.
         stored = materialize(df, f"{scratch}/{name}")
         stored.write.mode("overwrite").parquet(f"{root}/gold/{name}")
         return stored
 
     histories = {entity: f"dim_{entity}_history" for entity in ENTITIES.values()}
-    versions = dict(zip(histories, side_by_side([partial(replace, table, _history(spark, root, entity, dates[0])) for entity, table in histories.items()])))
+    versions = dict(zip(histories, side_by_side([partial(replace_table, table, _history(spark, root, entity, dates[0])) for entity, table in histories.items()])))
     current = {entity: df.where("is_current").drop(f"{entity}_version", "valid_from", "valid_to", "is_current") for entity, df in versions.items()}
     dims = {
         "dim_customer": current["customer"],
@@ -129,17 +125,15 @@ def silver_to_gold(spark: SparkSession, root: str, dates: tuple[str, str]) -> No
         "dim_date": _calendar(spark, root, rides, payments),
     }
 
-    def fact_rides(rows: DataFrame) -> DataFrame:
-        fact = gold.fact_rides(rows)
+    def fact_rides() -> DataFrame:
+        fact = gold.fact_rides(rides, "ingest_date")
         for entity in ("driver", "customer"):
             fact = gold.with_version(fact, versions[entity], entity, "request_time")
         return fact
 
-    jobs = [partial(replace, name, df) for name, df in dims.items()]
-    for name, source, build in (("rides", rides, fact_rides), ("payments", payments, gold.fact_payments)):
-        jobs += [partial(write_date, build(source.filter(F.col("ingest_date") == date)), f"{root}/gold/fact_{name}", date,
-                         ("year", "month")) for date in ingest_dates(spark, root, name, dates)]
-    side_by_side(jobs)
+    facts_of = {"rides": fact_rides, "payments": lambda: gold.fact_payments(payments, "ingest_date")}
+    side_by_side([partial(replace_table, name, df) for name, df in dims.items()]
+                 + [partial(write_dates, build(), f"{root}/gold/fact_{name}", due[name], ("year", "month")) for name, build in facts_of.items() if due[name]])
 
 
 def _history(spark: SparkSession, root: str, entity: str, first: str) -> DataFrame:
@@ -209,28 +203,105 @@ def pending_dates(spark: SparkSession, root: str) -> list[str]:
 
 
 def run(spark: SparkSession, root: str, run_id: str, processed_at: str, salt: str) -> list[str]:
-    """Process every pending date and the landed dates after it, then build Gold for them. Returns the dates."""
+    """Process every pending date, bring the dates after it up to date, then build Gold for what changed. Returns the dates."""
     pending = pending_dates(spark, root)
-    return list(_rebuild(spark, root, pending, run_id, processed_at, salt)) if pending else []
+    return _rebuild(spark, root, pending, run_id, processed_at, salt)[1] if pending else []
 
 
-def _rebuild(spark: SparkSession, root: str, dates: list[str], run_id: str, processed_at: str, salt: str) -> dict[str, dict[str, DataFrame]]:
-    """Process `dates` (ascending) and every landed date after the first of them in order, then refresh Gold.
+def _rebuild(spark: SparkSession, root: str, dates: list[str], run_id: str, processed_at: str, salt: str) -> tuple[dict[str, dict[str, DataFrame]], list[str]]:
+    """Process `dates` (ascending), then those rows of later dates that depend on a key they changed, and refresh Gold.
 
     A date's rows depend on the dates before it: on keys loaded there and on parents accepted there. So the result is that of
-    processing in order, however late a date comes; a backfill costs the dates after it. Dates whose Bronze
-    files are gone stay as they are. Returns the evaluated rows by date."""
-    landed = [_if_present(lambda: landed_dates(spark, root, dataset)) for dataset in schemas.DATASETS]
-    later = {r.ingest_date for some in landed if some is not None for r in some.filter(F.col("ingest_date") > dates[0]).collect()}
-    every = sorted({*dates, *later})
-    evaluated = {date: bronze_to_silver(spark, root, date, run_id, processed_at, salt) for date in every}
-    silver_to_gold(spark, root, (every[0], every[-1]))
-    return evaluated
+    processing in order, however late a date comes; a backfill costs its own rows and those that its changes reach. Dates whose Bronze
+    files are gone stay as they are. Returns the evaluated rows of `dates`, and all dates that were written."""
+    evaluated, written = {}, set(dates)
+    for i, date in enumerate(dates):
+        later = {name: [d for d in ingest_dates(spark, root, name) if d > date and d not in dates[i + 1:]] for name in INCREMENTS}
+        before = {}
+        if any(later.values()):
+            before = dict(zip(schemas.DATASETS, side_by_side([partial(_accepted_keys, spark, root, name, date) for name in schemas.DATASETS])))
+        evaluated[date] = bronze_to_silver(spark, root, date, run_id, processed_at, salt)
+        if before:
+            written |= _carry_forward(spark, root, date, later, before, run_id, processed_at, salt)
+    silver_to_gold(spark, root, (dates[0], "9999-12-31"), sorted(written))
+    return evaluated, sorted(written)
+
+
+def _accepted_keys(spark: SparkSession, root: str, dataset: str, date: str) -> DataFrame:
+    """The keys that Silver holds for a date, stored aside, as the date is about to be replaced."""
+    key = schemas.PRIMARY_KEYS[dataset]
+    held = _if_present(lambda: read_silver(spark, root, dataset, (date, date)).select(key))
+    held = spark.createDataFrame([], f"{key} string") if held is None else held
+    return materialize(held, f"{work_dir(spark)}/{dataset}")
+
+
+def _changed(spark: SparkSession, root: str, dataset: str, date: str, before: DataFrame) -> DataFrame:
+    """Keys accepted on `date` only before or only after it was processed, with the date `_until` from which another date accepts them
+    anyhow (NULL: none does). Keys that an earlier date accepts changed nothing."""
+    key = schemas.PRIMARY_KEYS[dataset]
+    held = read_silver(spark, root, dataset)
+    now = held.filter(F.col("ingest_date") == date).select(key)
+    differs = before.select(key, F.lit(1).alias("_old")).unionByName(now.select(key, F.lit(-1).alias("_old"))).groupBy(key).agg(F.sum("_old").alias("_d"))
+    differs = materialize(differs.filter("_d <> 0").select(key), f"{work_dir(spark)}/{dataset}")
+    others = (held.filter(F.col("ingest_date") != date).select(key, "ingest_date").join(differs, key, "left_semi")
+              .groupBy(key).agg(F.min("ingest_date").alias("_until")))
+    return materialize(differs.join(others, key, "left").filter(F.col("_until").isNull() | (F.col("_until") > date)), f"{work_dir(spark)}/{dataset}")
+
+
+def _carry_forward(spark: SparkSession, root: str, date: str, later: dict[str, list[str]], before: dict[str, DataFrame], run_id: str, processed_at: str,
+                   salt: str) -> set[str]:
+    """Judge again, in one job a dataset, the rows of `later` dates that the changes of `date` reach through their own key or a foreign one, and
+    replace the dates that hold them. Dates that are still pending are not among these; their turn comes. Returns the dates."""
+    changed = dict(zip(before, side_by_side([partial(_changed, spark, root, name, date, keys) for name, keys in before.items()])))
+    touched: set[str] = set()
+    for dataset, references in (("rides", {"customer_id": "customers", "driver_id": "drivers"}), ("payments", {"customer_id": "customers", "ride_id": "rides"})):
+        schema, key, scratch = schemas.DATASETS[dataset], schemas.PRIMARY_KEYS[dataset], work_dir(spark)
+        landed = _if_present(lambda: read_bronze(spark, root, dataset, schema).filter(partition_date().isin(later[dataset]))
+                             .select(*schema.names, F.col("_metadata.file_path").alias("_file"), partition_date().alias("_date")))
+        if landed is None or not later[dataset]:
+            continue
+        reached = [landed.join(changed[dataset].select(key), key, "left_semi")]
+        for column, parent in references.items():
+            found = changed[parent].select(F.col(schemas.PRIMARY_KEYS[parent]).alias("_parent"), "_until")
+            reached.append(landed.join(found, (F.col(column) == F.col("_parent")) & (F.col("_until").isNull() | (F.col("_date") < F.col("_until"))), "left_semi"))
+        direct = materialize(reduce(DataFrame.unionByName, [r.select(key, "_date") for r in reached]).distinct(), f"{scratch}/direct")
+        keys = materialize(direct.filter(F.col(key).isNotNull()).select(key).distinct(), f"{scratch}/keys")
+        dates = {r[0] for r in direct.select("_date").distinct().collect()}
+        dates |= {r[0] for r in landed.select(key, "_date").join(keys, key, "left_semi").select("_date").distinct().collect()}
+        if not dates:
+            continue
+        # rows without a key pass no rule and have no key to be found by: those of a touched date are judged again
+        in_dates = landed.filter(F.col("_date").isin(sorted(dates)))
+        affected = in_dates.join(keys, key, "left_semi").select(*landed.columns).unionByName(in_dates.filter(F.col(key).isNull()))
+        parents = {name: read_silver(spark, root, name) for name in ("customers", "drivers", "rides") if name != dataset}
+        foreign = [replace(fk, since="ingest_date") for fk in quality.foreign_keys(dataset, parents)]
+        held = read_silver(spark, root, dataset)
+        loaded = held.filter(~F.col("ingest_date").isin(sorted(dates))).select(key, F.col("ingest_date").alias("_date")).join(keys, key, "left_semi")
+        (unique,) = quality.unique_rules(dataset)
+        judged = materialize(quality.evaluate_over_dates(silver.clean(affected, dataset), quality.silver_rules(dataset), foreign, unique, loaded, scratch),
+                             f"{scratch}/judged")
+        protected = silver.protect(quality.accepted(judged), dataset, salt)
+        traced = silver.with_lineage(protected, run_id, processed_at, F.col("_file")).drop("_file").withColumnRenamed("_date", "ingest_date")
+        kept = held.filter(F.col("ingest_date").isin(sorted(dates))).join(keys, key, "left_anti")
+        rows = materialize(kept.unionByName(traced.select(*kept.columns)), f"{scratch}/silver")
+        stored = spark.read.option("basePath", f"{root}/quarantine/{dataset}").parquet(f"{root}/quarantine/{dataset}")
+        stored = stored.withColumn("dt", F.col("dt").cast("string")).filter(F.col("dt").isin(sorted(dates)))
+        named = stored.withColumn("_key", F.get_json_object("raw_record", f"$.{key}"))
+        good = named.filter("_key IS NOT NULL").join(keys, F.col("_key") == F.col(key), "left_anti").select(*stored.columns)
+        bad = quality.quarantine(judged, F.struct("_file", "_date"), run_id, processed_at).drop("dt")
+        bad = bad.withColumn("dt", F.col("source_file._date")).withColumn("source_file", F.col("source_file._file"))
+        failed = materialize(good.unionByName(bad.select(*stored.columns)), f"{scratch}/quarantine")
+        side_by_side([partial(write_dates, rows, f"{root}/silver/{dataset}", sorted(dates)),
+                      partial(write_dates, failed, f"{root}/quarantine/{dataset}", sorted(dates), (), "dt")])
+        if dataset == "rides":  # payments refer to what these rides were and are
+            changed["rides"] = changed["rides"].select("ride_id").unionByName(keys).distinct().withColumn("_until", F.lit(None).cast("string"))
+        touched |= dates
+    return touched
 
 
 def reprocess(spark: SparkSession, root: str, dataset: str, fixed: DataFrame, date: str, run_id: str,
               processed_at: str, salt: str) -> dict[str, DataFrame]:
-    """Put corrected rows back into the Bronze partition of `date`, rebuild that date and the dates after it, and refresh Gold.
+    """Put corrected rows back into the Bronze partition of `date`, rebuild that date and what depends on it, and refresh Gold.
 
     Returns the evaluated rows of `date`. Corrected rows replace landed rows with the same key. The new partition content is stored aside
     first, because a plan must not overwrite the files it reads."""
@@ -241,7 +312,7 @@ def reprocess(spark: SparkSession, root: str, dataset: str, fixed: DataFrame, da
     kept = landed.join(fixed.select(key).distinct(), key, "left_anti").select(*schema.names)
     content = materialize(kept.unionByName(fixed), f"{work_dir(spark)}/{dataset}")
     land_bronze(content, root, dataset, date)
-    return _rebuild(spark, root, [date], run_id, processed_at, salt)[date]
+    return _rebuild(spark, root, [date], run_id, processed_at, salt)[0][date]
 
 
 def erase_subjects(spark: SparkSession, root: str, subjects: DataFrame) -> dict[str, list[str]]:

@@ -78,6 +78,34 @@ def write_date(df: DataFrame, base: str, date: str, cols: tuple[str, ...] = ())
     writer.parquet(f"{base}/ingest_date={date}")
 
 
+def _files_of(spark: SparkSession, folders: list[str]) -> set[str]:
+    """Paths of the Parquet files in folders that may be missing."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    there = [f for f in folders if hadoop(f).getFileSystem(conf).exists(hadoop(f))]
+    if not there:
+        return set()
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(there)
+    return {r.path for r in found.select("path").collect()}
+
+
+def write_dates(df: DataFrame, base: str, dates: list[str], cols: tuple[str, ...] = (), date_col: str = "ingest_date") -> None:
+    """Replace the given dates (`{base}/{date_col}=`) as a whole in one job; `df` holds the date and rows of these dates only, and must not read what it
+    replaces. Other dates are not touched. Sub-partitions and dates that `df` has no rows for are emptied afterwards."""
+    spark = df.sparkSession
+    folders = [f"{base}/{date_col}={d}" for d in dates]
+    before = _files_of(spark, folders)
+    (df.hint("rebalance", date_col, *cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(date_col, *cols).parquet(base))
+    after = _files_of(spark, folders)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for stale in before & after:  # a replaced partition has files of other names
+        path = hadoop(stale)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, False)
+    filled = {d for d in dates if any(f"/{date_col}={d}/" in f for f in after - before)}
+    for date in () if cols else set(dates) - filled:  # an empty file keeps an empty date known
+        df.drop(date_col).limit(0).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{base}/{date_col}={date}")
+
+
 def save_clustered(df: DataFrame, path: str, key: str, sort: str, files: int | None = None) -> None:
     """Cluster a fact by join key and time.
 
