@@ -592,6 +592,44 @@ def _(spark, d):
 # --- KPIs and lake queries -----------------------------------------------------------------------
 
 
+# Half of the customers come late; the rides that they let through are of a later date.
+@query("snk_04_affected_backfill", silver(f"""
+SELECT {key('ride_id')} AS ride_key, {key('customer_id')} AS customer_key, fare FROM silver_rides"""))
+def _(spark, d):
+    root, now = work_dir(spark), "2026-10-08 12:00:00"
+    raw = {name: as_text(df) for name, df in stores.staged(spark, d).items()}
+    half = raw["customers"].where(F.substring("customer_id", 2, 20).cast("bigint") % 2 == 0)
+    lake.land_all({"customers": half, "drivers": raw["drivers"]}, root, "2026-10-06")
+    lake.land_all({name: raw[name] for name in ("rides", "payments")}, root, "2026-10-08")
+    lake.run(spark, root, "run-1", now, SALT)
+    lake.land_all({"customers": raw["customers"]}, root, "2026-10-07")
+    lake.run(spark, root, "run-2", now, SALT)
+    return lake.read_gold(spark, root, "fact_rides").select("ride_key", "customer_key", "fare")
+
+
+_ERASED = "substr(customer_id, 2)::BIGINT % 10 <> 7"
+
+
+@query("pv_10_erase_lake", silver(" UNION ALL ".join(
+    [f"SELECT 'bronze' AS layer, '{t}' AS dataset, count(*) AS rows FROM {t} WHERE {_ERASED}" for t in ("customers", "rides", "payments")]
+    + [f"SELECT 'silver', '{t}', count(*) FROM silver_{t} WHERE {_ERASED}" for t in ("customers", "rides", "payments")]
+    + [f"SELECT 'quarantine', '{t}', count(*) FROM {t} x WHERE {_ERASED} AND NOT EXISTS (SELECT 1 FROM silver_{t} s WHERE s.{k} = x.{k})"
+       for t, k in (("customers", "customer_id"), ("payments", "payment_id"))]
+    + [f"SELECT 'gold', '{n}', count(*) FROM silver_{t} WHERE {_ERASED}" for n, t in (
+        ("dim_customer", "customers"), ("dim_customer_history", "customers"), ("fact_rides", "rides"), ("fact_payments", "payments"))])))
+def _(spark, d):
+    root = work_dir(spark)
+    raw = {name: as_text(df) for name, df in stores.staged(spark, d).items()}
+    lake.land_all(raw, root, stores.INGEST_DATE)
+    lake.run(spark, root, "run-1", "2026-10-08 12:00:00", SALT)
+    lake.erase_subjects(spark, root, raw["customers"].where(F.substring("customer_id", 2, 20).cast("bigint") % 10 == 7))
+    found = {("bronze", n): readers.read_bronze(spark, root, n, schemas.DATASETS[n]) for n in ("customers", "rides", "payments")}
+    found |= {("silver", n): lake.read_silver(spark, root, n) for n in ("customers", "rides", "payments")}
+    found |= {("quarantine", n): spark.read.parquet(f"{root}/quarantine/{n}").select("raw_record").distinct() for n in ("customers", "payments")}
+    found |= {("gold", n): lake.read_gold(spark, root, n) for n in ("dim_customer", "dim_customer_history", "fact_rides", "fact_payments")}
+    return _union(df.agg(F.count("*").alias("rows")).select(F.lit(layer).alias("layer"), F.lit(name).alias("dataset"), "rows") for (layer, name), df in found.items())
+
+
 @query("kp_01_executive", silver(f"""
 SELECT count(*) AS total_rides, sum(fare) FILTER (ride_status = 'completed')::DECIMAL(18,2) AS total_revenue, {mean('fare')} AS avg_fare,
   {percent("count(*) FILTER (ride_status = 'cancelled')", 'count(*)')} AS cancellation_rate_pct,

@@ -10,15 +10,14 @@ from dataclasses import replace
 from functools import partial, reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rideflow import schemas
 from rideflow.operators import gold, quality, silver
-from rideflow.operators.privacy import erase
 from rideflow.sources.maintenance import partition_times, partition_values
 from rideflow.sources.readers import DATE_PARTS, partition_date, read_bronze
-from rideflow.sources.sinks import land_bronze, write_date, write_dates
+from rideflow.sources.sinks import land_bronze, land_dates, write_date, write_dates
 from rideflow.sources.workdir import materialize, side_by_side, work_dir
 
 ENTITIES = {"customers": "customer", "drivers": "driver"}  # every landing holds the whole dataset
@@ -318,30 +317,41 @@ def reprocess(spark: SparkSession, root: str, dataset: str, fixed: DataFrame, da
 def erase_subjects(spark: SparkSession, root: str, subjects: DataFrame) -> dict[str, list[str]]:
     """Remove the given customers (`customer_id`) from Bronze, Silver, quarantine and Gold.
 
-    Only dates that hold rows of a subject are rewritten. Returns these dates per dataset."""
-    ids = subjects.select("customer_id").filter("customer_id IS NOT NULL").distinct()
-    scratch, touched = work_dir(spark), {}
-    for dataset in ("customers", "rides", "payments"):
+    Each layer of each dataset is searched by itself, so rows are found whose other layers are gone. The dates that hold a subject are rewritten in one
+    job a layer and dataset, however many they are. Returns these dates per dataset."""
+    scratch = work_dir(spark)
+    ids = materialize(subjects.select("customer_id").filter("customer_id IS NOT NULL").distinct(), f"{scratch}/subjects")
+
+    def rewrite(read, key: Column, date: Column, write, place: str) -> list[str]:
+        rows = _if_present(read)
+        if rows is None:
+            return []
+        named = rows.withColumn("_subject", key)
+        one = ids.withColumnRenamed("customer_id", "_id")
+        hit = sorted(r[0] for r in named.join(one, F.col("_subject") == F.col("_id"), "left_semi").select(date.cast("string")).distinct().collect())
+        if hit:
+            kept = named.filter(date.cast("string").isin(hit)).join(one, F.col("_subject") == F.col("_id"), "left_anti").select(*rows.columns)
+            write(materialize(kept, f"{scratch}/{place}"), hit)
+        return hit
+
+    def jobs(dataset: str) -> list:
         schema = schemas.DATASETS[dataset]
-        landed = read_bronze(spark, root, dataset, schema)
-        dates = landed.join(ids, "customer_id", "left_semi").select(partition_date().alias("d")).distinct()
-        touched[dataset] = sorted(r.d for r in dates.collect())
-        for date in touched[dataset]:
-            kept = erase(read_bronze(spark, root, dataset, schema, (date, date)), ids, "customer_id").select(*schema.names)
-            land_bronze(materialize(kept, f"{scratch}/bronze/{dataset}/{date}"), root, dataset, date)
-            day = f"{root}/silver/{dataset}/ingest_date={date}"
-            kept = _if_present(lambda: erase(spark.read.parquet(day), ids, "customer_id"))
-            if kept is not None:
-                write_date(materialize(kept, f"{scratch}/silver/{dataset}/{date}"), f"{root}/silver/{dataset}", date)
-            bad = f"{root}/quarantine/{dataset}/dt={date}"
-            records = _if_present(lambda: spark.read.parquet(bad))
-            if records is not None:
-                named = records.withColumn("customer_id", F.get_json_object("raw_record", "$.customer_id"))
-                kept = named.join(ids, "customer_id", "left_anti").select(*records.columns)
-                materialize(kept, f"{scratch}/quarantine/{dataset}/{date}").write.mode("overwrite").parquet(bad)
+        bad = f"{root}/quarantine/{dataset}"
+        day = F.col("dt").cast("string")
+        return [
+            partial(rewrite, lambda: read_bronze(spark, root, dataset, schema), F.col("customer_id"), partition_date(),
+                    lambda rows, dates: land_dates(rows, root, dataset, dates), f"bronze/{dataset}"),
+            partial(rewrite, lambda: read_silver(spark, root, dataset), F.col("customer_id"), F.col("ingest_date"),
+                    lambda rows, dates: write_dates(rows, f"{root}/silver/{dataset}", dates), f"silver/{dataset}"),
+            partial(rewrite, lambda: spark.read.option("basePath", bad).parquet(bad).withColumn("dt", day), F.get_json_object("raw_record", "$.customer_id"), day,
+                    lambda rows, dates: write_dates(rows, bad, dates, (), "dt"), f"quarantine/{dataset}")]
+
+    datasets = ("customers", "rides", "payments")
+    found = side_by_side([job for dataset in datasets for job in jobs(dataset)])
+    touched = {name: sorted({d for some in found[3 * i:3 * i + 3] for d in some}) for i, name in enumerate(datasets)}
     every = sorted({d for dates in touched.values() for d in dates})
     if every:
-        silver_to_gold(spark, root, (every[0], every[-1]))
+        silver_to_gold(spark, root, (every[0], "9999-12-31"), every)
     return touched
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,10 +14,14 @@ def write_csv(df: DataFrame, path: str, line_breaks: bool = False) -> None:
 
     A value with a line break fails the write, because readers that split files would tear its row; with
     `line_breaks` it is written, for readers that do not."""
+    _csv_writer(df, line_breaks).csv(path)
+
+
+def _csv_writer(df: DataFrame, line_breaks: bool = False) -> DataFrameWriter:
     if not line_breaks:
         df = df.select([_one_line(f.name) if f.dataType == T.StringType() else F.col(f"`{f.name}`") for f in df.schema])
-    (df.write.mode("overwrite").option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
-     .option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    return (df.write.mode("overwrite").option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
+            .option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
 
 
 def _one_line(name: str) -> Column:
@@ -79,33 +83,45 @@ def write_date(df: DataFrame, base: str, date: str, cols: tuple[str, ...] = ())
 
 
 def _files_of(spark: SparkSession, folders: list[str]) -> set[str]:
-    """Paths of the Parquet files in folders that may be missing."""
+    """Paths of the part files in folders that may be missing."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     there = [f for f in folders if hadoop(f).getFileSystem(conf).exists(hadoop(f))]
     if not there:
         return set()
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(there)
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "part-*").load(there)
     return {r.path for r in found.select("path").collect()}
 
 
-def write_dates(df: DataFrame, base: str, dates: list[str], cols: tuple[str, ...] = (), date_col: str = "ingest_date") -> None:
-    """Replace the given dates (`{base}/{date_col}=`) as a whole in one job; `df` holds the date and rows of these dates only, and must not read what it
-    replaces. Other dates are not touched. Sub-partitions and dates that `df` has no rows for are emptied afterwards."""
-    spark = df.sparkSession
-    folders = [f"{base}/{date_col}={d}" for d in dates]
+def _replace_folders(writer: DataFrameWriter, base: str, parts: list[str], folders: list[str], spark: SparkSession, fmt: str) -> set[str]:
+    """Write partitions by `parts` below `base` in one job, and delete what the folders held besides. Returns the new files."""
     before = _files_of(spark, folders)
-    (df.hint("rebalance", date_col, *cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(date_col, *cols).parquet(base))
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy(*parts).format(fmt).save(base)
     after = _files_of(spark, folders)
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     for stale in before & after:  # a replaced partition has files of other names
         path = hadoop(stale)
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, False)
-    filled = {d for d in dates if any(f"/{date_col}={d}/" in f for f in after - before)}
+    return after - before
+
+
+def write_dates(df: DataFrame, base: str, dates: list[str], cols: tuple[str, ...] = (), date_col: str = "ingest_date") -> None:
+    """Replace the given dates (`{base}/{date_col}=`) as a whole in one job; `df` holds the date and rows of these dates only, and must not read what it
+    replaces. Other dates are not touched. Sub-partitions and dates that `df` has no rows for are emptied afterwards."""
+    writer = df.hint("rebalance", date_col, *cols).write.mode("overwrite")
+    new = _replace_folders(writer, base, [date_col, *cols], [f"{base}/{date_col}={d}" for d in dates], df.sparkSession, "parquet")
+    filled = {d for d in dates if any(f"/{date_col}={d}/" in f for f in new)}
     for date in () if cols else set(dates) - filled:  # an empty file keeps an empty date known
         df.drop(date_col).limit(0).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{base}/{date_col}={date}")
 
 
+def land_dates(df: DataFrame, root: str, dataset: str, dates: list[str]) -> None:
+    """Replace the Bronze partitions of the given dates in one job; `df` holds text, with year, month and day. Must not read what it replaces."""
+    parts = ["year", "month", "day"]
+    writer = _csv_writer(df.hint("rebalance", *parts))
+    _replace_folders(writer, f"{root}/bronze/{dataset}", parts, [bronze_path(root, dataset, d) for d in dates], df.sparkSession, "csv")
+
+
 def save_clustered(df: DataFrame, path: str, key: str, sort: str, files: int | None = None) -> None:
     """Cluster a fact by join key and time.
 

@@ -14,7 +14,7 @@ from rideflow.sources.workdir import work_dir
 from tests.conftest import plan
 
 QUERIES = catalog.load().QUERIES
-EAGER = ("snk_", "st_", "src_0", "sv_09", "sv_10", "dq_09", "dq_13", "flt_07")
+EAGER = ("snk_", "st_", "src_0", "sv_09", "sv_10", "dq_09", "dq_13", "flt_07", "pv_10_erase_lake")
 
 
 @pytest.mark.parametrize("name", sorted(n for n in QUERIES if not n.startswith(EAGER)))
