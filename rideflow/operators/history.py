@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from rideflow.operators.dedupe import first_per_key, latest_per_key
+from rideflow.sources.workdir import materialize, work_dir
 
 
 def scd2(snapshots: DataFrame, key: str, attrs: list[str], snapshot_date: str) -> DataFrame:
@@ -39,12 +40,13 @@ def _slice(at: Column, hours: int) -> Column:
 
 
 def as_of(events: DataFrame, versions: DataFrame, key: str, at: str, valid_from: str, carry: list[str], open_start: bool = False,
-          hours: int = 24) -> DataFrame:
+          hours: int = 24, compared: int = 32) -> DataFrame:
     """`events` with the `carry` columns of the version of their key that was valid at their time: the newest with valid_from <= at, NULL if there
     is none. With `open_start` the first version of a key holds for the time before it as well. A NULL key or time gets NULL. Every event
     comes out once, repeated ones too; versions have one row per key and valid_from.
 
-    Versions and events are merged in one stream in the order of time, which carries the last version forward. A stream covers one key and one stretch of
+    Where no key has more than `compared` versions, as usual for a dimension, an event meets the versions of its key in an equality join, which Spark can
+    broadcast by size and split for a hot key; no event is sorted. Beyond that, versions and events are merged in one stream in the order of time, which carries the last version forward. A stream covers one key and one stretch of
     `hours`, so a key with most of the events is cut by time. Each stream starts with the last version before it, which a first pass finds
     from one row for each key and stretch."""
     names = events.columns
@@ -52,6 +54,15 @@ def as_of(events: DataFrame, versions: DataFrame, key: str, at: str, valid_from:
     if clash:
         raise ValueError(f"events have columns {sorted(clash)} already")
     own = versions.select(F.col(key).alias("_key"), F.col(valid_from).cast("timestamp_ntz").alias("_at"), F.struct(*carry).alias("_version")).where("_key IS NOT NULL")
+    if (own.groupBy("_key").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0) <= compared:
+        by_time = W.partitionBy("_key").orderBy("_at")
+        first = F.row_number().over(by_time) == 1
+        intervals = own.select("_key", "_version", F.when(~first if open_start else F.lit(True), F.col("_at")).alias("_at"), F.lead("_at").over(by_time).alias("_until"))
+        # stored, so that the join shuffles it by itself and can split a hot key
+        intervals = materialize(intervals, work_dir(events.sparkSession))
+        then = F.col(at).cast("timestamp_ntz")
+        inside = then.isNotNull() & (F.col("_at").isNull() | (F.col("_at") <= then)) & (F.col("_until").isNull() | (then < F.col("_until")))
+        return events.join(intervals, (F.col(key) == F.col("_key")) & inside, "left").select(*names, "_version.*")
     own = own.withColumn("_slice", _slice(F.col("_at"), hours))
     if open_start:
         first = F.col("_at") == F.min("_at").over(W.partitionBy("_key"))

@@ -32,11 +32,11 @@ def _valid(k, t, open_start):
 
 
 @pytest.mark.parametrize("open_start", [False, True])
-@pytest.mark.parametrize("hours", [1, 7, 24, 1000])
-def test_as_of_is_the_newest_version_before(spark, open_start, hours):
+@pytest.mark.parametrize(("hours", "compared"), [(1, 0), (7, 0), (1000, 0), (24, 3), (24, 4)])
+def test_as_of_is_the_newest_version_before(spark, open_start, hours, compared):
     events = _events()
     got = as_of(spark.createDataFrame(events, "id int, k string, t timestamp_ntz"), spark.createDataFrame(VERSIONS, "k string, since date, v string"),
-                "k", "t", "since", ["v"], open_start, hours)
+                "k", "t", "since", ["v"], open_start, hours, compared)
     assert got.columns == ["id", "k", "t", "v"]
     assert sorted(map(str, map(tuple, got.collect()))) == sorted(str((i, k, t, _valid(k, t, open_start))) for i, k, t in events)
 
@@ -46,14 +46,17 @@ def test_as_of_small_cases(spark):
     versions = spark.createDataFrame(VERSIONS, "k string, since date, v string")
     assert as_of(events, versions.limit(0), "k", "t", "since", ["v"]).first().v is None
     assert as_of(events.limit(0), versions, "k", "t", "since", ["v"]).collect() == []
+    many = spark.range(100).selectExpr("'a' AS k", "date_add(DATE'2023-12-20', cast(id AS int)) AS since", "cast(id AS string) AS v")
+    assert as_of(events, many, "k", "t", "since", ["v"]).first().v == "12"
+    assert "Window" not in plan(as_of(events, versions, "k", "t", "since", ["v"]))
     with pytest.raises(ValueError):
         as_of(events.withColumn("v", F.lit(1)), versions, "k", "t", "since", ["v"])
 
 
 def test_a_hot_key_is_cut_by_time(spark):
-    """No window of the join holds all events of a key."""
+    """No window of the merge holds all events of a key."""
     events = spark.createDataFrame(_events(), "id int, k string, t timestamp_ntz")
-    text = plan(as_of(events, spark.createDataFrame(VERSIONS, "k string, since date, v string"), "k", "t", "since", ["v"]))
+    text = plan(as_of(events, spark.createDataFrame(VERSIONS, "k string, since date, v string"), "k", "t", "since", ["v"], compared=0))
     dealt = [line for line in text.splitlines() if "hashpartitioning(_key" in line]
     assert sum("_slice" in line for line in dealt) >= 1 and all("_event" not in line for line in dealt if "_slice" not in line)
 
