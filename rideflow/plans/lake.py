@@ -6,6 +6,7 @@ reads only the dates it is given, so daily work follows the daily volume and not
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import replace
 from functools import partial, reduce
 
@@ -108,20 +109,20 @@ def silver_to_gold(spark: SparkSession, root: str, dates: tuple[str, str], facts
     rides, payments = (read_silver(spark, root, name).filter(F.col("ingest_date").isin(due[name])) for name in INCREMENTS)
     scratch = work_dir(spark)
 
-    def replace_table(name: str, df: DataFrame) -> DataFrame:
+    def replace_table(name: str, build: Callable[[], DataFrame]) -> DataFrame:
         # Stored aside first: a growing dimension reads the table it replaces.
-        stored = materialize(df, f"{scratch}/{name}")
+        stored = materialize(build(), f"{scratch}/{name}")
         stored.write.mode("overwrite").parquet(f"{root}/gold/{name}")
         return stored
 
     histories = {entity: f"dim_{entity}_history" for entity in ENTITIES.values()}
-    versions = dict(zip(histories, side_by_side([partial(replace_table, table, _history(spark, root, entity, dates[0])) for entity, table in histories.items()])))
+    versions = dict(zip(histories, side_by_side([partial(replace_table, table, partial(_history, spark, root, entity, dates[0])) for entity, table in histories.items()])))
     current = {entity: df.where("is_current").drop(f"{entity}_version", "valid_from", "valid_to", "is_current") for entity, df in versions.items()}
     dims = {
-        "dim_customer": current["customer"],
-        "dim_driver": current["driver"],
-        "dim_location": _with_known(spark, root, "dim_location", gold.dim_location(rides)).distinct(),
-        "dim_date": _calendar(spark, root, rides, payments),
+        "dim_customer": lambda: current["customer"],
+        "dim_driver": lambda: current["driver"],
+        "dim_location": lambda: _with_known(spark, root, "dim_location", gold.dim_location(rides)).distinct(),
+        "dim_date": lambda: _calendar(spark, root, rides, payments),
     }
 
     def fact_rides() -> DataFrame:
@@ -131,8 +132,11 @@ def silver_to_gold(spark: SparkSession, root: str, dates: tuple[str, str], facts
         return fact
 
     facts_of = {"rides": fact_rides, "payments": lambda: gold.fact_payments(payments, "ingest_date")}
-    side_by_side([partial(replace_table, name, df) for name, df in dims.items()]
-                 + [partial(write_dates, build(), f"{root}/gold/fact_{name}", due[name], ("year", "month")) for name, build in facts_of.items() if due[name]])
+
+    def replace_facts(name: str) -> None:
+        write_dates(facts_of[name](), f"{root}/gold/fact_{name}", due[name], ("year", "month"))
+
+    side_by_side([partial(replace_facts, name) for name in facts_of if due[name]] + [partial(replace_table, name, build) for name, build in dims.items()])
 
 
 def _history(spark: SparkSession, root: str, entity: str, first: str) -> DataFrame:
