@@ -15,10 +15,11 @@ from rideflow.operators import silver as steps
 from rideflow.sources import sinks
 from rideflow.sources.testdata import as_text, payments, ride_events
 from rideflow.sources.workdir import work_dir
-from rideflow.streaming import jobs
+from rideflow.streaming import jobs, state
 
 # Events of this type arrive one run after the others, whatever their time.
 _TARDY = "event_type = 'signup'"
+_WINDOWS = "window_start timestamp_ntz, window_end timestamp_ntz, event_type string, events long, value decimal(18,2)"
 
 
 def _event_stream(spark, d):
@@ -73,6 +74,19 @@ def _(spark, d):
     return spark.read.parquet(f"{root}/out")
 
 
+# The punctual events come first, so the tardy ones reach windows that are stored already; the delay covers them all.
+@query("st_04_demand_upserts", """
+SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end, event_type, count(*) AS events,
+  sum(value::DECIMAL(12,2))::DECIMAL(18,2) AS value
+FROM events GROUP BY 1, 2, 3""")
+def _(spark, d):
+    root = work_dir(spark)
+    for condition in (f"NOT ({_TARDY})", _TARDY):
+        ride_events(spark, d).filter(condition).write.mode("append").parquet(f"{root}/in")
+        jobs.demand_upserts(jobs.file_stream(spark, f"{root}/in", schemas.EVENTS), f"{root}/out", f"{root}/checkpoint", delay="400 days")
+    return state.read_state(spark, f"{root}/out", _WINDOWS)
+
+
 @query("st_05_bronze_to_silver", accepted("""
 SELECT payment_id, amount >= 0 AND payment_id IN (SELECT payment_id FROM payments_ok) AS ok FROM payments"""))
 def _(spark, d):
@@ -97,6 +111,23 @@ def _(spark, d):
             .select("user_id", "event_id", "ts", "event_type"))
 
 
+# The second batch fails once between its two writes and is delivered again in whole; the first is delivered again after it.
+@query("st_06_bounded_state", """
+SELECT user_id, event_id, ts, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""")
+def _(spark, d):
+    root = work_dir(spark)
+    handle = state.upsert_state(f"{root}/out", ["user_id"], ["ts", "event_id"])
+    events = ride_events(spark, d)
+    punctual, tardy = events.filter(f"NOT ({_TARDY})"), events.filter(_TARDY)
+    handle(punctual, 0)
+    # what a failed attempt leaves: rows and a manifest that is not complete
+    tardy.limit(1).write.parquet(f"{root}/out/data/failed/rows/_part=0")
+    tardy.limit(1).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{root}/out/manifest/generation=1")
+    handle(tardy, 1)
+    handle(punctual, 0)
+    return state.read_state(spark, f"{root}/out", schemas.EVENTS).select("user_id", "event_id", "ts", "event_type")
+
+
 @query("st_07_enrichment", with_tables("customers", """
 SELECT e.event_id, e.user_id, c.city, c.first_name AS segment FROM events e LEFT JOIN (
   SELECT substr(customer_id, 2)::BIGINT AS user_id, city, first_name FROM customers) c ON e.user_id = c.user_id"""))

@@ -16,6 +16,7 @@ from rideflow.operators import quality
 from rideflow.operators.dedupe import latest_per_key
 from rideflow.operators.history import as_of
 from rideflow.sources.readers import CSV_OPTIONS
+from rideflow.streaming import state
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
@@ -37,9 +38,9 @@ def run_available_now(df: DataFrame, path: str, checkpoint: str, mode: str = "ap
      .option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination())
 
 
-def run_batches(df: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str) -> None:
+def run_batches(df: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append") -> None:
     """Call `handle(batch, batch_id)` for everything that has arrived, then stop."""
-    (df.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+    (df.writeStream.foreachBatch(handle).outputMode(mode).option("checkpointLocation", checkpoint)
      .trigger(availableNow=True).start().awaitTermination())
 
 
@@ -57,6 +58,14 @@ def hourly_demand(stream: DataFrame, group: str = "event_type", ts: str = "ts",
                           F.col("value").cast("decimal(18,2)").alias("value"))
 
 
+def demand_upserts(stream: DataFrame, out: str, checkpoint: str, group: str = "event_type", ts: str = "ts", delay: str = "10 minutes",
+                   parts: int = state.PARTS) -> None:
+    """Hourly demand of everything that has arrived, open windows included, as a state at `out` with one row per window and group. Every batch sends
+    the windows it changed with their totals so far, and they replace the rows stored before. An event counts if it is not older than
+    the newest event before its batch by more than the delay."""
+    run_batches(hourly_demand(stream, group, ts, delay), state.upsert_state(out, ["window_start", group], [], parts), checkpoint, "update")
+
+
 def enrich(stream: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
     """Stream-static left join. The dimension is broadcast while it is under Spark's size limit."""
     return stream.join(dimension, key, "left")
@@ -77,10 +86,9 @@ def _batch_path(root: str, batch_id: int) -> str:
     return f"{root}/batch_id={batch_id}"
 
 
-def _read_batches(spark: SparkSession, root: str, schema: T.StructType, before: int | None = None) -> DataFrame:
+def _read_batches(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
     full = T.StructType(list(schema) + [T.StructField("batch_id", T.LongType())])
-    df = spark.read.schema(full).option("basePath", root).parquet(f"{root}/batch_id=*")
-    return df if before is None else df.filter(F.col("batch_id") < before)
+    return spark.read.schema(full).option("basePath", root).parquet(f"{root}/batch_id=*")
 
 
 def route_late(out: str, ts: str = "ts", delay_seconds: int = 600) -> Callable[[DataFrame, int], None]:
@@ -93,13 +101,14 @@ def route_late(out: str, ts: str = "ts", delay_seconds: int = 600) -> Callable[[
         spark = batch.sparkSession
         newest = None
         if batch_id > 0:
-            newest = _read_batches(spark, f"{out}/progress", progress_schema, batch_id).agg(F.max("newest")).first()[0]
+            newest = spark.read.schema(progress_schema).parquet(_batch_path(f"{out}/progress", batch_id - 1)).first()[0]
         limit = F.lit(None if newest is None else str(newest)).cast("timestamp_ntz") - F.make_dt_interval(secs=F.lit(delay_seconds))
         late = F.coalesce(F.col(ts) < limit, F.lit(False))
         (batch.withColumn("late", late).write.mode("overwrite").partitionBy("late")
          .parquet(_batch_path(f"{out}/events", batch_id)))
-        (batch.agg(F.max(ts).cast("timestamp_ntz").alias("newest")).write.mode("overwrite")
-         .parquet(_batch_path(f"{out}/progress", batch_id)))
+        # the newest of all batches so far, so that the next one reads this row only
+        so_far = F.greatest(F.max(ts).cast("timestamp_ntz"), F.lit(None if newest is None else str(newest)).cast("timestamp_ntz"))
+        batch.agg(so_far.alias("newest")).write.mode("overwrite").parquet(_batch_path(f"{out}/progress", batch_id))
 
     return handle
 
