@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 
 from rideflow import schemas
 from rideflow.operators import gold, quality, silver
-from rideflow.sources.maintenance import partition_times, partition_values
+from rideflow.sources import ledger
+from rideflow.sources.maintenance import partition_values
 from rideflow.sources.readers import DATE_PARTS, partition_date, read_bronze
-from rideflow.sources.sinks import land_bronze, land_dates, write_date, write_dates
+from rideflow.sources.sinks import bronze_path, land_bronze, land_dates, write_date, write_dates
 from rideflow.sources.workdir import materialize, side_by_side, work_dir
 
 ENTITIES = {"customers": "customer", "drivers": "driver"}  # every landing holds the whole dataset
@@ -79,6 +80,8 @@ def bronze_to_silver(spark: SparkSession, root: str, date: str, run_id: str, pro
 
     def one(dataset: str) -> DataFrame:
         key = schemas.PRIMARY_KEYS[dataset]
+        # listed before they are read: a file that comes later is pending
+        files = _files_of(spark, root, dataset, date)
         raw = _landed(spark, root, dataset, date)
         cleaned = silver.clean(raw, dataset)
         if dataset in INCREMENTS:
@@ -95,6 +98,8 @@ def bronze_to_silver(spark: SparkSession, root: str, date: str, run_id: str, pro
         bad = quality.quarantine(judged, F.col("_file"), run_id, processed_at).drop("dt")
         side_by_side([partial(write_date, traced, f"{root}/silver/{dataset}", date),
                       partial(bad.write.mode("overwrite").parquet, f"{root}/quarantine/{dataset}/dt={date}")])
+        if files is not None:
+            ledger.record(files, f"{root}/ledger/{dataset}")
         return judged
 
     for level in schemas.LEVELS:
@@ -182,27 +187,31 @@ def gold_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     return {n: read_gold(spark, root, n) for n in names}
 
 
-def landed_dates(spark: SparkSession, root: str, dataset: str) -> DataFrame:
-    """Bronze partition dates and their newest file's time."""
-    parts = partition_times(spark, f"{root}/bronze/{dataset}", list(DATE_PARTS))
-    return parts.select(F.concat_ws("-", *DATE_PARTS).alias("ingest_date"), "newest")
+def landed_files(spark: SparkSession, root: str, dataset: str) -> DataFrame | None:
+    """The Bronze files of a dataset with the date they were landed for; None where it was never landed."""
+    files = _if_present(lambda: ledger.list_files(spark, f"{root}/bronze/{dataset}"))
+    if files is None:
+        return None
+    return files.withColumn("ingest_date", F.concat_ws("-", *[F.regexp_extract("file", f"/{part}=([^/]+)/", 1) for part in DATE_PARTS]))
+
+
+def _files_of(spark: SparkSession, root: str, dataset: str, date: str) -> DataFrame | None:
+    """The Bronze files of one date as they are now, stored aside as an entry of the ledger. Only the folder of the date is listed."""
+    files = _if_present(lambda: ledger.list_files(spark, bronze_path(root, dataset, date)))
+    return None if files is None else materialize(files.withColumn("entry", F.lit(date)), f"{work_dir(spark)}/{dataset}")
 
 
 def pending_dates(spark: SparkSession, root: str) -> list[str]:
-    """Dates with a landed dataset that Silver does not hold yet, or that was landed again after Silver was written;
-    oldest first. Both are told from directory names and file times; no file is opened."""
-    found = set()
-    for dataset in schemas.DATASETS:
-        landed = _if_present(lambda: landed_dates(spark, root, dataset))
-        if landed is None:
-            continue
-        processed = _if_present(lambda: partition_times(spark, f"{root}/silver/{dataset}", ["ingest_date"]))
-        if processed is not None:
-            done = processed.select("ingest_date", F.col("oldest").alias("processed"))
-            # equal times count as landed later: a needless rebuild is harmless
-            landed = landed.join(done, "ingest_date", "left").filter("processed IS NULL OR newest >= processed")
-        found |= {r[0] for r in landed.select("ingest_date").collect()}
-    return sorted(found)
+    """Dates whose Bronze files are not exactly those that Silver was built from, oldest first. They are told by the ledger of files, so neither the
+    clocks of the writers nor equal times matter; no Bronze file is opened."""
+    def of(dataset: str) -> set[str]:
+        files = landed_files(spark, root, dataset)
+        if files is None:
+            return set()
+        done = ledger.read_ledger(spark, f"{root}/ledger/{dataset}").withColumnRenamed("entry", "ingest_date")
+        return {r[0] for r in ledger.changed_groups(files, done, "ingest_date").collect()}
+
+    return sorted(set().union(*side_by_side([partial(of, dataset) for dataset in schemas.DATASETS])))
 
 
 def run(spark: SparkSession, root: str, run_id: str, processed_at: str, salt: str) -> list[str]:
@@ -324,6 +333,7 @@ def erase_subjects(spark: SparkSession, root: str, subjects: DataFrame) -> dict[
     Each layer of each dataset is searched by itself, so rows are found whose other layers are gone. The dates that hold a subject are rewritten in one
     job a layer and dataset, however many they are. Returns these dates per dataset."""
     scratch = work_dir(spark)
+    pending = set(pending_dates(spark, root))
     ids = materialize(subjects.select("customer_id").filter("customer_id IS NOT NULL").distinct(), f"{scratch}/subjects")
 
     def rewrite(read, key: Column, date: Column, write, place: str) -> list[str]:
@@ -354,11 +364,20 @@ def erase_subjects(spark: SparkSession, root: str, subjects: DataFrame) -> dict[
     found = side_by_side([job for dataset in datasets for job in jobs(dataset)])
     touched = {name: sorted({d for some in found[3 * i:3 * i + 3] for d in some}) for i, name in enumerate(datasets)}
     every = sorted({d for dates in touched.values() for d in dates})
+    # the new files hold nothing that Silver lacks; dates that were pending before stay so
+    side_by_side([partial(_record_again, spark, root, name, [d for d in found[3 * i] if d not in pending]) for i, name in enumerate(datasets)])
     if every:
         silver_to_gold(spark, root, (every[0], "9999-12-31"), every)
     return touched
 
 
+def _record_again(spark: SparkSession, root: str, dataset: str, dates: list[str]) -> None:
+    """Write down the files of `dates` as they are now."""
+    if dates:
+        files = landed_files(spark, root, dataset).filter(F.col("ingest_date").isin(dates))
+        ledger.record(files.withColumnRenamed("ingest_date", "entry"), f"{root}/ledger/{dataset}")
+
+
 def row_totals(evaluated: dict[str, DataFrame]) -> DataFrame:
     """Per dataset: input = valid + rejected."""
     parts = []

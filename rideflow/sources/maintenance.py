@@ -99,13 +99,6 @@ def partition_values(spark: SparkSession, path: str, names: list[str]) -> DataFr
     return files.select(*[F.regexp_extract("path", f"/{n}=([^/]+)/", 1).alias(n) for n in names]).distinct()
 
 
-def partition_times(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
-    """Partition values under `path`, as text, with the times of their oldest and newest file. No file is read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    parts = [F.regexp_extract("path", f"/{n}=([^/]+)/", 1).alias(n) for n in names]
-    return files.groupBy(*parts).agg(F.min("modificationTime").alias("oldest"), F.max("modificationTime").alias("newest"))
-
-
 def retention_candidates(partitions: DataFrame, run_date: str, rules: dict = RETENTION_RULES) -> DataFrame:
     """(layer, dataset, partition_date) rows older than their layer's limit, with the action that
     is due. Nothing is deleted."""

@@ -7,6 +7,7 @@ from rideflow import schemas
 from rideflow.plans import lake
 from rideflow.sources import sinks
 from rideflow.sources.testdata import as_text, tables
+from rideflow.sources.sinks import bronze_path
 from rideflow.sources.workdir import work_dir
 
 AT, SALT = "2026-10-08 12:00:00", "s"
@@ -82,3 +83,17 @@ def test_write_dates_replaces_whole_dates(spark, tmp_path):
     sinks.write_dates(spark.createDataFrame([(1, "a"), (2, "b")], "v int, ingest_date string"), flat, ["a", "b"])
     sinks.write_dates(spark.createDataFrame([], "v int, ingest_date string"), flat, ["a"])
     assert [r.v for r in spark.read.parquet(flat).collect()] == [2] and (tmp_path / "f" / "ingest_date=a").exists()
+
+
+def test_a_second_file_in_a_done_date_is_pending_and_erasure_leaves_nothing_pending(spark, landings):
+    root = work_dir(spark)
+    lake.land_all(landings[DAYS[0]], root, DAYS[0])
+    assert lake.run(spark, root, "r1", AT, SALT) == [DAYS[0]]
+    more = landings[DAYS[3]]["customers"].select([F.col(c).cast("string").alias(c) for c in landings[DAYS[3]]["customers"].columns])
+    more.write.mode("append").option("header", True).csv(bronze_path(root, "customers", DAYS[0]))
+    assert lake.pending_dates(spark, root) == [DAYS[0]]
+    assert lake.run(spark, root, "r2", AT, SALT) == [DAYS[0]]
+    assert lake.pending_dates(spark, root) == []
+    subject = lake.read_silver(spark, root, "customers").select("customer_id").limit(1)
+    assert lake.erase_subjects(spark, root, subject)["customers"] == [DAYS[0]]
+    assert lake.pending_dates(spark, root) == []
