@@ -16,9 +16,9 @@ from rideflow.operators import gold, history, privacy, quality
 from rideflow.operators import silver as steps
 from rideflow.operators.dedupe import first_per_key, mark_first
 from rideflow.plans import kpis, lake, load
-from rideflow.sources import bucketed, maintenance, merge, readers, sinks
+from rideflow.sources import bucketed, ledger, maintenance, merge, readers, sinks
 from rideflow.sources.testdata import as_text, customers, drivers, payments, rides, tables
-from rideflow.sources.workdir import work_dir
+from rideflow.sources.workdir import materialize, work_dir
 
 SALT = stores.SALT
 
@@ -199,6 +199,38 @@ def _(spark, d):
     return maintenance.pending_partitions(landed, processed, ["year", "month"])
 
 
+# Read once: all files of the first landing but those of May, whose entry names another time. Then files of June come into folders that were read.
+@query("snk_09_file_ledger", with_tables("payments", """
+SELECT 1 AS pass, month(payment_time)::INT AS month, count(*) AS rows FROM payments GROUP BY ALL
+UNION ALL SELECT 2, 5, count(*) FROM payments WHERE month(payment_time) = 5 HAVING count(*) > 0
+UNION ALL SELECT 2, 6, count(*) FROM payments WHERE month(payment_time) = 6 AND payment_method = 'Cash' HAVING count(*) > 0"""))
+def _(spark, d):
+    root = work_dir(spark)
+    rows = as_text(payments(spark, d)).withColumn("month", F.month(F.col("payment_time").cast("timestamp_ntz")))
+    parts = []
+
+    def read_pending(number: int) -> None:
+        files = ledger.list_files(spark, f"{root}/in")
+        due = materialize(ledger.pending_files(files, ledger.read_ledger(spark, f"{root}/ledger")), f"{root}/due/{number}")
+        names = [r.file for r in due.collect()]
+        if names:
+            read = readers.read_raw(spark, names, schemas.PAYMENTS, lenient=True)
+            month = F.regexp_extract(F.col("_metadata.file_path"), "/month=([0-9]+)/", 1).cast("int")
+            parts.append(read.groupBy(month.alias("month")).agg(F.count("*").alias("rows")).select(F.lit(number).alias("pass"), "month", "rows"))
+        modified = F.when(F.col("file").contains("/month=5/") & (F.lit(number) == 1), F.col("modified") - 1).otherwise(F.col("modified"))
+        ledger.record(due.withColumn("modified", modified).withColumn("entry", F.lit(f"run-{number}")), f"{root}/ledger")
+
+    def land(df) -> None:
+        df.repartition("month").write.mode("append").partitionBy("month").option("header", True).csv(f"{root}/in")
+
+    land(rows)
+    read_pending(1)
+    land(rows.filter("month = 6 AND payment_method = 'Cash'"))
+    read_pending(2)
+    read_pending(3)
+    return _union(parts)
+
+
 @query("snk_10_verify_landing", with_tables("customers", """
 SELECT 'same' AS tree, 'ok' AS status, count(DISTINCT city) AS files FROM customers
 UNION ALL SELECT 'other', 'missing', count(DISTINCT city) FROM customers
@@ -589,6 +621,34 @@ def _(spark, d):
     return privacy.pii_scan(stores.gold(spark, d)["dim_customer"])
 
 
+_SEEDED = {
+    "dim_customer": ("city", "email", "customers WHERE city = 'Pune'"),
+    "dim_customer_history": ("customer_name", "phone", "customers WHERE city = 'Delhi'"),
+    "dim_driver": ("driver_name", "card", "drivers WHERE vehicle_type = 'Bike'"),
+    "dim_driver_history": ("vehicle_type", "email", "drivers WHERE city = 'Pune'"),
+    "fact_rides": ("ride_status", "phone", "rides WHERE ride_status = 'no_show'"),
+    "fact_payments": ("payment_status", "card", "payments WHERE payment_method = 'Cash'"),
+}
+
+
+# Personal data is put into one column of every table but the calendar; card numbers whose check digit is wrong are put into another and count nothing.
+@query("pv_09_pii_scan_gold_tables", silver(" UNION ALL ".join(
+    f"SELECT '{table}' AS table_name, '{column}' AS column_name, '{kind}' AS pattern, count(*) AS hits FROM silver_{rows} HAVING count(*) > 0"
+    for table, (column, kind, rows) in _SEEDED.items())
+    + " UNION ALL SELECT 'dim_location', 'area', 'email', count(*) FROM (SELECT DISTINCT city, area, cell FROM ("
+    + " UNION ALL ".join(f"SELECT {side}_city AS city, {side}_area AS area, {_geohash_sql(f'{side}_lat', f'{side}_lon')} AS cell FROM silver_rides"
+                         for side in ("pickup", "dropoff")) + ") WHERE area = 'Area 3') HAVING count(*) > 0"))
+def _(spark, d):
+    samples = {"email": "see a.b@c-d.org now", "phone": "call +91 9876543210", "card": "4111 1111 1111 1112 4111-1111-1111-1111."}
+    g = {name: df.drop(*steps.LINEAGE) for name, df in stores.gold(spark, d).items()}
+    for table, (column, kind, rows) in _SEEDED.items():
+        where = rows.split(" WHERE ")[1]
+        g[table] = g[table].withColumn(column, F.when(F.expr(where), samples[kind]).otherwise(F.col(column)))
+    g["dim_location"] = g["dim_location"].withColumn("area", F.when(F.col("area") == "Area 3", samples["email"]).otherwise(F.col("area")))
+    g["dim_location"] = g["dim_location"].withColumn("city", F.concat("city", F.lit(" 4111111111111112")))
+    return privacy.pii_scan_tables(g).filter("hits > 0")
+
+
 # --- KPIs and lake queries -----------------------------------------------------------------------
 
 
