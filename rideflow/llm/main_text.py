@@ -33,11 +33,27 @@ NAMES = ("ad ads adsbox advert advertisement advertising adverts alert banner br
          "cookies copyright dialog disqus footer form gdpr login masthead menu modal nav navbar navigation newsletter notice notification overlay "
          "pager pagination paywall popup promo promoted promotion recommended related replies reply respond search share sharing sidebar signup "
          "skip social sponsor sponsored sponsors subscribe subscription teaser toc toolbar widget").split()
+# Words that say where or what kind of thing a named part is ("related-posts", "sidebar-left").
+BESIDE = ("area articles bar block bottom box button buttons column container content entries group holder icons inner item items left link links list module "
+          "outer page panel post posts right section site stories story top wrap wrapper").split()
+PHRASING = ("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label map mark meter nobr output picture progress q rp rt ruby s samp "
+            "slot small span strike strong sub sup time tt u var").split()
+# Elements whose content is text up to their own end tag, and what may stand in a head.
+RAW = "script style textarea title noscript iframe noembed noframes xmp".split()
+IN_HEAD = "base basefont bgsound link meta title noscript noframes style script template".split()
 _HIDDEN, _FURNITURE, _BLOCK, _CONTAINER, _VOID, _NAMES = map(frozenset, (HIDDEN, FURNITURE, BLOCK, CONTAINER, VOID, NAMES))
-
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*)>""", re.S)
-_SIMPLE_TAG = re.compile(r"</?[a-zA-Z][^>]*>")
-_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_NAMES_BESIDE, _RAW, _IN_HEAD = frozenset(NAMES + BESIDE), frozenset(RAW), frozenset(IN_HEAD)
+_KNOWN = frozenset(HIDDEN + FURNITURE + BLOCK + CONTAINER + VOID + PHRASING + RAW + IN_HEAD)
+
+# An attribute: a quote opens a value only right behind the equals sign, and only if it is closed somewhere; elsewhere it is a character like others.
+_VALUE = r"""(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]*+))"""
+_TAG = re.compile(rf"""<(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]++|[^\s/>][^\s/>=]*+{_VALUE}?+)*+)>""")
+_LOOSE_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>")
+_CUT_TAG = re.compile(rf"</?[a-zA-Z][^\s/>]*+(?:[\s/]++|[^\s/>=]++{_VALUE})*+\Z")
+_START = re.compile(r"<(?:(/?)([a-zA-Z][^\s/>]*)|[!?]|/)")
+_OTHER = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)|</[^>]*+>", re.S)
+_END_NAME = re.compile(r"</([a-zA-Z][^\s/>]*)")
+_ATTRIBUTE = re.compile(r"""([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>]*+)))?+""")
 _NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
 
 # Zones: "core" is inside article or main, "furniture" as above, "plain" the rest; forms of a piece within a zone.
@@ -65,7 +81,8 @@ _NOWHERE = Element("", -1, False, -1, -1)
 def _marks(attributes: str) -> tuple[bool, bool, bool]:
     """Whether an element with these attributes is hidden, has a name of furniture, and is called header.
 
-    A name is a whole class, id, role or label, or one put together of such names only ("cookie-banner", but not "has-comments").
+    A name is a whole class, id, role or label, or one put together of such names and words for places and kinds ("cookie-banner", "related-posts", but
+    not "has-comments").
     """
     hidden, names = False, set()
     for found in _ATTRIBUTE.finditer(attributes):
@@ -80,7 +97,11 @@ def _marks(attributes: str) -> tuple[bool, bool, bool]:
             names.update(value.split())
         elif attribute == "aria-label":
             names.add(value)
-    return hidden, any(n in _NAMES or _NAMES.issuperset(re.split(r"[^a-z0-9]+", n)) for n in names), "header" in names
+    return hidden, any(n in _NAMES or _is_furniture(re.split(r"[^a-z0-9]+", n)) for n in names), "header" in names
+
+
+def _is_furniture(words: list[str]) -> bool:
+    return _NAMES_BESIDE.issuperset(words) and not _NAMES.isdisjoint(words)
 
 
 def _holder(parts: list) -> str | None:
@@ -98,6 +119,44 @@ def items(page: str) -> list[tuple[str, str, tuple[str, str] | str]]:
     return _parse(page)[0]
 
 
+def _tags(page: str, ends: dict[str, int]) -> Iterator[tuple[int, int, str, str, str]]:
+    """(start, end, "/" or "", name, attributes) of the tags of a page in order, comments and the like with an empty name. `ends`: the last end tag by name.
+
+    Names that HTML does not know are tags if they are made as its own ones are (with a hyphen or a colon) or are closed somewhere; else "<" is
+    a character of the text. Nothing is looked for in raw text elements, which end with their own end tag; a script or style without one goes on
+    to the end of the page, another one is as if it had not begun. A page is read once: where a quote swallows all ends of tags, quotes no longer count."""
+    at, last, pattern = 0, page.rfind(">"), _TAG
+    while start := _START.search(page, at):
+        at, name = start.end() if start[2] is None else start.start() + 1, (start[2] or "").lower()
+        if not name:
+            if (start[0] != "</" or start.start() < last) and (other := _OTHER.match(page, start.start())):
+                at = other.end()
+                yield start.start(), at, "", "", ""
+            continue
+        if not (start[1] or name in _KNOWN or "-" in name or ":" in name or name in ends):
+            continue
+        if start.start() > last:
+            if _CUT_TAG.match(page, start.start()):
+                yield start.start(), len(page), "", "", ""
+                return
+            continue
+        found = pattern.match(page, start.start())
+        if not found:
+            pattern = _LOOSE_TAG
+            found = pattern.match(page, start.start())
+        at = found.end()
+        if not found[1] and name in _RAW:
+            if ends.get(name, -1) >= at:
+                yield start.start(), at, "", name, found[3]
+                at = re.compile(rf"</{name}(?=[\s/>]|\Z)", re.I).search(page, at).start()
+                continue
+            if name not in ("script", "style"):
+                yield start.start(), at, "", "", ""
+                continue
+            at = len(page)
+        yield start.start(), at, found[1], name, found[3]
+
+
 def _parse(page: str) -> tuple[list, list[int], list[Element]]:
     """The items, the element each of them is in (-1: none), and the elements."""
     parts: list = []
@@ -105,8 +164,11 @@ def _parse(page: str) -> tuple[list, list[int], list[Element]]:
     elements: list[Element] = []
     stack: list[int] = []
     counts: Counter[str] = Counter()
-    skip = ""
+    inner: Counter[str] = Counter()  # what is open inside of the hidden element
+    skip, depth, raw = "", 0, False
     at = 0
+    # a hidden element that is never closed hides nothing
+    ends = {found[1].lower(): found.start() for found in _END_NAME.finditer(page)}
 
     def pop(name: str, end: int) -> None:
         while stack:
@@ -122,38 +184,49 @@ def _parse(page: str) -> tuple[list, list[int], list[Element]]:
         parts.append((kind, value, more))
         owners.append(stack[-1] if stack else -1)
 
-    for found in _TAG.finditer(page):
-        if not skip and found.start() > at:
-            add("text", page[at:found.start()])
-        at = found.end()
-        name = (found[2] or "").lower()
+    for start, end, slash, name, attributes in _tags(page, ends):
+        between = page[at:start]
+        if skip == "head" and not slash and name and name not in _IN_HEAD or skip == "head" and between.strip() and not raw:
+            skip = ""  # a head ends with what cannot be in it
+        if not skip and between:
+            add("text", between)
+        at, raw = end, False
         if not name:
-            if not skip and found[0].startswith("<![CDATA["):
-                add("text", found[0][9:-3])
+            if not skip and page.startswith("<![CDATA[", start):
+                add("text", page[start + 9:end].removesuffix("]]>"))
             continue
         if skip:
-            if found[1] and name == skip or skip == "head" and name == "body":
-                skip = ""
-            if skip or found[1]:
+            raw = not slash and name in _RAW
+            if not slash:
+                if name != skip:
+                    inner[name] += 1
+                elif name not in ("select", "button"):  # these do not nest: the second one ends the first
+                    depth += 1
+                continue
+            if name == skip:
+                depth -= 1
+                skip = skip if depth else ""
+                continue
+            if inner[name] or not counts[name] and not (skip == "head" and name in ("body", "html")):
+                inner[name] -= inner[name] > 0
                 continue
-        if found[1]:
+            skip = ""  # the end of an element around it
+        if slash:
             add("tag", name, "close")
             if counts[name]:
                 pop(name, len(parts))
             continue
         if name in _HIDDEN:
-            if not found[3].rstrip().endswith("/"):
-                skip = name
-                if name != "head":
-                    # raw text: what looks like a tag inside ends nothing, only the element's own end tag does
-                    continue
+            if name == "head" or name in _RAW or ends.get(name, -1) >= at:
+                skip, depth, raw = name, 1, name in _RAW
+                inner.clear()
             continue
         add("tag", name, "open")
-        if name in _VOID or found[3].rstrip().endswith("/") and name not in _BLOCK:
+        if name in _VOID or attributes.rstrip().endswith("/") and name not in _BLOCK:
             continue
         if name in ("li", "dd", "dt", "p") and counts[name] and elements[stack[-1]].name in (name, "b", "i", "em", "strong", "span", "p"):
             pop(name, len(parts) - 1)
-        hidden, named, header = _marks(found[3]) if found[3] else (False, False, False)
+        hidden, named, header = _marks(attributes) if attributes else (False, False, False)
         up = elements[stack[-1]] if stack else _NOWHERE
         firm = name not in ("body", "html") and (name in _FURNITURE or hidden or name == "header" and up.core < 0)
         named = name not in ("body", "html", "article", "main") and (named or header and up.core < 0)
@@ -162,7 +235,7 @@ def _parse(page: str) -> tuple[list, list[int], list[Element]]:
                                 len(elements) if core else up.core, len(parts) - 1))
         stack.append(len(elements) - 1)
         counts[name] += 1
-    if not skip and at < len(page):
+    if at < len(page) and (not skip or skip == "head" and not raw):
         add("text", page[at:])
     for i in stack:
         elements[i].end = len(parts)
