@@ -134,7 +134,7 @@ def op9_rank_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict of every page url under nested host rules."""
-    rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
+    rules = spark.range(1).select(F.inline(F.array(*[F.struct(F.lit(h).alias("host"), F.lit(p).alias("path"), F.lit(v).alias("verdict")) for h, p, v in RULES])))
     return apply_url_rules(_table(spark, sf_dir, "pages"), rules)
 
 

@@ -1,13 +1,13 @@
-"""URL rules by a sort-merge range join over reversed hosts.
+"""URL rules by sort-merge range joins over reversed hosts and paths.
 
-A host is turned into a key that starts with its last label ("www.example.com" gives "com/example/www/"; "/" cannot occur in a
-host and sorts below what can stand in a label here), so the host of a rule with all its subdomains is one interval of keys, and intervals
-nest or do not touch. A sweep over the sorted keys of rule starts and hosts meets each host behind the start of the rules
-that hold it: all of them are on the stack as it was when the last start in front of the host was pushed, and those
-of the stack that have ended are told by their prefix. The paths of the rules on a host's stack are then compared with those of its urls.
+A host is turned into a key that starts with its last label ("www.example.com" gives "com/example/www/"), so the host of a rule with all its subdomains
+is one interval of keys; so are the paths that start with a rule's. Intervals of prefixes nest or do not touch. A sweep over the sorted keys of
+starts and points meets each point behind the start of the intervals that hold it: these are all on the stack as it was when the last
+start in front of the point was pushed, and those of the stack that have ended are told by their prefix.
 
-Only distinct hosts are swept, so a host of very many urls is one row; ranges of keys are swept apart from each other, each
-with the last start of the ranges in front of it carried in.
+Two sweeps: hosts among the hosts of rules, then (host of a rule, path) among the rules. A stack holds what is nested, not all rules of a host,
+and a point is compared with one stack. Only distinct hosts and paths are swept, so a url of very many rows is one point; ranges of keys
+are swept apart from each other, each with the last start of the ranges in front of it carried in.
 """
 
 from __future__ import annotations
@@ -22,43 +22,35 @@ SPAN = 100_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def _behind(url: Column) -> Column:
+    """What follows the first "://"; empty for null or without it."""
+    at = F.instr(url, "://")
+    return F.when(at > 0, F.substr(url, at + 3)).otherwise(F.lit(""))
+
+
 def url_host(url: Column) -> Column:
     """What follows the first "://" up to "/", "?", "#" or the end, A-Z as a-z; empty for null or without "://"."""
-    return F.coalesce(F.translate(F.regexp_extract(url, r"^(?s)(?:(?!://).)*://([^/?#]*)", 1), UPPER, LOWER), F.lit(""))
+    host = _behind(url)
+    for mark in "/?#":
+        host = F.substring_index(host, mark, 1)
+    return F.translate(host, UPPER, LOWER)
 
 
 def url_path(url: Column) -> Column:
     """What follows the host up to "?", "#" or the end; empty for null or without "://"."""
-    return F.coalesce(F.regexp_extract(url, r"^(?s)(?:(?!://).)*://[^/?#]*([^?#]*)", 1), F.lit(""))
+    path = F.substr(_behind(url), F.length(url_host(url)) + 1)
+    return F.substring_index(F.substring_index(path, "?", 1), "#", 1)
 
 
 def host_key(host: Column) -> Column:
     return F.concat(F.array_join(F.reverse(F.split(host, r"\.")), "/"), F.lit("/"))
 
 
-def rule_stacks(rules: DataFrame) -> DataFrame:
-    """key, stack: for each host of `rules` (host, path, verdict) the rules of all hosts that hold it, its own included.
-
-    The hosts that can hold a host are as many as it has labels, so a stack is bounded by the rules on those; they are found by joining
-    the leading parts of each key with the keys, which spreads over the cluster for rule lists of any length.
-    """
-    keyed = (rules.where("host IS NOT NULL AND path IS NOT NULL AND host <> ''").select("host", "path", "verdict").distinct()
-             .withColumn("key", host_key(F.translate("host", UPPER, LOWER))))
-    parts = keyed.select("key").distinct().withColumn("labels", F.split("key", "/"))
-    leading = parts.select("key", F.explode(F.transform(F.sequence(F.lit(1), F.size("labels") - 1),
-                                                        lambda i: F.concat(F.array_join(F.slice("labels", 1, i), "/"), F.lit("/")))).alias("holder"))
-    held = leading.join(keyed.withColumnRenamed("key", "holder"), "holder")
-    rule = F.struct("holder", "path", "verdict", F.concat("host", "path").alias("rule"))
-    return held.groupBy("key").agg(F.collect_list(rule).alias("stack"))
-
-
-def host_stacks(hosts: DataFrame, rules: DataFrame) -> DataFrame:
-    """key, stack for each distinct key of `hosts` that a rule holds, by the sweep."""
-    spark = hosts.sparkSession
-    stacks = materialize(rule_stacks(rules), work_dir(spark))
-    points = hosts.select("key", F.lit(1).alias("kind")).unionByName(stacks.select("key", F.lit(0).alias("kind")))
-    # starts sort in front of the hosts with the same key
-    swept = with_position(points, [F.col("key"), F.col("kind")])
+def _nearest(points: DataFrame, starts: DataFrame) -> DataFrame:
+    """key, near: for each key of `points` the last key of `starts` that does not sort behind it, by the sweep. Keys are distinct in each."""
+    both = points.select("key", F.lit(1).alias("kind")).unionByName(starts.select("key", F.lit(0).alias("kind")))
+    # starts sort in front of the points with the same key
+    swept = with_position(both, [F.col("key"), F.col("kind")])
     span = F.floor(F.col("position") / SPAN).alias("span")
     start = F.when(F.col("kind") == 0, F.col("key"))
     swept = swept.withColumn("span", span).withColumn("start", start)
@@ -67,11 +59,22 @@ def host_stacks(hosts: DataFrame, rules: DataFrame) -> DataFrame:
     ends = swept.groupBy("span").agg(F.max("start").alias("last"))
     before = Window.orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
     carried = ends.select("span", F.max("last").over(before).alias("carried"))
-    nearest = (swept.withColumn("near", F.last("start", ignorenulls=True).over(upto)).where("kind = 1").join(carried, "span")
-               .select("key", F.coalesce("near", "carried").alias("near")))
-    met = nearest.join(stacks.select(F.col("key").alias("near"), "stack"), "near")
-    return (met.select("key", F.filter("stack", lambda r: F.startswith(F.col("key"), r.holder)).alias("stack"))
-            .where(F.size("stack") > 0))
+    return (swept.withColumn("near", F.last("start", ignorenulls=True).over(upto)).where("kind = 1").join(carried, "span")
+            .select("key", F.coalesce("near", "carried").alias("near")))
+
+
+def _stacks(rules: DataFrame, prefixes: Column, *carry: str) -> DataFrame:
+    """key, stack: for each distinct key of `rules` what has a key among its `prefixes`, which are as many as it has labels or characters. They are
+    found by an equality join, which spreads over the cluster for rule lists of any length."""
+    leading = rules.select("key").distinct().select("key", F.explode(prefixes).alias("_held"))
+    held = leading.join(rules.select(F.col("key").alias("_held"), *carry).distinct(), "_held")
+    return held.groupBy("key").agg(F.collect_list(F.struct(F.col("_held").alias("held"), *carry)).alias("stack"))
+
+
+def _met(points: DataFrame, stacks: DataFrame) -> DataFrame:
+    """key, stack: the part of the nearest start's stack that holds the point; points that nothing holds are left out."""
+    met = _nearest(points, stacks).join(stacks.select(F.col("key").alias("near"), "stack"), "near")
+    return met.select("key", F.filter("stack", lambda r: F.startswith(F.col("key"), r.held)).alias("stack")).where(F.size("stack") > 0)
 
 
 def apply_url_rules(urls: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col: str = "url", default: str = "allow") -> DataFrame:
@@ -80,17 +83,33 @@ def apply_url_rules(urls: DataFrame, rules: DataFrame, id_col: str = "page_id",
     A rule (host, path, verdict) fits a url whose host is the rule's or a subdomain of it and whose path starts with the rule's. The longest
     of the fitting rules (host and path together; a longer host, then "block" decides between equal ones) gives rule and verdict. No
     rule: null and `default`. Null urls and urls without "://" have an empty host and path, and no rule. Repeated rules
-    count once, rules with a null or an empty host never fit. An empty table of rules gives `default` everywhere.
+    count once, rules with a null or an empty host, or a host that no url can have, never fit. An empty table of rules gives `default` everywhere.
+    Other columns of `urls` are ignored.
     """
     spark = urls.sparkSession
     rows = urls.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"))
     rows = rows.select("page_id", url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path"))
-    rows = materialize(rows.withColumn("key", host_key(F.col("host"))), work_dir(spark))
-    stacks = materialize(host_stacks(rows.select("key").distinct(), rules), work_dir(spark))
-    best = F.array_max(F.transform(
-        F.filter("stack", lambda r: F.startswith(F.col("path"), r.path)),
-        lambda r: F.struct(F.length(r.rule).alias("long"), F.length(r.holder).alias("deep"), (r.verdict == "block").alias("hard"),
-                           r.rule.alias("rule"), r.verdict.alias("verdict"))))
-    found = rows.join(stacks, "key", "left").withColumn("best", best)
-    return found.select("page_id", "host", "path", F.col("best.rule").alias("rule"),
-                        F.coalesce("best.verdict", F.lit(default)).alias("verdict"))
+    rows = materialize(rows, work_dir(spark))
+    known = (rules.where("path IS NOT NULL AND host <> '' AND NOT host RLIKE '[/?#]'").select("host", "path", "verdict").distinct()
+             .withColumn("holder", host_key(F.translate("host", UPPER, LOWER))))
+    known = materialize(known.withColumn("key", F.concat("holder", F.lit("?"), "path")), work_dir(spark))
+
+    # hosts: the rules' hosts around each host
+    labels = F.split("key", "/")
+    around = F.transform(F.sequence(F.lit(1), F.size(labels) - 1), lambda i: F.concat(F.array_join(F.slice(labels, 1, i), "/"), F.lit("/")))
+    holders = materialize(_stacks(known.select(F.col("holder").alias("key")), around), work_dir(spark))
+    hosts = rows.where("host <> ''").select(host_key(F.col("host")).alias("key")).distinct()
+    held = materialize(_met(hosts, holders).select(F.col("key").alias("host_key"), F.explode("stack.held").alias("holder")), work_dir(spark))
+
+    # paths: the rules of each of these hosts whose path begins the url's; "?" stands in no host and no path of a url
+    places = materialize(rows.where("host <> ''").select("host", "path").distinct().withColumn("host_key", host_key(F.col("host")))
+                         .join(held, "host_key").select("host", "path", F.concat("holder", F.lit("?"), "path").alias("key")), work_dir(spark))
+    begins = F.transform(F.sequence(F.instr("key", "?"), F.length("key")), lambda i: F.substr(F.col("key"), F.lit(1), i))
+    stacks = materialize(_stacks(known, begins, "holder", "host", "path", "verdict"), work_dir(spark))
+    fits = _met(places.select("key").distinct(), stacks)
+    best = F.array_max(F.transform("stack", lambda r: F.struct(
+        F.length(F.concat(r.host, r.path)).alias("long"), F.length(r.holder).alias("deep"), (r.verdict == "block").alias("hard"),
+        F.concat(r.host, r.path).alias("rule"), r.verdict.alias("verdict"))))
+    chosen = places.join(fits.select("key", best.alias("best")), "key").groupBy("host", "path").agg(F.max("best").alias("best"))
+    found = rows.join(materialize(chosen, work_dir(spark)), ["host", "path"], "left")
+    return found.select("page_id", "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict"))

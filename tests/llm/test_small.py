@@ -155,6 +155,42 @@ def test_no_content_goes_by_a_loose_mark(tag, mark):
         assert main_text(f"<{tag} {hides}><p>one two three</p></{tag}>", weights) == ""
 
 
+@pytest.mark.parametrize("page, want", [
+    ("<script>for(i=0;i<n;i++){s='it';}</script><article><p>one two three</p></article>", "one two three"),
+    ("<script>if(i<n){f()}</script><article><p>one two x=a<b&&c three</p></article>", "one two x=a<b&&c three"),
+    ("<html><head><title>x</title><p>one two three</p>", "one two three"),
+    ("<html><head><meta charset=utf-8><style>a</style>one two three", "one two three"),
+    ("<article><p data-x=it's>one two</p><p>three's</p></article>", "one two\nthree's"),
+    ("<article><p>x<y then more text > end</p></article>", "x<y then more text > end"),
+    ("<article><p>one two <![CDATA[abc def", "one two abc def"),
+    ("<article><p>one two</p><select><option>a<option>b</select><button>go</button><p>three</p></article>", "one two\nthree"),
+    ("<article><p>one two<svg><path d=1><svg></svg>hid</svg> three</p></article>", "one two three"),
+    ("<article><p>one <video src=x> two three</p></article>", "one two three"),
+    ("<article><div><template><div>no</div></template></div><p>one two three</p></article>", "one two three"),
+    ("<article><p>one two three</p><p class=\"x", "one two three"),
+    ("<article><textarea><p>no</p></textarea><p>one two</p><!--> three <p>four</article>", "one two\nthree\nfour"),
+    ("<article><foo-bar>one two</foo-bar> three <o:p>four</o:p></article>", "one two three four"),
+    ("<article><p title=\"a>one two three</p> four</article>", "one two three\nfour"),
+    ("<script>var a='<!--';</script><article><p>one two three</p></article>", "one two three")])
+def test_tags_by_the_rules_of_html(page, want):
+    assert main_text(page, {"text": dict(PRIOR), "tag": {}}) == want
+
+
+@pytest.mark.parametrize("name", ["related-posts", "comment-list", "share-buttons", "ad-container", "sidebar-left", "newsletter-box"])
+def test_named_furniture_inside_an_article_goes(name):
+    page = f"<article><p>one two three</p><div class='{name}'><p>not this</p></div></article><div class=site-footer>foot</div>"
+    assert main_text(page, {"text": dict(PRIOR), "tag": {}}) == "one two three"
+
+
+@pytest.mark.parametrize("piece", ["<a ", '<p x="', "<svg>", "<zz>", "</", "<!--", "<title>", '<p =" ', "<svg></svg><select>", '<p x="> '])
+def test_broken_pages_are_read_once(piece):
+    import time
+
+    begin = time.perf_counter()
+    main_text(piece * 100_000, {"text": dict(PRIOR), "tag": {}})
+    assert time.perf_counter() - begin < 20
+
+
 def test_a_name_outside_the_article_stays_furniture():
     weights = {"text": dict(PRIOR), "tag": {}}
     assert main_text("<article><p>one</p></article><div class=ad>a b c d e f g h i j</div>", weights) == "one"
@@ -191,6 +227,25 @@ def test_url_rules_cases(spark):
     assert {r.verdict for r in apply_url_rules(urls, rules.limit(0)).collect()} == {"allow"}
 
 
+def test_urls_of_any_length_and_many_rules_of_a_host(spark):
+    def fits(host, path, rule):
+        return (host == rule[0] or host.endswith("." + rule[0])) and path.startswith(rule[1])
+
+    long = "a\U0001F600" * 500_000
+    given = [("many.org", f"/p{i}", "block" if i % 3 else "allow") for i in range(3000)]
+    given += [("many.org", "/p1/", "allow"), ("many.org", "", "allow"), ("org", "/p12", "block"), ("b.many.org", "/p1", "allow"), ("b.many.org", "/p1", "block"),
+              ("x?y", "/", "block"), ("", "/", "block"), (None, "/", "block"), ("org", None, "block"), ("many.org", "p1", "block")]
+    some = [f"http://{h}/{p}" for h in ("many.org", "a.b.many.org", "xmany.org", "B.many.org") for p in ("p1", "p1/2", "p12?p1/", "p2999x", "q", "")] + ["http://many.org"]
+    urls = spark.createDataFrame([(i, u) for i, u in enumerate([*some, long, f"http://many.org/{long}", f"{long}://many.org/p2"])], "page_id long, url string")
+    got = {r.page_id: (r.rule, r.verdict) for r in apply_url_rules(urls, spark.createDataFrame(given, "host string, path string, verdict string")).collect()}
+    for i, u in enumerate(some):
+        host, _, path = u[7:].split("?")[0].partition("/")
+        path = "/" + path if u[7:].count("/") else ""
+        best = max(((len(h + p), len(h), v == "block", h + p, v) for h, p, v in given if h and p is not None and fits(host.lower(), path, (h, p))), default=None)
+        assert got[i] == ((best[3], best[4]) if best else (None, "allow")), u
+    assert [got[len(some) + i] for i in range(3)] == [(None, "allow"), ("many.org", "allow"), ("many.org/p2", "block")]
+
+
 def test_vectors_small(spark):
     rows = [(1, [1.0, 0.0], 1), (2, [2.0, 0.0], 1), (3, [1.0, 0.01], 1), (4, [1.0, 0.0], None), (5, [0.0, 0.0], 1), (6, None, 1), (7, [1.0, None], 1),
             (8, [float("nan"), 1.0], 1), (9, [1.0, 0.0, 0.0], 1), (10, [], 1), (11, [1.0, 0.0], 2)]
