@@ -62,6 +62,26 @@ def _(spark, d):
     return readers.read_json(spark, path, schemas.DRIVERS, array=False)
 
 
+# One array in one file, read in splits of 64 kB; names hold braces, quotes and escapes.
+@query("src_03_json_array_splits", with_tables("customers", """
+SELECT customer_id, first_name || '}"{\\,[' AS first_name, last_name, email, city, signup_date FROM customers"""))
+def _(spark, d):
+    path, limit = work_dir(spark), "spark.sql.files.maxPartitionBytes"
+    odd = customers(spark, d).withColumn("first_name", F.concat("first_name", F.lit('}"{\\,[')))
+    lines = odd.select(F.to_json(F.struct(*odd.columns)).alias("value")).coalesce(1)
+    lines = lines.select(F.concat(F.when(F.monotonically_increasing_id() == 0, "").otherwise(","), "value").alias("value"))
+    bracket = spark.range(1, numPartitions=1)
+    array = bracket.select(F.lit("[").alias("value")).unionByName(lines).unionByName(bracket.select(F.lit("]").alias("value")))
+    array.coalesce(1).write.text(path)
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "65536")
+    try:
+        found = materialize(readers.read_json_splits(spark, path, schemas.CUSTOMERS), work_dir(spark))
+    finally:
+        spark.conf.set(limit, before)
+    return found.select("customer_id", "first_name", "last_name", "email", "city", "signup_date")
+
+
 @query("snk_01_csv_roundtrip", with_tables("rides", """
 SELECT ride_id, pickup_city, request_time, pickup_time, dropoff_time, distance_km, fare, surge_multiplier FROM rides"""))
 def _(spark, d):

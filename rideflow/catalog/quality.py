@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from rideflow import schemas
 from rideflow.catalog import stores
-from rideflow.catalog.accepted_sql import PAYMENT_REASONS, REASONS, RIDE_REASONS, accepted, silver
+from rideflow.catalog.accepted_sql import DRIVER_LIMITS, PAYMENT_REASONS, REASONS, RIDE_REASONS, accepted, silver
 from rideflow.catalog.mapping_sql import percent, with_tables
 from rideflow.catalog.registry import query
 from rideflow.operators import quality, reconcile
@@ -164,6 +164,52 @@ def _(spark, d):
     return quality.alerts(quality.rate_metrics(reports))
 
 
+def _alert_sql(dataset: str, table: str, passed: str, ok: str) -> str:
+    totals = f"(SELECT (SELECT count(*) FROM {table}) AS n, (SELECT count(*) FROM {ok}) AS ok, (SELECT count(*) FROM {passed}) AS passed)"
+    return (f"SELECT '{dataset}' AS dataset, 'rejection_rate_pct' AS metric, {_rate('n - ok', 'n')} AS value FROM {totals} "
+            f"UNION ALL SELECT '{dataset}', 'duplicate_rate_pct', {_rate('passed - ok', 'n')} FROM {totals} "
+            f"UNION ALL SELECT '{dataset}', 'null_pk_rate_pct', {_rate('0', 'n')} FROM {totals}")
+
+
+@query("dq_07_alerts_all", accepted(f"""
+SELECT dataset, metric, value, CASE WHEN metric = 'rejection_rate_pct' AND value > 15 THEN 'critical'
+    WHEN metric = 'rejection_rate_pct' AND value > 5 THEN 'warning' WHEN metric = 'duplicate_rate_pct' AND value > 2 THEN 'critical'
+    WHEN metric = 'duplicate_rate_pct' AND value > 0.5 THEN 'warning' WHEN metric = 'null_pk_rate_pct' AND value > 0 THEN 'warning'
+    ELSE 'ok' END AS level
+FROM ({_alert_sql('customers', 'customers', 'customers', 'customers_ok')} UNION ALL {_alert_sql('drivers', 'drivers', 'drivers_passed', 'drivers_ok')}
+  UNION ALL {_alert_sql('rides', 'rides', 'rides_passed', 'rides_ok')} UNION ALL {_alert_sql('payments', 'payments', 'payments_ok', 'payments_ok')})""",
+    f"drivers_passed AS (SELECT * FROM drivers WHERE {DRIVER_LIMITS})"))
+def _(spark, d):
+    frames = stores.evaluated(spark, d)
+    reports = _union(quality.quality_report(df, n, schemas.PRIMARY_KEYS[n], [schemas.PRIMARY_KEYS[n]], []) for n, df in frames.items())
+    return quality.alerts(quality.rate_metrics(reports))
+
+
+# Values outside of the allowed ones are put into every column that has a list of them, and NULLs into some.
+@query("dq_01_seeded_values", with_tables("drivers rides payments", """
+SELECT 'drivers' AS dataset, 'INVALID_VEHICLE_TYPE' AS code, count(*) AS rows FROM drivers WHERE vehicle_type = 'Bike' OR city = 'Pune'
+UNION ALL SELECT 'rides', 'INVALID_RIDE_STATUS', count(*) FROM rides WHERE ride_status = 'no_show' OR pickup_area = 'Area 3'
+UNION ALL SELECT 'rides', 'NEGATIVE_FARE', count(*) FROM rides WHERE pickup_city = 'Pune' AND fare >= 0 OR fare < 0
+UNION ALL SELECT 'payments', 'INVALID_PAYMENT_METHOD', count(*) FROM payments WHERE payment_method = 'Cash'
+UNION ALL SELECT 'payments', 'INVALID_PAYMENT_STATUS', count(*) FROM payments WHERE payment_status = 'failed' OR tip_amount = 0"""))
+def _(spark, d):
+    def seeded(column, condition, value):
+        return F.when(F.expr(condition), F.lit(value)).otherwise(F.col(column))
+
+    frames = stores.staged(spark, d)
+    odd = {
+        "drivers": frames["drivers"].withColumn("vehicle_type", F.when(F.col("city") == "Pune", F.lit(None)).otherwise(seeded("vehicle_type", "vehicle_type = 'Bike'", "bike"))),
+        "rides": frames["rides"].withColumns({
+            "ride_status": F.when(F.col("pickup_area") == "Area 3", F.lit(None)).otherwise(seeded("ride_status", "ride_status = 'no_show'", "gone")),
+            "fare": F.when((F.col("pickup_city") == "Pune") & (F.col("fare") >= 0), -F.col("fare") - F.lit(1)).otherwise(F.col("fare")).cast("decimal(10,2)")}),
+        "payments": frames["payments"].withColumns({
+            "payment_method": seeded("payment_method", "payment_method = 'Cash'", "Cheque"),
+            "payment_status": F.when(F.col("tip_amount") == 0, F.lit(None)).otherwise(seeded("payment_status", "payment_status = 'failed'", ""))})}
+    codes = ("INVALID_VEHICLE_TYPE", "INVALID_RIDE_STATUS", "NEGATIVE_FARE", "INVALID_PAYMENT_METHOD", "INVALID_PAYMENT_STATUS")
+    return _union(quality.evaluate(df, quality.LOAD_RULES[n]).select(F.lit(n).alias("dataset"), F.explode(F.array_distinct(F.transform("failures", lambda x: x["code"]))).alias("code"))
+                  .where(F.col("code").isin(*codes)).groupBy("dataset", "code").agg(F.count("*").alias("rows")) for n, df in odd.items())
+
+
 @query("dq_07_volume_alerts", """
 WITH daily AS (
   SELECT day::DATE AS day, count(event_id) AS n
@@ -186,6 +232,23 @@ def _(spark, d):
     return quality.check_counts(stores.silver(spark, d)["rides"], lake.POST_SILVER_CHECKS)
 
 
+# Keys and names are spoilt where the SQL can tell: each check of Gold has to find them.
+@query("dq_08_gold_checks", silver("""
+SELECT 'fact_rides' AS dataset, unnest(['customer_key', 'driver_key', 'location_key', 'date_key', 'driver_version', 'customer_version']) AS check_name,
+  unnest([n1, n2, n3, n4, n5, n6]) AS rows FROM (SELECT count(*) FILTER (ride_status = 'completed') AS n1, count(*) FILTER (fare > 100) AS n2,
+    count(*) FILTER (month(request_time) = 6) AS n3, count(*) FILTER (surge_multiplier > 1) AS n4, count(*) FILTER (distance_km > 5) AS n5,
+    count(*) FILTER (ride_status = 'no_show') AS n6 FROM silver_rides)
+UNION ALL SELECT 'dim_customer', 'no_raw_email', count(*) FILTER (city = 'Pune') FROM silver_customers"""))
+def _(spark, d):
+    g = stores.gold(spark, d)
+    spoilt = {"customer_key": "ride_status = 'completed'", "driver_key": "fare > 100", "location_key": "month = 6", "date_key": "surge_multiplier > 1",
+              "driver_version": "distance_km > 5", "customer_version": "ride_status = 'no_show'"}
+    odd = {"fact_rides": g["fact_rides"].withColumns({c: F.when(~F.expr(p), F.col(c)) for c, p in spoilt.items()}),
+           "dim_customer": g["dim_customer"].withColumn("customer_name", F.when(F.col("city") == "Pune", "a@b").otherwise(F.col("customer_name")))}
+    return _union(quality.check_counts(odd[name], checks).unpivot([], list(checks), "check_name", "rows").select(F.lit(name).alias("dataset"), "check_name", "rows")
+                  for name, checks in lake.POST_GOLD_CHECKS.items())
+
+
 @query("dq_10_reconcile_counts", accepted("""
 SELECT (SELECT count(*) FROM rides) AS input, (SELECT count(*) FROM rides_ok) AS valid,
   (SELECT count(*) FROM rides) - (SELECT count(*) FROM rides_ok) AS rejected, true AS balanced"""))
@@ -228,6 +291,23 @@ def _(spark, d):
     return spark.createDataFrame(found, "dataset string, problems int")
 
 
+# A column that is missing, one of another type, one too many, and NULLs that the schema forbids.
+@query("dq_14_contract_drift", with_tables("customers rides payments", """
+SELECT 'rides' AS dataset, 'missing column surge_multiplier' AS problem UNION ALL SELECT 'rides', 'fare is string, expected decimal(10,2)'
+UNION ALL SELECT 'payments', 'unexpected column channel'
+UNION ALL SELECT 'payments', 'amount has ' || count(*) || ' nulls' FROM payments WHERE payment_method = 'Cash' HAVING count(*) > 0
+UNION ALL SELECT 'customers', 'email has ' || count(*) || ' nulls' FROM customers WHERE city = 'Pune' HAVING count(*) > 0"""))
+def _(spark, d):
+    frames = stores.staged(spark, d)
+    typed = {n: quality.split(steps.clean(as_text(frames[n]), n), ())[0] for n in ("customers", "rides", "payments")}
+    drifted = {
+        "customers": typed["customers"].withColumn("email", F.when(F.col("city") != "Pune", F.col("email"))),
+        "rides": typed["rides"].drop("surge_multiplier").withColumn("fare", F.col("fare").cast("string")),
+        "payments": typed["payments"].withColumn("channel", F.lit("app")).withColumn("amount", F.when(F.col("payment_method") != "Cash", F.col("amount")))}
+    found = [(n, problem) for n, df in drifted.items() for problem in quality.check_contract(df, schemas.DATASETS[n])]
+    return spark.createDataFrame(found, "dataset string, problem string")
+
+
 @query("dq_15_drift", with_tables("payments", f"""
 SELECT period, category, n, share_pct, (share_pct - lag(share_pct) OVER (PARTITION BY category ORDER BY period))::DECIMAL(18,2) AS change_pct
 FROM (SELECT period, category, n, {percent('n', '(sum(n) OVER (PARTITION BY period))::HUGEINT', 2)} AS share_pct

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,6 +43,45 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType, array: bool
     return spark.read.schema(staging_schema(schema)).option("multiLine", array).json(path)
 
 
+def read_json_splits(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """JSON objects of arrays or lines, files of any size read in splits. The result of `read_json`, but for the order of rows.
+
+    Files are read as pieces up to each closing brace. Whether a piece begins in a string is the parity of the quotes before it, and how deep in
+    objects it begins is a sum over the pieces before it; both are summed within a split and carried from split to split as one row each. A
+    piece that is a whole object is parsed as it is; only the others are brought together, so at most one object is held at a time."""
+    pieces = spark.read.option("lineSep", "}").text(path).select(
+        F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_n"), "value")
+    plain = F.regexp_replace("value", r"(?s)\\.", "")  # no escape reaches over a closing brace
+    counted = pieces.withColumn("_plain", plain).withColumn("_quotes", F.length("_plain") - F.length(F.translate("_plain", '"', "")))
+    quoted = _running(counted, "_quotes", "_before")
+    opened = F.col("_before") % 2 == 1
+    outside = F.regexp_replace(F.concat(F.when(opened, '"').otherwise(""), "_plain"), r'"[^"]*("|$)', "")
+    closes = ((F.col("_before") + F.col("_quotes")) % 2 == 0).cast("int")
+    deep = quoted.withColumn("_depth", F.length(outside) - F.length(F.translate(outside, "{", "")) - closes)
+    placed = _running(deep.drop("_plain", "_quotes", "_before"), "_depth", "_level")
+    after = F.col("_level") + F.col("_depth")
+    # what lies between two objects belongs to the second one
+    text = F.when(F.col("_level") == 0, F.regexp_replace("value", r"^[\s,\[\x{FEFF}]+", "")).otherwise(F.col("value"))
+    placed = placed.withColumn("_text", F.concat(text, F.lit("}"))).withColumn("_whole", (F.col("_level") == 0) & (after == 0))
+    whole = placed.where("_whole AND _text LIKE '{%'").select("_text")
+    # the number of objects begun up to a piece tells those of one object from the others
+    parts = placed.where("NOT _whole AND NOT (_level = 0 AND _depth < 0)").withColumn("_begun", (F.col("_level") == 0).cast("int"))
+    numbered = _running(parts, "_begun", "_ahead").withColumn("_object", F.col("_ahead") + F.col("_begun"))
+    joined = numbered.groupBy("_file", "_object").agg(F.array_sort(F.collect_list(F.struct("_block", "_n", "_text"))).alias("_parts"))
+    objects = whole.unionByName(joined.select(F.array_join("_parts._text", "").alias("_text")))
+    return objects.select(F.from_json("_text", staging_schema(schema)).alias("_row")).select("_row.*")
+
+
+def _running(pieces: DataFrame, value: str, name: str) -> DataFrame:
+    """`pieces` with the sum of `value` over all pieces before each in its file: one row a split is carried, and a window is one split."""
+    splits = pieces.groupBy("_file", "_block").agg(F.sum(value).alias("_sum"))
+    ahead = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = splits.select("_file", "_block", F.coalesce(F.sum("_sum").over(ahead), F.lit(0)).alias("_carried"))
+    within = Window.partitionBy("_file", "_block").orderBy("_n").rowsBetween(Window.unboundedPreceding, -1)
+    summed = pieces.withColumn(name, F.coalesce(F.sum(value).over(within), F.lit(0)))
+    return summed.join(carried, ["_file", "_block"]).withColumn(name, F.col(name) + F.col("_carried")).drop("_carried")
+
+
 def partition_date() -> Column:
     """ISO date of the Bronze partition columns, which are zero-padded text."""
     return F.concat_ws("-", *DATE_PARTS)
