@@ -69,11 +69,12 @@ def op1_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def take_mix(docs: DataFrame) -> DataFrame:
-    """The rows of `docs` as often as the mix takes them."""
-    sized = docs.withColumn("size", n_words(F.col("text")))
+    """The rows of `docs` as often as the mix takes them, with all their columns, whatever their names. An empty table gives no rows."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    sized = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), whole.alias("document"))
     slim = materialize(sized.select("doc_id", "source", "size"), work_dir(docs.sparkSession))
     copies = with_copies(sized, pareto_cuts(slim, source_targets(slim)))
-    return copies.where("copies > 0").withColumn("nth", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*docs.columns)
+    return copies.where("copies > 0").select("document", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("nth")).select("document.*")
 
 
 def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -326,3 +326,22 @@ def test_mix_meets_its_targets(spark):
     assert (by["size"] == by["own"]).all() and abs(by["target"].sum() - 1.5 * by["size"].sum()) < 1e-6 * by["size"].sum()
     assert (by["target"] <= 2 * by["size"] + 1e-9).all() and (rows["taken"] <= 2 * rows["size"]).all()
     assert (by["taken"] <= by["target"] + 1e-6).all() and by["taken"].sum() > 0.95 * by["target"].sum()
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    words = [" ".join(f"w{(i * 7 + j) % 97}x{i % 5}" for j in range(40)) for i in range(10)]
+    base = spark.createDataFrame([(i, words[i], "en", None if i == 3 else f"s{i % 3}", 200) for i in range(10)] + [(20, words[2], "en", "s2", 200)],
+                                 "doc_id long, text string, lang string, source string, n_chars int")
+    names = ["size", "copies", "rate", "runs", "nth", "document", "_row", "_group", "_same", "n", "_n", "component_id", "n_shingles", "Source_size", "target"]
+    docs = base.select("*", *[F.concat(F.lit(f"{n}-"), "doc_id").alias(n) for n in names], F.create_map(F.lit("k"), "doc_id").alias("m"))
+    want = {r.doc_id: r for r in docs.collect()}
+    distinct = corpus_pipeline.near_duplicates(spark, docs, SF)
+    assert distinct.columns == docs.columns
+    kept = distinct.collect()
+    assert sorted(r.doc_id for r in kept) == list(range(10)) and all(r == want[r.doc_id] for r in kept)
+    mixed = corpus_pipeline.mixing(spark, docs, SF)
+    assert mixed.columns == docs.columns
+    taken = mixed.collect()
+    assert taken and all(r == want[r.doc_id] for r in taken)
+    for stage in (corpus_pipeline.near_duplicates, corpus_pipeline.mixing):
+        assert stage(spark, docs.limit(0), SF).count() == 0
