@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import functions as F
 
@@ -62,23 +63,56 @@ def _(spark, d):
     return readers.read_json(spark, path, schemas.DRIVERS, array=False)
 
 
+@contextmanager
+def _small_splits(spark, size="65536"):
+    """Files are read in splits of `size` bytes, as a large file would be."""
+    limit = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(limit, before)
+
+
+# One file read in splits of 64 kB; two columns hold line breaks, quotes and separators.
+@query("src_01_csv_line_breaks", with_tables("customers", """
+SELECT customer_id, first_name || chr(10) || '"' || chr(13) || chr(10) || ',' AS first_name, last_name, email,
+  CASE WHEN substr(customer_id, 2)::BIGINT % 3 = 0 THEN chr(10) || chr(10) || city ELSE city END AS city, signup_date FROM customers"""))
+def _(spark, d):
+    path = work_dir(spark)
+    third = F.substring("customer_id", 2, 20).cast("bigint") % 3 == 0
+    odd = customers(spark, d).withColumns({"first_name": F.concat("first_name", F.lit('\n"\r\n,')),
+                                           "city": F.when(third, F.concat(F.lit("\n\n"), "city")).otherwise(F.col("city"))})
+    sinks.write_csv(odd.coalesce(1), path, line_breaks=True)
+    with _small_splits(spark):
+        found = materialize(readers.read_csv_splits(spark, path, schemas.CUSTOMERS), work_dir(spark))
+    return found.select("customer_id", "first_name", "last_name", "email", "city", "signup_date")
+
+
+# Arrays as they are written are read in splits.
+@query("snk_02_json_arrays", with_tables("payments", """
+SELECT payment_id, ride_id, customer_id, amount, payment_method, payment_status, payment_time, tip_amount FROM payments"""))
+def _(spark, d):
+    path = work_dir(spark)
+    sinks.write_json_arrays(payments(spark, d), path)
+    with _small_splits(spark):
+        return materialize(readers.read_json_splits(spark, path, schemas.PAYMENTS), work_dir(spark))
+
+
 # One array in one file, read in splits of 64 kB; names hold braces, quotes and escapes.
 @query("src_03_json_array_splits", with_tables("customers", """
 SELECT customer_id, first_name || '}"{\\,[' AS first_name, last_name, email, city, signup_date FROM customers"""))
 def _(spark, d):
-    path, limit = work_dir(spark), "spark.sql.files.maxPartitionBytes"
+    path = work_dir(spark)
     odd = customers(spark, d).withColumn("first_name", F.concat("first_name", F.lit('}"{\\,[')))
     lines = odd.select(F.to_json(F.struct(*odd.columns)).alias("value")).coalesce(1)
     lines = lines.select(F.concat(F.when(F.monotonically_increasing_id() == 0, "").otherwise(","), "value").alias("value"))
     bracket = spark.range(1, numPartitions=1)
     array = bracket.select(F.lit("[").alias("value")).unionByName(lines).unionByName(bracket.select(F.lit("]").alias("value")))
     array.coalesce(1).write.text(path)
-    before = spark.conf.get(limit)
-    spark.conf.set(limit, "65536")
-    try:
+    with _small_splits(spark):
         found = materialize(readers.read_json_splits(spark, path, schemas.CUSTOMERS), work_dir(spark))
-    finally:
-        spark.conf.set(limit, before)
     return found.select("customer_id", "first_name", "last_name", "email", "city", "signup_date")
 
 

@@ -28,7 +28,7 @@ def read_raw(spark: SparkSession, path: str, schema: T.StructType, lenient: bool
 
     Strict: one bad value fails the read, also in a column the query does not use.
     Lenient: every column is text, so malformed rows can be cast, judged and quarantined.
-    `line_breaks`: quoted values may hold line breaks. Such a file cannot be split, so each is one task."""
+    `line_breaks`: quoted values may hold line breaks. Such a file cannot be split here, so each is one task; `read_csv_splits` can."""
     reader = spark.read.options(**CSV_OPTIONS, multiLine=line_breaks)
     if lenient:
         return reader.schema(as_text(schema)).csv(path)
@@ -82,6 +82,52 @@ def _running(pieces: DataFrame, value: str, name: str) -> DataFrame:
     return summed.join(carried, ["_file", "_block"]).withColumn(name, F.col(name) + F.col("_carried")).drop("_carried")
 
 
+def read_csv_splits(spark: SparkSession, path: str, schema: T.StructType, lenient: bool = False) -> DataFrame:
+    """`read_raw` with quoted line breaks, for files of any size: each is read in splits. Rows come in any order.
+
+    Lines are read in splits; a record ends at a line break with an even number of quotes before it in the file. The quotes are summed a split
+    and carried from split to split as one row each. A split that begins outside quotes and has no line with an odd number of them holds whole
+    records, which are parsed where they were read; only the other splits are exchanged, and only lines of one record are brought together.
+    Every file has a header, its first line that is not blank; blank lines between records are left out. Lines end at \\n or \\r\\n. A quote
+    belongs to a quoted value, where it is doubled; a file with an odd number of quotes fails the read instead of becoming one record."""
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_n"), "value")
+    counted = lines.withColumn("_odd", (F.length("value") - F.length(F.translate("value", '"', ""))) % 2)
+    filled = F.trim(F.regexp_replace("value", r"[\r\x{FEFF}]", "")) != ""
+    splits = counted.groupBy("_file", "_block").agg(F.sum("_odd").alias("_odds"), F.min(F.when(filled, F.col("_n"))).alias("_least"))
+    whole = Window.partitionBy("_file")
+    ahead = whole.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    paired = F.when(F.sum("_odds").over(whole) % 2 == 0, F.coalesce(F.sum("_odds").over(ahead), F.lit(0)) % 2).otherwise(
+        F.raise_error(F.concat(F.lit("quotes do not pair in "), "_file")).cast("long"))
+    first = F.first("_least", ignorenulls=True).over(whole.orderBy("_block").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    splits = splits.select("_file", "_block", "_odds", paired.alias("_carried"), first.alias("_header"))
+    quiet = F.expr("_odds = 0 AND _carried = 0")
+
+    def record(value: str | Column, wanted: Column) -> Column:
+        # no filter: the parser could be moved before it and fail on a header
+        return F.when(wanted, F.regexp_replace(value, r"\r$", "")).alias("value")
+
+    # a split that lies within quotes as a whole is not quiet, and its lines are part of a record
+    at_once = counted.join(splits.where(quiet), ["_file", "_block"]).select(record("value", filled & (F.col("_n") != F.col("_header"))))
+    others = counted.join(splits.where(~quiet), ["_file", "_block"])
+    within = Window.partitionBy("_file", "_block").orderBy("_n").rowsBetween(Window.unboundedPreceding, -1)
+    opened = (F.col("_carried") + F.coalesce(F.sum("_odd").over(within), F.lit(0))) % 2 == 1
+    others = others.withColumn("_inside", opened).withColumn("_ends", F.col("_inside") == (F.col("_odd") == 1)).where(F.col("_inside") | filled)
+    single = others.where("NOT _inside AND _ends").select(record("value", F.col("_n") != F.col("_header")))
+    # the number of records begun up to a line tells those of one record from the others
+    parts = others.where("_inside OR NOT _ends").withColumn("_begun", (~F.col("_inside")).cast("int")).drop("_carried")
+    numbered = _running(parts, "_begun", "_ahead").withColumn("_record", F.col("_ahead") + F.col("_begun"))
+    joined = numbered.groupBy("_file", "_record").agg(F.array_sort(F.collect_list(F.struct("_block", "_n", "value"))).alias("_lines"),
+                                                      F.max(F.col("_n") == F.col("_header")).alias("_is_header"))
+    records = at_once.unionByName(single).unionByName(joined.select(record(F.array_join("_lines.value", "\n"), ~F.col("_is_header"))))
+    kind = as_text(schema) if lenient else staging_schema(schema)
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kind)
+    options = {k: str(v) for k, v in CSV_OPTIONS.items() if k != "header"} | {"multiLine": "true", "mode": "PERMISSIVE" if lenient else "FAILFAST"}
+    rows = records.select(F.from_csv("value", ddl, options).alias("_row")).where("_row IS NOT NULL").select("_row.*")
+    # as in read_raw, every column is parsed whatever is selected later
+    return rows if lenient else rows.filter(F.xxhash64(*rows.columns) % 1 == 0)
+
+
 def partition_date() -> Column:
     """ISO date of the Bronze partition columns, which are zero-padded text."""
     return F.concat_ws("-", *DATE_PARTS)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,6 +35,17 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
+def write_json_arrays(df: DataFrame, path: str) -> None:
+    """JSON arrays of records, one of each input partition under `{path}/array=N/`, with the fields of `write_json`.
+
+    A frame without rows writes no array. `read_json_splits` reads them from `path`, `read_json` from `{path}/*`."""
+    place, last = F.col("_n").bitwiseAND(F.lit((1 << 33) - 1)), F.lead("_n").over(Window.partitionBy("array").orderBy("_n")).isNull()
+    rows = df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("_row"), F.monotonically_increasing_id().alias("_n"))
+    dealt = rows.withColumn("array", F.shiftright("_n", 33))
+    lines = dealt.select("array", F.concat(F.when(place == 0, "[").otherwise(","), "_row", F.when(last, "]").otherwise("")).alias("value"))
+    lines.write.mode("overwrite").partitionBy("array").text(path)
+
+
 def iso_date(value: str) -> dt.date:
     """`YYYY-MM-DD` or an error."""
     if len(value) != 10:

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import types as T
 
-from rideflow.sources import readers
+from rideflow.sources import readers, sinks
 
 SCHEMA = T.StructType([T.StructField("a", T.StringType()), T.StructField("b", T.LongType()), T.StructField("c", T.StringType())])
 BITS = ["}", "{", '"', "\\", "\n", "[", "]", ",", "é", "\U0001F600", "x", " ", "},{", '\\"', '"}', "\\}"]
@@ -44,3 +44,17 @@ def test_nested_objects_and_no_files_content(spark, tmp_path):
     (tmp_path / "empty.json").write_text("", encoding="utf-8")
     got = readers.read_json_splits(spark, str(tmp_path), SCHEMA).collect()
     assert sorted((r.a, r.b, r.c) for r in got) == [("x", i, "y") for i in range(20)]
+
+
+def test_written_arrays_are_whole_and_read_both_ways(spark, tmp_path):
+    rows = [(r["a"], r["b"], r["c"]) for r in records(5, 500, 40)] + [(None, None, None)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    sinks.write_json_arrays(df, str(tmp_path / "t"))
+    files = list((tmp_path / "t").glob("array=*/part-*"))
+    assert len(files) == 5 and sum(len(json.loads(f.read_text(encoding="utf-8"))) for f in files) == 501
+    key = lambda r: json.dumps(list(r))
+    whole = readers.read_json(spark, str(tmp_path / "t" / "*"), SCHEMA).collect()
+    in_splits = readers.read_json_splits(spark, str(tmp_path / "t"), SCHEMA).collect()
+    assert sorted(map(key, whole)) == sorted(map(key, rows)) == sorted(map(key, in_splits))
+    sinks.write_json_arrays(df.limit(0), str(tmp_path / "none"))
+    assert not list((tmp_path / "none").glob("array=*"))
