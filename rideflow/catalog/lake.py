@@ -206,6 +206,31 @@ def _(spark, d):
     return per_file.groupBy("year").agg(F.sum("n").alias("rows"), (F.count("*") <= F.ceil(F.sum("n") / 1_000_000) + 1).alias("few_files"))
 
 
+# The target is scaled down, so that a year takes several files; a year of one share may have a file of any size below.
+@query("snk_06_sized_files", with_tables("payments", """
+SELECT year(payment_time)::INT AS year, count(*) AS rows, sum(amount)::DECIMAL(18,2) AS amount, true AS sized FROM payments GROUP BY 1"""))
+def _(spark, d):
+    path, target = work_dir(spark), 50_000
+    dated = materialize(payments(spark, d).withColumn("year", F.year("payment_time")), work_dir(spark))
+    sinks.write_sized(dated, path, ["year"], ["payment_time"], target)
+    files = spark.read.parquet(path).groupBy("year", F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("bytes")).agg(
+        F.count("*").alias("n"), F.sum("amount").alias("amount"))
+    sized = (F.max("bytes") <= 1.3 * target) & (F.count("*") <= F.ceil(F.sum("bytes") / (target / 3)))
+    return files.groupBy("year").agg(F.sum("n").alias("rows"), F.sum("amount").cast("decimal(18,2)").alias("amount"), sized.alias("sized"))
+
+
+# Files of 10 rows are joined; the rows stay.
+@query("snk_06_compaction", with_tables("customers", """
+SELECT customer_id, city, true AS fewer_files, true AS old_version_stays FROM customers"""))
+def _(spark, d):
+    root = work_dir(spark)
+    merge.create_table(customers(spark, d).select("customer_id", "city"), root, "customer_id", rows_per_file=10)
+    merge.compact(spark, root, "customer_id", target_bytes=1 << 20)
+    files = [merge.manifest(spark, root, v).count() for v in (0, 1)]
+    same = maintenance.verify_rows(merge.read_table(spark, root, 0), merge.read_table(spark, root, 1)).first().identical
+    return merge.read_table(spark, root).withColumns({"fewer_files": F.lit(files[1] * 5 < files[0]), "old_version_stays": F.lit(same)})
+
+
 @query("snk_07_truncate_and_reload", accepted("""
 SELECT 'customers' AS table_name, count(*) AS rows FROM customers_ok UNION ALL SELECT 'drivers', count(*) FROM drivers_ok
 UNION ALL SELECT 'rides', count(*) FROM rides_ok UNION ALL SELECT 'payments', count(*) FROM payments_ok"""))

@@ -12,12 +12,12 @@ from rideflow.functions.numeric import total
 from rideflow.functions.text import full_name
 from rideflow.operators import reconcile
 from rideflow.operators.dedupe import duplicated_keys, first_per_key, rows_with_duplicated_key
-from rideflow.operators.quality import uniqueness
+from rideflow.operators.quality import key_sketches, uniqueness, uniqueness_of
 from rideflow.operators.ranking import daily_counts, ranked, rolling_mean, share_of_total
 from rideflow.operators.stats import median_by
 from rideflow.plans import kpis
 from rideflow.sources.testdata import customers, drivers, load, payments, rides, tables
-from rideflow.sources.workdir import work_dir
+from rideflow.sources.workdir import materialize, work_dir
 
 # --- projections ---------------------------------------------------------------------------------
 
@@ -298,6 +298,20 @@ def _(spark, d):
     return uniqueness(rides(spark, d), "ride_id")
 
 
+# Stored sketches of the days answer for all days; the error is judged against the exact count.
+@query("ag_10_stored_sketches", with_tables("rides", """
+SELECT n AS row_count, true AS rides_within_5_percent, true AS customers_within_5_percent FROM (SELECT count(*) AS n FROM rides)"""))
+def _(spark, d):
+    r = rides(spark, d).withColumn("day", F.to_date("request_time"))
+    found = []
+    for key in ("ride_id", "customer_id"):
+        stored = materialize(key_sketches(r, key, ["day"]), work_dir(spark))
+        found.append(uniqueness_of(stored).join(uniqueness(r, key).select(F.col("row_count").alias("n"), "distinct_keys"), F.col("row_count") == F.col("n"))
+                     .select("row_count", (F.abs(F.col("about_distinct_keys") - F.col("distinct_keys")) <= 0.05 * F.col("distinct_keys")).alias(f"{key}_near")))
+    return found[0].join(found[1], "row_count").select("row_count", F.col("ride_id_near").alias("rides_within_5_percent"),
+                                                       F.col("customer_id_near").alias("customers_within_5_percent"))
+
+
 @query("ag_11_global", with_tables("rides", f"""
 SELECT count(*) AS rides, {mean('fare')} AS avg_fare, count(*) FILTER (fare = 0) AS free_rides FROM rides"""))
 def _(spark, d):

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rideflow.sources.workdir import materialize, work_dir
+
 
 def write_csv(df: DataFrame, path: str, line_breaks: bool = False) -> None:
     """Header, NULL as an empty field, the empty string quoted, quotes doubled, blanks kept.
@@ -82,6 +84,40 @@ def write_partitioned(df: DataFrame, path: str, cols: list[str], sort: list[str]
     writer.parquet(path)
 
 
+def bytes_per_row(df: DataFrame, rows: int, sample_rows: int = 1_000_000) -> float:
+    """Parquet bytes a row takes, measured on a stored sample of about `sample_rows` of the `rows` rows (all, where there are fewer)."""
+    spark, path = df.sparkSession, work_dir(df.sparkSession)
+    some = df if rows <= sample_rows else df.sample(sample_rows / rows, seed=1)
+    # few files, as footers and dictionaries of many small ones would count as rows
+    some.repartition(max(1, min(rows, sample_rows) // 250_000)).write.parquet(path)
+    stored = spark.read.parquet(path).count()
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
+    return (listed.agg(F.sum("length")).first()[0] or 0) / max(stored, 1)
+
+
+def write_sized(df: DataFrame, path: str, cols: list[str], sort: list[str] | None = None, target_bytes: int = 128 << 20,
+                sample_rows: int = 1_000_000) -> None:
+    """Parquet by partition columns in files of about half the target to the target; only partitions present in `df` are replaced. A partition
+    that holds less is one file.
+
+    Bytes a row come from a stored sample and rows a partition from a count, so `df` is read three times: store it first. A partition's rows are
+    dealt to its files by hash and input partition, so one that holds most rows is written by many tasks."""
+    counts = materialize(df.groupBy(*cols).agg(F.count("*").alias("_rows")), work_dir(df.sparkSession))
+    total = counts.agg(F.sum("_rows")).first()[0] or 0
+    per_file = max(1, int(target_bytes / max(bytes_per_row(df, total, sample_rows), 1e-9)))
+    # the files are numbered through, so that each is the whole of one task; one row a partition
+    before = Window.orderBy(*cols).rowsBetween(Window.unboundedPreceding, -1)
+    needed = counts.withColumn("_files", F.ceil(F.col("_rows") / per_file))
+    numbered = needed.withColumn("_first", F.coalesce(F.sum("_files").over(before), F.lit(0)))
+    files = materialize(numbered.select(*[F.col(c).alias(f"_{c}_") for c in cols], "_files", "_first"), work_dir(df.sparkSession))
+    tasks = files.agg(F.sum("_files")).first()[0] or 1
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}_")) for c in cols]
+    dealt = df.withColumn("_from", F.spark_partition_id()).join(files, same)
+    file = F.col("_first") + F.pmod(F.xxhash64(*df.columns, "_from"), F.col("_files"))
+    out = dealt.repartitionById(tasks, file.cast("int")).sortWithinPartitions(*cols, *(sort or [])).select(*df.columns)
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*cols).parquet(path)
+
+
 def write_date(df: DataFrame, base: str, date: str, cols: tuple[str, ...] = ()) -> None:
     """Replace `{base}/ingest_date={date}` as a whole, even when a rerun yields fewer sub-partitions
     or no rows."""

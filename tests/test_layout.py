@@ -5,7 +5,7 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
-from rideflow.sources import bucketed, merge
+from rideflow.sources import bucketed, merge, sinks
 from rideflow.sources.workdir import work_dir
 from tests.conftest import plan
 
@@ -126,3 +126,70 @@ def test_files_are_sorted_by_key_and_time(spark, facts):
 def test_outer_joins_of_copies_are_refused(spark, facts):
     with pytest.raises(ValueError):
         bucketed.join_stored(spark, facts[2], "k", "full_outer")
+
+
+def _sizes(root):
+    return {str(p): p.stat().st_size for p in root.rglob("*.parquet")}
+
+
+def test_compaction_joins_neighbouring_small_files(spark, tmp_path):
+    root = str(tmp_path / "t")
+    rows = spark.range(40_000).select(F.format_string("k%06d", "id").alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v"), F.lit(1).alias("at"))
+    merge.create_table(rows.where("k < 'k020000'"), root, "k", 1000)
+    big = rows.where("k >= 'k020000'")
+    merge.merge_into(big, root, "k", "at", 20_000)
+    before = {f.file: f for f in merge.manifest(spark, root).collect()}
+    size = {n: (tmp_path / "t" / n).stat().st_size for n in before}
+    target = 400_000
+    small = {n for n in before if 2 * size[n] <= target}
+    assert len(small) > 5 and set(before) - small
+    held = sorted(map(str, merge.read_table(spark, root).collect()))
+    version = merge.compact(spark, root, "k", target)
+    after = {f.file: f for f in merge.manifest(spark, root).collect()}
+    assert version == 2 and len(after) < len(before) / 2
+    assert set(before) - small <= set(after)  # large files are not read
+    assert all((tmp_path / "t" / n).stat().st_size <= 1.2 * target for n in set(after) - set(before))
+    assert sorted(map(str, merge.read_table(spark, root).collect())) == held == sorted(map(str, merge.read_table(spark, root, 1).collect()))
+    ranges = sorted((f.least, f.most) for f in after.values())
+    assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
+    # a merge goes on from the new files; nothing is left to join
+    while (again := merge.compact(spark, root, "k", target)) != version:
+        version = again
+    merge.merge_into(rows.limit(1).withColumn("at", F.lit(2)), root, "k", "at", 20_000)
+    assert merge.read_table(spark, root).where("at = 2").count() == 1 and merge.read_table(spark, root).count() == 40_000
+
+
+def test_files_are_sized_by_measured_bytes(spark, tmp_path):
+    """A partition of nearly all rows is dealt to files of half the target to the target; small ones and NULL are one file."""
+    wide = spark.range(60_000, numPartitions=6).select("id", F.sha2(F.col("id").cast("string"), 512).alias("v"),
+                                                       F.when(F.col("id") % 100 == 0, None).when(F.col("id") % 100 == 1, "b").otherwise("a").alias("p"))
+    target = 500_000
+    sinks.write_sized(wide, str(tmp_path / "t"), ["p"], ["id"], target, sample_rows=20_000)
+    by_part = {}
+    for name, size in _sizes(tmp_path / "t").items():
+        by_part.setdefault(name.split("/p=")[1].split("/")[0], []).append(size)
+    assert set(by_part) == {"a", "b", "__HIVE_DEFAULT_PARTITION__"}
+    assert len(by_part["b"]) == len(by_part["__HIVE_DEFAULT_PARTITION__"]) == 1
+    assert len(by_part["a"]) > 10 and target * 0.4 <= min(by_part["a"]) and max(by_part["a"]) <= 1.1 * target
+    back = spark.read.parquet(str(tmp_path / "t"))
+    assert sorted(map(str, back.select(*wide.columns).collect())) == sorted(map(str, wide.collect()))
+    # another write replaces the partitions it holds, and an empty one none
+    sinks.write_sized(wide.where("p = 'b' AND id < 1000"), str(tmp_path / "t"), ["p"], target_bytes=target)
+    sinks.write_sized(wide.limit(0), str(tmp_path / "t"), ["p"], target_bytes=target)
+    assert {r.p: r["count"] for r in spark.read.parquet(str(tmp_path / "t")).groupBy("p").count().collect()} == {"a": 58_800, "b": 10, None: 600}
+
+
+def test_sketches_of_days_answer_for_all_days(spark):
+    from rideflow.operators.quality import key_sketches, uniqueness, uniqueness_of
+
+    days = spark.range(90_000).select(F.when(F.col("id") % 7 == 0, None).otherwise(F.col("id") % 50_000).cast("string").alias("k"), (F.col("id") % 9).alias("day"))
+    stored = key_sketches(days, "k", ["day"])
+    exact, about = uniqueness(days, "k").first(), uniqueness_of(stored).first()
+    assert about.row_count == exact.row_count and abs(about.about_distinct_keys / exact.distinct_keys - 1) < 0.05
+    # today's sketch joins the stored ones; keys known before count once
+    more = key_sketches(days.where("day = 3"), "k", ["day"])
+    assert uniqueness_of(stored.unionByName(more)).first().about_distinct_keys == about.about_distinct_keys
+    assert {r.day: r.row_count for r in uniqueness_of(stored, ["day"]).collect()} == {d: 10_000 for d in range(9)}
+    none = uniqueness_of(key_sketches(days.limit(0), "k", ["day"])).first()
+    assert (none.row_count, none.about_distinct_keys) == (0, 0)
+    assert uniqueness_of(key_sketches(days.where("k IS NULL"), "k", ["day"])).first().about_distinct_keys == 0
