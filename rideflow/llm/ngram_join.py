@@ -18,6 +18,10 @@ within one component found so far are left out. When the remaining pairs are few
 `ROUNDS` rounds, every remaining pair across components that shares enough prefix shingles is verified. So the components are
 exact whatever the rounds have found.
 
+Near copies share most of their prefixes, so a pair would be made once for each of some fifty shingles. Every document therefore
+carries the first `HEAD` shingles of its prefix: a pair that has enough common ones among these to be verified is made once, at the least of
+them, and counted with their number. Other pairs are made, and counted, at each shared shingle.
+
 Pairs that cannot be similar are told where they meet: by their sizes, and by a parity bitmap of each set. Two sets differ in
 at least as many shingles as their bitmaps differ in bits, so a pair with more different bits than the threshold leaves room
 for is out, and no similar pair is.
@@ -39,6 +43,7 @@ from rideflow.sources.workdir import materialize, work_dir
 LEVELS = 8
 ROUNDS = 2
 PARITY_BITS = 256
+HEAD = 12
 _TOP = 1 << 64
 
 
@@ -120,7 +125,7 @@ def _full_sets(docs: DataFrame, size: int) -> DataFrame:
 
 
 def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
-    """token, node, n, level: the prefixes at the chosen levels, of shingles that more than one set has."""
+    """token, node, n, level, front (whether it is one of the first): the prefixes at the chosen levels, of shingles that more than one set has."""
     cut = int(_leading_share(percent) * _TOP) - 1
     # copies are combined before the shuffle; sizes join later, so that the rows of the large shuffles are two numbers
     tokens = sets.groupBy("node").agg(F.first("chosen").alias("chosen")).select("node", F.explode("chosen").alias("token"))
@@ -136,7 +141,7 @@ def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
     whole = Window.partitionBy("node")
     place = (F.col("leading") - F.sum(F.when(F.col("back"), 0).otherwise(1)).over(whole) + F.row_number().over(order))
     need = F.expr(f"(n * {percent} + 99) div 100")
-    placed = (shared.withColumn("place", place).withColumn("short", F.col("n") - need).withColumn("need", need)
+    placed = (shared.withColumn("place", place).withColumn("front", F.row_number().over(order) <= HEAD).withColumn("short", F.col("n") - need).withColumn("need", need)
               .where(F.col("place") <= F.col("short") + LEVELS))
     lists = [F.sum(F.when(F.col("place") <= F.col("short") + lvl, F.col("df") - 1).otherwise(0)).over(whole)
              for lvl in range(1, LEVELS + 1)]
@@ -145,7 +150,7 @@ def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
     costs = [F.when(F.col("need") >= lvl, entries * (1 + verify / lvl)) for lvl, entries in enumerate(lists, 1)]
     placed = placed.withColumn("costs", F.array(*costs))
     placed = placed.withColumn("level", F.array_position("costs", F.array_min("costs")).cast("int"))
-    return placed.where(F.col("place") <= F.col("short") + F.col("level")).select("token", "node", "n", "level")
+    return placed.where(F.col("place") <= F.col("short") + F.col("level")).select("token", "node", "n", "level", "front")
 
 
 def _may_be_similar(x: dict[str, Column], y: dict[str, Column], percent: int) -> Column:
@@ -167,9 +172,9 @@ def _verified(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
 
 
 def _relabel(members: DataFrame, links: DataFrame) -> DataFrame:
-    """`members` (node, part, bits) after joining the parts that `links` (a, b: parts) connect."""
+    """`members` (node, part, bits, head) after joining the parts that `links` (a, b: parts) connect."""
     merged = components(links).withColumnsRenamed({"node": "part", "label": "joined"})
-    return members.join(merged, "part", "left").select("node", "bits", F.coalesce("joined", "part").alias("part"))
+    return members.join(merged, "part", "left").select("node", "bits", "head", F.coalesce("joined", "part").alias("part"))
 
 
 def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5,
@@ -187,7 +192,8 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     linkable = sets.where("doc_id IS NOT NULL AND n > 0")
     prefixes = materialize(_prefixes(linkable, percent), entry_dir)
     release(spark)
-    met = prefixes.select("node").distinct()
+    met = prefixes.groupBy("node").agg(F.collect_list(F.when(F.col("front"), F.col("token"))).alias("head"))
+    prefixes = prefixes.drop("front")
     bits = linkable.groupBy("node").agg(F.first("bits").alias("bits"))
     parts = materialize(met.join(bits, "node").withColumn("part", F.col("node")), part_dir)
     # the shingles are not read again
@@ -212,14 +218,18 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         last = turn == ROUNDS or totals[0] <= 8 * totals[1] + 100_000
         open_entries = entries.join(per_token, "token")
         if last:
-            some = open_entries.where("part <> largest.part").select("token", "node", "n", "level", "part", "bits")
-            other = open_entries.select("token", *[F.col(c).alias(f"{c}2") for c in ("node", "n", "level", "part", "bits")],
+            some = open_entries.where("part <> largest.part").select("token", "node", "n", "level", "part", "bits", "head")
+            other = open_entries.select("token", *[F.col(c).alias(f"{c}2") for c in ("node", "n", "level", "part", "bits", "head")],
                                         (F.col("part") == F.col("largest.part")).alias("is_largest"))
+            in_heads = F.array_intersect("head", "head2")
+            enough = F.size(in_heads) >= F.least("level", "level2")
             crossed = (some.join(other, "token")
                    .where((F.col("part") != F.col("part2")) & (F.col("is_largest") | (F.col("node") < F.col("node2")))
-                          & _may_be_similar({c: F.col(c) for c in ("n", "bits")}, {c: F.col(f"{c}2") for c in ("n", "bits")}, percent)))
+                          & _may_be_similar({c: F.col(c) for c in ("n", "bits")}, {c: F.col(f"{c}2") for c in ("n", "bits")}, percent)
+                          & (~enough | (F.col("token") == F.array_min(in_heads))))
+                   .withColumn("met", F.when(enough, F.size(in_heads)).otherwise(1)))
             pairs = (crossed.groupBy(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b"))
-                     .agg(F.count("*").alias("common"), F.min(F.least("level", "level2")).alias("level"))
+                     .agg(F.sum("met").alias("common"), F.min(F.least("level", "level2")).alias("level"))
                      .where("common >= level").select("a", "b"))
         else:
             drawn = (open_entries.groupBy("token")
