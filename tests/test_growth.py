@@ -2,6 +2,8 @@
 
 from pyspark.sql import functions as F
 
+from rideflow import schemas
+from rideflow.catalog import stores
 from rideflow.operators import quality
 from rideflow.operators.dedupe import flag_members, mark_first
 from rideflow.sources.sinks import land_bronze, write_date
@@ -50,3 +52,13 @@ def test_landed_files_are_packed_and_a_date_is_written_in_place(spark, tmp_path)
     write_date(rows, str(tmp_path / "s"), "2026-10-08")
     assert spark.read.parquet(str(tmp_path / "s")).count() == 1000
     assert len(list((tmp_path / "s").rglob("*.parquet"))) == 3
+
+
+def test_silver_of_a_dataset_builds_only_what_it_refers_to(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(stores, "_built", {})
+    landed = []
+    land = stores.lake.land_all
+    monkeypatch.setattr(stores.lake, "land_all", lambda raw, *rest: (landed.extend(raw), land(raw, *rest))[1])
+    assert stores.silver(spark, sf_dir)["drivers"].count() > 0
+    assert landed == ["drivers"]
+    assert set(stores.silver(spark, sf_dir)) == set(schemas.DATASETS)
