@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from rideflow import schemas
 from rideflow.catalog import stores
 from rideflow.operators import quality
-from rideflow.operators.dedupe import flag_members, mark_first
+from rideflow.operators.dedupe import flag_exactly, flag_members, mark_first
 from rideflow.sources.sinks import land_bronze, write_date
 from rideflow.sources.workdir import materialize, work_dir
 from tests.conftest import plan
@@ -44,6 +44,35 @@ def test_accepted_rows_are_not_shuffled_however_many_keys_repeat(spark):
         spark.conf.set(limit, before)
 
 
+def test_keys_are_told_apart_exactly_without_a_shuffle(spark):
+    rows = spark.range(6000).select(F.concat(F.lit("R"), "id").alias("k"), "id").unionByName(spark.sql("SELECT CAST(NULL AS STRING) AS k, -1L AS id"))
+    for listed in ("id % 2 = 0", "id % 10 = 3", "id % 10 <> 3", "id < 0", "id >= 0"):
+        keys = materialize(rows.filter("id >= 0").select(F.col("k").alias("_key"), F.expr(listed).alias("_in")), work_dir(spark))
+        for few, most, turns in ((10_000, 1 << 28, 8), (10, 1 << 28, 8), (10, 1 << 15, 8), (10, 1 << 15, 1)):
+            flagged = flag_exactly(rows, "k", keys, work_dir(spark), few=few, most_bits=most, turns=turns)
+            assert turns == 1 or "hashpartitioning" not in plan(flagged)
+            wrong = flagged.filter(F.col("_listed") != (F.expr(listed) & F.col("k").isNotNull()))
+            assert flagged.count() == 6001 and wrong.isEmpty() and flagged.filter("_listed IS NULL").isEmpty()
+
+
+def test_rows_stay_where_they_are_however_many_parents_there_are(spark):
+    ids = F.concat(F.lit("C"), F.col("id") % 700).alias("k")
+    rows = spark.range(3000).select("id", F.when(F.col("id") % 50 != 0, ids).alias("k"), (F.col("id") % 11).alias("v"))
+    parents = spark.range(0, 1400, 2).select(F.concat(F.lit("C"), "id").alias("k"))
+    parents = parents.unionByName(parents)
+    args = (rows, (quality.Rule("V", "v > 0", "v"),), (quality.ForeignKey("ORPHAN", "k", parents, "k"),), (quality.Unique("DUP", ("id",), ("id",), "d"),))
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")
+    try:
+        judged = quality.judge(*args, stage_in=work_dir(spark))
+        assert "hashpartitioning" not in plan(judged)
+    finally:
+        spark.conf.set(limit, before)
+    got, expected = ({r.id: [f.code for f in r.failures] for r in df.collect()} for df in (judged, quality.evaluate(*args)))
+    assert got == expected and len(got) == 3000 and {"V", "ORPHAN"} == set(got[11])
+
+
 def test_landed_files_are_packed_and_a_date_is_written_in_place(spark, tmp_path):
     rows = spark.range(1000, numPartitions=3).select(F.col("id").cast("string").alias("a"), F.lit("x" * 50).alias("b"))
     path = land_bronze(rows, str(tmp_path), "payments", "2026-10-08")
