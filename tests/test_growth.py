@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from rideflow import schemas
+from rideflow import catalog, schemas
 from rideflow.catalog import stores
 from rideflow.operators import quality
 from rideflow.operators.dedupe import flag_exactly, flag_members, mark_first
@@ -73,6 +73,13 @@ def test_rows_stay_where_they_are_however_many_parents_there_are(spark):
     assert got == expected and len(got) == 3000 and {"V", "ORPHAN"} == set(got[11])
 
 
+def test_judged_queries_read_the_tables_once(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(stores, "_built", {})
+    reasons = catalog.load().QUERIES["dq_05_legacy_reasons"](spark, sf_dir)
+    assert "lineitem" not in plan(reasons) and "orders.parquet" not in plan(reasons)
+    assert not any(kind == "staged" for _app, _dir, kind in stores._built)
+
+
 def test_landed_files_are_packed_and_a_date_is_written_in_place(spark, tmp_path):
     rows = spark.range(1000, numPartitions=3).select(F.col("id").cast("string").alias("a"), F.lit("x" * 50).alias("b"))
     path = land_bronze(rows, str(tmp_path), "payments", "2026-10-08")
