@@ -4,8 +4,9 @@ from pyspark.sql import functions as F
 
 from rideflow import catalog, schemas
 from rideflow.catalog import stores
-from rideflow.operators import quality
+from rideflow.operators import gold, quality
 from rideflow.operators.dedupe import flag_exactly, flag_members, mark_first
+from rideflow.operators.history import as_of
 from rideflow.sources.sinks import land_bronze, write_date
 from rideflow.sources.workdir import materialize, work_dir
 from tests.conftest import plan
@@ -80,6 +81,24 @@ def test_judged_queries_read_the_tables_once(spark, sf_dir, monkeypatch):
     assert not any(kind == "staged" for _app, _dir, kind in stores._built)
 
 
+def test_versions_that_never_change_need_no_join(spark):
+    days = spark.sql("SELECT * FROM VALUES (1L, DATE '2024-01-01'), (2L, DATE '2024-01-01'), (3L, DATE '2024-01-01'), (3L, DATE '2024-03-01'), (4L, DATE '2024-02-01') AS t(driver_key, valid_from)")
+    versions = days.select(gold.surrogate_key("driver_key", "valid_from").alias("driver_version"), "*")
+    at = F.explode(F.array(*[F.lit(f"{d} 10:00:00").cast("timestamp_ntz") for d in ("2023-01-01", "2024-02-10", "2024-03-01")])).alias("at")
+    fact = spark.sql("SELECT * FROM VALUES (1L), (2L), (3L), (4L), (5L), (NULL) AS t(driver_key)").select("driver_key", at)
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")
+    try:
+        for some in (fact, fact.filter("driver_key < 3 OR driver_key IS NULL"), fact.limit(0)):
+            expected = as_of(some, versions, "driver_key", "at", "valid_from", ["driver_version"], open_start=True)
+            assert sorted(map(str, gold.with_version(some, versions, "driver", "at").collect())) == sorted(map(str, expected.collect()))
+        assert "Join" not in plan(gold.with_version(fact.filter("driver_key < 3"), versions, "driver", "at"))
+        assert [r.driver_version for r in gold.with_version(fact, versions.limit(0), "driver", "at").collect()] == [None] * 18
+    finally:
+        spark.conf.set(limit, before)
+
+
 def test_landed_files_are_packed_and_a_date_is_written_in_place(spark, tmp_path):
     rows = spark.range(1000, numPartitions=3).select(F.col("id").cast("string").alias("a"), F.lit("x" * 50).alias("b"))
     path = land_bronze(rows, str(tmp_path), "payments", "2026-10-08")
