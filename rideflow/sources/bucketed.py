@@ -15,11 +15,20 @@ from rideflow.sources.workdir import materialize, work_dir
 SALT = "_salt"
 
 
+def _rows_by_key(df: DataFrame, key: str) -> tuple[DataFrame, int]:
+    """Rows by key, stored, and all rows with a key."""
+    counts = materialize(df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n")), work_dir(df.sparkSession))
+    return counts, counts.agg(F.sum("n")).first()[0] or 0
+
+
 def hot_keys(df: DataFrame, key: str, buckets: int, share: float = 0.5) -> dict[object, int]:
     """Keys with more rows than `share` of a mean bucket, and to how many buckets each is to be dealt. There are at most buckets / share
     of them, whatever the data."""
-    counts = materialize(df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n")), work_dir(df.sparkSession))
-    limit = (counts.agg(F.sum("n")).first()[0] or 0) / buckets * share
+    return _hot(*_rows_by_key(df, key), buckets, share)
+
+
+def _hot(counts: DataFrame, rows: int, buckets: int, share: float) -> dict[object, int]:
+    limit = rows / buckets * share
     return {r[0]: min(buckets, int(-(-r.n // max(1, limit)))) for r in counts.where(F.col("n") > max(1, limit)).collect()}
 
 
@@ -40,10 +49,13 @@ def _save(df: DataFrame, table: str, path: str, key: str, sort: str, buckets: in
 
 
 def save_for_join(dealt: DataFrame, copied: DataFrame, tables: tuple[str, str], root: str, key: str, sort: tuple[str, str], buckets: int,
-                  share: float = 0.5) -> dict[object, int]:
-    """Store two facts as catalog tables in buckets of `key`. Hot keys of `dealt` are spread over buckets, and the rows of `copied` with such a key are stored once in
+                  share: float = 0.5, bucket_rows: int = 1_000_000) -> dict[object, int]:
+    """Store two facts as catalog tables in `buckets` buckets of `key`, or in more where a bucket of `dealt` would hold over `bucket_rows` rows: a bucket is
+    one task of the join, so tasks grow in number and not in size. Hot keys of `dealt` are spread over buckets, and the rows of `copied` with such a key are stored once in
     each of them. Rows without a key lie where their other columns put them. Returns the hot keys and their buckets."""
-    hot = hot_keys(dealt, key, buckets, share)
+    counts, rows = _rows_by_key(dealt, key)
+    buckets = max(buckets, -(-rows // bucket_rows))
+    hot = _hot(counts, rows, buckets, share)
     parts = _parts(key, hot)
     any_of = F.pmod(F.xxhash64(*dealt.columns), F.when(F.col(key).isNull(), F.lit(buckets)).otherwise(parts)).cast("int")
     _save(dealt.withColumn(SALT, any_of), tables[0], f"{root}/{tables[0]}", key, sort[0], buckets)

@@ -7,6 +7,7 @@ from rideflow.catalog import stores
 from rideflow.operators import gold, quality
 from rideflow.operators.dedupe import flag_exactly, flag_members, mark_first
 from rideflow.operators.history import as_of
+from rideflow.sources import bucketed
 from rideflow.sources.sinks import land_bronze, write_date
 from rideflow.sources.workdir import materialize, work_dir
 from tests.conftest import plan
@@ -99,6 +100,19 @@ def test_versions_that_never_change_need_no_join(spark):
         spark.conf.set(limit, before)
 
 
+def test_buckets_grow_in_number(spark):
+    facts = spark.range(1000).select((F.col("id") % 90).alias("k"), "id", F.lit(1).alias("t"))
+    names = ("growth_dealt", "growth_copied")
+    bucketed.save_for_join(facts, facts.filter("id < 90"), names, work_dir(spark), "k", ("t", "t"), buckets=2, bucket_rows=100)
+    try:
+        joined = bucketed.join_stored(spark, names, "k")
+        assert joined.count() == 1000 and joined.rdd.getNumPartitions() == 10
+        assert "Exchange" not in plan(joined)
+    finally:
+        for name in names:
+            spark.sql(f"DROP TABLE {name}")
+
+
 def test_landed_files_are_packed_and_a_date_is_written_in_place(spark, tmp_path):
     rows = spark.range(1000, numPartitions=3).select(F.col("id").cast("string").alias("a"), F.lit("x" * 50).alias("b"))
     path = land_bronze(rows, str(tmp_path), "payments", "2026-10-08")
