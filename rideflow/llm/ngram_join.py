@@ -18,9 +18,11 @@ within one component found so far are left out. When the remaining pairs are few
 `ROUNDS` rounds, every remaining pair across components that shares enough prefix shingles is verified. So the components are
 exact whatever the rounds have found.
 
-Near copies share most of their prefixes, so a pair would be made once for each of some fifty shingles. Every document therefore
-carries the first `HEAD` shingles of its prefix: a pair that has enough common ones among these to be verified is made once, at the least of
-them, and counted with their number. Other pairs are made, and counted, at each shared shingle.
+Documents of one family share most of their prefixes, so a pair would be made once for each of some hundred shingles. Every document
+therefore carries its head, the `HEAD` smallest hashes of its prefix. The least common shingle of two heads is the least of the whole prefixes, so a
+pair whose heads meet is made once, there; if its heads hold too few common ones to tell, the whole prefixes are counted, once for the pair.
+Heads go by hash and not by frequency: so they are a sample of the prefix, which prefixes with much in common share, while the rarest
+shingles of two documents of a family differ. Pairs whose heads do not meet have little in common and are made, and counted, at each shared shingle.
 
 Pairs that cannot be similar are told where they meet: by their sizes, and by a parity bitmap of each set. Two sets differ in
 at least as many shingles as their bitmaps differ in bits, so a pair with more different bits than the threshold leaves room
@@ -125,7 +127,7 @@ def _full_sets(docs: DataFrame, size: int) -> DataFrame:
 
 
 def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
-    """token, node, n, level, front (whether it is one of the first): the prefixes at the chosen levels, of shingles that more than one set has."""
+    """token, node, n, level: the prefixes at the chosen levels, of shingles that more than one set has."""
     cut = int(_leading_share(percent) * _TOP) - 1
     # copies are combined before the shuffle; sizes join later, so that the rows of the large shuffles are two numbers
     tokens = sets.groupBy("node").agg(F.first("chosen").alias("chosen")).select("node", F.explode("chosen").alias("token"))
@@ -141,7 +143,7 @@ def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
     whole = Window.partitionBy("node")
     place = (F.col("leading") - F.sum(F.when(F.col("back"), 0).otherwise(1)).over(whole) + F.row_number().over(order))
     need = F.expr(f"(n * {percent} + 99) div 100")
-    placed = (shared.withColumn("place", place).withColumn("front", F.row_number().over(order) <= HEAD).withColumn("short", F.col("n") - need).withColumn("need", need)
+    placed = (shared.withColumn("place", place).withColumn("short", F.col("n") - need).withColumn("need", need)
               .where(F.col("place") <= F.col("short") + LEVELS))
     lists = [F.sum(F.when(F.col("place") <= F.col("short") + lvl, F.col("df") - 1).otherwise(0)).over(whole)
              for lvl in range(1, LEVELS + 1)]
@@ -150,7 +152,7 @@ def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
     costs = [F.when(F.col("need") >= lvl, entries * (1 + verify / lvl)) for lvl, entries in enumerate(lists, 1)]
     placed = placed.withColumn("costs", F.array(*costs))
     placed = placed.withColumn("level", F.array_position("costs", F.array_min("costs")).cast("int"))
-    return placed.where(F.col("place") <= F.col("short") + F.col("level")).select("token", "node", "n", "level", "front")
+    return placed.where(F.col("place") <= F.col("short") + F.col("level")).select("token", "node", "n", "level")
 
 
 def _may_be_similar(x: dict[str, Column], y: dict[str, Column], percent: int) -> Column:
@@ -161,6 +163,31 @@ def _may_be_similar(x: dict[str, Column], y: dict[str, Column], percent: int) ->
     return (F.least(x["n"], y["n"]) * 100 >= F.greatest(x["n"], y["n"]) * percent) & (apart <= total - 2 * common)
 
 
+def _crossed(entries: DataFrame, percent: int) -> DataFrame:
+    """a, b, level, once, met: pairs of different parts that share a shingle of their prefixes and may be similar. Those whose heads meet come once,
+    with the number of shingles their heads share, the others at each shingle they share. `entries` are prefixes with part, bits, head and the largest part of the shingle."""
+    some = entries.where("part <> largest.part").select("token", "node", "n", "level", "part", "bits", "head")
+    other = entries.select("token", *[F.col(c).alias(f"{c}2") for c in ("node", "n", "level", "part", "bits", "head")],
+                           (F.col("part") == F.col("largest.part")).alias("is_largest"))
+    in_heads = F.array_intersect("head", "head2")
+    once = F.size(in_heads) > 0
+    return (some.join(other, "token")
+            .where((F.col("part") != F.col("part2")) & (F.col("is_largest") | (F.col("node") < F.col("node2")))
+                   & _may_be_similar({c: F.col(c) for c in ("n", "bits")}, {c: F.col(f"{c}2") for c in ("n", "bits")}, percent)
+                   & (~once | (F.col("token") == F.array_min(in_heads))))
+            .select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b"), F.least("level", "level2").alias("level"),
+                    once.alias("once"), F.greatest(F.size(in_heads), F.lit(1)).alias("met")))
+
+
+def _shared_enough(pairs: DataFrame, lists: DataFrame) -> DataFrame:
+    """The pairs (a, b) of `pairs` (a, b, level) whose whole prefixes, `lists` (node, tokens), share at least `level` shingles."""
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    lists = lists.join(asked, "node")
+    left = lists.select(F.col("node").alias("a"), F.col("tokens").alias("ta"))
+    right = lists.select(F.col("node").alias("b"), F.col("tokens").alias("tb"))
+    return pairs.join(left, "a").join(right, "b").where(F.size(F.array_intersect("ta", "tb")) >= F.col("level")).select("a", "b")
+
+
 def _verified(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets are similar enough, by whole sets."""
     left = full.select(F.col("node").alias("a"), F.col("hashes").alias("ha"))
@@ -187,13 +214,13 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     are one document: they share a component. Rows without a doc_id link with nothing; their component is null. Sets and shingles are compared by 64-bit hashes. Other columns are ignored.
     """
     spark = docs.sparkSession
-    first, entry_dir, part_dir = work_dir(spark), work_dir(spark), work_dir(spark)
+    first, entry_dir, list_dir, part_dir = work_dir(spark), work_dir(spark), work_dir(spark), work_dir(spark)
     sets = materialize(_sets(docs, id_col, text_col, size, percent), first)
     linkable = sets.where("doc_id IS NOT NULL AND n > 0")
     prefixes = materialize(_prefixes(linkable, percent), entry_dir)
     release(spark)
-    met = prefixes.groupBy("node").agg(F.collect_list(F.when(F.col("front"), F.col("token"))).alias("head"))
-    prefixes = prefixes.drop("front")
+    lists = materialize(prefixes.groupBy("node").agg(F.array_sort(F.collect_list("token")).alias("tokens")), list_dir)
+    met = lists.select("node", F.slice("tokens", 1, HEAD).alias("head"))
     bits = linkable.groupBy("node").agg(F.first("bits").alias("bits"))
     parts = materialize(met.join(bits, "node").withColumn("part", F.col("node")), part_dir)
     # the shingles are not read again
@@ -218,19 +245,11 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         last = turn == ROUNDS or totals[0] <= 8 * totals[1] + 100_000
         open_entries = entries.join(per_token, "token")
         if last:
-            some = open_entries.where("part <> largest.part").select("token", "node", "n", "level", "part", "bits", "head")
-            other = open_entries.select("token", *[F.col(c).alias(f"{c}2") for c in ("node", "n", "level", "part", "bits", "head")],
-                                        (F.col("part") == F.col("largest.part")).alias("is_largest"))
-            in_heads = F.array_intersect("head", "head2")
-            enough = F.size(in_heads) >= F.least("level", "level2")
-            crossed = (some.join(other, "token")
-                   .where((F.col("part") != F.col("part2")) & (F.col("is_largest") | (F.col("node") < F.col("node2")))
-                          & _may_be_similar({c: F.col(c) for c in ("n", "bits")}, {c: F.col(f"{c}2") for c in ("n", "bits")}, percent)
-                          & (~enough | (F.col("token") == F.array_min(in_heads))))
-                   .withColumn("met", F.when(enough, F.size(in_heads)).otherwise(1)))
-            pairs = (crossed.groupBy(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b"))
-                     .agg(F.sum("met").alias("common"), F.min(F.least("level", "level2")).alias("level"))
-                     .where("common >= level").select("a", "b"))
+            crossed = _crossed(open_entries, percent)
+            crossed = crossed.groupBy("a", "b").agg(F.sum("met").alias("common"), F.min("level").alias("level"), F.max("once").alias("once"))
+            crossed = materialize(crossed.where("once OR common >= level"), f"{scratch}/crossed")
+            pairs = (crossed.where("common >= level").select("a", "b")
+                     .unionByName(_shared_enough(crossed.where("common < level").select("a", "b", "level"), lists)))
         else:
             drawn = (open_entries.groupBy("token")
                      .agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("rank"), "node", "n", "part", "bits")).alias("hub"))
@@ -257,6 +276,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         if last:
             break
     discard(spark, entry_dir)
+    discard(spark, list_dir)
 
     grouped = whom.join(parts.select("node", "part"), "node", "left").withColumn("part", F.coalesce("part", "node"))
     # rows of one doc_id with several texts join the parts of those texts

@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from rideflow.llm import ngram_join as ngram_join_module
 from rideflow.llm import queries
 from rideflow.llm.cap_filters import cap_filter_links, code_side, decode
 from rideflow.llm.conflict_packing import conflict_packing, pack
@@ -59,6 +60,28 @@ def test_ngram_join_small(docs, spark):
     assert ngram_join(spark.createDataFrame([], SCHEMA)).collect() == []
 
 
+def test_pairs_of_a_family_are_made_once(spark, monkeypatch):
+    r = random.Random(3)
+    passages = [" ".join(f"p{i}x{j}" for j in range(100)) for i in range(15)]
+    texts = [" ".join(passages[i] for i in sorted(r.sample(range(15), 12))) for _ in range(24)]
+    made = []
+
+    def counted(entries, percent, crossed=ngram_join_module._crossed):
+        made.append((crossed(entries, percent).count(), crossed(entries, percent).select("a", "b").distinct().count()))
+        return crossed(entries, percent)
+
+    monkeypatch.setattr(ngram_join_module, "_crossed", counted)
+    got = {r.doc_id: r.component_id for r in ngram_join(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), size=5, percent=80).collect()}
+    (rows, pairs), = made
+    assert pairs > 24 and rows <= 1.5 * pairs
+    sets = [{tuple(w[i:i + 5]) for i in range(len(w) - 4)} for w in map(str.split, texts)]
+    want = list(range(24))
+    for _ in want:
+        for x in range(24):
+            want[x] = min(want[y] for y in range(24) if 100 * len(sets[x] & sets[y]) >= 80 * len(sets[x] | sets[y]))
+    assert got == dict(enumerate(want)) and len(set(want)) > 1
+
+
 def test_near_duplicates_by_rows(spark):
     a, b, c, d = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcd")
     rows = [(1, a, "en", "s"), (2, a + " tail", "en", "s"), (2, b, "en", "s"), (3, b + " tail", "en", "s"), (4, c, "en", "s"), (4, d, "en", "s"),
