@@ -5,6 +5,10 @@ bits, then for every r and s with d <= m * r + s, one of the first s + 1 segment
 at most r - 1. So the search probes segment values at growing distance, one (radius, segment) step at a time, verifies what it meets by
 its whole Hamming distance, and a query stops when its kth distance is within what the steps so far cover.
 
+The number of segments is the one with the least estimated work: wide segments make many probes, each a row that is shuffled, narrow ones
+many codes to compare in the join. A query starts from its kth distance to `SEEDS` codes, so that what is farther away is no row either.
+Both decide on the work only: whatever they are, the answers are exact.
+
 Codes are searched, not rows: equal codes are one entry with their k + 1 smallest ids, which is all a query can need of
 them, and equal query codes search once.
 """
@@ -12,7 +16,7 @@ them, and equal query codes search once.
 from __future__ import annotations
 
 from itertools import combinations
-from math import comb, log2
+from math import comb
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,6 +25,8 @@ from rideflow.sources.workdir import materialize, work_dir
 
 BITS = 64
 JOINT = 600
+SEEDS = 1024
+PROBE = 64  # comparisons that take as long as one probe
 
 
 def sign_code(vector: Column, bits: int = BITS) -> Column:
@@ -32,14 +38,40 @@ def sign_code(vector: Column, bits: int = BITS) -> Column:
     return F.when(fine, F.shiftleft(high, 32).bitwiseOR(low))
 
 
-def segment_plan(n_codes: int, bits: int = BITS) -> list[tuple[int, int]]:
-    """(first bit, width) of the segments: widths near the logarithm of the number of codes, 20 at most."""
-    width = min(20, max(4, round(log2(max(n_codes, 2)))))
-    m = max(1, round(bits / width))
+def _radius(n_codes: int, k: int, bits: int) -> int:
+    """The distance within which k of so many evenly spread codes are expected."""
+    within = 0
+    for distance in range(bits):
+        within += comb(bits, distance)
+        if n_codes * within >= k << bits:
+            return distance
+    return bits
+
+
+def _cuts(m: int, bits: int) -> list[tuple[int, int]]:
     cuts = [bits * i // m for i in range(m + 1)]
     return [(a, b - a) for a, b in zip(cuts, cuts[1:])]
 
 
+def estimated_work(plan: list[tuple[int, int]], n_codes: int, k: int, bits: int = BITS) -> tuple[int, float]:
+    """Probes and comparisons of one query until it has covered the distance of its kth code."""
+    distance, m = _radius(n_codes, k, bits), len(plan)
+    probes = [sum(comb(w, r) for r in range((distance - s) // m + 1)) for s, (_, w) in enumerate(plan)]
+    return sum(probes), sum(p * n_codes / (1 << w) for p, (_, w) in zip(probes, plan))
+
+
+def segment_plan(n_codes: int, bits: int = BITS, k: int = 10) -> list[tuple[int, int]]:
+    """(first bit, width) of the segments for the least estimated work. They have 8 bits or more, in small tables 4, as narrower
+    ones compare most codes several times."""
+    narrowest = 8 if n_codes >= 256 else 4
+
+    def work(plan: list[tuple[int, int]]) -> float:
+        probes, compared = estimated_work(plan, n_codes, k, bits)
+        return PROBE * probes + compared
+
+    return min((_cuts(m, bits) for m in range(1, max(1, bits // narrowest) + 1)), key=work)
+
+
 def _masks(width: int, radius: int) -> Column:
     """All segment values with `radius` bits set, as one constant."""
     found = ",".join(str(sum(1 << i for i in bits)) for bits in combinations(range(width), radius))
@@ -69,8 +101,9 @@ def hamming_topk(codes: DataFrame, queries: DataFrame, k: int = 10, bits: int =
     first = Window.partitionBy("code").orderBy("id")
     entries = rows.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= k + 1)
     index = materialize(entries.groupBy("code").agg(F.sort_array(F.collect_list("id")).alias("ids")), work_dir(spark))
-    plan = segment_plan(index.count(), bits)
+    plan = segment_plan(index.count(), bits, _room(k))
     m = len(plan)
+    seeds = {r.id: r.code for r in index.orderBy(F.xxhash64("code")).limit(SEEDS).select(F.col("ids")[0].alias("id"), "code").collect()}
 
     def values(code: Column, segments: list[int]) -> Column:
         return F.explode(F.array(*[
@@ -82,7 +115,7 @@ def hamming_topk(codes: DataFrame, queries: DataFrame, k: int = 10, bits: int =
     held = materialize(held, work_dir(spark))
 
     # answers: up to k + 1 nearest ids met so far; the own id may be one of them
-    active = asked.select("code").distinct().withColumnRenamed("code", "q").withColumn("bound", F.lit(bits + 1))
+    active = asked.select("code").distinct().withColumnRenamed("code", "q").withColumn("bound", _least_bound(F.col("q"), list(seeds.values()), _room(k), bits))
     active = materialize(active, work_dir(spark))
     answers = spark.createDataFrame([], "q long, id long, distance int")
     for radius, segments in _steps(plan):
@@ -104,9 +137,9 @@ def hamming_topk(codes: DataFrame, queries: DataFrame, k: int = 10, bits: int =
         covered = m * radius + max(segments)
         state = answers.groupBy("q").agg(F.count("*").alias("n"), F.max("distance").alias("kth"))
         full = F.col("n") >= _room(k)
-        active = (active.select("q").join(state, "q", "left")
-                  .withColumn("bound", F.when(full, F.col("kth")).otherwise(bits + 1))
-                  .where((F.col("bound") > covered) | F.col("bound").isNull()).select("q", "bound"))
+        active = (active.join(state, "q", "left")
+                  .withColumn("bound", F.when(full, F.col("kth")).otherwise(F.col("bound")))
+                  .where(F.col("bound") > covered).select("q", "bound"))
         active = materialize(active, work_dir(spark))
         if active.isEmpty():
             break
@@ -116,6 +149,14 @@ def hamming_topk(codes: DataFrame, queries: DataFrame, k: int = 10, bits: int =
     return nearest.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "id", "distance")
 
 
+def _least_bound(code: Column, seeds: list[int], place: int, bits: int) -> Column:
+    """The distance within which `code` has `place` seeds, which belong to different ids; with fewer seeds, more than any distance."""
+    if len(seeds) < place:
+        return F.lit(bits + 1)
+    listed = F.split(F.lit(",".join(map(str, seeds))), ",").cast("array<long>")
+    return F.sort_array(F.transform(listed, lambda x: F.bit_count(code.bitwiseXOR(x))))[place - 1]
+
+
 def _room(k: int) -> int:
     """Answers a query code keeps: one more than k, as its own id is dropped at the end."""
     return k + 1

@@ -15,7 +15,7 @@ from rideflow.llm import ngram_join as ngram_join_module
 from rideflow.llm import queries
 from rideflow.llm.cap_filters import cap_filter_links, code_side, decode
 from rideflow.llm.conflict_packing import conflict_packing, pack
-from rideflow.llm.hamming_topk import hamming_topk
+from rideflow.llm.hamming_topk import estimated_work, hamming_topk, segment_plan
 from rideflow.llm.hilbert import hilbert_shards, with_hilbert_index
 from rideflow.llm.main_text import PRIOR, best_run, extract_main_text, learn_weights, main_text
 from rideflow.llm.ngram_join import ngram_join
@@ -294,6 +294,24 @@ def test_topk_small(spark):
     assert got == [(1, 1, 2, 0), (1, 2, 3, 1), (1, 3, 4, 64)]
 
 
+def test_topk_probes_grow_little_with_the_codes():
+    work = [estimated_work(segment_plan(n, 64, 11), n, 11) for n in (10_000, 50_000, 250_000, 1_250_000)]
+    for (probes, compared), (more_probes, more_compared) in zip(work, work[1:]):
+        assert more_probes <= 2 * probes and more_compared <= 3 * compared
+
+
+def test_topk_is_exact_near_and_far(spark):
+    r = random.Random(5)
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    centre = r.getrandbits(64)
+    codes = [r.getrandbits(64) for _ in range(300)] + [centre ^ 1 << r.randrange(64) ^ 1 << r.randrange(64) for _ in range(40)] + [centre] * 20
+    asked = [0, 1, 2, 299, 300, 301, 340, 359]
+    rows = spark.createDataFrame([(i, signed(c)) for i, c in enumerate(codes)], "id long, code long")
+    got = sorted((r.query_id, r.rank, r.id, r.distance) for r in hamming_topk(rows, rows.where(F.col("id").isin(asked)), 5).collect())
+    assert got == [(q, n, i, d) for q in asked for n, (d, i) in
+                   enumerate(sorted(((codes[q] ^ c).bit_count(), i) for i, c in enumerate(codes) if i != q)[:5], 1)]
+
+
 def test_topk_counts_an_id_once(spark):
     rows = [(1, 0), (1, 3), (2, 1), (2, 2), (2, 4), (2, 8), (2, 16), (3, 255), (4, -1), (5, 7)]
     codes = spark.createDataFrame(rows, "id long, code long")
