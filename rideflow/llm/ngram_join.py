@@ -18,6 +18,13 @@ within one component found so far are left out. When the remaining pairs are few
 `ROUNDS` rounds, every remaining pair across components that shares enough prefix shingles is verified. So the components are
 exact whatever the rounds have found.
 
+A large family has many documents that are near its middle and nearly, but not quite, near each other, so its pairs to verify would grow with the square
+of its size. So the hubs of the first round are not drawn: they are the documents whose prefixes are the most common, and a document keeps its difference
+from the hub it meets most often, its anchor. With exact differences from one anchor, two documents differ in as many shingles as both differences
+have, less twice what these share. Documents of one anchor are therefore compared by their differences (`_within`): those that need to share nothing link through the
+one of the least difference, and others can link only if they share enough of the rare shingles in which they differ from the middle.
+Only documents of different anchors are compared by their prefixes.
+
 Documents of one family share most of their prefixes, so a pair would be made once for each of some hundred shingles. Every document
 therefore carries its head, the `HEAD` smallest hashes of its prefix. The least common shingle of two heads is the least of the whole prefixes, so a
 pair whose heads meet is made once, there; if its heads hold too few common ones to tell, the whole prefixes are counted, once for the pair.
@@ -127,7 +134,7 @@ def _full_sets(docs: DataFrame, size: int) -> DataFrame:
 
 
 def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
-    """token, node, n, level: the prefixes at the chosen levels, of shingles that more than one set has."""
+    """token, node, n, level, central: the prefixes at the chosen levels, of shingles that more than one set has, and how common those of the node are on average."""
     cut = int(_leading_share(percent) * _TOP) - 1
     # copies are combined before the shuffle; sizes join later, so that the rows of the large shuffles are two numbers
     tokens = sets.groupBy("node").agg(F.first("chosen").alias("chosen")).select("node", F.explode("chosen").alias("token"))
@@ -147,12 +154,14 @@ def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
               .where(F.col("place") <= F.col("short") + LEVELS))
     lists = [F.sum(F.when(F.col("place") <= F.col("short") + lvl, F.col("df") - 1).otherwise(0)).over(whole)
              for lvl in range(1, LEVELS + 1)]
+    placed = placed.withColumn("lists", F.array(*lists))
     # a list entry costs 1; each pair of it that survives costs a merge of two sets
     verify = F.col("n") / F.lit(16.0) + 4
-    costs = [F.when(F.col("need") >= lvl, entries * (1 + verify / lvl)) for lvl, entries in enumerate(lists, 1)]
+    costs = [F.when(F.col("need") >= lvl, F.col("lists")[lvl - 1] * (1 + verify / lvl)) for lvl in range(1, LEVELS + 1)]
     placed = placed.withColumn("costs", F.array(*costs))
     placed = placed.withColumn("level", F.array_position("costs", F.array_min("costs")).cast("int"))
-    return placed.where(F.col("place") <= F.col("short") + F.col("level")).select("token", "node", "n", "level")
+    placed = placed.withColumn("central", F.element_at("lists", F.col("level")) / (F.col("short") + F.col("level")))
+    return placed.where(F.col("place") <= F.col("short") + F.col("level")).select("token", "node", "n", "level", "central")
 
 
 def _may_be_similar(x: dict[str, Column], y: dict[str, Column], percent: int) -> Column:
@@ -164,15 +173,16 @@ def _may_be_similar(x: dict[str, Column], y: dict[str, Column], percent: int) ->
 
 
 def _crossed(entries: DataFrame, percent: int) -> DataFrame:
-    """a, b, level, once, met: pairs of different parts that share a shingle of their prefixes and may be similar. Those whose heads meet come once,
-    with the number of shingles their heads share, the others at each shingle they share. `entries` are prefixes with part, bits, head and the largest part of the shingle."""
-    some = entries.where("part <> largest.part").select("token", "node", "n", "level", "part", "bits", "head")
-    other = entries.select("token", *[F.col(c).alias(f"{c}2") for c in ("node", "n", "level", "part", "bits", "head")],
-                           (F.col("part") == F.col("largest.part")).alias("is_largest"))
+    """a, b, level, once, met: pairs of different parts and anchors that share a shingle of their prefixes and may be similar. Those whose heads meet come once,
+    with the number of shingles their heads share, the others at each shingle they share. `entries` are prefixes with part, anchor, bits, head and
+    is_largest: whether the entry is of the shingle's largest part or anchor, within which no pair is made."""
+    columns = ("node", "n", "level", "part", "anchor", "bits", "head")
+    some = entries.where("NOT is_largest").select("token", *columns)
+    other = entries.select("token", *[F.col(c).alias(f"{c}2") for c in columns], "is_largest")
     in_heads = F.array_intersect("head", "head2")
     once = F.size(in_heads) > 0
     return (some.join(other, "token")
-            .where((F.col("part") != F.col("part2")) & (F.col("is_largest") | (F.col("node") < F.col("node2")))
+            .where((F.col("part") != F.col("part2")) & (F.col("anchor") != F.col("anchor2")) & (F.col("is_largest") | (F.col("node") < F.col("node2")))
                    & _may_be_similar({c: F.col(c) for c in ("n", "bits")}, {c: F.col(f"{c}2") for c in ("n", "bits")}, percent)
                    & (~once | (F.col("token") == F.array_min(in_heads))))
             .select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b"), F.least("level", "level2").alias("level"),
@@ -188,6 +198,67 @@ def _shared_enough(pairs: DataFrame, lists: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(F.size(F.array_intersect("ta", "tb")) >= F.col("level")).select("a", "b")
 
 
+def _with_sides(entries: DataFrame, anchors: DataFrame) -> DataFrame:
+    """`entries` with anchor (by `anchors`: node, anchor; else the node itself) and is_largest, which leaves out of a shingle's entries its largest part or its
+    largest anchor, whichever is larger. Shingles of one anchor only have no pairs to make and are left out."""
+    entries = entries.join(anchors, "node", "left").withColumn("anchor", F.coalesce("anchor", "node"))
+    per_anchor = entries.groupBy("token", "anchor").agg(F.count("*").alias("n_anchor"))
+    most = per_anchor.groupBy("token").agg(F.max(F.struct("n_anchor", "anchor")).alias("most"), F.count("*").alias("n_anchors")).where("n_anchors > 1")
+    return (entries.join(most, "token")
+            .withColumn("is_largest", F.expr("IF(most.n_anchor > largest.n_part, anchor = most.anchor, part = largest.part)")))
+
+
+def _within(anchored: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
+    """a, b: pairs of one anchor and different parts, so that the links among them join the parts that all links of the anchor's documents join.
+    `anchored` are node, anchor, n, delta (the shingles that only one of node and anchor has), with n_anchor, the anchor's size.
+
+    Sets of sizes n and m that differ in d shingles link when (100 + percent) * d <= (100 - percent) * (n + m). With s = (100 + percent) * |delta| - (100 - percent) * n
+    that is: s + s2 <= 2 * (100 + percent) * shared, where shared is what both deltas have. If s + s2 <= 0, both link with the document of the least s.
+    Else their deltas share some shingles, the first of which, the rarest first, is in both prefixes, as the smaller delta lacks at most half of d and the larger
+    at most d. From there on (`rest`) both must have enough shingles. Those that only one delta has are the rarest and need no row.
+    """
+    own = anchored.select("node", "anchor", "n", "delta")
+    hubs = anchored.select(F.col("anchor").alias("node"), "anchor", F.col("n_anchor").alias("n"), F.expr("CAST(array() AS array<long>)").alias("delta"))
+    members = own.unionByName(hubs.dropDuplicates(["node"]).join(own.select("node"), "node", "left_anti")).join(parts.select("node", "part", "bits"), "node")
+    scored = members.withColumn("s", F.size("delta") * (100 + percent) - F.col("n") * (100 - percent))
+    groups = scored.groupBy("anchor").agg(F.min(F.struct("s", "node", "part")).alias("least"), F.min("part").alias("lo"), F.max("part").alias("hi"))
+    scored = scored.join(groups.where("lo < hi").select("anchor", "least"), "anchor")
+    through = (scored.where("part <> least.part AND s + least.s <= 0")
+               .select(F.least("node", "least.node").alias("a"), F.greatest("node", "least.node").alias("b")))
+
+    tokens = scored.select("anchor", "node", F.explode("delta").alias("token"))
+    counts = tokens.groupBy("anchor", "token").agg(F.count("*").alias("df")).where("df > 1")
+    whole = Window.partitionBy("node")
+    shared = (tokens.join(counts, ["anchor", "token"])
+              .withColumn("rank", F.row_number().over(whole.orderBy("df", "token"))).withColumn("n_shared", F.count("*").over(whole)))
+    sizes = scored.select("node", "n", "part", "bits", "s", F.size("delta").alias("n_delta"))
+    entries = (shared.join(sizes, "node").withColumn("place", F.col("n_delta") - F.col("n_shared") + F.col("rank"))
+               .withColumn("rest", F.col("n_shared") - F.col("rank") + 1)
+               .withColumn("apart", F.expr(f"n * {100 - percent} div {percent}")).where("place <= apart + 1"))
+    columns = ("node", "n", "part", "bits", "s", "rest", "n_delta")
+    larger = entries.select("anchor", "token", *columns)
+    smaller = entries.where("place <= apart div 2 + 1").select("anchor", "token", *[F.col(c).alias(f"{c}2") for c in columns])
+    by_delta = (larger.join(smaller, ["anchor", "token"])
+                .where((F.col("part") != F.col("part2")) & (F.struct("n_delta2", "node2") < F.struct("n_delta", "node"))
+                       & (F.col("s") + F.col("s2") <= F.least("rest", "rest2") * 2 * (100 + percent))
+                       & _may_be_similar({c: F.col(c) for c in ("n", "bits")}, {c: F.col(f"{c}2") for c in ("n", "bits")}, percent))
+                .select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")))
+    return through.unionByName(by_delta).distinct()
+
+
+def _compared(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b, is_anchor), whether they link, and for those with an anchor b that has at least half of both sets in common, the sizes and the
+    shingles that only one has; else null."""
+    left = full.select(F.col("node").alias("a"), F.col("hashes").alias("ha"))
+    right = full.select(F.col("node").alias("b"), F.col("hashes").alias("hb"))
+    common = F.size(F.array_intersect("ha", "hb"))
+    union = F.size("ha") + F.size("hb") - F.col("common")
+    delta = F.when(F.col("is_anchor") & (F.col("common") * 2 >= union), F.concat(F.array_except("ha", "hb"), F.array_except("hb", "ha")))
+    return (pairs.join(left, "a").join(right, "b").withColumn("common", common)
+            .select("a", "b", (F.col("common") * 100 >= union * percent).alias("linked"), F.size("ha").cast("long").alias("n"),
+                    F.size("hb").cast("long").alias("n_anchor"), delta.alias("delta")))
+
+
 def _verified(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets are similar enough, by whole sets."""
     left = full.select(F.col("node").alias("a"), F.col("hashes").alias("ha"))
@@ -199,9 +270,9 @@ def _verified(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
 
 
 def _relabel(members: DataFrame, links: DataFrame) -> DataFrame:
-    """`members` (node, part, bits, head) after joining the parts that `links` (a, b: parts) connect."""
+    """`members` (node, part, bits, head, central) after joining the parts that `links` (a, b: parts) connect."""
     merged = components(links).withColumnsRenamed({"node": "part", "label": "joined"})
-    return members.join(merged, "part", "left").select("node", "bits", "head", F.coalesce("joined", "part").alias("part"))
+    return members.join(merged, "part", "left").select("node", "bits", "head", "central", F.coalesce("joined", "part").alias("part"))
 
 
 def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5,
@@ -219,8 +290,9 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     linkable = sets.where("doc_id IS NOT NULL AND n > 0")
     prefixes = materialize(_prefixes(linkable, percent), entry_dir)
     release(spark)
-    lists = materialize(prefixes.groupBy("node").agg(F.array_sort(F.collect_list("token")).alias("tokens")), list_dir)
-    met = lists.select("node", F.slice("tokens", 1, HEAD).alias("head"))
+    lists = materialize(prefixes.groupBy("node").agg(F.array_sort(F.collect_list("token")).alias("tokens"), F.first("central").alias("central")), list_dir)
+    prefixes = prefixes.drop("central")
+    met = lists.select("node", "central", F.slice("tokens", 1, HEAD).alias("head"))
     bits = linkable.groupBy("node").agg(F.first("bits").alias("bits"))
     parts = materialize(met.join(bits, "node").withColumn("part", F.col("node")), part_dir)
     # the shingles are not read again
@@ -231,6 +303,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
+    anchored, anchor_dir = None, work_dir(spark)
     release(spark)
     for turn in range(ROUNDS + 1):
         scratch = work_dir(spark)
@@ -245,26 +318,48 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         last = turn == ROUNDS or totals[0] <= 8 * totals[1] + 100_000
         open_entries = entries.join(per_token, "token")
         if last:
-            crossed = _crossed(open_entries, percent)
+            if anchored is None:
+                sided = open_entries.withColumn("anchor", F.col("node")).withColumn("is_largest", F.expr("part = largest.part"))
+            else:
+                sided = _with_sides(open_entries, anchored.select("node", "anchor"))
+            crossed = _crossed(sided, percent)
             crossed = crossed.groupBy("a", "b").agg(F.sum("met").alias("common"), F.min("level").alias("level"), F.max("once").alias("once"))
             crossed = materialize(crossed.where("once OR common >= level"), f"{scratch}/crossed")
             pairs = (crossed.where("common >= level").select("a", "b")
                      .unionByName(_shared_enough(crossed.where("common < level").select("a", "b", "level"), lists)))
+            if anchored is not None:
+                pairs = pairs.unionByName(_within(anchored, parts, percent))
         else:
+            rank = F.xxhash64("node", F.lit(turn)) if turn else -F.col("central")
             drawn = (open_entries.groupBy("token")
-                     .agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("rank"), "node", "n", "part", "bits")).alias("hub"))
+                     .agg(F.min(F.struct(rank.alias("rank"), "node", "n", "part", "bits")).alias("hub"))
                      .select("token", "hub"))
-            pairs = (open_entries.join(drawn, "token")
-                     .where((F.col("part") != F.col("hub.part"))
-                          & _may_be_similar({c: F.col(c) for c in ("n", "bits")}, {c: F.col(f"hub.{c}") for c in ("n", "bits")}, percent))
-                     .select(F.col("node").alias("a"), F.col("hub.node").alias("b")).distinct())
+            may_link = ((F.col("part") != F.col("hub.part"))
+                        & _may_be_similar({c: F.col(c) for c in ("n", "bits")}, {c: F.col(f"hub.{c}") for c in ("n", "bits")}, percent))
+            met_hubs = open_entries.join(drawn, "token").select(F.col("node").alias("a"), F.col("hub.node").alias("b"), may_link.alias("may_link"))
+            if turn:
+                pairs = met_hubs.where("may_link").select("a", "b").distinct()
+            else:
+                # the hub of at least two thirds of a prefix is the anchor, if two documents more have it: fewer make few pairs
+                often = met_hubs.groupBy("a", "b", "may_link").agg(F.count("*").alias("times"))
+                each = Window.partitionBy("a")
+                often = (often.withColumn("most", F.max(F.struct("times", "b")).over(each)).withColumn("all", F.sum("times").over(each))
+                         .withColumn("is_anchor", F.expr("b <> a AND b = most.b AND times * 3 >= all * 2")).where("may_link OR is_anchor"))
+                followed = often.where("is_anchor").groupBy("b").agg(F.count("*").alias("n_followers")).where("n_followers > 2")
+                pairs = (often.join(followed, "b", "left").withColumn("is_anchor", F.expr("is_anchor AND n_followers IS NOT NULL"))
+                         .where("may_link OR is_anchor").select("a", "b", "is_anchor"))
         pairs = materialize(pairs, f"{scratch}/pairs")
         # whole sets are larger than texts, so only documents of a pair get theirs
         asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         full = _full_sets(whom.join(asked, "node").join(texts, "doc_id").select("node", "text"), size)
         full = materialize(full.groupBy("node").agg(F.first("hashes").alias("hashes")), f"{scratch}/full")
         release(spark)
-        links = materialize(_verified(pairs, full, percent), f"{scratch}/links")
+        if turn == 0 and not last:
+            compared = materialize(_compared(pairs, full, percent), anchor_dir)
+            links = compared.where("linked").select("a", "b")
+            anchored = compared.where("delta IS NOT NULL").select(F.col("a").alias("node"), F.col("b").alias("anchor"), "n", "n_anchor", "delta")
+        else:
+            links = materialize(_verified(pairs, full, percent), f"{scratch}/links")
         by_part = (links.join(parts.select(F.col("node").alias("a"), F.col("part").alias("pa")), "a")
                    .join(parts.select(F.col("node").alias("b"), F.col("part").alias("pb")), "b")
                    .select(F.col("pa").alias("a"), F.col("pb").alias("b")))
@@ -277,6 +372,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             break
     discard(spark, entry_dir)
     discard(spark, list_dir)
+    discard(spark, anchor_dir)
 
     grouped = whom.join(parts.select("node", "part"), "node", "left").withColumn("part", F.coalesce("part", "node"))
     # rows of one doc_id with several texts join the parts of those texts

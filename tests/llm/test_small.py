@@ -82,6 +82,66 @@ def test_pairs_of_a_family_are_made_once(spark, monkeypatch):
     assert got == dict(enumerate(want)) and len(set(want)) > 1
 
 
+def test_pairs_of_a_large_family_grow_with_its_documents(spark, monkeypatch):
+    r = random.Random(5)
+    middle = [f"w{i}" for i in range(300)]
+    edited = []
+    for i in range(150):
+        # every fifth is an edited copy of an earlier one; so far from the middle, some of these link with each other only
+        base, most = (r.choice(edited), 4) if i % 5 == 4 else (middle, 16)
+        at = set(r.sample(range(300), r.randint(1, most)))
+        edited.append([f"e{i}x{j}" if j in at else w for j, w in enumerate(base)])
+    texts = [" ".join(ws) for ws in [middle, *edited]]
+    made = []
+
+    def counted(df, path, materialize=ngram_join_module.materialize):
+        table = materialize(df, path)
+        if path.endswith("/pairs"):
+            made.append(table.count())
+        return table
+
+    monkeypatch.setattr(ngram_join_module, "materialize", counted)
+    got = {r.doc_id: r.component_id for r in ngram_join(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), size=5, percent=80).collect()}
+    assert len(made) == 3 and sum(made) <= 4 * len(texts), made
+    sets = [{tuple(w[i:i + 5]) for i in range(len(w) - 4)} for w in map(str.split, texts)]
+    links = [[y for y in range(151) if 100 * len(sets[x] & sets[y]) >= 80 * len(sets[x] | sets[y])] for x in range(151)]
+    want = list(range(151))
+    for _ in range(20):
+        for x in range(151):
+            want[x] = min(want[y] for y in links[x])
+    assert got == dict(enumerate(want))
+    # links that no hub has: of components without the middle
+    assert any(c and want.count(c) > 1 for c in want)
+
+
+def test_pairs_within_an_anchor_keep_all_components(spark):
+    r = random.Random(7)
+    for percent in (60, 80, 90):
+        middle = list(range(200))
+        sets = [middle]
+        for i in range(60):
+            base = r.choice(sets) if i % 2 else middle
+            gone = set(r.sample(base, r.randint(0, 45)))
+            sets.append([x for x in base if x not in gone] + [r.randint(1000, 1150) if i % 3 else 10_000 * (i + 1) + j for j in range(r.randint(0, 45))])
+        sets = [set(s) for s in sets]
+        rows = [(i, 0, len(s), 200, sorted(s ^ sets[0])) for i, s in enumerate(sets) if i]
+        anchored = spark.createDataFrame(rows, "node long, anchor long, n long, n_anchor long, delta array<long>")
+        bits = [ngram_join_module._parity(np.array(sorted(s), np.uint64)).tolist() for s in sets]
+        parts = spark.createDataFrame([(i, i, b) for i, b in enumerate(bits)], "node long, part long, bits array<long>")
+        pairs = {(p.a, p.b) for p in ngram_join_module._within(anchored, parts, percent).collect()}
+        links = [(x, y) for y in range(61) for x in range(y) if 100 * len(sets[x] & sets[y]) >= percent * len(sets[x] | sets[y])]
+
+        def least(links):
+            label = list(range(61))
+            for _ in label:
+                for x, y in links:
+                    label[x] = label[y] = min(label[x], label[y])
+            return label
+
+        assert least([link for link in links if link in pairs]) == least(links) and len(set(least(links))) > 1
+        assert len(pairs) < 61 * 60 // 2
+
+
 def test_near_duplicates_by_rows(spark):
     a, b, c, d = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcd")
     rows = [(1, a, "en", "s"), (2, a + " tail", "en", "s"), (2, b, "en", "s"), (3, b + " tail", "en", "s"), (4, c, "en", "s"), (4, d, "en", "s"),
