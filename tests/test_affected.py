@@ -1,13 +1,19 @@
 """A backfill judges the affected rows again where they are: only keys, and rows of repeated keys, are exchanged."""
 
+import pytest
 from pyspark.sql import functions as F
 
+from rideflow import schemas
 from rideflow.operators import quality
 from rideflow.operators.dedupe import flag_listed, mark_first
-from rideflow.sources.sinks import write_dates
+from rideflow.plans import lake
+from rideflow.sources.readers import read_bronze
+from rideflow.sources.sinks import bronze_path, write_dates
+from rideflow.sources.testdata import as_text, tables
 from rideflow.sources.workdir import materialize, work_dir
 from tests.conftest import plan
 
+AT, DAY = "2026-10-08 12:00:00", "2026-10-08"
 UNIQUE = quality.Unique("DUP", ("id",), ("id",), "d")
 
 
@@ -76,3 +82,50 @@ def test_dates_are_replaced_from_their_own_rows(spark, tmp_path):
         held = spark.read.parquet(path).filter(F.col("ingest_date").isin(dates))
         write_dates(held.filter("id % 2 = 0"), path, dates)
     assert sorted(r.id for r in spark.read.parquet(path).collect()) == list(range(0, 1000, 2))
+
+
+@pytest.fixture
+def processed(spark, sf_dir):
+    root = work_dir(spark)
+    raw = {name: as_text(df) for name, df in tables(spark, sf_dir).items()}
+    lake.land_all(raw, root, DAY)
+    lake.bronze_to_silver(spark, root, DAY, "run-1", AT, "s")
+    return root, raw
+
+
+def _files(spark, root, layer, dataset):
+    return {r.path for r in spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "part-*").load(f"{root}/{layer}/{dataset}").select("path").collect()}
+
+
+def test_corrected_payments_leave_the_other_datasets_alone(spark, processed):
+    root, raw = processed
+    more = raw["drivers"].limit(1).withColumn("driver_id", F.lit("D99999")).withColumn("license_number", F.lit("late"))
+    before = {name: _files(spark, root, "silver", name) for name in schemas.DATASETS}
+    fixed = raw["payments"].filter("amount = '-1.00'").withColumn("amount", F.lit("1.00"))
+    wrong, kept = fixed.count(), lake.read_silver(spark, root, "payments").count()
+    judged = lake.reprocess(spark, root, "payments", fixed, DAY, "run-2", AT, "s")
+    assert wrong and set(judged) == {"payments"} and lake.pending_dates(spark, root) == []
+    after = {name: _files(spark, root, "silver", name) for name in schemas.DATASETS}
+    assert [name for name in after if after[name] != before[name]] == ["payments"]
+    assert lake.read_silver(spark, root, "payments").count() > kept
+    landed = read_bronze(spark, root, "payments", schemas.PAYMENTS)
+    assert landed.count() == raw["payments"].count() and landed.filter("amount = '-1.00'").isEmpty()
+    # a file that came besides is processed, and what refers to its dataset
+    more.write.mode("append").option("header", True).csv(bronze_path(root, "drivers", DAY))
+    judged = lake.reprocess(spark, root, "payments", fixed, DAY, "run-3", AT, "s")
+    assert set(judged) == {"drivers", "rides", "payments"} and lake.pending_dates(spark, root) == []
+    assert not lake.read_silver(spark, root, "drivers").filter("driver_id = 'D99999'").isEmpty()
+
+
+def test_erasure_stores_nothing_aside(spark, processed, monkeypatch):
+    root, raw = processed
+    stored = []
+    monkeypatch.setattr(lake, "materialize", lambda df, path, *rest: (stored.append(df.columns), materialize(df, path, *rest))[1])
+    monkeypatch.setattr(lake, "silver_to_gold", lambda *_: None)
+    who = raw["customers"].filter("customer_id LIKE '%7'").select("customer_id")
+    assert lake.erase_subjects(spark, root, who) == {name: [DAY] for name in ("customers", "rides", "payments")}
+    assert all(len(columns) < 5 for columns in stored)
+    for name in ("customers", "rides", "payments"):
+        left = raw[name].join(who, "customer_id", "left_anti").count()
+        assert read_bronze(spark, root, name, schemas.DATASETS[name]).count() == left
+        assert lake.read_silver(spark, root, name).join(who, "customer_id", "left_semi").isEmpty()
