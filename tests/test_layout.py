@@ -159,6 +159,30 @@ def test_compaction_joins_neighbouring_small_files(spark, tmp_path):
     assert merge.read_table(spark, root).where("at = 2").count() == 1 and merge.read_table(spark, root).count() == 40_000
 
 
+def test_many_small_files_are_read_as_folders_and_written_by_many_tasks(spark, tmp_path):
+    root = str(tmp_path / "t")
+    rows = spark.range(600).select(F.format_string("k%05d", "id").alias("k"), F.lit(0).alias("at"))
+    merge.create_table(rows, root, "k", 5)
+    assert len({f.file.split("/")[-1].split("-")[1] for f in merge.manifest(spark, root).collect()}) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    merge.merge_into(rows.where("k BETWEEN 'k00300' AND 'k00302'").withColumn("at", F.lit(1)), root, "k", "at", 5)
+    versions = []
+    # a folder that holds files of another version or of no version is not read as a whole
+    for version in (0, 1):
+        paths = []
+        read = type(spark.read).parquet
+        type(spark.read).parquet = lambda self, *p, **k: (paths.extend(p), read(self, *p, **k))[1]
+        try:
+            versions.append((merge.read_table(spark, root, version), len(paths)))
+        finally:
+            type(spark.read).parquet = read
+    assert versions[0][1] <= 2 and versions[1][1] > 100
+    assert [df.count() for df, _ in versions] == [600, 600] and versions[1][0].where("at = 1").count() == 3
+    assert merge.compact(spark, root, "k", 20_000) == 2
+    assert sorted(map(str, merge.read_table(spark, root).collect())) == sorted(map(str, versions[1][0].collect()))
+    files = merge.manifest(spark, root).orderBy("least").collect()
+    assert len(files) < 20 and all(a.most < b.least for a, b in zip(files, files[1:])) and sum(f.rows for f in files) == 600
+
+
 def test_files_are_sized_by_measured_bytes(spark, tmp_path):
     """A partition of nearly all rows is dealt to files of half the target to the target; small ones and NULL are one file."""
     wide = spark.range(60_000, numPartitions=6).select("id", F.sha2(F.col("id").cast("string"), 512).alias("v"),
