@@ -100,6 +100,26 @@ def test_versions_that_never_change_need_no_join(spark):
         spark.conf.set(limit, before)
 
 
+def test_versions_of_few_days_need_no_shuffle_of_facts(spark, monkeypatch):
+    span = "SELECT id AS driver_key, explode(sequence(DATE '2024-01-01', date_add(DATE '2024-01-01', CAST(id % 4 AS INT) * 10), INTERVAL 10 DAYS)) AS valid_from FROM range(400)"
+    days = spark.sql(span).filter("(driver_key + day(valid_from)) % 7 > 0")
+    versions = materialize(days.select(gold.surrogate_key("driver_key", "valid_from").alias("driver_version"), "*"), work_dir(spark))
+    at = F.timestamp_add("HOUR", (F.col("id") * 7 % 1200).cast("int"), F.lit("2023-12-25 00:00:00").cast("timestamp_ntz"))
+    fact = spark.range(3000).select("id", F.when(F.col("id") % 50 > 0, F.col("id") % 450).alias("driver_key"), F.when(F.col("id") % 60 > 0, at).alias("at"))
+    want = sorted(map(str, as_of(fact, versions, "driver_key", "at", "valid_from", ["driver_version"], open_start=True).collect()))
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")
+    try:
+        got = gold.with_version(fact, versions, "driver", "at")
+        assert "hashpartitioning" not in plan(got) and "SortMergeJoin" not in plan(got)
+        assert sorted(map(str, got.collect())) == want
+        monkeypatch.setattr(gold, "FEW_DAYS", 3)  # a longer history
+        assert sorted(map(str, gold.with_version(fact.filter("at IS NOT NULL"), versions, "driver", "at").collect())) == [r for r in want if "at=None" not in r]
+    finally:
+        spark.conf.set(limit, before)
+
+
 def test_buckets_grow_in_number(spark):
     facts = spark.range(1000).select((F.col("id") % 90).alias("k"), "id", F.lit(1).alias("t"))
     names = ("growth_dealt", "growth_copied")
